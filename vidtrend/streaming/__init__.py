@@ -1,0 +1,9 @@
+"""Streaming: intentionally empty.
+
+The original programs are batch jobs only (no watermark, window, state or
+late data anywhere), so there is no streaming operator to rebuild.  The
+snapshot parser (``sources.parse_snapshot_lines``) is a pure column
+expression over a ``value`` column and works unchanged on a
+``spark.readStream.text(...)`` frame, should daily files ever be ingested
+incrementally.
+"""
