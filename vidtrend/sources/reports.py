@@ -18,6 +18,7 @@ def read_report(spark: SparkSession, path: str | list[str], schema: T.StructType
                "columnNameOfCorruptRecord": CORRUPT_COLUMN}
     paths = [path] if isinstance(path, str) else list(path)
     lines = spark.read.text(paths).where(F.length("value") > 0)
-    parsed = lines.select(F.from_csv("value", ddl, options).alias("r"))
-    return parsed.where(F.col(f"r.{CORRUPT_COLUMN}").isNull()).select(
-        *[F.col(f"r.{f.name}").alias(f.name) for f in schema.fields])
+    # Parse inside a generator so the filter below does not re-parse (see
+    # ``sources.snapshots``).
+    parsed = lines.select(F.inline(F.array(F.from_csv("value", ddl, options))))
+    return parsed.where(F.col(CORRUPT_COLUMN).isNull()).select(*[f.name for f in schema.fields])

@@ -76,14 +76,18 @@ def parse_snapshot_lines(lines: DataFrame, value: str = "value",
         region_col = F.lit(region)
     else:
         region_col = region
+    # The parse runs inside a generator (inline of a one-element array): the
+    # optimizer cannot push the validity filters below it, which would
+    # otherwise inline the CSV parse into every predicate and parse each
+    # line several times.
     rows = (
         lines
         .where(F.length(F.col(value)) > 0)                                  # P7
         .select(region_col.alias("region"),
-                F.from_csv(line, RAW_DDL, CSV_OPTIONS).alias("r"))
-        .where(F.col(f"r.{CORRUPT_COLUMN}").isNull())                       # P1
+                F.inline(F.array(F.from_csv(line, RAW_DDL, CSV_OPTIONS))))
+        .where(F.col(CORRUPT_COLUMN).isNull())                              # P1
     )
-    r = lambda c: F.col(f"r.{c}")
+    r = F.col
     return rows.select(
         F.col("region"),
         java_trim(text_or_empty(r("video_id"))).alias("video_id"),        # P3
