@@ -1,0 +1,56 @@
+"""Every registered query against its SQL (DuckDB) on the smallest tables."""
+
+from __future__ import annotations
+
+import math
+import os
+
+import pytest
+
+duckdb = pytest.importorskip("duckdb")
+
+import __spark_entry__ as entry  # noqa: E402
+
+SF_DIR = "/root/testdata/sf0.001"
+TABLES = ("region nation customer supplier part orders lineitem events documents "
+          "embeddings pages benchmark labels conversations").split()
+
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="benchmark tables not present")
+
+
+def canon(columns, rows):
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    norm = lambda v: round(v, 9) if isinstance(v, float) and not math.isnan(v) else v
+    return ([columns[i] for i in order],
+            sorted((tuple(norm(r[i]) for i in order) for r in rows), key=repr))
+
+
+@pytest.fixture(scope="module")
+def con():
+    c = duckdb.connect()
+    for t in TABLES:
+        p = os.path.join(SF_DIR, f"{t}.parquet")
+        if os.path.exists(p):
+            c.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{p}')")
+    return c
+
+
+def test_every_query_has_an_oracle():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(entry.queries()))
+def test_query_matches_sql(spark, con, name):
+    df = entry.queries()[name](spark, SF_DIR)
+    got = canon(df.columns, [tuple(r) for r in df.collect()])
+    res = con.execute(entry.oracle_sql()[name])
+    want = canon([d[0] for d in res.description], res.fetchall())
+    assert got[0] == want[0]
+    assert len(got[1]) == len(want[1])
+    assert got[1] == want[1]
+
+
+def test_entry_smoke(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["views", "channel", "likes", "dislikes", "comments"]
+    assert df.count() > 0

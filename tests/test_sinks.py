@@ -1,0 +1,51 @@
+"""Report writer and reader."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+from vidtrend.plans import programs as P
+from vidtrend.sources import read_report, write_report
+
+
+def read_lines(path):
+    out = []
+    for f in sorted(glob.glob(os.path.join(path, "part-*"))):
+        with open(f, encoding="utf-8") as fh:
+            out.extend(fh.read().splitlines())
+    return out
+
+
+def test_tsv_report_keeps_order_and_header(spark, snapshots, tmp_path):
+    path = str(tmp_path / "viewStats")
+    write_report(P.channel_video_ranking(snapshots), path, header=["Count", "Channel_name"])
+    assert read_lines(path) == ["Count\tChannel_name", "4\tChB", "2\tChA", "2\tChD", "1\t"]
+    back = read_report(spark, path, "n bigint, channel string")
+    assert sorted(tuple(r) for r in back.collect()) == [(1, None), (2, "ChA"), (2, "ChD"), (4, "ChB")] \
+        or sorted(tuple(r) for r in back.collect()) == [(1, ""), (2, "ChA"), (2, "ChD"), (4, "ChB")]
+
+
+def test_tsv_fields_are_not_quoted(spark, tmp_path):
+    df = spark.createDataFrame([(1, 'a "b", c', None)], "n bigint, s string, t string")
+    path = str(tmp_path / "r")
+    write_report(df, path, single_file=True)
+    assert read_lines(path) == ['1\ta "b", c\t']
+
+
+def test_stats_program_writes_stage_and_four_reports(spark, snapshots, tmp_path):
+    written = P.run_channel_stats(snapshots, str(tmp_path))
+    assert set(written) == {"Inter_2", "viewStats", "likeStats", "dislikesStats", "commentStats"}
+    assert read_lines(written["likeStats"])[0] == "39\tChB\t440\t4\t16"
+    schema = "views bigint, channel string, likes bigint, dislikes bigint, comments bigint"
+    back = read_report(spark, written["viewStats"], schema)
+    assert back.count() == 3
+
+
+def test_category_and_video_programs(spark, snapshots, categories, tmp_path):
+    cat = P.run_category_stats(snapshots, categories, "IN", str(tmp_path / "cat"))
+    assert read_lines(cat["viewStats"])[0] == "300\tIN_29\t5\t5\t5\t29"
+    vid = P.run_video_stats(snapshots, str(tmp_path / "vid"))
+    assert read_lines(vid["viewStats"])[0] == "300\tv1\tSong, one (new)\t30\t3\t15"
+    top = P.run_channel_count(snapshots, str(tmp_path / "cnt"), k=2)
+    assert read_lines(top) == ["Count\tChannel_name\tRank", "4\tChB\t1", "2\tChA\t2", "2\tChD\t2"]

@@ -3,7 +3,8 @@
 The file is read line by line (``spark.read.text``: splittable, one row per
 line, file name in ``_metadata``) and each line is parsed with ``from_csv``
 into 16 text fields plus a corrupt-record column.  A line whose field count is
-not exactly 16 sets the corrupt column and is dropped.  Parsing per line on
+not exactly 16 sets the corrupt column and is dropped, and so is a line with
+an unterminated quoted field.  Parsing per line on
 purpose: a quoted field that spans lines is not joined, so both halves fail
 the field count, as in the original programs.
 
@@ -80,9 +81,15 @@ def parse_snapshot_lines(lines: DataFrame, value: str = "value",
     # optimizer cannot push the validity filters below it, which would
     # otherwise inline the CSV parse into every predicate and parse each
     # line several times.
+    # A quoted field left open at the end of the line (it continues on the
+    # next physical line) makes the original per-line parser come up short
+    # of fields; Spark's parser would instead read to the end of the line.
+    # An odd number of quote characters is exactly that case.
+    n_quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
     rows = (
         lines
-        .where(F.length(F.col(value)) > 0)                                  # P7
+        .where((F.length(F.col(value)) > 0)                                 # P7
+               & (n_quotes % 2 == 0))                                       # P1
         .select(region_col.alias("region"),
                 F.inline(F.array(F.from_csv(line, RAW_DDL, CSV_OPTIONS))))
         .where(F.col(CORRUPT_COLUMN).isNull())                              # P1
