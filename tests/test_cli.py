@@ -1,0 +1,32 @@
+"""The command-line programs end to end on the fixture."""
+
+from __future__ import annotations
+
+import glob
+import os
+
+from vidtrend import cli
+
+
+def lines(path):
+    out = []
+    for f in sorted(glob.glob(os.path.join(path, "part-*"))):
+        with open(f, encoding="utf-8") as fh:
+            out.extend(fh.read().splitlines())
+    return out
+
+
+def test_programs(spark, fixture_dirs, tmp_path):
+    csv_dir, json_dir = fixture_dirs
+    out = str(tmp_path)
+    w = cli.run(cli.parse_args(["channel-videos", csv_dir, out + "/v2", "--top", "2"]))
+    assert lines(w["viewStats"])[1:] == ["4\tChB\t1", "2\tChA\t2", "2\tChD\t2"]
+    w = cli.run(cli.parse_args(["category-views", csv_dir, out + "/cv", "--dictionaries", json_dir]))
+    assert lines(w["catViews"]) == ["Comedy\t160", "Entertainment\t170", "IN_29\t300", "Music\t750"]
+    w = cli.run(cli.parse_args(["category-stats", csv_dir, out + "/cs", "--dictionaries", json_dir,
+                                "--region", "US"]))
+    assert lines(w["viewStats"])[0] == "300\tMusic\t30\t3\t15\t10"
+    w = cli.run(cli.parse_args(["channel-rows", csv_dir, out + "/v1"]))
+    assert sorted(lines(w["channelRows"])) == ["ChA\t7", "ChB\t4", "ChC\t1", "ChD\t2", "channel_title\t2"]
+    w = cli.run(cli.parse_args(["correlation", csv_dir, out + "/corr"]))
+    assert len(lines(w["correlation"])) == 6

@@ -44,17 +44,22 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by the session.
+    """Return the shared checkpoint folder of the session.
 
-    ``spark.checkpoint.dir`` wins when the cluster sets it.  Only when it is
-    unset (local runs, tests) a fresh local folder is created and registered.
+    ``spark.checkpoint.dir`` (or a folder already set on the context) wins.
+    Only a local-mode session without one (tests, a laptop) gets a fresh
+    local folder; on a cluster a machine-local folder would be lost with its
+    executor, so the setting is required there.
     """
-    path = spark.sparkContext.getConf().get(CHECKPOINT_CONF, None)
+    sc = spark.sparkContext
+    path = sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if path:
         return path
+    if not sc.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
     path = spark.conf.get(LOCAL_CHECKPOINT_CONF, None)
     if not path:
         path = tempfile.mkdtemp(prefix="vidtrend-ckpt-")
         spark.conf.set(LOCAL_CHECKPOINT_CONF, path)
-        spark.sparkContext.setCheckpointDir(path)
+        sc.setCheckpointDir(path)
     return path

@@ -1,7 +1,9 @@
 """Scans and sinks: snapshot CSV (S1-S3, S9), category JSON (S4, S5),
 report TSV (S8) and the report / stage writers (S6, S7, P10)."""
 
-from vidtrend.sources.snapshots import parse_snapshot_lines, read_snapshot_lines, read_snapshots
+from vidtrend.sources.snapshots import (
+    parse_snapshot_lines, read_snapshot_lines, read_snapshots, union_snapshots,
+)
 from vidtrend.sources.categories import (
     categories_from_documents, known_regions, read_categories,
 )
@@ -9,7 +11,7 @@ from vidtrend.sources.reports import read_report
 from vidtrend.sources.sinks import to_tsv_lines, write_report, write_stage
 
 __all__ = [
-    "parse_snapshot_lines", "read_snapshot_lines", "read_snapshots",
+    "parse_snapshot_lines", "read_snapshot_lines", "read_snapshots", "union_snapshots",
     "categories_from_documents", "known_regions", "read_categories",
     "read_report", "to_tsv_lines", "write_report", "write_stage",
 ]

@@ -14,6 +14,8 @@ or long line is not flagged when only a few columns are selected downstream.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vidtrend.functions.text import java_trim, parse_int, parse_long, text_or_empty
@@ -116,3 +118,11 @@ def read_snapshots(spark: SparkSession, path: str | list[str], encoding: str = "
     ``region`` overrides the region taken from each file name."""
     lines = read_snapshot_lines(spark, path, encoding)
     return parse_snapshot_lines(lines, region=region, backslash_quotes=backslash_quotes)
+
+
+def union_snapshots(*frames: DataFrame) -> DataFrame:
+    """UNION ALL of snapshot frames loaded separately (duplicates kept;
+    de-duplication is the programs' job)."""
+    if not frames:
+        raise ValueError("no snapshot frames given")
+    return reduce(lambda a, b: a.unionByName(b), [f.select(*SNAPSHOT_COLUMNS) for f in frames])
