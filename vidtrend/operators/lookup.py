@@ -1,8 +1,9 @@
 """Category dictionary lookups.
 
-Both sides of a lookup are small only on one side: the dictionary has one row
-per (region, category).  It is broadcast after its row count has been checked
-(``bounded_broadcast``); above the bound the join stays a shuffle join.
+Only the dictionary side of a lookup is small: one row per (region,
+category).  It is broadcast after its row count has been checked
+(``within_bound`` / ``bounded_broadcast``); above the bound the join stays a
+shuffle join.
 """
 
 from __future__ import annotations
@@ -15,15 +16,18 @@ from vidtrend.schema import LABEL_SEP
 DICTIONARY_MAX_ROWS = 1_000_000
 
 
+def within_bound(df: DataFrame, max_rows: int = DICTIONARY_MAX_ROWS) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows.  Reads at most
+    ``max_rows + 1`` rows per partition and no column (a row count)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DICTIONARY_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
 
-    The check reads at most ``max_rows + 1`` rows per partition and no
-    column (a row count).  Beyond the bound Spark plans a shuffle join, and
-    adaptive execution can still switch to a broadcast at run time from the
-    measured size."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    Beyond the bound Spark plans a shuffle join, and adaptive execution can
+    still switch to a broadcast at run time from the measured size."""
+    return F.broadcast(df) if within_bound(df, max_rows) else df
 
 
 def fallback_label(region, category) -> F.Column:
@@ -56,9 +60,11 @@ def label_by_region(rows: DataFrame, categories: DataFrame) -> DataFrame:
     lookup = (categories.where(F.col("category_id").isNotNull())
               .select("region", "category_id", F.col("title").alias("_title")))
     regions = categories.select("region").distinct().withColumn("_known", F.lit(True))
+    if within_bound(categories):  # both sides are no larger than the dictionary
+        lookup, regions = F.broadcast(lookup), F.broadcast(regions)
     joined = (rows
-              .join(bounded_broadcast(regions), "region", "left")
-              .join(bounded_broadcast(lookup), ["region", "category_id"], "left"))
+              .join(regions, "region", "left")
+              .join(lookup, ["region", "category_id"], "left"))
     known = F.coalesce(F.col("_known"), F.lit(False))
     kept = joined.where(~known | F.col("category_id").isNotNull())
     label = F.when(known & F.col("_title").isNotNull(), F.col("_title")).otherwise(

@@ -37,11 +37,18 @@ def write_report(df: DataFrame, path: str, fmt: str = "tsv", header: list[str] |
     lines.write.mode(mode).text(path)
 
 
-def write_stage(df: DataFrame, path: str, mode: str = "overwrite") -> DataFrame:
+def write_stage(df: DataFrame, path: str, mode: str = "overwrite",
+                partition_by: list[str] | None = None) -> DataFrame:
     """Keep an intermediate result (e.g. the deduplicated videos) as
     parquet in a shared folder and continue from the written copy.  Several
     rankings then read it instead of recomputing it, and a lost executor
-    costs a re-read, not a recomputation from the raw files."""
-    df.write.mode(mode).parquet(path)
+    costs a re-read, not a recomputation from the raw files.
+
+    ``partition_by=["region"]`` on parsed snapshots turns a later filter on
+    the region into partition pruning."""
+    writer = df.write.mode(mode)
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
+    writer.parquet(path)
     spark: SparkSession = df.sparkSession
     return spark.read.parquet(path)
