@@ -30,3 +30,15 @@ def test_programs(spark, fixture_dirs, tmp_path):
     assert sorted(lines(w["channelRows"])) == ["ChA\t7", "ChB\t4", "ChC\t1", "ChD\t2", "channel_title\t2"]
     w = cli.run(cli.parse_args(["correlation", csv_dir, out + "/corr"]))
     assert len(lines(w["correlation"])) == 6
+
+
+def test_ingest_then_programs_on_parquet(spark, fixture_dirs, tmp_path):
+    csv_dir, json_dir = fixture_dirs
+    out = str(tmp_path)
+    w = cli.run(cli.parse_args(["ingest", csv_dir, out]))
+    assert sorted(d for d in os.listdir(w["snapshots"]) if d.startswith("region=")) == ["region=IN", "region=US"]
+    w2 = cli.run(cli.parse_args(["channel-stats", w["snapshots"], out + "/cs", "--input-format", "parquet"]))
+    assert lines(w2["viewStats"]) == ["440\tChB\t39\t4\t16", "300\tChA\t5\t5\t5", "160\tChD\t17\t3\t3"]
+    w3 = cli.run(cli.parse_args(["category-views", w["snapshots"], out + "/cv", "--input-format", "parquet",
+                                 "--dictionaries", json_dir]))
+    assert lines(w3["catViews"]) == ["Comedy\t160", "Entertainment\t170", "IN_29\t300", "Music\t750"]

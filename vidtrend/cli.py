@@ -16,9 +16,10 @@ import sys
 from vidtrend.operators.stats import stat_correlations
 from vidtrend.plans import programs as P
 from vidtrend.session import build_session
-from vidtrend.sources import read_categories, read_snapshots, write_report
+from vidtrend.schema import SNAPSHOT_COLUMNS
+from vidtrend.sources import read_categories, read_snapshots, write_report, write_stage
 
-PROGRAMS = ("channel-rows", "channel-videos", "viewed-channels", "channel-stats",
+PROGRAMS = ("ingest", "channel-rows", "channel-videos", "viewed-channels", "channel-stats",
             "category-stats", "video-stats", "category-views", "correlation")
 
 
@@ -32,6 +33,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--dictionaries", help="folder of <REGION>_category_id.json files")
     ap.add_argument("--top", type=int, help="channel-videos: keep the top K with ties")
     ap.add_argument("--encoding", default="UTF-8", help="input charset (UTF-8, ISO-8859-1, US-ASCII)")
+    ap.add_argument("--input-format", default="csv", choices=("csv", "parquet"),
+                    help="parquet: INPUT is the output of the ingest program")
     ap.add_argument("--format", default="tsv", choices=("tsv", "parquet"))
     ap.add_argument("--master", help="Spark master; leave unset under spark-submit")
     args = ap.parse_args(argv)
@@ -44,8 +47,17 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
 
 def run(args: argparse.Namespace) -> dict[str, str]:
     spark = build_session(args.master)
-    snaps = read_snapshots(spark, args.input, encoding=args.encoding)
+    if args.input_format == "parquet":
+        snaps = spark.read.parquet(args.input).select(*SNAPSHOT_COLUMNS)
+    else:
+        snaps = read_snapshots(spark, args.input, encoding=args.encoding)
     out, fmt = args.output, args.format
+    if args.program == "ingest":
+        # Parse once; every program can then read typed, region-partitioned
+        # parquet (column pruning, pushdown, region pruning) instead of CSV.
+        path = os.path.join(out, "snapshots")
+        write_stage(snaps, path, partition_by=["region"])
+        return {"snapshots": path}
     if args.program == "channel-rows":
         path = os.path.join(out, "channelRows")
         write_report(P.channel_row_count(snaps), path, fmt=fmt)
