@@ -78,6 +78,10 @@ def test_q6_video_stats(snapshots):
     assert by_comments[0] == (15, "v1", "Song, one (new)", 300, 30, 3)
 
 
+def test_title_keyed_videos(snapshots):
+    assert rows(P.title_keyed_videos(snapshots)) == [("N/A", "Broken", 70, 2, 0, 0)]
+
+
 def test_q7_category_views(snapshots, categories):
     got = dict(rows(P.category_views(snapshots, categories)))
     assert got == {"Comedy": 160, "Entertainment": 170, "IN_29": 300, "Music": 750}

@@ -7,10 +7,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from vidtrend.operators.clean import REQUIRE_STATS, valid_rows
-from vidtrend.operators.rollup import count_by, totals_by
+from vidtrend.operators.clean import REQUIRE_STATS, REQUIRE_VIEWS, valid_rows, with_identity
 from vidtrend.operators.dedup import best_channel_snapshot, channel_of_video
-from vidtrend.operators.clean import REQUIRE_VIEWS, with_identity
+from vidtrend.operators.rollup import count_by, totals_by
 from vidtrend.plans import model, programs
 from vidtrend.plans.oracle import CATEGORY_REGION, ORACLE_SQL
 from vidtrend.schema import DICTIONARY_SCHEMA, STATS
@@ -77,6 +76,7 @@ def queries() -> dict[str, Query]:
         q[f"video_stats_by_{stat}"] = (lambda st: lambda s, d: programs.video_stats(_snaps(s, d), st))(stat)
         q[f"category_stats_by_{stat}"] = (lambda st: _with_categories(
             lambda snaps, cats: programs.category_stats(snaps, cats, CATEGORY_REGION, st)))(stat)
+    q["placeholder_identity"] = lambda s, d: programs.title_keyed_videos(_snaps(s, d))
     q["category_views_all_regions"] = _with_categories(programs.category_views)
     q["zero_view_rule_drop"] = zero_view_rule_drop
     q["zero_view_rule_empty_channel"] = zero_view_rule_empty_channel

@@ -140,6 +140,7 @@ SELECT n, channel, CAST(rnk AS INTEGER) AS rank FROM (
         q[f"category_stats_by_{stat}"] = (
             f"{CATEGORY_TOTALS} SELECT {stat}, label, {_others(stat)}, category_id FROM tot "
             f"ORDER BY {stat} DESC, label, category_id")
+    q["placeholder_identity"] = f"{VIDEO_TABLE} SELECT * FROM vid WHERE video_id = 'N/A'"
     q["category_views_all_regions"] = f"""
 WITH {SNAPSHOTS_CTE},
 d5 AS (

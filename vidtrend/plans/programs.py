@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from vidtrend.operators.clean import (
     REQUIRE_NOTHING, REQUIRE_STATS, REQUIRE_STATS_AND_CATEGORY, REQUIRE_VIEWS,
@@ -24,7 +24,7 @@ from vidtrend.operators.lookup import label_by_region, label_one_region
 from vidtrend.operators.rank import rank_report, top_k, top_k_with_ties
 from vidtrend.operators.rollup import count_by, totals_by, views_by
 from vidtrend.operators.stats import stat_correlations
-from vidtrend.schema import STATS
+from vidtrend.schema import MISSING_ID, STATS
 from vidtrend.sources.sinks import write_report, write_stage
 
 # File names of the four rankings of one stats program.
@@ -106,6 +106,12 @@ def video_table(snapshots: DataFrame) -> DataFrame:
     return best_video(with_identity(valid_rows(snapshots, REQUIRE_STATS)))
 
 
+def title_keyed_videos(snapshots: DataFrame) -> DataFrame:
+    """The videos whose id was a spreadsheet error code, keyed by title
+    and printed with the id ``N/A``."""
+    return video_table(snapshots).where(F.col("video_id") == MISSING_ID)
+
+
 def video_stats(snapshots: DataFrame, stat: str = "views") -> DataFrame:
     """Q6a-d: videos ranked by one statistic."""
     return rank_report(video_table(snapshots), stat, ["video_id", "title"])

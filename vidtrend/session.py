@@ -51,7 +51,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local folder; on a cluster a machine-local folder would be lost with its
     executor, so the setting is required there.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server owns the setting
+        path = spark.conf.get(CHECKPOINT_CONF, None)
+        if not path:
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
+        return path
     path = sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if path:
         return path
