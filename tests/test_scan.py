@@ -77,6 +77,18 @@ def test_doubled_and_backslash_quotes(spark):
     assert got.title == 'say "hi", ok'
 
 
+def test_blanks_around_quoted_field(spark):
+    df = lines_df(spark, ['a,x,  "Song, one"  ,c,1,x,x,1,1,1,1,x,x,x,x,x'])
+    got = parse_snapshot_lines(df, region="XX").collect()
+    assert [(r.video_id, r.title, r.channel) for r in got] == [("a", "Song, one", "c")]
+
+
+def test_backslash_escapes(spark):
+    df = lines_df(spark, ['a,x,"back\\\\slash, \\"q\\"",c,1,x,x,1,1,1,1,x,x,x,x,x'])
+    got = parse_snapshot_lines(df, region="XX", backslash_quotes=True).first()
+    assert got.title == 'back\\slash, "q"'
+
+
 def test_multiline_quoted_field_is_dropped(spark, tmp_path):
     path = tmp_path / "GBvideos.csv"
     path.write_text('ok,x,t,c,1,x,x,1,1,1,1,x,x,x,x,x\n'

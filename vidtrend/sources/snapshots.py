@@ -24,12 +24,16 @@ from vidtrend.schema import CORRUPT_COLUMN, RAW_COLUMNS, SNAPSHOT_COLUMNS
 RAW_DDL = ", ".join(f"`{c}` STRING" for c in RAW_COLUMNS + (CORRUPT_COLUMN,))
 
 # Comma separated, double-quoted, a doubled quote is a literal quote.
+# Blanks around a quoted field are skipped, so ` "a,b" ` is one field (as in
+# the original parser); every used field is trimmed afterwards anyway.
 CSV_OPTIONS = {
     "mode": "PERMISSIVE",
     "columnNameOfCorruptRecord": CORRUPT_COLUMN,
     "sep": ",",
     "quote": '"',
     "escape": '"',
+    "ignoreLeadingWhiteSpace": "true",
+    "ignoreTrailingWhiteSpace": "true",
 }
 
 # Charsets Spark's ``decode`` accepts; the line split on "\n" is only safe
@@ -71,8 +75,13 @@ def parse_snapshot_lines(lines: DataFrame, value: str = "value",
     do not parse.
     """
     line = F.col(value)
-    if backslash_quotes:  # input written with \" instead of ""
-        line = F.regexp_replace(line, r'\\"', '""')
+    if backslash_quotes:
+        # Input written with backslash escapes: \\ is one backslash, \" is a
+        # literal quote (re-written as "").  Escaped backslashes are set aside
+        # first so that \\" stays a backslash followed by a quote.
+        line = F.replace(line, F.lit("\\\\"), F.lit("\u0000"))
+        line = F.replace(line, F.lit('\\"'), F.lit('""'))
+        line = F.replace(line, F.lit("\u0000"), F.lit("\\"))
     if region is None:
         region_col = region_from_file_name()
     elif isinstance(region, str):
