@@ -42,3 +42,16 @@ def test_ingest_then_programs_on_parquet(spark, fixture_dirs, tmp_path):
     w3 = cli.run(cli.parse_args(["category-views", w["snapshots"], out + "/cv", "--input-format", "parquet",
                                  "--dictionaries", json_dir]))
     assert lines(w3["catViews"]) == ["Comedy\t160", "Entertainment\t170", "IN_29\t300", "Music\t750"]
+
+
+def test_report_heads(spark, fixture_dirs, tmp_path):
+    csv_dir, json_dir = fixture_dirs
+    out = str(tmp_path)
+    w = cli.run(cli.parse_args(["viewed-channels", csv_dir, out + "/vc", "--top", "2"]))
+    assert lines(w["viewStats"]) == ["440\tChB\t39\t4\t16", "300\tChA\t5\t5\t5"]
+    w = cli.run(cli.parse_args(["video-stats", csv_dir, out + "/vs", "--top", "1", "--with-ties"]))
+    assert lines(w["viewStats"]) == ["300\tv1\tSong, one (new)\t30\t3\t15\t1",
+                                     "300\tv2\tShow\t5\t5\t5\t1"]
+    w = cli.run(cli.parse_args(["category-stats", csv_dir, out + "/cs", "--dictionaries", json_dir,
+                                "--region", "IN", "--top", "3", "--with-ties"]))
+    assert len(lines(w["viewStats"])) == 5   # 300, 300, then three categories tied at 80

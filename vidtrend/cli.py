@@ -31,7 +31,10 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("output", help="output folder prefix")
     ap.add_argument("--region", help="two-letter region of the dictionary (category-stats)")
     ap.add_argument("--dictionaries", help="folder of <REGION>_category_id.json files")
-    ap.add_argument("--top", type=int, help="channel-videos: keep the top K with ties")
+    ap.add_argument("--top", type=int, help="keep only the first K rows of each ranking "
+                    "(channel-videos: always with whole tie groups)")
+    ap.add_argument("--with-ties", action="store_true",
+                    help="with --top: keep whole tie groups at the cut and add a rank column")
     ap.add_argument("--encoding", default="UTF-8", help="input charset (UTF-8, ISO-8859-1, US-ASCII)")
     ap.add_argument("--input-format", default="csv", choices=("csv", "parquet"),
                     help="parquet: INPUT is the output of the ingest program")
@@ -66,19 +69,21 @@ def run(args: argparse.Namespace) -> dict[str, str]:
         return {"viewStats": P.run_channel_count(snaps, out, k=args.top, fmt=fmt)}
     if args.program == "viewed-channels":
         path = os.path.join(out, "viewStats")
-        write_report(P.most_viewed_channels(snaps), path, fmt=fmt)
+        report = P.head_of(P.most_viewed_channels(snaps), "views", ["channel"], args.top, args.with_ties)
+        write_report(report, path, fmt=fmt)
         return {"viewStats": path}
     if args.program == "channel-stats":
-        return P.run_channel_stats(snaps, out, fmt=fmt)
+        return P.run_channel_stats(snaps, out, fmt=fmt, k=args.top, with_ties=args.with_ties)
     if args.program == "video-stats":
-        return P.run_video_stats(snaps, out, fmt=fmt)
+        return P.run_video_stats(snaps, out, fmt=fmt, k=args.top, with_ties=args.with_ties)
     if args.program == "correlation":
         path = os.path.join(out, "correlation")
         write_report(stat_correlations(P.video_table(snaps)), path, fmt=fmt)
         return {"correlation": path}
     if args.program == "category-stats":
         cats = read_categories(spark, args.dictionaries, region=args.region)
-        return P.run_category_stats(snaps, cats, args.region, out, fmt=fmt)
+        return P.run_category_stats(snaps, cats, args.region, out, fmt=fmt, k=args.top,
+                                    with_ties=args.with_ties)
     cats = read_categories(spark, args.dictionaries)
     path = os.path.join(out, "catViews")
     write_report(P.category_views(snaps, cats).orderBy("label"), path, fmt=fmt)

@@ -137,33 +137,51 @@ def stat_correlation(snapshots: DataFrame, digits: int | None = None) -> DataFra
 
 # --- whole programs: stage + four written rankings (S6, S7) --------------------
 
+def head_of(report: DataFrame, stat: str, names: list[str], k: int | None = None,
+            with_ties: bool = False, extra: tuple[str, ...] = ()) -> DataFrame:
+    """Q9: the whole ranked report (``k`` None), its first ``k`` rows (O7), or
+    its top ``k`` with whole tie groups and a ``rank`` column (O6)."""
+    if k is None:
+        return report
+    if with_ties:
+        return top_k_with_ties(report, stat, k, [*names, *extra])
+    return top_k(report, stat, k, [*names, *extra])
+
+
 def write_stats_reports(totals: DataFrame, out_prefix: str, names: list[str],
                         extra: tuple[str, ...] = (), fmt: str = "tsv",
-                        stage_name: str = "Inter_2") -> dict[str, str]:
-    """Write ``totals`` once as a stage and the four rankings read from it.
+                        stage_name: str = "Inter_2", k: int | None = None,
+                        with_ties: bool = False) -> dict[str, str]:
+    """Write ``totals`` once as a stage and the four rankings read from it
+    (optionally only their heads, see ``head_of``).
     Returns ``{report name: path}``."""
     stage = write_stage(totals, os.path.join(out_prefix, stage_name))
     written = {stage_name: os.path.join(out_prefix, stage_name)}
     for stat, report in REPORT_NAMES.items():
         path = os.path.join(out_prefix, report)
-        write_report(rank_report(stage, stat, names, extra=extra), path, fmt=fmt)
+        ranked = head_of(rank_report(stage, stat, names, extra=extra), stat, names, k, with_ties, extra)
+        write_report(ranked, path, fmt=fmt)
         written[report] = path
     return written
 
 
-def run_channel_stats(snapshots: DataFrame, out_prefix: str, fmt: str = "tsv") -> dict[str, str]:
-    return write_stats_reports(channel_totals(snapshots), out_prefix, ["channel"], fmt=fmt)
+def run_channel_stats(snapshots: DataFrame, out_prefix: str, fmt: str = "tsv",
+                      k: int | None = None, with_ties: bool = False) -> dict[str, str]:
+    return write_stats_reports(channel_totals(snapshots), out_prefix, ["channel"], fmt=fmt,
+                               k=k, with_ties=with_ties)
 
 
 def run_category_stats(snapshots: DataFrame, categories: DataFrame, region: str,
-                       out_prefix: str, fmt: str = "tsv") -> dict[str, str]:
+                       out_prefix: str, fmt: str = "tsv", k: int | None = None,
+                       with_ties: bool = False) -> dict[str, str]:
     return write_stats_reports(category_totals(snapshots, categories, region), out_prefix,
-                               ["label"], extra=("category_id",), fmt=fmt)
+                               ["label"], extra=("category_id",), fmt=fmt, k=k, with_ties=with_ties)
 
 
-def run_video_stats(snapshots: DataFrame, out_prefix: str, fmt: str = "tsv") -> dict[str, str]:
+def run_video_stats(snapshots: DataFrame, out_prefix: str, fmt: str = "tsv",
+                    k: int | None = None, with_ties: bool = False) -> dict[str, str]:
     return write_stats_reports(video_table(snapshots), out_prefix, ["video_id", "title"],
-                               fmt=fmt, stage_name="Inter_1")
+                               fmt=fmt, stage_name="Inter_1", k=k, with_ties=with_ties)
 
 
 def run_channel_count(snapshots: DataFrame, out_prefix: str, k: int | None = None,
