@@ -1,0 +1,13 @@
+"""The checkpoint folder comes from the session; a local one only in local mode."""
+
+from __future__ import annotations
+
+from vidtrend.session import ensure_checkpoint_dir
+
+
+def test_checkpoint_dir_is_stable(spark):
+    first = ensure_checkpoint_dir(spark)
+    assert first and ensure_checkpoint_dir(spark) == first
+    assert spark.sparkContext.getCheckpointDir()
+    df = spark.range(5).checkpoint(eager=True)
+    assert df.count() == 5

@@ -58,9 +58,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not path:
             raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
         return path
-    path = sc.getConf().get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
+    current = sc.getCheckpointDir()
+    path = sc.getConf().get(CHECKPOINT_CONF, None)
     if path:
+        if not current:
+            sc.setCheckpointDir(path)
         return path
+    if current:
+        return current
     if not sc.master.startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
     path = spark.conf.get(LOCAL_CHECKPOINT_CONF, None)
