@@ -37,6 +37,8 @@ def test_stats_program_writes_stage_and_four_reports(spark, snapshots, tmp_path)
     written = P.run_channel_stats(snapshots, str(tmp_path))
     assert set(written) == {"Inter_2", "viewStats", "likeStats", "dislikesStats", "commentStats"}
     assert read_lines(written["likeStats"])[0] == "39\tChB\t440\t4\t16"
+    assert sorted(read_lines(written["Inter_2"])) == ["ChA\t5\t5\t5\t300", "ChB\t39\t4\t16\t440",
+                                                      "ChD\t17\t3\t3\t160"]
     schema = "views bigint, channel string, likes bigint, dislikes bigint, comments bigint"
     back = read_report(spark, written["viewStats"], schema)
     assert back.count() == 3

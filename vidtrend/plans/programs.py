@@ -155,8 +155,14 @@ def write_stats_reports(totals: DataFrame, out_prefix: str, names: list[str],
     """Write ``totals`` once as a stage and the four rankings read from it
     (optionally only their heads, see ``head_of``).
     Returns ``{report name: path}``."""
-    stage = write_stage(totals, os.path.join(out_prefix, stage_name))
-    written = {stage_name: os.path.join(out_prefix, stage_name)}
+    stage = write_stage(totals, os.path.join(out_prefix, "_stages", stage_name))
+    written = {stage_name: os.path.join(out_prefix, "_stages", stage_name)}
+    if fmt == "tsv":
+        # the stage in the original text layout: names, then likes, dislikes,
+        # comments, views (then the category id, when there is one)
+        path = os.path.join(out_prefix, stage_name)
+        write_report(stage.select(*names, "likes", "dislikes", "comments", "views", *extra), path)
+        written[stage_name] = path
     for stat, report in REPORT_NAMES.items():
         path = os.path.join(out_prefix, report)
         ranked = head_of(rank_report(stage, stat, names, extra=extra), stat, names, k, with_ties, extra)
