@@ -55,3 +55,16 @@ def test_report_heads(spark, fixture_dirs, tmp_path):
     w = cli.run(cli.parse_args(["category-stats", csv_dir, out + "/cs", "--dictionaries", json_dir,
                                 "--region", "IN", "--top", "3", "--with-ties"]))
     assert len(lines(w["viewStats"])) == 5   # 300, 300, then three categories tied at 80
+
+
+def test_save_stages(spark, fixture_dirs, tmp_path):
+    csv_dir, json_dir = fixture_dirs
+    out = str(tmp_path)
+    cli.run(cli.parse_args(["channel-videos", csv_dir, out + "/v2", "--save-stages"]))
+    assert sorted(lines(out + "/v2/Inter_2")) == ["\t1", "ChA\t2", "ChB\t4", "ChD\t2"]
+    assert len(lines(out + "/v2/Inter_1")) == 9
+    assert lines(out + "/v2/viewStats")[1:] == ["4\tChB", "2\tChA", "2\tChD", "1\t"]
+    w = cli.run(cli.parse_args(["category-views", csv_dir, out + "/cv", "--dictionaries", json_dir,
+                                "--save-stages"]))
+    assert lines(w["catViews"]) == ["Comedy\t160", "Entertainment\t170", "IN_29\t300", "Music\t750"]
+    assert "IN\t10\t300" in lines(out + "/cv/Inter_1")

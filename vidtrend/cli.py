@@ -39,6 +39,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--input-format", default="csv", choices=("csv", "parquet"),
                     help="parquet: INPUT is the output of the ingest program")
     ap.add_argument("--format", default="tsv", choices=("tsv", "parquet"))
+    ap.add_argument("--save-stages", action="store_true",
+                    help="channel-videos, category-views: also keep the intermediate stages")
     ap.add_argument("--master", help="Spark master; leave unset under spark-submit")
     args = ap.parse_args(argv)
     if args.program in ("category-stats", "category-views") and not args.dictionaries:
@@ -66,7 +68,8 @@ def run(args: argparse.Namespace) -> dict[str, str]:
         write_report(P.channel_row_count(snaps), path, fmt=fmt)
         return {"channelRows": path}
     if args.program == "channel-videos":
-        return {"viewStats": P.run_channel_count(snaps, out, k=args.top, fmt=fmt)}
+        return {"viewStats": P.run_channel_count(snaps, out, k=args.top, fmt=fmt,
+                                                 save_stages=args.save_stages)}
     if args.program == "viewed-channels":
         path = os.path.join(out, "viewStats")
         report = P.head_of(P.most_viewed_channels(snaps), "views", ["channel"], args.top, args.with_ties)
@@ -85,9 +88,7 @@ def run(args: argparse.Namespace) -> dict[str, str]:
         return P.run_category_stats(snaps, cats, args.region, out, fmt=fmt, k=args.top,
                                     with_ties=args.with_ties)
     cats = read_categories(spark, args.dictionaries)
-    path = os.path.join(out, "catViews")
-    write_report(P.category_views(snaps, cats).orderBy("label"), path, fmt=fmt)
-    return {"catViews": path}
+    return {"catViews": P.run_category_views(snaps, cats, out, fmt=fmt, save_stages=args.save_stages)}
 
 
 def main(argv: list[str] | None = None) -> int:

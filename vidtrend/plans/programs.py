@@ -123,9 +123,13 @@ def category_views(snapshots: DataFrame, categories: DataFrame) -> DataFrame:
     """Q7 (D5, J1, A5): ``(label, views)``.  Highest views per (id, title,
     region, category) - zero-view keys stay - then each row is labelled with
     its own region's dictionary *before* summing, so ids with one title merge."""
+    return views_by(label_by_region(_category_max_views(snapshots), categories), "label")
+
+
+def _category_max_views(snapshots: DataFrame) -> DataFrame:
+    """Q7 stage 1 (D5): highest views per (id, title, region, category)."""
     rows = valid_rows(snapshots, REQUIRE_VIEWS, drop_header=False)
-    best = max_views(rows, ["video_id", "title", "region", "category_raw", "category_id"])
-    return views_by(label_by_region(best, categories), "label")
+    return max_views(rows, ["video_id", "title", "region", "category_raw", "category_id"])
 
 
 # --- Q8: correlation ------------------------------------------------------------
@@ -191,14 +195,45 @@ def run_video_stats(snapshots: DataFrame, out_prefix: str, fmt: str = "tsv",
 
 
 def run_channel_count(snapshots: DataFrame, out_prefix: str, k: int | None = None,
-                      fmt: str = "tsv") -> str:
+                      fmt: str = "tsv", save_stages: bool = False) -> str:
     """Q2 as a program: the full ranking, or the top ``k`` with ties, with a
-    header line (P10)."""
+    header line (P10).  ``save_stages`` also keeps ``Inter_1`` (channel, 1 per
+    video) and ``Inter_2`` (channel, n).  Returns the ranking's path."""
+    if save_stages:
+        videos = channel_of_video(with_identity(valid_rows(snapshots, REQUIRE_VIEWS)))
+        videos = _keep_stage(videos.select("channel", F.lit(1).alias("one")), out_prefix, "Inter_1", fmt)
+        counts = _keep_stage(count_by(videos, "channel", "n"), out_prefix, "Inter_2", fmt)
+    else:
+        counts = channel_video_count(snapshots)
     path = os.path.join(out_prefix, "viewStats")
     if k is None:
-        report, header = channel_video_ranking(snapshots), ["Count", "Channel_name"]
+        report, header = rank_report(counts, "n", ["channel"], stats=["n"]), ["Count", "Channel_name"]
     else:
-        report, header = top_channels_by_video_count(snapshots, k), ["Count", "Channel_name", "Rank"]
+        report = top_k_with_ties(counts, "n", k, ["channel"]).select("n", "channel", "rank")
+        header = ["Count", "Channel_name", "Rank"]
     write_report(report, path, fmt=fmt, header=header if fmt == "tsv" else None)
     return path
 
+
+def run_category_views(snapshots: DataFrame, categories: DataFrame, out_prefix: str,
+                       fmt: str = "tsv", save_stages: bool = False) -> str:
+    """Q7 as a program: ``catViews`` (label, views) in label order.
+    ``save_stages`` also keeps ``Inter_1`` (region, category, highest views of
+    each (id, title, region, category)).  Returns the report's path."""
+    best = _category_max_views(snapshots)
+    if save_stages:
+        best = write_stage(best, os.path.join(out_prefix, "_stages", "Inter_1"))
+        if fmt == "tsv":
+            write_report(best.select("region", "category_raw", "views"), os.path.join(out_prefix, "Inter_1"))
+    path = os.path.join(out_prefix, "catViews")
+    write_report(views_by(label_by_region(best, categories), "label").orderBy("label"), path, fmt=fmt)
+    return path
+
+
+def _keep_stage(df: DataFrame, out_prefix: str, name: str, fmt: str) -> DataFrame:
+    """Write ``df`` as a parquet stage (and as TSV for a TSV run) and continue
+    from the written copy."""
+    stage = write_stage(df, os.path.join(out_prefix, "_stages", name))
+    if fmt == "tsv":
+        write_report(stage, os.path.join(out_prefix, name))
+    return stage
