@@ -17,9 +17,12 @@ DICTIONARY_MAX_ROWS = 1_000_000
 
 
 def within_bound(df: DataFrame, max_rows: int = DICTIONARY_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.  Reads at most
-    ``max_rows + 1`` rows per partition and no column (a row count)."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df`` has at most ``max_rows`` rows.
+
+    An exact row count: each task counts its own rows (no column is read) and
+    only one number per task reaches the final count.  (A ``limit(n + 1)``
+    probe would move up to n + 1 rows of every partition into one task.)"""
+    return df.count() <= max_rows
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DICTIONARY_MAX_ROWS) -> DataFrame:
