@@ -91,8 +91,10 @@ def parse_snapshot_lines(lines: DataFrame, value: str = "value",
     # A quoted field left open at the end of the line (it continues on the
     # next physical line) makes the original per-line parser come up short
     # of fields; Spark's parser would instead read to the end of the line.
-    # An odd number of quote characters is exactly that case.
-    n_quotes = F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+    # An odd number of quote characters is exactly that case.  Counted in
+    # bytes (O(1) length; the quote byte never occurs inside a multi-byte
+    # UTF-8 character).
+    n_quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
     # The parse runs inside a generator (inline of a one-element array): the
     # optimizer cannot push the validity filters below it, which would
     # otherwise inline the CSV parse into every predicate and parse each
