@@ -12,7 +12,7 @@ from vidtrend.operators.lookup import (
     bounded_broadcast, label_by_region, label_one_region,
 )
 from vidtrend.operators.rank import (
-    kth_value, rank_report, report_columns, top_k, top_k_with_ties,
+    rank_report, report_columns, top_k, top_k_with_ties,
 )
 from vidtrend.operators.rollup import count_by, totals_by, views_by
 from vidtrend.operators.stats import stat_correlations
@@ -23,6 +23,6 @@ __all__ = [
     "best_category_snapshot", "best_channel_snapshot", "best_snapshot", "best_video",
     "channel_of_video", "max_views",
     "bounded_broadcast", "label_by_region", "label_one_region",
-    "kth_value", "rank_report", "report_columns", "top_k", "top_k_with_ties",
+    "rank_report", "report_columns", "top_k", "top_k_with_ties",
     "count_by", "totals_by", "views_by", "stat_correlations",
 ]

@@ -41,26 +41,21 @@ def top_k(df: DataFrame, stat: str, k: int, names: Sequence[str]) -> DataFrame:
     return df.orderBy(*ranking_order(stat, names)).limit(k)
 
 
-def kth_value(df: DataFrame, stat: str, k: int) -> Column:
-    """Scalar subquery: the ``k``-th highest ``stat`` (counting ties), or the
-    lowest value when there are fewer than ``k`` rows."""
-    return df.select(stat).orderBy(F.col(stat).desc()).limit(k).agg(F.min(stat)).scalar()
-
-
 def top_k_with_ties(df: DataFrame, stat: str, k: int, names: Sequence[str] = (),
                     rank_col: str = "rank") -> DataFrame:
     """Every row whose ``rank()`` by ``stat`` descending is <= ``k``.
 
-    No window runs over the whole input: the k-th value comes from a
-    take-ordered subquery, the rows above it are fewer than ``k`` (so their
-    rank window is bounded), and the rows equal to it all share one rank,
-    ``1 + count(above)``.  A huge tie group at the cut is therefore filtered
-    in parallel and never funnelled through one task."""
+    No window runs over the whole input.  The first ``k`` rows (a take-ordered
+    head, k rows per task) are ranked by a window over those k rows; every row
+    ranked above the k-th value is among them with its final rank.  One scalar
+    subquery over the head gives the k-th value and the rank all rows equal to
+    it share, and those rows - however many - are filtered from the input in
+    parallel."""
     if k < 1:
         raise ValueError("k must be positive")
-    kth = kth_value(df, stat, k)
-    above = df.where(F.col(stat) > kth)
-    ranked_above = above.withColumn(rank_col, F.rank().over(Window.orderBy(F.col(stat).desc())))
-    n_above = above.agg(F.count(F.lit(1))).scalar()
-    tied = df.where(F.col(stat) == kth).withColumn(rank_col, (n_above + F.lit(1)).cast("int"))
-    return ranked_above.unionByName(tied).orderBy(F.col(rank_col), *ranking_order(stat, names))
+    head = (df.orderBy(*ranking_order(stat, names)).limit(k)
+            .withColumn(rank_col, F.rank().over(Window.orderBy(F.col(stat).desc()))))
+    cut = head.agg(F.struct(F.min(stat).alias("kth"), F.max(rank_col).alias("tie_rank"))).scalar()
+    above = head.where(F.col(stat) > cut.getField("kth"))
+    tied = df.where(F.col(stat) == cut.getField("kth")).withColumn(rank_col, cut.getField("tie_rank"))
+    return above.unionByName(tied).orderBy(F.col(rank_col), *ranking_order(stat, names))
