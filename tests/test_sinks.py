@@ -51,3 +51,17 @@ def test_category_and_video_programs(spark, snapshots, categories, tmp_path):
     assert read_lines(vid["viewStats"])[0] == "300\tv1\tSong, one (new)\t30\t3\t15"
     top = P.run_channel_count(snapshots, str(tmp_path / "cnt"), k=2)
     assert read_lines(top) == ["Count\tChannel_name\tRank", "4\tChB\t1", "2\tChA\t2", "2\tChD\t2"]
+
+
+def test_read_report_drops_lines_that_do_not_fit(spark, tmp_path):
+    path = tmp_path / "r"
+    path.mkdir()
+    (path / "part-00000").write_text("Count\tChannel_name\n5\tChA\n7\n3\tChB\textra\n\n2\tChC\n")
+    got = sorted(tuple(r) for r in read_report(spark, str(path), "n bigint, channel string").collect())
+    assert got == [(2, "ChC"), (5, "ChA")]
+
+
+def test_parquet_report(spark, snapshots, tmp_path):
+    path = str(tmp_path / "p")
+    write_report(P.channel_stats(snapshots, "views"), path, fmt="parquet")
+    assert spark.read.parquet(path).count() == 3

@@ -36,6 +36,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--with-ties", action="store_true",
                     help="with --top: keep whole tie groups at the cut and add a rank column")
     ap.add_argument("--encoding", default="UTF-8", help="input charset (UTF-8, ISO-8859-1, US-ASCII)")
+    ap.add_argument("--backslash-quotes", action="store_true",
+                    help="input escapes quotes as \\\" (and backslashes as \\\\) instead of doubling them")
     ap.add_argument("--input-format", default="csv", choices=("csv", "parquet"),
                     help="parquet: INPUT is the output of the ingest program")
     ap.add_argument("--format", default="tsv", choices=("tsv", "parquet"))
@@ -55,7 +57,8 @@ def run(args: argparse.Namespace) -> dict[str, str]:
     if args.input_format == "parquet":
         snaps = spark.read.parquet(args.input).select(*SNAPSHOT_COLUMNS)
     else:
-        snaps = read_snapshots(spark, args.input, encoding=args.encoding)
+        snaps = read_snapshots(spark, args.input, encoding=args.encoding,
+                               backslash_quotes=args.backslash_quotes)
     out, fmt = args.output, args.format
     if args.program == "ingest":
         # Parse once; every program can then read typed, region-partitioned
