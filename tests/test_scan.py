@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from vidtrend.operators.clean import REQUIRE_STATS, REQUIRE_VIEWS, valid_rows, with_identity
 from vidtrend.sources import (
     categories_from_documents, parse_snapshot_lines, read_categories, read_snapshots,
+    union_snapshots,
 )
 from vidtrend.schema import SNAPSHOT_COLUMNS, TRIM_CHARS
 
@@ -129,3 +130,10 @@ def test_dictionary_last_item_wins_and_empty(spark):
         "region string, items array<struct<id:string, snippet:struct<title:string>>>")
     got = sorted(categories_from_documents(docs).collect(), key=lambda r: (r.region, r.category_id or 0))
     assert [tuple(r) for r in got] == [("AA", 1, "second"), ("AA", 2, "two"), ("BB", None, None)]
+
+
+def test_union_of_regional_frames_equals_folder_scan(spark, fixture_dirs, snapshots):
+    csv_dir = fixture_dirs[0]
+    parts = [read_snapshots(spark, os.path.join(csv_dir, f"{r}videos.csv")) for r in ("IN", "US")]
+    got = sorted(map(tuple, union_snapshots(*parts).collect()), key=repr)
+    assert got == sorted(map(tuple, snapshots.collect()), key=repr)
