@@ -1,7 +1,8 @@
 """Command-line programs: one sub-command per original program.
 
-    spark-submit vidtrend/cli.py <program> INPUT OUTPUT [options]
-    python -m vidtrend <program> INPUT OUTPUT [options]
+    python -m vidtrend <program> INPUT OUTPUT [options]            (local)
+    zip -r vidtrend.zip vidtrend                                   (cluster)
+    spark-submit --py-files vidtrend.zip vidtrend/cli.py <program> INPUT OUTPUT [options]
 
 INPUT is a snapshot CSV file, a folder of regional files or a glob; OUTPUT
 is a folder prefix under which the reports (TSV by default) are written.
