@@ -36,8 +36,8 @@ def rank_report(df: DataFrame, stat: str, names: Sequence[str], stats: Sequence[
 
 
 def top_k(df: DataFrame, stat: str, k: int, names: Sequence[str]) -> DataFrame:
-    """The first ``k`` rows of a ranking (each task keeps its own best k,
-    the driver merges k rows per task)."""
+    """The first ``k`` rows of a ranking (each task keeps its own best k;
+    one final merge sees only k rows per task)."""
     return df.orderBy(*ranking_order(stat, names)).limit(k)
 
 
