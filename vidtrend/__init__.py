@@ -5,5 +5,11 @@ own operators; see README.md for the operator map.
 """
 
 from vidtrend.session import build_session, ensure_checkpoint_dir
+from vidtrend.sources import read_categories, read_report, read_snapshots, write_report
+from vidtrend.plans import programs
 
-__all__ = ["build_session", "ensure_checkpoint_dir"]
+__all__ = [
+    "build_session", "ensure_checkpoint_dir",
+    "read_categories", "read_report", "read_snapshots", "write_report",
+    "programs",
+]
