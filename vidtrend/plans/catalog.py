@@ -44,6 +44,9 @@ def category_json_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     cats = model.categories(_snaps(spark, sf_dir), materialize=False)
     item = F.struct(F.col("category_id").cast("string").alias("id"),
                     F.struct(F.col("title").alias("title")).alias("snippet"))
+    # One document per region, as on disk: a group holds one item per
+    # category of that region (the category domain, tens of ids), never rows
+    # of the snapshots themselves.
     docs = (cats.groupBy("region")
             .agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("json")))
     parsed = docs.select("region", F.from_json("json", DICTIONARY_SCHEMA).alias("doc"))
