@@ -17,7 +17,7 @@ import sys
 from vidtrend.operators.stats import stat_correlations
 from vidtrend.plans import programs as P
 from vidtrend.session import build_session
-from vidtrend.schema import SNAPSHOT_COLUMNS
+from vidtrend.schema import CATEGORY_VIEWS_REPORT, REPORT_NAMES, SNAPSHOT_COLUMNS
 from vidtrend.sources import read_categories, read_snapshots, write_report, write_stage
 
 PROGRAMS = ("ingest", "channel-rows", "channel-videos", "viewed-channels", "channel-stats",
@@ -72,13 +72,13 @@ def run(args: argparse.Namespace) -> dict[str, str]:
         write_report(P.channel_row_count(snaps), path, fmt=fmt)
         return {"channelRows": path}
     if args.program == "channel-videos":
-        return {"viewStats": P.run_channel_count(snaps, out, k=args.top, fmt=fmt,
+        return {REPORT_NAMES["views"]: P.run_channel_count(snaps, out, k=args.top, fmt=fmt,
                                                  save_stages=args.save_stages)}
     if args.program == "viewed-channels":
-        path = os.path.join(out, "viewStats")
+        path = os.path.join(out, REPORT_NAMES["views"])
         report = P.head_of(P.most_viewed_channels(snaps), "views", ["channel"], args.top, args.with_ties)
         write_report(report, path, fmt=fmt)
-        return {"viewStats": path}
+        return {REPORT_NAMES["views"]: path}
     if args.program == "channel-stats":
         return P.run_channel_stats(snaps, out, fmt=fmt, k=args.top, with_ties=args.with_ties)
     if args.program == "video-stats":
@@ -92,7 +92,7 @@ def run(args: argparse.Namespace) -> dict[str, str]:
         return P.run_category_stats(snaps, cats, args.region, out, fmt=fmt, k=args.top,
                                     with_ties=args.with_ties)
     cats = read_categories(spark, args.dictionaries)
-    return {"catViews": P.run_category_views(snaps, cats, out, fmt=fmt, save_stages=args.save_stages)}
+    return {CATEGORY_VIEWS_REPORT: P.run_category_views(snaps, cats, out, fmt=fmt, save_stages=args.save_stages)}
 
 
 def main(argv: list[str] | None = None) -> int:

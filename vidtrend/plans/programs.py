@@ -24,12 +24,11 @@ from vidtrend.operators.lookup import label_by_region, label_one_region
 from vidtrend.operators.rank import rank_report, top_k, top_k_with_ties
 from vidtrend.operators.rollup import count_by, totals_by, views_by
 from vidtrend.operators.stats import stat_correlations
-from vidtrend.schema import MISSING_ID, STATS
+from vidtrend.schema import (
+    CATEGORY_VIEWS_REPORT, COUNT_HEADER, MISSING_ID, REPORT_NAMES, STAGE_1, STAGE_2, STATS,
+)
 from vidtrend.sources.sinks import write_report, write_stage
 
-# File names of the four rankings of one stats program.
-REPORT_NAMES = {"views": "viewStats", "likes": "likeStats",
-                "dislikes": "dislikesStats", "comments": "commentStats"}
 
 
 # --- Q1 / Q2: channels by number of trending rows / videos ----------------
@@ -154,7 +153,7 @@ def head_of(report: DataFrame, stat: str, names: list[str], k: int | None = None
 
 def write_stats_reports(totals: DataFrame, out_prefix: str, names: list[str],
                         extra: tuple[str, ...] = (), fmt: str = "tsv",
-                        stage_name: str = "Inter_2", k: int | None = None,
+                        stage_name: str = STAGE_2, k: int | None = None,
                         with_ties: bool = False) -> dict[str, str]:
     """Write ``totals`` once as a stage and the four rankings read from it
     (optionally only their heads, see ``head_of``).
@@ -191,7 +190,7 @@ def run_category_stats(snapshots: DataFrame, categories: DataFrame, region: str,
 def run_video_stats(snapshots: DataFrame, out_prefix: str, fmt: str = "tsv",
                     k: int | None = None, with_ties: bool = False) -> dict[str, str]:
     return write_stats_reports(video_table(snapshots), out_prefix, ["video_id", "title"],
-                               fmt=fmt, stage_name="Inter_1", k=k, with_ties=with_ties)
+                               fmt=fmt, stage_name=STAGE_1, k=k, with_ties=with_ties)
 
 
 def run_channel_count(snapshots: DataFrame, out_prefix: str, k: int | None = None,
@@ -201,16 +200,16 @@ def run_channel_count(snapshots: DataFrame, out_prefix: str, k: int | None = Non
     video) and ``Inter_2`` (channel, n).  Returns the ranking's path."""
     if save_stages:
         videos = channel_of_video(with_identity(valid_rows(snapshots, REQUIRE_VIEWS)))
-        videos = _keep_stage(videos.select("channel", F.lit(1).alias("one")), out_prefix, "Inter_1", fmt)
-        counts = _keep_stage(count_by(videos, "channel", "n"), out_prefix, "Inter_2", fmt)
+        videos = _keep_stage(videos.select("channel", F.lit(1).alias("one")), out_prefix, STAGE_1, fmt)
+        counts = _keep_stage(count_by(videos, "channel", "n"), out_prefix, STAGE_2, fmt)
     else:
         counts = channel_video_count(snapshots)
-    path = os.path.join(out_prefix, "viewStats")
+    path = os.path.join(out_prefix, REPORT_NAMES["views"])
     if k is None:
-        report, header = rank_report(counts, "n", ["channel"], stats=["n"]), ["Count", "Channel_name"]
+        report, header = rank_report(counts, "n", ["channel"], stats=["n"]), list(COUNT_HEADER)
     else:
         report = top_k_with_ties(counts, "n", k, ["channel"]).select("n", "channel", "rank")
-        header = ["Count", "Channel_name", "Rank"]
+        header = [*COUNT_HEADER, "Rank"]
     write_report(report, path, fmt=fmt, header=header if fmt == "tsv" else None)
     return path
 
@@ -222,10 +221,10 @@ def run_category_views(snapshots: DataFrame, categories: DataFrame, out_prefix:
     each (id, title, region, category)).  Returns the report's path."""
     best = _category_max_views(snapshots)
     if save_stages:
-        best = write_stage(best, os.path.join(out_prefix, "_stages", "Inter_1"))
+        best = write_stage(best, os.path.join(out_prefix, "_stages", STAGE_1))
         if fmt == "tsv":
-            write_report(best.select("region", "category_raw", "views"), os.path.join(out_prefix, "Inter_1"))
-    path = os.path.join(out_prefix, "catViews")
+            write_report(best.select("region", "category_raw", "views"), os.path.join(out_prefix, STAGE_1))
+    path = os.path.join(out_prefix, CATEGORY_VIEWS_REPORT)
     write_report(views_by(label_by_region(best, categories), "label").orderBy("label"), path, fmt=fmt)
     return path
 

@@ -24,6 +24,14 @@ TRIM_CHARS = "".join(chr(c) for c in range(0x00, 0x21))
 LABEL_SEP = "_"
 # The four statistics, in input-column order.
 STATS = ("views", "likes", "dislikes", "comments")
+# Output folder of the ranking by each statistic.
+REPORT_NAMES = {"views": "viewStats", "likes": "likeStats",
+                "dislikes": "dislikesStats", "comments": "commentStats"}
+# Output folders of the first and second intermediate stage and of the
+# category-views report.
+STAGE_1, STAGE_2, CATEGORY_VIEWS_REPORT = "Inter_1", "Inter_2", "catViews"
+# Header words of the channel-count report.
+COUNT_HEADER = ("Count", "Channel_name")
 # --------------------------------------------------------------------------
 
 # Positions 0..15 of a snapshot line.  Only 0, 2, 3, 4, 7, 8, 9, 10 are read.
