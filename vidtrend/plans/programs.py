@@ -13,6 +13,7 @@ import os
 
 from pyspark.sql import DataFrame, functions as F
 
+from vidtrend.functions.text import parse_int
 from vidtrend.operators.clean import (
     REQUIRE_NOTHING, REQUIRE_STATS, REQUIRE_STATS_AND_CATEGORY, REQUIRE_VIEWS,
     valid_rows, with_identity,
@@ -128,7 +129,8 @@ def category_views(snapshots: DataFrame, categories: DataFrame) -> DataFrame:
 def _category_max_views(snapshots: DataFrame) -> DataFrame:
     """Q7 stage 1 (D5): highest views per (id, title, region, category)."""
     rows = valid_rows(snapshots, REQUIRE_VIEWS, drop_header=False)
-    return max_views(rows, ["video_id", "title", "region", "category_raw", "category_id"])
+    best = max_views(rows, ["video_id", "title", "region", "category_raw"])
+    return best.withColumn("category_id", parse_int("category_raw"))
 
 
 # --- Q8: correlation ------------------------------------------------------------

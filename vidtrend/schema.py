@@ -40,6 +40,7 @@ RAW_COLUMNS = (
     "views_raw", "likes_raw", "dislikes_raw", "comments_raw",
     "col_11", "col_12", "col_13", "col_14", "col_15",
 )
+assert len(RAW_COLUMNS) == SNAPSHOT_ARITY
 CORRUPT_COLUMN = "_bad"
 
 RAW_SCHEMA = T.StructType(
