@@ -65,3 +65,16 @@ def test_parquet_report(spark, snapshots, tmp_path):
     path = str(tmp_path / "p")
     write_report(P.channel_stats(snapshots, "views"), path, fmt="parquet")
     assert spark.read.parquet(path).count() == 3
+
+
+def test_header_first_and_order_kept_across_part_files(spark, tmp_path):
+    from pyspark.sql import functions as F
+    df = (spark.range(2000).select((F.col("id") * 7 % 2000).alias("n"), F.col("id").cast("string").alias("name"))
+          .repartitionByRange(4, F.col("n").desc()).sortWithinPartitions(F.col("n").desc()))
+    path = str(tmp_path / "multi")
+    write_report(df, path, header=["n", "name"])
+    assert len(glob.glob(os.path.join(path, "part-*"))) >= 4
+    out = read_lines(path)
+    assert out[0] == "n\tname"
+    values = [int(x.split("\t")[0]) for x in out[1:]]
+    assert values == sorted(values, reverse=True) and len(values) == 2000
