@@ -21,4 +21,7 @@ def read_report(spark: SparkSession, path: str | list[str], schema: T.StructType
     # Parse inside a generator so the filter below does not re-parse (see
     # ``sources.snapshots``).
     parsed = lines.select(F.inline(F.array(F.from_csv("value", ddl, options))))
-    return parsed.where(F.col(CORRUPT_COLUMN).isNull()).select(*[f.name for f in schema.fields])
+    # an empty text field is '' in the data model, not null
+    cols = [F.coalesce(F.col(f.name), F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType)
+            else F.col(f.name) for f in schema.fields]
+    return parsed.where(F.col(CORRUPT_COLUMN).isNull()).select(*cols)
