@@ -17,7 +17,7 @@ import sys
 from vidtrend.operators.stats import stat_correlations
 from vidtrend.plans import programs as P
 from vidtrend.session import build_session
-from vidtrend.schema import CATEGORY_VIEWS_REPORT, REPORT_NAMES, SNAPSHOT_COLUMNS
+from vidtrend.schema import CATEGORY_VIEWS_REPORT, REPORT_NAMES, SNAPSHOT_COLUMNS, SNAPSHOT_SCHEMA
 from vidtrend.sources import read_categories, read_snapshots, write_report, write_stage
 
 PROGRAMS = ("ingest", "channel-rows", "channel-videos", "viewed-channels", "channel-stats",
@@ -56,7 +56,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
 def run(args: argparse.Namespace) -> dict[str, str]:
     spark = build_session(args.master)
     if args.input_format == "parquet":
-        snaps = spark.read.parquet(args.input).select(*SNAPSHOT_COLUMNS)
+        # declared schema: the region partition folders stay text
+        snaps = spark.read.schema(SNAPSHOT_SCHEMA).parquet(args.input).select(*SNAPSHOT_COLUMNS)
     else:
         snaps = read_snapshots(spark, args.input, encoding=args.encoding,
                                backslash_quotes=args.backslash_quotes)
