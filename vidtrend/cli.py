@@ -70,7 +70,7 @@ def run(args: argparse.Namespace) -> dict[str, str]:
         return {"snapshots": path}
     if args.program == "channel-rows":
         path = os.path.join(out, "channelRows")
-        write_report(P.channel_row_count(snaps), path, fmt=fmt)
+        write_report(P.channel_row_count(snaps).orderBy("channel"), path, fmt=fmt)  # key order
         return {"channelRows": path}
     if args.program == "channel-videos":
         return {REPORT_NAMES["views"]: P.run_channel_count(snaps, out, k=args.top, fmt=fmt,
