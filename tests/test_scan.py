@@ -137,3 +137,17 @@ def test_union_of_regional_frames_equals_folder_scan(spark, fixture_dirs, snapsh
     parts = [read_snapshots(spark, os.path.join(csv_dir, f"{r}videos.csv")) for r in ("IN", "US")]
     got = sorted(map(tuple, union_snapshots(*parts).collect()), key=repr)
     assert got == sorted(map(tuple, snapshots.collect()), key=repr)
+
+
+def test_label_by_region_rules(spark):
+    from vidtrend.operators.lookup import label_by_region
+    docs = spark.createDataFrame(
+        [("AA", [("1", ("One",))]), ("BB", [])],
+        "region string, items array<struct<id:string, snippet:struct<title:string>>>")
+    cats = categories_from_documents(docs)
+    rows = spark.createDataFrame(
+        [("AA", "1", 1, 10), ("AA", "2", 2, 20), ("AA", "x", None, 30),
+         ("BB", "5", 5, 40), ("BB", "x", None, 50), ("ZZ", "x", None, 60)],
+        "region string, category_raw string, category_id int, views bigint")
+    got = sorted((r.label, r.views) for r in label_by_region(rows, cats).collect())
+    assert got == [("AA_2", 20), ("BB_5", 40), ("One", 10), ("ZZ_x", 60)]
