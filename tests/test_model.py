@@ -28,3 +28,13 @@ def test_dictionary_leaves_fallbacks(spark):
     assert cats.groupBy("region", "category_id").count().where("count > 1").count() == 0
     titles = {r.title for r in cats.select("title").distinct().collect()}
     assert len(titles) <= model.TITLE_BUCKETS  # ids share titles
+
+
+def test_dimensions_beyond_the_bound_are_not_broadcast(spark, monkeypatch):
+    from vidtrend.plans import programs as P
+    want = sorted(map(tuple, P.channel_totals(model.snapshots(spark, SF_DIR)).collect()))
+    monkeypatch.setattr(model, "DIMENSION_MAX_ROWS", 100)  # part (200) and supplier (10 at sf0.001)
+    df = P.channel_totals(model.snapshots(spark, SF_DIR))
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan
+    assert sorted(map(tuple, df.collect())) == want

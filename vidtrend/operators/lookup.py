@@ -8,6 +8,8 @@ shuffle join.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from vidtrend.schema import LABEL_SEP
@@ -25,6 +27,16 @@ def within_bound(df: DataFrame, max_rows: int = DICTIONARY_MAX_ROWS) -> bool:
     return df.count() <= max_rows
 
 
+def rows_within_bound(frames: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
+    """``within_bound`` for several frames in one job: each frame is counted
+    by its own partial + final aggregate and only one row per frame (name,
+    count) reaches the driver."""
+    counts = reduce(lambda a, b: a.unionByName(b), [
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+        for name, df in frames.items()])
+    return {r["name"]: r["n"] <= max_rows for r in counts.collect()}
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = DICTIONARY_MAX_ROWS) -> DataFrame:
     """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
 

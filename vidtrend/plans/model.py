@@ -23,9 +23,14 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from vidtrend.operators.lookup import rows_within_bound
 from vidtrend.schema import PLACEHOLDER_IDS, SNAPSHOT_COLUMNS
 from vidtrend.session import ensure_checkpoint_dir
 
+# Dimension tables up to this many rows (a few tens of MB of the projected
+# columns) are broadcast; larger ones are joined by sort-merge.
+DIMENSION_MAX_ROWS = 2_000_000
+
 # Model parameters (also used by the SQL oracle).
 NAME_LINE, VALUE_LINE = 7, 6          # line numbers carrying the error codes
 UNLABELLED_CATEGORY = 29              # no dictionary title anywhere
@@ -68,17 +73,18 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = table(spark, sf_dir, "region").select(
         "r_regionkey", F.upper(F.substring("r_name", 1, 2)).alias("region"))
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    # Every dimension joins the fact rows directly, so each build side is a
-    # plain scan whose size estimate the planner compares with
-    # spark.sql.autoBroadcastJoinThreshold (adaptive execution re-checks with
-    # measured sizes).  No broadcast hint: at small scale factors all four
-    # are broadcast; at 100 TB part and supplier exceed the threshold and
-    # become shuffle joins, nation and region (25 and 5 rows) stay broadcast.
+    # Every dimension joins the fact rows directly.  One job counts all four
+    # exactly; a dimension within DIMENSION_MAX_ROWS is broadcast, a larger
+    # one is joined by sort-merge (at 100 TB: part and supplier), whatever the
+    # planner's file-size estimate would suggest.
+    dims = {"part": part, "supplier": supplier, "nation": nation, "region": region}
+    small = rows_within_bound(dims, DIMENSION_MAX_ROWS)
+    side = {k: F.broadcast(v) if small[k] else v.hint("merge") for k, v in dims.items()}
     rows = (li
-            .join(part, F.col("l_partkey") == F.col("p_partkey"))
-            .join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-            .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
+            .join(side["part"], F.col("l_partkey") == F.col("p_partkey"))
+            .join(side["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
+            .join(side["nation"], F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(side["region"], F.col("n_regionkey") == F.col("r_regionkey")))
     name_code, value_code = PLACEHOLDER_IDS
     video_id = (F.when(F.col("l_linenumber") == NAME_LINE, F.lit(name_code))
                 .when(F.col("l_linenumber") == VALUE_LINE, F.lit(value_code))
