@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidtrend.llm import decontaminate, linededup, packing, quality, simhash
-from vidtrend.llm.common import crc_mod, table
+from vidtrend.llm import ann, decontaminate, hmm, html, license_scan, linededup, packing, quality, simhash, warc
+from vidtrend.llm.common import crc_mod, shared_path, table
 
 END_ID = 2
 
@@ -31,6 +31,23 @@ def packed(documents: DataFrame) -> DataFrame:
                          "sequence_id", "offset", "source")
 
 
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return license_scan.scan(documents, license_scan.fit(documents))
+
+
+def op3_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    queries = vectors.where(F.col("vec_id") % 20 == 0).withColumnRenamed("vec_id", "query_id")
+    return ann.search(vectors, queries, k=20)
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_path(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages"), path, min_payload=100)
+    return warc.read(spark, path)
+
+
 def quality_model(documents: DataFrame, labels: DataFrame) -> quality.QualityModel:
     return quality.fit(documents, labels, lambda doc_id: crc_mod(doc_id, 4) != 2)
 
@@ -51,6 +68,16 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op8_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", (crc_mod(F.col("doc_id"), 7) == 2).alias("held_out"))
+    return hmm.score(documents)
+
+
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html.extract(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
     return (linededup.drop_frequent_lines(documents, min_docs=10, min_chars=1)
@@ -75,15 +102,35 @@ FROM marked GROUP BY doc_id
 """
 
 
+#: What the archives must say of every page; ids are unique here.
+OP4_SQL = """
+WITH own AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest FROM pages
+), first AS (
+  SELECT payload_digest, min(page_id) AS first_id FROM own WHERE payload_bytes >= 100 GROUP BY payload_digest
+)
+SELECT page_id, payload_bytes, own.payload_digest,
+       CASE WHEN page_id > first_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first_id THEN first_id END AS refers_to
+FROM own LEFT JOIN first ON own.payload_digest = first.payload_digest AND payload_bytes >= 100
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_packing": op1_packing,
+        "op2_license_scan": op2_license_scan,
+        "op3_nearest": op3_nearest,
+        "op4_warc": op4_warc,
         "op5_quality": op5_quality,
         "op6_decontamination": op6_decontamination,
         "op7_simhash": op7_simhash,
+        "op8_language_model": op8_language_model,
+        "op9_main_text": op9_main_text,
         "op10_line_dedup": op10_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_line_dedup": OP10_SQL}
+    return {"op4_warc": OP4_SQL, "op10_line_dedup": OP10_SQL}
