@@ -74,7 +74,7 @@ def test_doubled_and_backslash_quotes(spark):
     doubled = lines_df(spark, ['a,x,"say ""hi""",c,1,x,x,1,1,1,1,x,x,x,x,x'])
     assert parse_snapshot_lines(doubled, region="XX").first().title == 'say "hi"'
     slashed = lines_df(spark, ['a,x,"say \\"hi\\", ok",c,1,x,x,1,1,1,1,x,x,x,x,x'])
-    got = parse_snapshot_lines(slashed, region="XX", backslash_quotes=True).first()
+    got = parse_snapshot_lines(slashed, region="XX").first()
     assert got.title == 'say "hi", ok'
 
 
@@ -86,10 +86,38 @@ def test_blanks_around_quoted_field(spark):
 
 def test_backslash_escapes(spark):
     df = lines_df(spark, ['a,x,"back\\\\slash, \\"q\\"",c,1,x,x,1,1,1,1,x,x,x,x,x'])
-    got = parse_snapshot_lines(df, region="XX", backslash_quotes=True).first()
+    got = parse_snapshot_lines(df, region="XX").first()
     assert got.title == 'back\\slash, "q"'
 
 
+TAIL = ",c,1,x,x,7,1,1,1,x,x,x,x,x"
+
+
+def parsed(spark, line, **how):
+    return [(r.video_id, r.title, r.channel, r.views) for r in
+            parse_snapshot_lines(lines_df(spark, [line]), region="XX", **how).collect()]
+
+
+def test_lines_of_any_width(spark):
+    wide = ",".join(["x"] * 30_000)
+    assert parsed(spark, "a,x,t" + TAIL + "," + wide) == []
+    assert parsed(spark, f'a,x,"{wide}"' + TAIL) == [("a", wide, "c", 7)]
+
+
+def test_backslash_and_stray_quotes(spark):
+    assert parsed(spark, 'a,x,"a\\"b"' + TAIL) == [("a", 'a"b', "c", 7)]
+    assert parsed(spark, 'a,x,"a\\"' + TAIL) == []                       # the field stays open
+    assert parsed(spark, 'a,x,a "b, c" d' + TAIL) == [("a", 'a "b, c" d', "c", 7)]
+    assert parsed(spark, 'a,x,AC\\DC' + TAIL) == [("a", "ACDC", "c", 7)]
+    assert parsed(spark, 'a,x,AC\\DC' + TAIL, escape="double") == [("a", "AC\\DC", "c", 7)]
+    assert parsed(spark, 'a,x,"a\\"' + TAIL, escape="double") == [("a", "a\\", "c", 7)]
+
+
+def test_numbers_are_signed_digits_only(spark):
+    got = parse_snapshot_lines(lines_df(spark, ["a,x,t,c,1\x7f,x,x,5\x7f,+6,1.0,\x1f7\x00,x,x,x,x,x"]), region="XX").first()
+    assert (got.category_id, got.views, got.likes, got.dislikes, got.comments) == (None, None, 6, None, 7)
+
+
 def test_multiline_quoted_field_is_dropped(spark, tmp_path):
     path = tmp_path / "GBvideos.csv"
     path.write_text('ok,x,t,c,1,x,x,1,1,1,1,x,x,x,x,x\n'

@@ -55,6 +55,6 @@ def test_round_trip(spark, rows):
     if not lines:
         return
     df = spark.createDataFrame(lines, "value string")
-    got = parse_snapshot_lines(df, region="ZZ").select(
+    got = parse_snapshot_lines(df, region="ZZ", escape="double").select(
         "video_id", "title", "channel", "category_raw", "views", "likes", "dislikes", "comments").collect()
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)

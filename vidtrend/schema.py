@@ -41,13 +41,6 @@ RAW_COLUMNS = (
     "col_11", "col_12", "col_13", "col_14", "col_15",
 )
 assert len(RAW_COLUMNS) == SNAPSHOT_ARITY
-CORRUPT_COLUMN = "_bad"
-
-RAW_SCHEMA = T.StructType(
-    [T.StructField(c, T.StringType(), True) for c in RAW_COLUMNS]
-    + [T.StructField(CORRUPT_COLUMN, T.StringType(), True)]
-)
-
 # A parsed, trimmed snapshot.  Counts that do not parse are null; which of
 # them must parse is decided per program by ``operators.clean.valid_rows``.
 SNAPSHOT_SCHEMA = T.StructType([
@@ -73,9 +66,3 @@ DICTIONARY_SCHEMA = T.StructType([
         ]), True),
     ])), True),
 ])
-
-CATEGORY_SCHEMA = T.StructType([
-    T.StructField("region", T.StringType(), True),
-    T.StructField("category_id", T.IntegerType(), True),
-    T.StructField("title", T.StringType(), True),
-])

@@ -2,16 +2,16 @@
 report TSV (S8) and the report / stage writers (S6, S7, P10)."""
 
 from vidtrend.sources.snapshots import (
-    parse_snapshot_lines, read_snapshot_lines, read_snapshots, union_snapshots,
+    decode_lines, parse_snapshot_lines, read_snapshot_lines, read_snapshots, union_snapshots,
 )
 from vidtrend.sources.categories import (
-    categories_from_documents, known_regions, read_categories,
+    categories_from_documents, read_categories,
 )
-from vidtrend.sources.reports import read_report
+from vidtrend.sources.reports import parse_report_lines, read_report
 from vidtrend.sources.sinks import to_tsv_lines, write_report, write_stage
 
 __all__ = [
-    "parse_snapshot_lines", "read_snapshot_lines", "read_snapshots", "union_snapshots",
-    "categories_from_documents", "known_regions", "read_categories",
-    "read_report", "to_tsv_lines", "write_report", "write_stage",
+    "decode_lines", "parse_snapshot_lines", "read_snapshot_lines", "read_snapshots", "union_snapshots",
+    "categories_from_documents", "read_categories",
+    "parse_report_lines", "read_report", "to_tsv_lines", "write_report", "write_stage",
 ]

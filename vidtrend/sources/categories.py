@@ -4,7 +4,7 @@ One JSON document per region, ``<REGION>_category_id.json``:
 ``{"items": [{"id": "10", "snippet": {"title": "Music"}}, ...]}``.
 The result is the lookup table ``(region, category_id, title)``.  A region
 whose document has no usable item keeps one row with a null id, so that the
-region still counts as known (see ``known_regions``).
+region still counts as known.
 """
 
 from __future__ import annotations
@@ -44,8 +44,3 @@ def read_categories(spark: SparkSession, path: str | list[str],
     if region is not None:
         docs = docs.where(F.col("region") == region)
     return categories_from_documents(docs)
-
-
-def known_regions(categories: DataFrame) -> DataFrame:
-    """Regions that have a dictionary."""
-    return categories.select("region").distinct()

@@ -1,15 +1,17 @@
 """Snapshot CSV scan (S1-S3, S9) with the line rules P1, P3, P4, P7.
 
 The file is read line by line (``spark.read.text``: splittable, one row per
-line, file name in ``_metadata``) and each line is parsed with ``from_csv``
-into 16 text fields plus a corrupt-record column.  A line whose field count is
-not exactly 16 sets the corrupt column and is dropped, and so is a line with
-an unterminated quoted field.  Parsing per line on
-purpose: a quoted field that spans lines is not joined, so both halves fail
-the field count, as in the original programs.
-
-``spark.read.csv`` is *not* used: with CSV column pruning (the default) a short
-or long line is not flagged when only a few columns are selected downstream.
+line, file name in ``_metadata``) and each line is cut into fields with array
+functions: at its quotes first, then at the commas outside quotes.  A line
+whose field count is not exactly 16 is dropped, whatever its length, and so is
+a line with an unterminated quoted field.  Parsing per line on purpose: a
+quoted field that spans lines is not joined, so both halves fail the field
+count, as in the original programs.
+
+Spark's CSV parser is *not* used.  ``spark.read.csv`` with column pruning (the
+default) does not flag a short or long line when few columns are selected;
+``from_csv`` fails the job on a line with more fields than its limit, and
+splits at commas inside a quoted part of an unquoted field.
 """
 
 from __future__ import annotations
@@ -18,23 +20,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from vidtrend.functions.text import java_trim, parse_int, parse_long, text_or_empty
-from vidtrend.schema import CORRUPT_COLUMN, RAW_COLUMNS, SNAPSHOT_COLUMNS
+from vidtrend.functions.text import java_trim, parse_int, parse_long
+from vidtrend.schema import RAW_COLUMNS, SNAPSHOT_ARITY, SNAPSHOT_COLUMNS
 
-RAW_DDL = ", ".join(f"`{c}` STRING" for c in RAW_COLUMNS + (CORRUPT_COLUMN,))
-
-# Comma separated, double-quoted, a doubled quote is a literal quote.
-# Blanks around a quoted field are skipped, so ` "a,b" ` is one field (as in
-# the original parser); every used field is trimmed afterwards anyway.
-CSV_OPTIONS = {
-    "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": CORRUPT_COLUMN,
-    "sep": ",",
-    "quote": '"',
-    "escape": '"',
-    "ignoreLeadingWhiteSpace": "true",
-    "ignoreTrailingWhiteSpace": "true",
-}
+# Stand for a comma inside quotes, an escaped backslash and an escaped quote
+# while a line is cut.  Noncharacters: no text holds them.
+IN_COMMA, BACKSLASH, QUOTE = "\ufdd0", "\ufdd1", "\ufdd2"
 
 # Charsets Spark's ``decode`` accepts; the line split on "\n" is only safe
 # for the ASCII-compatible ones, so UTF-16 input must be converted first.
@@ -46,16 +37,20 @@ def read_snapshot_lines(spark: SparkSession, path: str | list[str],
     """Raw lines of one file, a directory, a glob or a list of them (S2:
     several regional files are a UNION ALL).  Columns ``value`` and
     ``file_name``; non-UTF-8 input is decoded per line (S9)."""
+    paths = [path] if isinstance(path, str) else list(path)
+    lines = spark.read.text(paths).select("value", F.col("_metadata.file_name").alias("file_name"))
+    return decode_lines(lines, encoding)
+
+
+def decode_lines(lines: DataFrame, encoding: str) -> DataFrame:
+    """``value``, the bytes of each line, read in ``encoding``."""
     enc = encoding.upper()
     if enc not in LINE_CHARSETS:
         raise ValueError(f"encoding {encoding!r} not supported line by line; "
                          f"use one of {LINE_CHARSETS} or convert the files first")
-    paths = [path] if isinstance(path, str) else list(path)
-    lines = spark.read.text(paths)
-    value = F.col("value")
-    if enc != "UTF-8":
-        value = F.decode(value.cast("binary"), enc)
-    return lines.select(value.alias("value"), F.col("_metadata.file_name").alias("file_name"))
+    if enc == "UTF-8":
+        return lines
+    return lines.withColumn("value", F.decode(F.col("value").cast("binary"), enc))
 
 
 def region_from_file_name(file_name: str | Column = "file_name") -> Column:
@@ -64,71 +59,94 @@ def region_from_file_name(file_name: str | Column = "file_name") -> Column:
     return F.substring(c, 1, 2)
 
 
+def _escapes_set_aside(line: Column, escape: str) -> Column:
+    """Escaped quotes (and, with backslashes, escaped backslashes) become stand-ins."""
+    if escape == "backslash":
+        out = F.replace(line, F.lit("\\\\"), F.lit(BACKSLASH))
+        out = F.replace(out, F.lit('\\"'), F.lit(QUOTE))
+        # a backslash that escapes nothing is dropped, as the original parser does
+        out = F.replace(out, F.lit("\\"), F.lit(""))
+        line = F.when(F.contains(line, F.lit("\\")), out).otherwise(line)
+    return line
+
+
+def _fields(line: Column) -> Column:
+    """The raw fields of a line without open quotes: cut at the commas that lie
+    outside quoted parts, wherever in a field a quoted part begins."""
+    inside = F.transform(F.split(line, '"', -1),
+                         lambda part, i: F.when(i % 2 == 1, F.replace(part, F.lit(","), F.lit(IN_COMMA))).otherwise(part))
+    marked = F.when(F.contains(line, F.lit('"')), F.array_join(inside, '"')).otherwise(line)
+    return F.split(marked, ",", -1)
+
+
+def _text(field: Column) -> Column:
+    """A field's text: without the quotes around it, blanks outside them
+    skipped; a doubled quote inside them is a literal quote."""
+    trimmed = java_trim(field)
+    around = F.length(trimmed) >= 2
+    around = around & F.startswith(trimmed, F.lit('"')) & F.endswith(trimmed, F.lit('"'))
+    bare = F.replace(F.substring(trimmed, F.lit(2), F.length(trimmed) - 2), F.lit('""'), F.lit('"'))
+    out = F.when(around, bare).otherwise(trimmed)
+    for stand_in, char in ((IN_COMMA, ","), (BACKSLASH, "\\"), (QUOTE, '"')):
+        out = F.replace(out, F.lit(stand_in), F.lit(char))
+    return java_trim(out)
+
+
 def parse_snapshot_lines(lines: DataFrame, value: str = "value",
                          region: Column | str | None = None,
-                         backslash_quotes: bool = False) -> DataFrame:
+                         escape: str = "backslash") -> DataFrame:
     """Lines -> snapshots (schema ``SNAPSHOT_SCHEMA``).
 
     Keeps every line with exactly 16 fields, header lines included (programs
     differ in whether they drop them, see ``operators.clean``).  Text fields
     are trimmed; counts and the category id are parsed and are null when they
     do not parse.
+
+    ``escape``: ``"backslash"`` (the original parser's default) reads ``\\"``
+    as a literal quote and ``\\\\`` as a backslash, and drops any other
+    backslash; ``"double"`` leaves backslashes alone.  Either way a doubled
+    quote inside a quoted field is a literal quote.
     """
-    line = F.col(value)
-    if backslash_quotes:
-        # Input written with backslash escapes: \\ is one backslash, \" is a
-        # literal quote (re-written as "").  Escaped backslashes are set aside
-        # first so that \\" stays a backslash followed by a quote.
-        line = F.replace(line, F.lit("\\\\"), F.lit("\u0000"))
-        line = F.replace(line, F.lit('\\"'), F.lit('""'))
-        line = F.replace(line, F.lit("\u0000"), F.lit("\\"))
+    if escape not in ("backslash", "double"):
+        raise ValueError(f"escape must be 'backslash' or 'double', got {escape!r}")
     if region is None:
         region_col = region_from_file_name()
     elif isinstance(region, str):
         region_col = F.lit(region)
     else:
         region_col = region
+    # Generators keep each step's result: the optimizer cannot push the
+    # validity filters below them, which would repeat the work per filter.
+    cut = (lines.where(F.length(F.col(value)) > 0)                           # P7
+           .select(region_col.alias("region"),
+                   F.explode(F.array(_escapes_set_aside(F.col(value), escape))).alias("line")))
     # A quoted field left open at the end of the line (it continues on the
-    # next physical line) makes the original per-line parser come up short
-    # of fields; Spark's parser would instead read to the end of the line.
-    # An odd number of quote characters is exactly that case.  Counted in
-    # bytes (O(1) length; the quote byte never occurs inside a multi-byte
-    # UTF-8 character).
-    n_quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
-    # The parse runs inside a generator (inline of a one-element array): the
-    # optimizer cannot push the validity filters below it, which would
-    # otherwise inline the CSV parse into every predicate and parse each
-    # line several times.
-    rows = (
-        lines
-        .where((F.length(F.col(value)) > 0)                                 # P7
-               & (n_quotes % 2 == 0))                                       # P1
-        .select(region_col.alias("region"),
-                F.inline(F.array(F.from_csv(line, RAW_DDL, CSV_OPTIONS))))
-        .where(F.col(CORRUPT_COLUMN).isNull())                              # P1
-    )
-    r = F.col
-    return rows.select(
-        F.col("region"),
-        java_trim(text_or_empty(r("video_id"))).alias("video_id"),        # P3
-        java_trim(text_or_empty(r("title"))).alias("title"),
-        java_trim(text_or_empty(r("channel"))).alias("channel"),
-        java_trim(text_or_empty(r("category_raw"))).alias("category_raw"),
-        parse_int(r("category_raw")).alias("category_id"),                 # P4
-        parse_long(r("views_raw")).alias("views"),
-        parse_long(r("likes_raw")).alias("likes"),
-        parse_long(r("dislikes_raw")).alias("dislikes"),
-        parse_long(r("comments_raw")).alias("comments"),
+    # next physical line) makes the original per-line parser come up short of
+    # fields: an odd number of quotes.  Counted in bytes; the quote byte never
+    # occurs inside a multi-byte UTF-8 character.
+    n_quotes = F.octet_length("line") - F.octet_length(F.replace("line", F.lit('"'), F.lit("")))
+    rows = (cut.where(n_quotes % 2 == 0)                                     # P1
+            .select("region", F.explode(F.array(_fields(F.col("line")))).alias("f"))
+            .where(F.size("f") == SNAPSHOT_ARITY))                           # P1
+    f = {c: F.get("f", F.lit(k)) for k, c in enumerate(RAW_COLUMNS)}
+    text = rows.select(
+        "region", F.inline(F.array(F.struct(*[
+            _text(f[c]).alias(c) for c in ("video_id", "title", "channel", "category_raw",           # P3
+                                           "views_raw", "likes_raw", "dislikes_raw", "comments_raw")]))))
+    return text.select(
+        "region", "video_id", "title", "channel", "category_raw",
+        parse_int("category_raw").alias("category_id"),                      # P4
+        *[parse_long(f"{c}_raw").alias(c) for c in ("views", "likes", "dislikes", "comments")],
     ).select(*SNAPSHOT_COLUMNS)
 
 
 def read_snapshots(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8",
-                   region: str | None = None, backslash_quotes: bool = False) -> DataFrame:
+                   region: str | None = None, escape: str = "backslash") -> DataFrame:
     """Scan regional snapshot CSV files into typed snapshots.
 
     ``region`` overrides the region taken from each file name."""
     lines = read_snapshot_lines(spark, path, encoding)
-    return parse_snapshot_lines(lines, region=region, backslash_quotes=backslash_quotes)
+    return parse_snapshot_lines(lines, region=region, escape=escape)
 
 
 def union_snapshots(*frames: DataFrame) -> DataFrame:
