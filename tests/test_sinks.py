@@ -28,7 +28,7 @@ def test_tsv_report_keeps_order_and_header(spark, snapshots, tmp_path):
 def test_tsv_fields_are_not_quoted(spark, tmp_path):
     df = spark.createDataFrame([(1, 'a "b", c', None)], "n bigint, s string, t string")
     path = str(tmp_path / "r")
-    write_report(df, path, single_file=True)
+    write_report(df.coalesce(1), path)
     assert read_lines(path) == ['1\ta "b", c\t']
 
 
@@ -45,13 +45,20 @@ def test_stats_program_writes_stage_and_four_reports(spark, snapshots, tmp_path)
 
 def test_category_and_video_programs(spark, snapshots, categories, tmp_path):
     cat = P.run_category_stats(snapshots, categories, "IN", str(tmp_path / "cat"))
-    assert read_lines(cat["viewStats"])[0] == "300\tIN_29\t5\t5\t5\t29"
+    assert read_lines(cat["viewStats"])[0] == "300\tIN_29\t5\t5\t5"
     vid = P.run_video_stats(snapshots, str(tmp_path / "vid"))
     assert read_lines(vid["viewStats"])[0] == "300\tv1\tSong, one (new)\t30\t3\t15"
     top = P.run_channel_count(snapshots, str(tmp_path / "cnt"), k=2)
     assert read_lines(top) == ["Count\tChannel_name\tRank", "4\tChB\t1", "2\tChA\t2", "2\tChD\t2"]
 
 
+def test_names_with_separators_come_back(spark, tmp_path):
+    names = ["a\tb", "c\\td", "e\nf\r", "\\", "\\\\t\t", ""]
+    path = str(tmp_path / "odd")
+    write_report(spark.createDataFrame([(k, n) for k, n in enumerate(names)], "n bigint, channel string"), path)
+    assert sorted(tuple(r) for r in read_report(spark, path, "n bigint, channel string").collect()) == list(enumerate(names))
+
+
 def test_read_report_drops_lines_that_do_not_fit(spark, tmp_path):
     path = tmp_path / "r"
     path.mkdir()

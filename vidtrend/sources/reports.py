@@ -2,26 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from vidtrend.schema import CORRUPT_COLUMN
+from vidtrend.sources.sinks import ESCAPES
 
+# Stands for an escaped backslash while the others are undone; no text holds it.
+_BACKSLASH = "\ufdd1"
 
-def read_report(spark: SparkSession, path: str | list[str], schema: T.StructType | str) -> DataFrame:
-    """Lines whose fields do not fit ``schema`` (wrong count, a header line,
-    a number that does not parse) are dropped."""
+
+def _unescaped(field: Column) -> Column:
+    (slash, two), *others = ESCAPES
+    out = F.replace(field, F.lit(two), F.lit(_BACKSLASH))
+    for char, written in others:
+        out = F.replace(out, F.lit(written), F.lit(char))
+    return F.when(F.contains(field, F.lit(slash)), F.replace(out, F.lit(_BACKSLASH), F.lit(slash))).otherwise(field)
+
+
+def parse_report_lines(lines: DataFrame, schema: T.StructType | str, value: str = "value") -> DataFrame:
+    """Report lines -> rows.  Lines whose fields do not fit ``schema`` (wrong
+    count, a header line, a number that does not parse) are dropped; an empty
+    text field is '' as in the data model, an empty number is null."""
     if isinstance(schema, str):
         schema = T._parse_datatype_string(schema)
-    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    ddl += f", `{CORRUPT_COLUMN}` STRING"
-    options = {"sep": "\t", "quote": "\u0000", "mode": "PERMISSIVE",
-               "columnNameOfCorruptRecord": CORRUPT_COLUMN}
-    paths = [path] if isinstance(path, str) else list(path)
-    lines = spark.read.text(paths).where(F.length("value") > 0)
-    # Parse inside a generator so the filter below does not re-parse (see
-    # ``sources.snapshots``).
-    parsed = lines.select(F.inline(F.array(F.from_csv("value", ddl, options))))
-    # an empty text field is '' in the data model, not null
-    cols = [F.coalesce(F.col(f.name), F.lit("")).alias(f.name) if isinstance(f.dataType, T.StringType)
-            else F.col(f.name) for f in schema.fields]
-    return parsed.where(F.col(CORRUPT_COLUMN).isNull()).select(*cols)
+    cut = lines.where(F.length(F.col(value)) > 0).select(F.explode(F.array(F.split(F.col(value), "\t", -1))).alias("f"))
+    rows, fits, cols = cut, F.size("f") == len(schema.fields), []
+    for k, f in enumerate(schema.fields):
+        raw = F.get("f", F.lit(k))
+        if isinstance(f.dataType, T.StringType):
+            cols.append(_unescaped(raw).alias(f.name))
+        else:
+            number = raw.try_cast(f.dataType)
+            fits = fits & ((raw == "") | number.isNotNull())
+            cols.append(number.alias(f.name))
+    return rows.where(fits).select(*cols)
+
+
+def read_report(spark: SparkSession, path: str | list[str], schema: T.StructType | str) -> DataFrame:
+    """``parse_report_lines`` over the files of ``path``."""
+    return parse_report_lines(spark.read.text([path] if isinstance(path, str) else list(path)), schema)

@@ -2,27 +2,39 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+
+
+# What would break a line, and how it is written; a backslash comes first.
+ESCAPES = (("\\", "\\\\"), ("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"))
+
+
+def _escaped(field: Column) -> Column:
+    for char, written in ESCAPES:
+        field = F.replace(field, F.lit(char), F.lit(written))
+    return field
 
 
 def to_tsv_lines(df: DataFrame) -> DataFrame:
-    """One ``value`` line per row: fields joined by a tab, null as ''.
+    """One ``value`` line per row: fields joined by a tab, null as ''; a tab,
+    line break or backslash inside a text is written as a backslash escape,
+    which ``sources.reports`` undoes.
     (``write.csv(sep='\\t')`` would quote empty strings and escape quotes.)"""
-    fields = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("")) for c in df.columns]
+    text = {f.name for f in df.schema.fields if f.dataType.simpleString() == "string"}
+    fields = [F.coalesce(_escaped(F.col(f"`{c}`")) if c in text else F.col(f"`{c}`").cast("string"), F.lit(""))
+              for c in df.columns]
     return df.select(F.concat_ws("\t", *fields).alias("value"))
 
 
 def write_report(df: DataFrame, path: str, fmt: str = "tsv", header: list[str] | None = None,
-                 single_file: bool = False, mode: str = "overwrite") -> None:
+                 mode: str = "overwrite") -> None:
     """Write a (ranked) report.  Row order is kept: a globally sorted frame is
     written partition by partition, part files in sort order.
 
-    ``header`` adds a first line (TSV only).  ``single_file`` funnels the
-    output through one task: only for reports known to be small.
+    ``header`` adds a first line (TSV only).
     """
     if fmt == "parquet":
-        out = df.coalesce(1) if single_file else df
-        out.write.mode(mode).parquet(path)
+        df.write.mode(mode).parquet(path)
         return
     if fmt != "tsv":
         raise ValueError(f"unknown report format {fmt!r}")
@@ -32,8 +44,6 @@ def write_report(df: DataFrame, path: str, fmt: str = "tsv", header: list[str] |
         head = spark.createDataFrame([("\t".join(header),)], "value string")
         # Union keeps partition order: the header partition comes first.
         lines = head.union(lines)
-    if single_file:
-        lines = lines.coalesce(1)
     lines.write.mode(mode).text(path)
 
 
