@@ -21,15 +21,21 @@ def test_top_k_is_the_head_of_the_sorted_list(spark, values, k):
 
 
 def test_head_of_modes(snapshots):
-    report = P.channel_stats(snapshots, "views")
+    report = P.channel_totals(snapshots)
     full = [tuple(r) for r in P.head_of(report, "views", ["channel"]).collect()]
     assert len(full) == 3
     first = [tuple(r) for r in P.head_of(report, "views", ["channel"], k=1).collect()]
     assert first == full[:1]
-    ties = P.head_of(P.channel_stats(snapshots, "dislikes"), "dislikes", ["channel"], k=1, with_ties=True)
+    ties = P.head_of(report, "dislikes", ["channel"], k=1, with_ties=True)
     assert [(r.dislikes, r.channel, r.rank) for r in ties.collect()] == [(5, "ChA", 1)]
 
 
+def test_top_k_needs_a_positive_k(snapshots):
+    import pytest
+    with pytest.raises(ValueError):
+        top_k(P.channel_totals(snapshots), "views", 0, ["channel"])
+
+
 def test_partitioned_stage(spark, snapshots, tmp_path):
     path = str(tmp_path / "snaps")
     back = write_stage(snapshots, path, partition_by=["region"])

@@ -1,13 +1,11 @@
-"""The checkpoint folder comes from the session; a local one only in local mode."""
+"""A session needs no checkpoint folder: nothing of the programs checkpoints."""
 
 from __future__ import annotations
 
-from vidtrend.session import ensure_checkpoint_dir
+from vidtrend import session
 
 
-def test_checkpoint_dir_is_stable(spark):
-    first = ensure_checkpoint_dir(spark)
-    assert first and ensure_checkpoint_dir(spark) == first
-    assert spark.sparkContext.getCheckpointDir()
-    df = spark.range(5).checkpoint(eager=True)
-    assert df.count() == 5
+def test_session_sets_no_checkpoint_folder(spark):
+    assert session.build_session("local[2]") is not None
+    assert not hasattr(session, "tempfile")
+    assert spark.conf.get("spark.sql.adaptive.enabled") == "true"

@@ -8,9 +8,7 @@ from vidtrend.operators.dedup import (
     best_category_snapshot, best_channel_snapshot, best_snapshot, best_video,
     channel_of_video, max_views,
 )
-from vidtrend.operators.lookup import (
-    bounded_broadcast, label_by_region, label_one_region,
-)
+from vidtrend.operators.lookup import label_by_region, label_one_region
 from vidtrend.operators.rank import (
     rank_report, report_columns, top_k, top_k_with_ties,
 )
@@ -22,7 +20,7 @@ __all__ = [
     "valid_rows", "with_identity",
     "best_category_snapshot", "best_channel_snapshot", "best_snapshot", "best_video",
     "channel_of_video", "max_views",
-    "bounded_broadcast", "label_by_region", "label_one_region",
+    "label_by_region", "label_one_region",
     "rank_report", "report_columns", "top_k", "top_k_with_ties",
     "count_by", "totals_by", "views_by", "stat_correlations",
 ]

@@ -62,9 +62,11 @@ def best_category_snapshot(df: DataFrame) -> DataFrame:
 
 def channel_of_video(df: DataFrame) -> DataFrame:
     """D4 + D6: ``(identity, channel)``; a video without a positive view count
-    is kept under the channel ''."""
-    return best_snapshot(df, payload=["channel"], ranked_by=["views"],
-                         no_winner="blank", blank=["channel"]).select("identity", "channel")
+    is kept under the channel ''.  Only the views must parse; equal views go on
+    to the other statistics (one that does not parse comes last) as in D2, so
+    both programs name the same channel."""
+    return best_snapshot(df, payload=["channel"], no_winner="blank",
+                         blank=["channel"]).select("identity", "channel")
 
 
 def max_views(df: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -1,49 +1,16 @@
 """Category dictionary lookups.
 
-Only the dictionary side of a lookup is small: one row per (region,
-category).  It is broadcast after its row count has been checked
-(``within_bound`` / ``bounded_broadcast``); above the bound the join stays a
-shuffle join.
+Both sides of a lookup are small: totals per category, and one row per (region,
+category) of the dictionaries.  No hint is given: the planner and adaptive
+execution choose the join from the measured sizes.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
 from vidtrend.schema import LABEL_SEP
 
-# Upper bound on rows broadcast to every executor for a dictionary-sized table.
-DICTIONARY_MAX_ROWS = 1_000_000
-
-
-def within_bound(df: DataFrame, max_rows: int = DICTIONARY_MAX_ROWS) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    An exact row count: each task counts its own rows (no column is read) and
-    only one number per task reaches the final count.  (A ``limit(n + 1)``
-    probe would move up to n + 1 rows of every partition into one task.)"""
-    return df.count() <= max_rows
-
-
-def rows_within_bound(frames: dict[str, DataFrame], max_rows: int) -> dict[str, bool]:
-    """``within_bound`` for several frames in one job: each frame is counted
-    by its own partial + final aggregate and only one row per frame (name,
-    count) reaches the driver."""
-    counts = reduce(lambda a, b: a.unionByName(b), [
-        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
-        for name, df in frames.items()])
-    return {r["name"]: r["n"] <= max_rows for r in counts.collect()}
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = DICTIONARY_MAX_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
-
-    Beyond the bound Spark plans a shuffle join, and adaptive execution can
-    still switch to a broadcast at run time from the measured size."""
-    return F.broadcast(df) if within_bound(df, max_rows) else df
-
 
 def fallback_label(region, category) -> F.Column:
     """``REGION_id`` for a category without a dictionary title."""
@@ -58,7 +25,7 @@ def label_one_region(totals: DataFrame, categories: DataFrame, region: str) -> D
         raise ValueError(f"region must be a two-letter code, got {region!r}")
     lookup = (categories.where((F.col("region") == region) & F.col("category_id").isNotNull())
               .select("category_id", F.col("title").alias("_title")))
-    joined = totals.join(bounded_broadcast(lookup), "category_id", "left")
+    joined = totals.join(lookup, "category_id", "left")
     label = F.coalesce(F.col("_title"),
                        fallback_label(F.lit(region), F.col("category_id").cast("string")))
     return joined.withColumn("label", label).drop("_title")
@@ -71,17 +38,15 @@ def label_by_region(rows: DataFrame, categories: DataFrame) -> DataFrame:
     * region without a dictionary: ``<region>_<raw id>``;
     * region with one, id not a number: the row is dropped;
     * id not in the dictionary, or no title: ``<region>_<raw id>``.
+
+    One join on (region, id): only a row without a number needs to know whether
+    its region has a dictionary, and every region with one has a null id in it.
     """
-    lookup = (categories.where(F.col("category_id").isNotNull())
-              .select("region", "category_id", F.col("title").alias("_title")))
-    regions = categories.select("region").distinct().withColumn("_known", F.lit(True))
-    if within_bound(categories):  # both sides are no larger than the dictionary
-        lookup, regions = F.broadcast(lookup), F.broadcast(regions)
-    joined = (rows
-              .join(regions, "region", "left")
-              .join(lookup, ["region", "category_id"], "left"))
-    known = F.coalesce(F.col("_known"), F.lit(False))
-    kept = joined.where(~known | F.col("category_id").isNotNull())
-    label = F.when(known & F.col("_title").isNotNull(), F.col("_title")).otherwise(
-        fallback_label(F.col("region"), F.col("category_raw")))
-    return kept.withColumn("label", label).drop("_title", "_known")
+    titles = categories.select("region", F.col("category_id").alias("_id"), F.col("title").alias("_title"))
+    known = titles.select("region", F.lit(None).cast("int").alias("_id"), F.lit(None).cast("string").alias("_title"))
+    lookup = (titles.where(F.col("_id").isNotNull()).unionByName(known.distinct())
+              .select(F.col("region").alias("_region"), "_id", "_title", F.lit(True).alias("_found")))
+    joined = rows.join(lookup, (F.col("region") == F.col("_region")) & F.col("category_id").eqNullSafe(F.col("_id")), "left")
+    label = F.coalesce(F.col("_title"), fallback_label(F.col("region"), F.col("category_raw")))
+    return (joined.where(F.col("category_id").isNotNull() | F.col("_found").isNull())
+            .withColumn("label", label).drop("_region", "_id", "_title", "_found"))

@@ -37,7 +37,10 @@ def rank_report(df: DataFrame, stat: str, names: Sequence[str], stats: Sequence[
 
 def top_k(df: DataFrame, stat: str, k: int, names: Sequence[str]) -> DataFrame:
     """The first ``k`` rows of a ranking (each task keeps its own best k;
-    one final merge sees only k rows per task)."""
+    one final merge sees only k rows per task).  ``k`` is a report's length: it
+    must be small enough for one task."""
+    if k < 1:
+        raise ValueError("k must be positive")
     return df.orderBy(*ranking_order(stat, names)).limit(k)
 
 

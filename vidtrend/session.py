@@ -2,14 +2,8 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
-CHECKPOINT_CONF = "spark.checkpoint.dir"
-# Where a local run keeps its own folder when the session names none.
-LOCAL_CHECKPOINT_CONF = "vidtrend.checkpoint.dir"
-
 # Runtime re-planning: coalesce small shuffle partitions, split skewed ones,
 # and turn a sort-merge join into a broadcast join when one side turns out small.
 ADAPTIVE_CONF = {
@@ -38,39 +32,4 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    ensure_checkpoint_dir(spark)
-    return spark
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder of the session.
-
-    ``spark.checkpoint.dir`` (or a folder already set on the context) wins.
-    Only a local-mode session without one (tests, a laptop) gets a fresh
-    local folder; on a cluster a machine-local folder would be lost with its
-    executor, so the setting is required there.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # a remote (Connect) session: the server owns the setting
-        path = spark.conf.get(CHECKPOINT_CONF, None)
-        if not path:
-            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-        return path
-    current = sc.getCheckpointDir()
-    path = sc.getConf().get(CHECKPOINT_CONF, None)
-    if path:
-        if not current:
-            sc.setCheckpointDir(path)
-        return path
-    if current:
-        return current
-    if not sc.master.startswith("local"):
-        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder shared by all executors")
-    path = spark.conf.get(LOCAL_CHECKPOINT_CONF, None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="vidtrend-ckpt-")
-        spark.conf.set(LOCAL_CHECKPOINT_CONF, path)
-        sc.setCheckpointDir(path)
-    return path
+    return builder.getOrCreate()
