@@ -25,7 +25,7 @@ def test_programs(spark, fixture_dirs, tmp_path):
     assert lines(w["catViews"]) == ["Comedy\t160", "Entertainment\t170", "IN_29\t300", "Music\t750"]
     w = cli.run(cli.parse_args(["category-stats", csv_dir, out + "/cs", "--dictionaries", json_dir,
                                 "--region", "US"]))
-    assert lines(w["viewStats"])[0] == "300\tMusic\t30\t3\t15\t10"
+    assert lines(w["viewStats"])[0] == "300\tMusic\t30\t3\t15"
     w = cli.run(cli.parse_args(["channel-rows", csv_dir, out + "/v1"]))
     assert lines(w["channelRows"]) == ["ChA\t7", "ChB\t4", "ChC\t1", "ChD\t2", "channel_title\t2"]
     w = cli.run(cli.parse_args(["correlation", csv_dir, out + "/corr"]))
@@ -68,3 +68,12 @@ def test_save_stages(spark, fixture_dirs, tmp_path):
                                 "--save-stages"]))
     assert lines(w["catViews"]) == ["Comedy\t160", "Entertainment\t170", "IN_29\t300", "Music\t750"]
     assert "IN\t10\t300" in lines(out + "/cv/Inter_1")
+    for program, more in (("viewed-channels", []), ("channel-stats", []),
+                          ("category-stats", ["--dictionaries", json_dir, "--region", "IN"])):
+        w = cli.run(cli.parse_args([program, csv_dir, f"{out}/{program}", "--save-stages", *more]))
+        assert len(lines(w["viewStats"])) in (3, 5)
+    assert "ChA\t5\t5\t5\t300" in lines(out + "/viewed-channels/Inter_1")
+    assert sorted(lines(out + "/viewed-channels/Inter_2"))[0] == "ChA\t5\t5\t5\t300"
+    assert len(lines(out + "/channel-stats/Inter_1")) == 7
+    assert "29\t5\t5\t5\t300" in lines(out + "/category-stats/Inter_1")
+    assert "Music\t30\t3\t15\t300" in lines(out + "/category-stats/Inter_2")

@@ -23,18 +23,28 @@ def test_snapshots_cover_the_rules(spark):
 
 
 def test_dictionary_leaves_fallbacks(spark):
-    cats = model.categories(model.snapshots(spark, SF_DIR))
+    cats = model.categories(spark, SF_DIR)
     assert cats.where((F.col("region") == "MI") | (F.col("category_id") == 29)).count() == 0
     assert cats.groupBy("region", "category_id").count().where("count > 1").count() == 0
     titles = {r.title for r in cats.select("title").distinct().collect()}
     assert len(titles) <= model.TITLE_BUCKETS  # ids share titles
 
 
-def test_dimensions_beyond_the_bound_are_not_broadcast(spark, monkeypatch):
-    from vidtrend.plans import programs as P
-    want = sorted(map(tuple, P.channel_totals(model.snapshots(spark, SF_DIR)).collect()))
-    monkeypatch.setattr(model, "DIMENSION_MAX_ROWS", 100)  # part (200) and supplier (10 at sf0.001)
-    df = P.channel_totals(model.snapshots(spark, SF_DIR))
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" in plan
-    assert sorted(map(tuple, df.collect())) == want
+def test_variants_bite(spark):
+    snaps = model.snapshots(spark, SF_DIR)
+    bad = model.with_bad_categories(snaps).where("category_raw = 'x'")
+    assert {r.region for r in bad.select("region").distinct().collect()} >= {"AM", "MI"}
+    tied = model.with_tied_views(snaps).groupBy("video_id").agg(F.countDistinct("likes").alias("n"))
+    assert tied.where("n > 1").count() > 100
+
+
+def test_building_a_query_starts_no_job(spark):
+    import __spark_entry__
+    from vidtrend.plans import catalog
+    tracker = spark.sparkContext.statusTracker()
+    for name, build in catalog.queries().items():
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        build(spark, SF_DIR)
+        assert not tracker.getJobIdsForGroup(f"build-{name}"), name
+    spark.sparkContext.setJobGroup("tests", "tests")
+    assert set(catalog.queries()) <= set(__spark_entry__.queries())

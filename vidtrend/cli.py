@@ -37,13 +37,13 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--with-ties", action="store_true",
                     help="with --top: keep whole tie groups at the cut and add a rank column")
     ap.add_argument("--encoding", default="UTF-8", help="input charset (UTF-8, ISO-8859-1, US-ASCII)")
-    ap.add_argument("--backslash-quotes", action="store_true",
-                    help="input escapes quotes as \\\" (and backslashes as \\\\) instead of doubling them")
+    ap.add_argument("--escape", default="backslash", choices=("backslash", "double"),
+                    help="backslash: \\\" is a quote and \\\\ a backslash; double: backslashes are text")
     ap.add_argument("--input-format", default="csv", choices=("csv", "parquet"),
                     help="parquet: INPUT is the output of the ingest program")
     ap.add_argument("--format", default="tsv", choices=("tsv", "parquet"))
     ap.add_argument("--save-stages", action="store_true",
-                    help="channel-videos, category-views: also keep the intermediate stages")
+                    help="also keep the intermediate stages")
     ap.add_argument("--master", help="Spark master; leave unset under spark-submit")
     args = ap.parse_args(argv)
     if args.program in ("category-stats", "category-views") and not args.dictionaries:
@@ -60,7 +60,7 @@ def run(args: argparse.Namespace) -> dict[str, str]:
         snaps = spark.read.schema(SNAPSHOT_SCHEMA).parquet(args.input).select(*SNAPSHOT_COLUMNS)
     else:
         snaps = read_snapshots(spark, args.input, encoding=args.encoding,
-                               backslash_quotes=args.backslash_quotes)
+                               escape=args.escape)
     out, fmt = args.output, args.format
     if args.program == "ingest":
         # Parse once; every program can then read typed, region-partitioned
@@ -76,12 +76,11 @@ def run(args: argparse.Namespace) -> dict[str, str]:
         return {REPORT_NAMES["views"]: P.run_channel_count(snaps, out, k=args.top, fmt=fmt,
                                                  save_stages=args.save_stages)}
     if args.program == "viewed-channels":
-        path = os.path.join(out, REPORT_NAMES["views"])
-        report = P.head_of(P.most_viewed_channels(snaps), "views", ["channel"], args.top, args.with_ties)
-        write_report(report, path, fmt=fmt)
-        return {REPORT_NAMES["views"]: path}
+        return {REPORT_NAMES["views"]: P.run_viewed_channels(snaps, out, fmt=fmt, k=args.top, with_ties=args.with_ties,
+                                                             save_stages=args.save_stages)}
     if args.program == "channel-stats":
-        return P.run_channel_stats(snaps, out, fmt=fmt, k=args.top, with_ties=args.with_ties)
+        return P.run_channel_stats(snaps, out, fmt=fmt, k=args.top, with_ties=args.with_ties,
+                                   save_stages=args.save_stages)
     if args.program == "video-stats":
         return P.run_video_stats(snaps, out, fmt=fmt, k=args.top, with_ties=args.with_ties)
     if args.program == "correlation":
@@ -91,7 +90,7 @@ def run(args: argparse.Namespace) -> dict[str, str]:
     if args.program == "category-stats":
         cats = read_categories(spark, args.dictionaries, region=args.region)
         return P.run_category_stats(snaps, cats, args.region, out, fmt=fmt, k=args.top,
-                                    with_ties=args.with_ties)
+                                    with_ties=args.with_ties, save_stages=args.save_stages)
     cats = read_categories(spark, args.dictionaries)
     return {CATEGORY_VIEWS_REPORT: P.run_category_views(snaps, cats, out, fmt=fmt, save_stages=args.save_stages)}
 

@@ -14,7 +14,9 @@ from vidtrend.plans import model, programs
 from vidtrend.plans.oracle import CATEGORY_REGION, ORACLE_SQL
 from vidtrend.schema import DICTIONARY_SCHEMA, STATS
 from vidtrend.sources.categories import categories_from_documents
-from vidtrend.sources.snapshots import parse_snapshot_lines
+from vidtrend.sources.reports import parse_report_lines
+from vidtrend.sources.sinks import to_tsv_lines
+from vidtrend.sources.snapshots import decode_lines, parse_snapshot_lines, union_snapshots
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,10 +26,7 @@ def _snaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _with_categories(fn):
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        snaps = _snaps(spark, sf_dir)
-        return fn(snaps, model.categories(snaps))
-    return run
+    return lambda spark, sf_dir: fn(_snaps(spark, sf_dir), model.categories(spark, sf_dir))
 
 
 def csv_arity_and_number_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -38,19 +37,73 @@ def csv_arity_and_number_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("region")
 
 
-def category_json_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived dictionaries written as one JSON document per region
-    and read back (explode, id to int, last item wins)."""
-    cats = model.categories(_snaps(spark, sf_dir), materialize=False)
-    item = F.struct(F.col("category_id").cast("string").alias("id"),
+def _documents(cats: DataFrame) -> DataFrame:
+    """Dictionary rows written as one JSON document per region and parsed, as on
+    disk: a group holds one region's categories (tens of ids)."""
+    item = F.struct("pos", F.col("category_id").cast("string").alias("id"),
                     F.struct(F.col("title").alias("title")).alias("snippet"))
-    # One document per region, as on disk: a group holds one item per
-    # category of that region (the category domain, tens of ids), never rows
-    # of the snapshots themselves.
     docs = (cats.groupBy("region")
-            .agg(F.to_json(F.struct(F.collect_list(item).alias("items"))).alias("json")))
-    parsed = docs.select("region", F.from_json("json", DICTIONARY_SCHEMA).alias("doc"))
-    return categories_from_documents(parsed, items="doc.items")
+            .agg(F.to_json(F.struct(F.array_sort(F.collect_list(item)).alias("items"))).alias("json")))
+    return docs.select("region", F.from_json("json", DICTIONARY_SCHEMA).alias("doc"))
+
+
+def category_json_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived dictionaries written as JSON documents and read back
+    (explode, id to int)."""
+    cats = model.categories(spark, sf_dir).withColumn("pos", F.lit(0))
+    return categories_from_documents(_documents(cats), items="doc.items")
+
+
+def category_json_last_item_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents in which every id stands twice, read for one region:
+    the later item's title wins."""
+    cats = model.categories(spark, sf_dir)
+    twice = (cats.withColumns({"pos": F.col("category_id"), "title": F.concat(F.lit("old "), "title")})
+             .unionByName(cats.withColumn("pos", F.col("category_id") + 1000)))
+    docs = _documents(twice).where(F.col("region") == CATEGORY_REGION)
+    return categories_from_documents(docs, items="doc.items")
+
+
+def _regional(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_snapshot_lines(model.regional_lines(spark, sf_dir))
+
+
+def views_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The region comes from the file name; a header line has no views
+    and is dropped by that rule alone."""
+    rows = valid_rows(_regional(spark, sf_dir), REQUIRE_VIEWS, drop_header=False)
+    return rows.groupBy("region").agg(F.count("*").alias("n"), F.sum("views").cast("bigint").alias("views"))
+
+
+def latin1_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines stored in another charset, decoded before the parse."""
+    lines = model.regional_lines(spark, sf_dir)
+    stored = lines.withColumn("value", F.encode("value", "ISO-8859-1"))
+    return count_by(parse_snapshot_lines(decode_lines(stored, "ISO-8859-1")), "title", "n")
+
+
+def united_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frames of single regions united are the whole."""
+    snaps = _snaps(spark, sf_dir)
+    parts = [snaps.where(F.col("region") == r) for r in ("AF", "AM", "AS", "EU", "MI")]
+    return programs.channel_totals(union_snapshots(*parts))
+
+
+def report_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A report whose names hold a tab and a backslash, written as
+    lines under a header and read back."""
+    totals = programs.channel_totals(_snaps(spark, sf_dir))
+    odd = totals.withColumn("channel", F.concat("channel", F.lit("\t\\t")))
+    report = programs.rank_report(odd, "views", ["channel"])
+    header = spark.range(1).select(F.lit("\t".join(report.columns)).alias("value"))
+    schema = "views bigint, channel string, likes bigint, dislikes bigint, comments bigint"
+    return parse_report_lines(header.unionByName(to_tsv_lines(report)), schema)
+
+
+def top_parts_with_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O6 with a tie across the cut: parts by number of rows."""
+    counts = model.table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("part")).agg(F.count("*").alias("n"))
+    return programs.top_k_with_ties(counts, "n", 5, ["part"])
 
 
 def zero_view_rule_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -85,6 +138,18 @@ def queries() -> dict[str, Query]:
     q["zero_view_rule_empty_channel"] = zero_view_rule_empty_channel
     q["csv_arity_and_number_guard"] = csv_arity_and_number_guard
     q["category_json_dictionary"] = category_json_dictionary
+    q["category_json_last_item_wins"] = category_json_last_item_wins
+    q["channel_rows_with_headers"] = lambda s, d: programs.channel_row_count(_regional(s, d))
+    q["channel_videos_without_headers"] = lambda s, d: programs.channel_video_count(_regional(s, d))
+    q["views_by_region"] = views_by_region
+    q["latin1_titles"] = latin1_titles
+    q["united_regions"] = united_regions
+    q["report_round_trip"] = report_round_trip
+    q["top_parts_with_ties"] = top_parts_with_ties
+    q["tied_views_channel_totals"] = lambda s, d: programs.channel_totals(model.with_tied_views(_snaps(s, d)))
+    q["tied_views_channel_videos"] = lambda s, d: programs.channel_video_count(model.with_tied_views(_snaps(s, d)))
+    q["category_views_bad_ids"] = _with_categories(
+        lambda snaps, cats: programs.category_views(model.with_bad_categories(snaps), cats))
     q["stat_correlations"] = lambda s, d: programs.stat_correlation(_snaps(s, d), digits=6)
     return q
 

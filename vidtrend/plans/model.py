@@ -12,9 +12,9 @@ onto ``SNAPSHOT_SCHEMA`` (the same mapping is written as SQL in
 * views, likes, dislikes and comments come from the price, quantity, discount
   and tax.
 
-Category dictionaries are derived from the snapshots: every (region,
-category) that occurs, except category 29 and region ``MI``, which therefore
-exercise the fallback labels.
+Category dictionaries come from the region table alone: every region but
+``MI`` has the ids 1 to 50 without 29, so that region and that id exercise the
+fallback labels.
 """
 
 from __future__ import annotations
@@ -23,19 +23,14 @@ import os
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from vidtrend.operators.lookup import rows_within_bound
 from vidtrend.schema import PLACEHOLDER_IDS, SNAPSHOT_COLUMNS
-from vidtrend.session import ensure_checkpoint_dir
-
-# Dimension tables up to this many rows (a few tens of MB of the projected
-# columns) are broadcast; larger ones are joined by sort-merge.
-DIMENSION_MAX_ROWS = 2_000_000
 
 # Model parameters (also used by the SQL oracle).
 NAME_LINE, VALUE_LINE = 7, 6          # line numbers carrying the error codes
 UNLABELLED_CATEGORY = 29              # no dictionary title anywhere
 REGION_WITHOUT_DICTIONARY = "MI"
 TITLE_BUCKETS = 20                    # ids i and i+20 share a title
+LAST_CATEGORY = 50                    # ids of a dictionary: 1 to this
 
 
 # Columns the model reads, with their stored types: declaring them skips the
@@ -73,18 +68,15 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     region = table(spark, sf_dir, "region").select(
         "r_regionkey", F.upper(F.substring("r_name", 1, 2)).alias("region"))
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    # Every dimension joins the fact rows directly.  One job counts all four
-    # exactly; a dimension within DIMENSION_MAX_ROWS is broadcast, a larger
-    # one is joined by sort-merge (at 100 TB: part and supplier), whatever the
-    # planner's file-size estimate would suggest.
-    dims = {"part": part, "supplier": supplier, "nation": nation, "region": region}
-    small = rows_within_bound(dims, DIMENSION_MAX_ROWS)
-    side = {k: F.broadcast(v) if small[k] else v.hint("merge") for k, v in dims.items()}
+    # The three small dimensions meet first, so a fact row is probed twice.
+    # No hints: the planner's byte threshold and adaptive execution decide.
+    channels = (supplier
+                .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+                .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+                .select("s_suppkey", "s_name", "region"))
     rows = (li
-            .join(side["part"], F.col("l_partkey") == F.col("p_partkey"))
-            .join(side["supplier"], F.col("l_suppkey") == F.col("s_suppkey"))
-            .join(side["nation"], F.col("s_nationkey") == F.col("n_nationkey"))
-            .join(side["region"], F.col("n_regionkey") == F.col("r_regionkey")))
+            .join(part, F.col("l_partkey") == F.col("p_partkey"))
+            .join(channels, F.col("l_suppkey") == F.col("s_suppkey")))
     name_code, value_code = PLACEHOLDER_IDS
     video_id = (F.when(F.col("l_linenumber") == NAME_LINE, F.lit(name_code))
                 .when(F.col("l_linenumber") == VALUE_LINE, F.lit(value_code))
@@ -103,24 +95,29 @@ def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).select(*SNAPSHOT_COLUMNS)
 
 
-def categories(snaps: DataFrame, materialize: bool = True) -> DataFrame:
-    """``(region, category_id, title)`` for every category seen in a region.
-
-    One pass over the snapshots' key columns (a distinct with map-side
-    combining).  ``materialize`` checkpoints the small result into the
-    session's checkpoint folder, so the size check before its broadcast and
-    the query itself read it instead of deriving it twice."""
+def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``(region, category_id, title)``: the dictionaries, from the region table."""
+    region = table(spark, sf_dir, "region").select(F.upper(F.substring("r_name", 1, 2)).alias("region"))
     title = F.concat(F.lit("Category "), (F.col("category_id") % TITLE_BUCKETS).cast("string"))
-    cats = (snaps
-            .where((F.col("region") != REGION_WITHOUT_DICTIONARY)
-                   & (F.col("category_id") != UNLABELLED_CATEGORY))
-            .select("region", "category_id")
-            .distinct()
+    return (region.where(F.col("region") != REGION_WITHOUT_DICTIONARY)
+            .select("region", F.explode(F.sequence(F.lit(1), F.lit(LAST_CATEGORY))).alias("category_id"))
+            .where(F.col("category_id") != UNLABELLED_CATEGORY)
             .withColumn("title", title))
-    if materialize:
-        ensure_checkpoint_dir(snaps.sparkSession)
-        cats = cats.checkpoint(eager=True)
-    return cats
+
+
+def with_bad_categories(snaps: DataFrame) -> DataFrame:
+    """Every tenth quantity carries a category that is not a number, in regions
+    with and without a dictionary."""
+    bad = F.col("likes") % 10 == 3
+    return snaps.withColumns({
+        "category_raw": F.when(bad, F.lit("x")).otherwise(F.col("category_raw")),
+        "category_id": F.when(~bad, F.col("category_id"))})
+
+
+def with_tied_views(snaps: DataFrame) -> DataFrame:
+    """Views cut to a few values per category: the best views of most videos
+    tie between snapshots with other statistics and channels (D7)."""
+    return snaps.withColumn("views", F.col("category_id").cast("bigint") % 3)
 
 
 def events_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -149,6 +146,16 @@ BAD_VIEWS_LINE = 3                    # views "abc"
 BAD_CATEGORY_LINE = 5                 # category "x" (only category programs need it)
 QUOTED_TITLE_LINE = 2                 # title with doubled quotes; likes empty when status 'O'
 PADDED_LINE = 1                       # blanks / tab around fields, "+" before a count
+# On the padded line, by order key modulo CASES:
+CASES = 1009
+WIDE = 21_000                         # commas: more fields than a CSV parser's usual limit
+WIDE_LINE, WIDE_QUOTED = 1, 2         # too many fields; the same commas inside one quoted field
+ESCAPED_QUOTE = (3, 40)               # backslash before a quote
+STRAY_QUOTE = (41, 80)                # quoted part inside an unquoted field
+DELETE_CHARACTER = (81, 120)          # number followed by U+007F
+OPEN_QUOTE = (121, 160)               # the closing quote is escaped
+HEADER_LINE = 7                       # line number with a header before and an empty line after it
+HEADER_TEXT = "video_id,x,title,channel_title,category_id,x,x,views,likes,dislikes,comment_count,x,x,x,x,x"
 
 
 def snapshot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -175,10 +182,19 @@ def snapshot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         s(F.round("l_quantity").cast("bigint")))
     comments = F.when(ln == PADDED_LINE, F.concat(F.lit("+"), s(_cents("l_tax")))).otherwise(
         s(_cents("l_tax")))
+    # Hard cases for the field cutting, on the padded line of some orders.
+    case = F.when(ln == PADDED_LINE, F.col("l_orderkey") % CASES)
+    title = (F.when(case == WIDE_QUOTED, F.concat(F.lit('"'), F.repeat(F.lit("a,"), WIDE), F.lit('"')))
+             .when(case.between(*ESCAPED_QUOTE), F.lit('"a\\"b"'))
+             .when(case.between(*STRAY_QUOTE), F.lit('a "b, c" d'))
+             .when(case.between(*OPEN_QUOTE), F.lit('"a\\"'))
+             .otherwise(title))
+    views = F.when(case.between(*DELETE_CHARACTER), F.concat(views, F.lit("\x7f"))).otherwise(views)
     # Fields 11-15 are the literal "x"; a short line has one fewer, a long one
     # one more, so only the tail differs.
     tail = (F.when(ln == SHORT_LINE, F.lit(",x" * 4))
             .when(ln == LONG_LINE, F.lit(",x" * 6))
+            .when(case == WIDE_LINE, F.repeat(F.lit(",x"), WIDE))
             .otherwise(F.lit(",x" * 5)))
     line = F.concat(video_id, F.lit(",x,"), title, F.lit(","), channel, F.lit(","), category,
                     F.lit(",x,x,"), views, F.lit(","), likes, F.lit(","), s(_cents("l_discount")),
@@ -186,3 +202,16 @@ def snapshot_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Exploding a one-element array materialises the line once: the scan's
     # filters cannot be pushed below a generator and re-evaluate the builder.
     return li.select(F.explode(F.array(line)).alias("value"))
+
+
+def regional_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Simple snapshot lines (``value``) of two regional files (``file_name``),
+    with a header line before and an empty line after some of them, for the
+    rules P2, P2a, P2b, P7 and S3."""
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_linestatus")
+    line = F.concat_ws(",", F.concat(F.lit("v"), F.col("l_partkey")), F.lit("x"), F.lit("Café"),
+                       F.concat(F.lit("ch"), F.col("l_suppkey")), F.lit("1,x,x"), F.col("l_orderkey"), F.col("l_linenumber"),
+                       F.lit("1,1,x,x,x,x,x"))
+    around = F.when((F.col("l_linenumber") == HEADER_LINE), F.array(F.lit(HEADER_TEXT), line, F.lit(""))).otherwise(F.array(line))
+    name = F.when(F.col("l_linestatus") == "O", F.lit("INvideos.csv")).otherwise(F.lit("USvideos.csv"))
+    return li.select(F.explode(around).alias("value"), name.alias("file_name"))

@@ -9,8 +9,9 @@ bigint, ranks to int.
 from __future__ import annotations
 
 from vidtrend.plans.model import (
-    BAD_CATEGORY_LINE, BAD_VIEWS_LINE, LONG_LINE, NAME_LINE, QUOTED_TITLE_LINE,
-    REGION_WITHOUT_DICTIONARY, SHORT_LINE, TITLE_BUCKETS, UNLABELLED_CATEGORY, VALUE_LINE,
+    BAD_CATEGORY_LINE, BAD_VIEWS_LINE, CASES, DELETE_CHARACTER, ESCAPED_QUOTE, HEADER_LINE, LAST_CATEGORY,
+    LONG_LINE, NAME_LINE, OPEN_QUOTE, PADDED_LINE, QUOTED_TITLE_LINE, REGION_WITHOUT_DICTIONARY, SHORT_LINE,
+    STRAY_QUOTE, TITLE_BUCKETS, UNLABELLED_CATEGORY, VALUE_LINE, WIDE, WIDE_LINE, WIDE_QUOTED,
 )
 from vidtrend.schema import STATS
 
@@ -40,12 +41,19 @@ snapi AS (
   FROM snap
 ),
 cats AS (
-  SELECT DISTINCT region, category_id,
-         'Category ' || CAST(category_id % {TITLE_BUCKETS} AS VARCHAR) AS title
-  FROM snap
-  WHERE region <> '{REGION_WITHOUT_DICTIONARY}' AND category_id <> {UNLABELLED_CATEGORY}
+  SELECT upper(substr(r_name, 1, 2)) AS region, CAST(i AS INTEGER) AS category_id,
+         'Category ' || CAST(i % {TITLE_BUCKETS} AS VARCHAR) AS title
+  FROM region, range(1, {LAST_CATEGORY} + 1) AS ids(i)
+  WHERE upper(substr(r_name, 1, 2)) <> '{REGION_WITHOUT_DICTIONARY}' AND i <> {UNLABELLED_CATEGORY}
 )"""
 
+# The same snapshots with bad category ids, and with tied views.
+BAD_SNAPSHOTS = SNAPSHOTS_CTE.replace("CAST(p.p_size AS VARCHAR) AS category_raw", """
+         CASE WHEN CAST(round(l.l_quantity) AS BIGINT) % 10 = 3 THEN 'x' ELSE CAST(p.p_size AS VARCHAR) END AS category_raw""").replace(
+    "p.p_size AS category_id", "CASE WHEN CAST(round(l.l_quantity) AS BIGINT) % 10 = 3 THEN NULL ELSE p.p_size END AS category_id")
+TIED_SNAPSHOTS = SNAPSHOTS_CTE.replace("CAST(round(l.l_extendedprice * 100) AS BIGINT) AS views",
+                                       "CAST(p.p_size % 3 AS BIGINT) AS views")
+
 EVENTS_CTE = """
 snapi AS (
   SELECT CAST(event_id AS VARCHAR) AS identity, event_type AS channel,
@@ -55,6 +63,7 @@ snapi AS (
 )"""
 
 ORDER = "views DESC, likes DESC, dislikes DESC, comments DESC"
+NULLS_LAST = "views DESC, likes DESC NULLS LAST, dislikes DESC NULLS LAST, comments DESC NULLS LAST"
 
 
 def _best(payload: str, where: str = "views IS NOT NULL AND likes IS NOT NULL "
@@ -73,14 +82,18 @@ def _others(stat: str) -> str:
     return ", ".join(s for s in STATS if s != stat)
 
 
-CHANNEL_TOTALS = f"""
-WITH {SNAPSHOTS_CTE}, {_best("channel")},
+def _channel_totals(snapshots: str) -> str:
+    return f"""
+WITH {snapshots}, {_best("channel")},
 tot AS (
   SELECT channel, CAST(sum(views) AS BIGINT) AS views, CAST(sum(likes) AS BIGINT) AS likes,
          CAST(sum(dislikes) AS BIGINT) AS dislikes, CAST(sum(comments) AS BIGINT) AS comments
   FROM best GROUP BY channel
 )"""
 
+
+CHANNEL_TOTALS = _channel_totals(SNAPSHOTS_CTE)
+
 VIDEO_TABLE = f"""
 WITH {SNAPSHOTS_CTE}, {_best("token")},
 vid AS (
@@ -106,18 +119,43 @@ tot AS (
     ON t.category_id = c.category_id
 )"""
 
-CHANNEL_OF_VIDEO = f"""
-WITH {SNAPSHOTS_CTE},
+def _channel_of_video(snapshots: str) -> str:
+    return f"""
+WITH {snapshots},
 best AS (
   SELECT identity, CASE WHEN views > 0 THEN channel ELSE '' END AS channel FROM (
-    SELECT identity, channel, views,
-           row_number() OVER (PARTITION BY identity ORDER BY views DESC, channel DESC) AS rn
+    SELECT identity, channel, views, likes, dislikes, comments,
+           row_number() OVER (PARTITION BY identity ORDER BY {NULLS_LAST}, channel DESC) AS rn
     FROM snapi WHERE views IS NOT NULL
   ) WHERE rn = 1
 ),
 cnt AS (SELECT channel, count(*) AS n FROM best GROUP BY channel)"""
 
 
+CHANNEL_OF_VIDEO = _channel_of_video(SNAPSHOTS_CTE)
+
+
+def _category_views(snapshots: str) -> str:
+    return f"""
+WITH {snapshots},
+d5 AS (
+  SELECT video_id, title, region, category_raw, category_id, greatest(max(views), 0) AS views
+  FROM snap WHERE views IS NOT NULL
+  GROUP BY video_id, title, region, category_raw, category_id
+),
+known AS (SELECT DISTINCT region FROM cats),
+labelled AS (
+  SELECT CASE WHEN k.region IS NOT NULL AND c.title IS NOT NULL THEN c.title
+              ELSE d.region || '_' || d.category_raw END AS label,
+         d.views
+  FROM d5 d
+  LEFT JOIN known k ON d.region = k.region
+  LEFT JOIN cats c ON d.region = c.region AND d.category_id = c.category_id
+  WHERE k.region IS NULL OR d.category_id IS NOT NULL
+)
+SELECT label, CAST(sum(views) AS BIGINT) AS views FROM labelled GROUP BY label ORDER BY label"""
+
+
 def _sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["channel_row_count"] = f"WITH {SNAPSHOTS_CTE} SELECT channel, count(*) AS n FROM snap GROUP BY channel"
@@ -141,24 +179,39 @@ SELECT n, channel, CAST(rnk AS INTEGER) AS rank FROM (
             f"{CATEGORY_TOTALS} SELECT {stat}, label, {_others(stat)}, category_id FROM tot "
             f"ORDER BY {stat} DESC, label, category_id")
     q["placeholder_identity"] = f"{VIDEO_TABLE} SELECT * FROM vid WHERE video_id = 'N/A'"
-    q["category_views_all_regions"] = f"""
-WITH {SNAPSHOTS_CTE},
-d5 AS (
-  SELECT video_id, title, region, category_raw, category_id, greatest(max(views), 0) AS views
-  FROM snap WHERE views IS NOT NULL
-  GROUP BY video_id, title, region, category_raw, category_id
-),
-known AS (SELECT DISTINCT region FROM cats),
-labelled AS (
-  SELECT CASE WHEN k.region IS NOT NULL AND c.title IS NOT NULL THEN c.title
-              ELSE d.region || '_' || d.category_raw END AS label,
-         d.views
-  FROM d5 d
-  LEFT JOIN known k ON d.region = k.region
-  LEFT JOIN cats c ON d.region = c.region AND d.category_id = c.category_id
-  WHERE k.region IS NULL OR d.category_id IS NOT NULL
-)
-SELECT label, CAST(sum(views) AS BIGINT) AS views FROM labelled GROUP BY label ORDER BY label"""
+    q["category_views_all_regions"] = _category_views(SNAPSHOTS_CTE)
+    q["category_views_bad_ids"] = _category_views(BAD_SNAPSHOTS)
+    q["tied_views_channel_totals"] = f"{_channel_totals(TIED_SNAPSHOTS)} SELECT channel, views, likes, dislikes, comments FROM tot"
+    q["tied_views_channel_videos"] = f"{_channel_of_video(TIED_SNAPSHOTS)} SELECT channel, n FROM cnt"
+    q["united_regions"] = f"{CHANNEL_TOTALS} SELECT channel, views, likes, dislikes, comments FROM tot"
+    q["report_round_trip"] = f"""{CHANNEL_TOTALS}
+SELECT views, channel || chr(9) || chr(92) || 't' AS channel, likes, dislikes, comments FROM tot"""
+    q["top_parts_with_ties"] = """
+SELECT part, n, CAST(rnk AS INTEGER) AS rank FROM (
+  SELECT part, n, rank() OVER (ORDER BY n DESC) AS rnk FROM (
+    SELECT l_partkey AS part, count(*) AS n FROM lineitem GROUP BY l_partkey)
+) WHERE rnk <= 5"""
+    q["category_json_last_item_wins"] = f"""WITH {SNAPSHOTS_CTE}
+SELECT region, category_id, title FROM cats WHERE region = '{CATEGORY_REGION}'"""
+    headers = f"SELECT count(*) FROM lineitem WHERE l_linenumber = {HEADER_LINE}"
+    q["channel_rows_with_headers"] = f"""
+SELECT 'ch' || CAST(l_suppkey AS VARCHAR) AS channel, count(*) AS n FROM lineitem GROUP BY l_suppkey
+UNION ALL SELECT 'channel_title', ({headers}) WHERE ({headers}) > 0"""
+    q["channel_videos_without_headers"] = """
+SELECT channel, count(*) AS n FROM (
+  SELECT l_partkey, 'ch' || CAST(l_suppkey AS VARCHAR) AS channel,
+         row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey DESC, l_linenumber DESC,
+                            'ch' || CAST(l_suppkey AS VARCHAR) DESC) AS rn,
+         l_orderkey AS views
+  FROM lineitem
+) WHERE rn = 1 AND views > 0 GROUP BY channel"""
+    q["views_by_region"] = """
+SELECT CASE WHEN l_linestatus = 'O' THEN 'IN' ELSE 'US' END AS region, count(*) AS n,
+       CAST(sum(l_orderkey) AS BIGINT) AS views
+FROM lineitem GROUP BY 1"""
+    q["latin1_titles"] = f"""
+SELECT 'Café' AS title, count(*) AS n FROM lineitem HAVING count(*) > 0
+UNION ALL SELECT 'title', ({headers}) WHERE ({headers}) > 0"""
     q["zero_view_rule_drop"] = f"""
 WITH {EVENTS_CTE}, {_best("channel")}
 SELECT channel, CAST(sum(views) AS BIGINT) AS views, CAST(sum(likes) AS BIGINT) AS likes,
@@ -168,16 +221,20 @@ FROM best GROUP BY channel"""
 WITH {EVENTS_CTE},
 best AS (
   SELECT identity, CASE WHEN views > 0 THEN channel ELSE '' END AS channel FROM (
-    SELECT identity, channel, views,
-           row_number() OVER (PARTITION BY identity ORDER BY views DESC, channel DESC) AS rn
+    SELECT identity, channel, views, likes, dislikes, comments,
+           row_number() OVER (PARTITION BY identity ORDER BY {NULLS_LAST}, channel DESC) AS rn
     FROM snapi WHERE views IS NOT NULL
   ) WHERE rn = 1
 )
 SELECT channel, count(*) AS n FROM best GROUP BY channel"""
+    case = f"CASE WHEN l_linenumber = {PADDED_LINE} THEN l_orderkey % {CASES} END"
     q["csv_arity_and_number_guard"] = f"""
 SELECT CASE WHEN l_linenumber = {NAME_LINE} THEN '#NAME?'
             ELSE 'v' || CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) END AS video_id,
        CASE WHEN l_linenumber = {QUOTED_TITLE_LINE} THEN 'Say "' || l_returnflag || '"'
+            WHEN {case} = {WIDE_QUOTED} THEN repeat('a,', {WIDE})
+            WHEN {case} BETWEEN {ESCAPED_QUOTE[0]} AND {ESCAPED_QUOTE[1]} THEN 'a"b'
+            WHEN {case} BETWEEN {STRAY_QUOTE[0]} AND {STRAY_QUOTE[1]} THEN 'a "b, c" d'
             ELSE 'Item, ' || l_returnflag END AS title,
        l_returnflag || l_linestatus AS channel,
        CASE WHEN l_linenumber = {BAD_CATEGORY_LINE} THEN 'x' ELSE CAST(l_linenumber AS VARCHAR) END AS category_raw,
@@ -188,7 +245,10 @@ SELECT CASE WHEN l_linenumber = {NAME_LINE} THEN '#NAME?'
        CAST(round(l_tax * 100) AS BIGINT) AS comments
 FROM lineitem
 WHERE l_linenumber NOT IN ({SHORT_LINE}, {LONG_LINE}, {BAD_VIEWS_LINE})
-  AND NOT (l_linenumber = {QUOTED_TITLE_LINE} AND l_linestatus = 'O')"""
+  AND NOT (l_linenumber = {QUOTED_TITLE_LINE} AND l_linestatus = 'O')
+  AND NOT coalesce({case} = {WIDE_LINE}
+                   OR {case} BETWEEN {DELETE_CHARACTER[0]} AND {DELETE_CHARACTER[1]}
+                   OR {case} BETWEEN {OPEN_QUOTE[0]} AND {OPEN_QUOTE[1]}, false)"""
     q["category_json_dictionary"] = f"WITH {SNAPSHOTS_CTE} SELECT region, category_id, title FROM cats"
     pairs = [(a, b) for i, a in enumerate(STATS) for b in STATS[i + 1:]]
     corr_rows = " UNION ALL ".join(

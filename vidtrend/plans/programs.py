@@ -4,7 +4,7 @@ category queries, a dictionary frame (``sources.read_categories``).
 
 Typical plans (see README): scan -> filter -> partial aggregate -> hash
 shuffle -> final aggregate [-> partial roll-up -> shuffle -> final] ->
-broadcast lookup of a size-checked dictionary -> range shuffle -> sort.
+lookup in the dictionary -> range shuffle -> sort.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from vidtrend.operators.dedup import (
     best_category_snapshot, best_channel_snapshot, best_video, channel_of_video, max_views,
 )
 from vidtrend.operators.lookup import label_by_region, label_one_region
-from vidtrend.operators.rank import rank_report, top_k, top_k_with_ties
+from vidtrend.operators.rank import rank_report, report_columns, top_k, top_k_with_ties
 from vidtrend.operators.rollup import count_by, totals_by, views_by
 from vidtrend.operators.stats import stat_correlations
 from vidtrend.schema import (
@@ -79,7 +79,7 @@ def most_viewed_channels(snapshots: DataFrame) -> DataFrame:
 
 def top_viewed_channels(snapshots: DataFrame, k: int = 5) -> DataFrame:
     """Q9 (O7): the head of Q3."""
-    return top_k(most_viewed_channels(snapshots), "views", k, ["channel"])
+    return head_of(channel_totals(snapshots), "views", ["channel"], k)
 
 
 # --- Q5: category statistics with one region's dictionary ------------------
@@ -121,9 +121,15 @@ def video_stats(snapshots: DataFrame, stat: str = "views") -> DataFrame:
 
 def category_views(snapshots: DataFrame, categories: DataFrame) -> DataFrame:
     """Q7 (D5, J1, A5): ``(label, views)``.  Highest views per (id, title,
-    region, category) - zero-view keys stay - then each row is labelled with
-    its own region's dictionary *before* summing, so ids with one title merge."""
-    return views_by(label_by_region(_category_max_views(snapshots), categories), "label")
+    region, category) - zero-view keys stay - summed per region and category;
+    each of these few rows is labelled with its own region's dictionary, and
+    labels are summed again, so ids with one title merge."""
+    return _labelled_views(_category_max_views(snapshots), categories)
+
+
+def _labelled_views(best: DataFrame, categories: DataFrame) -> DataFrame:
+    by_category = best.groupBy("region", "category_raw", "category_id").agg(F.sum("views").cast("bigint").alias("views"))
+    return views_by(label_by_region(by_category, categories), "label")
 
 
 def _category_max_views(snapshots: DataFrame) -> DataFrame:
@@ -142,15 +148,16 @@ def stat_correlation(snapshots: DataFrame, digits: int | None = None) -> DataFra
 
 # --- whole programs: stage + four written rankings (S6, S7) --------------------
 
-def head_of(report: DataFrame, stat: str, names: list[str], k: int | None = None,
+def head_of(totals: DataFrame, stat: str, names: list[str], k: int | None = None,
             with_ties: bool = False, extra: tuple[str, ...] = ()) -> DataFrame:
-    """Q9: the whole ranked report (``k`` None), its first ``k`` rows (O7), or
-    its top ``k`` with whole tie groups and a ``rank`` column (O6)."""
+    """Q9: the totals ranked (``k`` None), their first ``k`` rows (O7), or their
+    top ``k`` with whole tie groups and a ``rank`` column (O6)."""
     if k is None:
-        return report
+        return rank_report(totals, stat, names, extra=extra)
+    rows = totals.select(*report_columns(stat, names, extra=extra))
     if with_ties:
-        return top_k_with_ties(report, stat, k, [*names, *extra])
-    return top_k(report, stat, k, [*names, *extra])
+        return top_k_with_ties(rows, stat, k, [*names, *extra])
+    return top_k(rows, stat, k, [*names, *extra])
 
 
 def write_stats_reports(totals: DataFrame, out_prefix: str, names: list[str],
@@ -164,29 +171,65 @@ def write_stats_reports(totals: DataFrame, out_prefix: str, names: list[str],
     written = {stage_name: os.path.join(out_prefix, "_stages", stage_name)}
     if fmt == "tsv":
         # the stage in the original text layout: names, then likes, dislikes,
-        # comments, views (then the category id, when there is one)
+        # comments, views
         path = os.path.join(out_prefix, stage_name)
-        write_report(stage.select(*names, "likes", "dislikes", "comments", "views", *extra), path)
+        write_report(stage.select(*names, "likes", "dislikes", "comments", "views"), path)
         written[stage_name] = path
     for stat, report in REPORT_NAMES.items():
         path = os.path.join(out_prefix, report)
-        ranked = head_of(rank_report(stage, stat, names, extra=extra), stat, names, k, with_ties, extra)
+        # ``extra`` columns only settle ties: they are not part of the files
+        ranked = head_of(stage, stat, names, k, with_ties, extra).drop(*extra)
         write_report(ranked, path, fmt=fmt)
         written[report] = path
     return written
 
 
+def _stats_stage(best: DataFrame, names: list[str], out_prefix: str, fmt: str) -> DataFrame:
+    """Keep ``Inter_1``: the best snapshot of every video, names first, then
+    likes, dislikes, comments, views."""
+    return _keep_stage(best.select(*names, "likes", "dislikes", "comments", "views"), out_prefix, STAGE_1, fmt)
+
+
 def run_channel_stats(snapshots: DataFrame, out_prefix: str, fmt: str = "tsv",
-                      k: int | None = None, with_ties: bool = False) -> dict[str, str]:
-    return write_stats_reports(channel_totals(snapshots), out_prefix, ["channel"], fmt=fmt,
-                               k=k, with_ties=with_ties)
+                      k: int | None = None, with_ties: bool = False, save_stages: bool = False) -> dict[str, str]:
+    """Q4 as a program.  ``save_stages`` also keeps ``Inter_1``, one row per video."""
+    if not save_stages:
+        totals = channel_totals(snapshots)
+    else:
+        best = best_channel_snapshot(with_identity(valid_rows(snapshots, REQUIRE_STATS)))
+        totals = totals_by(_stats_stage(best, ["channel"], out_prefix, fmt), "channel")
+    return write_stats_reports(totals, out_prefix, ["channel"], fmt=fmt, k=k, with_ties=with_ties)
+
+
+def run_viewed_channels(snapshots: DataFrame, out_prefix: str, fmt: str = "tsv", k: int | None = None,
+                        with_ties: bool = False, save_stages: bool = False) -> str:
+    """Q3 as a program: the ranking by views; ``save_stages`` also keeps
+    ``Inter_1`` (one row per video) and ``Inter_2`` (the totals)."""
+    if save_stages:
+        best = best_channel_snapshot(with_identity(valid_rows(snapshots, REQUIRE_STATS)))
+        best = _stats_stage(best, ["channel"], out_prefix, fmt)
+        totals = totals_by(best, "channel").select("channel", "likes", "dislikes", "comments", "views")
+        totals = _keep_stage(totals, out_prefix, STAGE_2, fmt)
+    else:
+        totals = channel_totals(snapshots)
+    path = os.path.join(out_prefix, REPORT_NAMES["views"])
+    write_report(head_of(totals, "views", ["channel"], k, with_ties), path, fmt=fmt)
+    return path
 
 
 def run_category_stats(snapshots: DataFrame, categories: DataFrame, region: str,
                        out_prefix: str, fmt: str = "tsv", k: int | None = None,
-                       with_ties: bool = False) -> dict[str, str]:
-    return write_stats_reports(category_totals(snapshots, categories, region), out_prefix,
-                               ["label"], extra=("category_id",), fmt=fmt, k=k, with_ties=with_ties)
+                       with_ties: bool = False, save_stages: bool = False) -> dict[str, str]:
+    """Q5 as a program.  ``save_stages`` also keeps ``Inter_1`` (category id and
+    statistics of every video)."""
+    if not save_stages:
+        totals = category_totals(snapshots, categories, region)
+    else:
+        best = best_category_snapshot(with_identity(valid_rows(snapshots, REQUIRE_STATS_AND_CATEGORY)))
+        best = _stats_stage(best, ["category_id"], out_prefix, fmt)
+        totals = label_one_region(totals_by(best, "category_id"), categories, region)
+    return write_stats_reports(totals, out_prefix, ["label"], extra=("category_id",), fmt=fmt, k=k,
+                               with_ties=with_ties)
 
 
 def run_video_stats(snapshots: DataFrame, out_prefix: str, fmt: str = "tsv",
@@ -227,7 +270,7 @@ def run_category_views(snapshots: DataFrame, categories: DataFrame, out_prefix:
         if fmt == "tsv":
             write_report(best.select("region", "category_raw", "views"), os.path.join(out_prefix, STAGE_1))
     path = os.path.join(out_prefix, CATEGORY_VIEWS_REPORT)
-    write_report(views_by(label_by_region(best, categories), "label").orderBy("label"), path, fmt=fmt)
+    write_report(_labelled_views(best, categories).orderBy("label"), path, fmt=fmt)
     return path
 
 
