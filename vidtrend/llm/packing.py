@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vidtrend.llm.common import keep, small_batches
-from vidtrend.llm.tokens import ChunkEncoder
+from vidtrend.llm.tokens import shared_encoder
 
 PIECES = ("doc_id long, source string, start long, length long, doc_tokens long, "
           "sequence_id long, offset long, ids binary")
@@ -40,7 +40,7 @@ def tokenize(documents: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     small_batches(documents.sparkSession)
 
     def run(batches):
-        encoder = ChunkEncoder(tokenizer)
+        encoder = shared_encoder(tokenizer)
         for pdf in batches:
             ids = encoder.encode_all(pdf["text"].tolist(), [end_id])
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "source": pdf["source"],

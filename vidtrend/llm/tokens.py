@@ -2,21 +2,35 @@
 
 The tokenizer drops white space and never joins across it, so the ids of a text
 are those of its white-space separated chunks in turn.  Chunks repeat, and are
-encoded once per task.
+encoded once.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 from itertools import accumulate
+from types import ModuleType
 
 import numpy as np
 
 CHUNKS = re.compile(r"[^ \t\n\r]+").findall
+#: Characters at which str.split() cuts and the tokenizer does not.
+SEPARATORS = re.compile("[\x1c-\x1f]").search
 #: Characters whose normalized form keeps its place.
 PLAIN = re.compile(r"[!-~¡-įı-ɏ]+").fullmatch
 JOINED = 256
-CACHE = 400_000
+#: Distinct chunks kept from task to task; those met when it is full are kept for a batch.
+CACHE = 1_000_000
+
+
+def shared_encoder(path: str) -> "ChunkEncoder":
+    """The encoder of this Python worker, which Spark keeps for many tasks."""
+    state = sys.modules.setdefault("vidtrend_worker_state", ModuleType("vidtrend_worker_state"))
+    encoders = vars(state).setdefault("encoders", {})
+    if path not in encoders:
+        encoders[path] = ChunkEncoder(path)
+    return encoders[path]
 
 
 class ChunkEncoder:
@@ -29,24 +43,24 @@ class ChunkEncoder:
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
         self.marks = {m: self.coded(self.tokenizer.encode(m, add_special_tokens=False).ids) for m in ".,"}
 
-    def learn(self, chunks: list[str]) -> None:
-        words = self.words
+    def learn(self, chunks: list[str]) -> list[str]:
+        """Make every chunk known; returns the words added besides them."""
+        known = self.known
         # letters with a stop or comma: the ids of the lower-case letters, then of the mark
         ended = [(c, c[:-1].lower(), c[-1]) for c in chunks if c[-1] in self.marks and c[:-1].isalpha() and PLAIN(c)]
         bare = [(c, c.lower()) for c in chunks if c.isalpha() and PLAIN(c)]
-        self.encode_words(list({w for _, w, _ in ended}.union(w for _, w in bare).difference(words)))
-        self.known.update((c, words[w]) for c, w in bare)
-        self.known.update((c, words[w] + self.marks[m]) for c, w, m in ended)
-        rest = [c for c in chunks if c not in self.known]
-        others = [c for c in rest if PLAIN(c)]
-        self.encode_words([c for c in others if c not in words])
-        self.known.update((c, words[c]) for c in others)
-        rest = [c for c in rest if c not in self.known]
+        words = list({w for _, w, _ in ended}.union(w for _, w in bare).difference(known))
+        self.encode_words(words)
+        known.update((c, known[w]) for c, w in bare)
+        known.update((c, known[w] + self.marks[m]) for c, w, m in ended)
+        rest = [c for c in chunks if c not in known]
+        self.encode_words([c for c in rest if PLAIN(c)])
+        rest = [c for c in rest if c not in known]
         for c, enc in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
-            self.known[c] = self.coded(enc.ids)
+            known[c] = self.coded(enc.ids)
+        return words
 
     def encode_words(self, words: list[str]) -> None:
         """Many words in one call; the place of each id in the joined text tells its word."""
@@ -57,19 +71,20 @@ class ChunkEncoder:
             first = [0, *accumulate(len(c) + 1 for c in part)]
             at = (np.searchsorted([o[0] for o in enc.offsets], first) * width).tolist()
             ids = self.coded(enc.ids)
-            self.words.update((c, ids[a:b]) for c, a, b in zip(part, at, at[1:]))
+            self.known.update((c, ids[a:b]) for c, a, b in zip(part, at, at[1:]))
 
     def coded(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
 
     def encode_all(self, texts: list[str | None], end: list[int]) -> list[bytes]:
         """The ids of each text, followed by ``end``."""
-        if len(self.known) > CACHE:
-            self.known.clear()
-            self.words.clear()
-        split = [CHUNKS(t or "") for t in texts]
-        new = set().union(*split).difference(self.known)
-        if new:
-            self.learn(list(new))
-        last, of = self.coded(end), self.known.__getitem__
-        return [b"".join(map(of, chunks)) + last for chunks in split]
+        split = [CHUNKS(t) if SEPARATORS(t) else t.split() for t in (t or "" for t in texts)]
+        known = self.known
+        new = {c for chunks in split for c in chunks if c not in known}
+        words = self.learn(list(new)) if new else []
+        last, of = self.coded(end), known.__getitem__
+        out = [b"".join(map(of, chunks)) + last for chunks in split]
+        if len(known) > CACHE:
+            for c in new.union(words):
+                del known[c]
+        return out
