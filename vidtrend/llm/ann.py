@@ -86,11 +86,12 @@ class Forest:
             yield np.flatnonzero(found)
 
 
-def search(index: DataFrame, queries: DataFrame, k: int = 20, trees: int = 32, bits: int = 32, share: float = 0.55,
-           shard_rows: int = 8192, block_queries: int = 4096, seed: int = 3) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, k: int = 20, trees: int = 32, bits: int = 32, share: float = 0.6,
+           least: int = 2000, shard_rows: int = 8192, block_queries: int = 4096, seed: int = 3) -> DataFrame:
     """The ``k`` nearest found for each row of ``queries`` (query_id, vector) among ``index``
     (vec_id, vector): (query_id, rank, vec_id, score), rank from 1.  ``share``: the part of a
-    shard that a query looks at, which sets recall against work.
+    shard that a query looks at, and ``least`` rows of it at least, which sets recall
+    against work.
     """
     spark = index.sparkSession
     small_batches(spark, 5000)
@@ -109,7 +110,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, trees: int = 32, b
             ids, vectors = own["vec_id"].to_numpy(), np.stack(own["vector"].to_numpy()).astype(np.float64)
             wanted, query_ids = np.stack(asked["vector"].to_numpy()).astype(np.float64), asked["query_id"].to_numpy()
             forest = Forest(vectors, trees, bits, seed)
-            for q, near in enumerate(forest.candidates(wanted, max(k + 1, int(np.ceil(share * len(ids)))))):
+            for q, near in enumerate(forest.candidates(wanted, max(least, int(np.ceil(share * len(ids)))))):
                 near = near[ids[near] != query_ids[q]]
                 # row by row alike, so that equal vectors have equal scores
                 score = np.einsum("ij,j->i", vectors[near], wanted[q])

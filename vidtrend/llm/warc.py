@@ -84,7 +84,8 @@ def _parsed(value: Column) -> dict[str, Column]:
     start = F.octet_length(head) + len(END)
     content = F.when(F.size(parts) > 1, _header(head, "Content-Length", r"(\d{1,18})").cast("long"))
     body = start + F.octet_length(http) + len(END)
-    payload = F.substring(value.cast("binary"), (body + 1).cast("int"), (start + content - body).cast("int"))
+    payload = F.substring(value.cast("binary"), (body + 1).cast("int"),
+                          F.greatest(F.lit(0), F.least(start + content - body, F.lit((1 << 31) - 1))).cast("int"))
     kind = F.lower(_header(head, "WARC-Type", r"(\w+)"))
     stored = _header(head, "WARC-Payload-Digest", r"sha256:([0-9a-f]{64})")
     return {
