@@ -204,11 +204,9 @@ def link_fingerprints(distinct: DataFrame, max_bits: int = 2, block_rows: int =
     return sent.groupBy("block").applyInPandas(links, "a long, b long")
 
 
-def components(documents: DataFrame, shingle: int = 3, max_bits: int = 2, columns: list[str] | None = None) -> DataFrame:
-    """``documents`` (or their ``columns``) with ``fingerprint`` (16 hex digits) and
-    ``component_id``, the smallest doc_id of all documents linked directly or through others;
-    ``component`` names the component even where all its ids are null."""
-    carried = [c for c in columns or documents.columns if c.lower() not in ("fingerprint", "component_id", "component")]
+def _labelled(documents: DataFrame, carried: list[str], shingle: int, max_bits: int) -> tuple[DataFrame, str, DataFrame]:
+    """The carried columns with the fingerprint, its column's name, and for every
+    distinct fingerprint (fp, root, component_id)."""
     fp = fresh("fp", carried)
     prints = keep(fingerprints(documents, shingle, carried, fp), "prints")
     distinct = keep(prints.groupBy(F.col(fp).alias("fp")).agg(F.min("doc_id").alias("least")), "distinct")
@@ -217,16 +215,31 @@ def components(documents: DataFrame, shingle: int = 3, max_bits: int = 2, column
     named = (distinct.join(root, distinct["fp"] == root["node"], "left")
              .select("fp", F.coalesce("root", "fp").alias("root"), "least"))
     groups = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = keep(named.select("fp", "root").join(groups, "root").select("fp", "root", "component_id"), "named")
+    return prints, fp, keep(named.select("fp", "root").join(groups, "root").select("fp", "root", "component_id"), "named")
+
+
+def components(documents: DataFrame, shingle: int = 3, max_bits: int = 2, columns: list[str] | None = None) -> DataFrame:
+    """``documents`` (or their ``columns``) with ``fingerprint`` (16 hex digits) and
+    ``component_id``, the smallest doc_id of all documents linked directly or through others;
+    ``component`` names the component even where all its ids are null."""
+    carried = [c for c in columns or documents.columns if c.lower() not in ("fingerprint", "component_id", "component")]
+    prints, fp, named = _labelled(documents, carried, shingle, max_bits)
     return (prints.alias("d").join(named.alias("x"), F.col(f"d.{fp}") == F.col("x.fp"))
             .select(*[F.col(f"d.{c}") for c in carried],
-                    F.lpad(F.lower(F.hex(F.col("x.fp"))), 16, "0").alias("fingerprint"), F.col("x.component_id"), F.col("x.root").alias("component")))
+                    F.lpad(F.lower(F.hex(F.col("x.fp"))), 16, "0").alias("fingerprint"), F.col("x.component_id"),
+                    F.col("x.root").alias("component")))
 
 
 def one_of_each(documents: DataFrame, shingle: int = 3, max_bits: int = 2) -> DataFrame:
     """One document of each component: the one with its component's id, of repeated ids
-    the one with the smallest text.  A component passes one row per task to the choice."""
-    rank = fresh("rank", documents.columns)
-    found = components(documents, shingle, max_bits)
-    first = Window.partitionBy("component").orderBy(F.col("doc_id").asc_nulls_last(), F.col("text"))
-    return found.withColumn(rank, F.row_number().over(first)).where(F.col(rank) == 1).select(*documents.columns)
+    the one with the smallest text.  The first of each fingerprint is chosen before the
+    join, the first of each component after it; a task passes one row of each on."""
+    prints, fp, named = _labelled(documents, documents.columns, shingle, max_bits)
+    rank, root = fresh("rank", prints.columns), fresh("root", prints.columns)
+
+    def first(rows: DataFrame, group: str) -> DataFrame:
+        order = Window.partitionBy(group).orderBy(F.col("doc_id").asc_nulls_last(), F.col("text"))
+        return rows.withColumn(rank, F.row_number().over(order)).where(F.col(rank) == 1).drop(rank)
+
+    joined = first(prints, fp).join(named.select(F.col("fp").alias(fp), F.col("root").alias(root)), fp)
+    return first(joined, root).select(*documents.columns)

@@ -79,12 +79,15 @@ class ChunkEncoder:
     def encode_all(self, texts: list[str | None], end: list[int]) -> list[bytes]:
         """The ids of each text, followed by ``end``."""
         split = [CHUNKS(t) if SEPARATORS(t) else t.split() for t in (t or "" for t in texts)]
-        known = self.known
-        new = {c for chunks in split for c in chunks if c not in known}
+        known, last = self.known, self.coded(end)
+        found = [list(map(known.get, chunks)) for chunks in split]
+        gaps = [[k for k, ids in enumerate(parts) if ids is None] if None in parts else [] for parts in found]
+        new = {chunks[k] for chunks, open_ in zip(split, gaps) for k in open_}
         words = self.learn(list(new)) if new else []
-        last, of = self.coded(end), known.__getitem__
-        out = [b"".join(map(of, chunks)) + last for chunks in split]
+        for chunks, parts, open_ in zip(split, found, gaps):
+            for k in open_:
+                parts[k] = known[chunks[k]]
         if len(known) > CACHE:
             for c in new.union(words):
                 del known[c]
-        return out
+        return [b"".join(parts) + last for parts in found]
