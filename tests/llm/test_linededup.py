@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from vidtrend.llm import linededup, queries
 
+SF = "/root/testdata/sf0.01"
 FOLD = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 
 
@@ -51,9 +52,9 @@ def test_runs_are_compacted_and_counts_add_up(spark):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_run")]
 
 
-def test_query_equals_brute_force(spark, tiny):
-    rows = spark.read.parquet(f"{tiny}/documents.parquet").collect()
-    got = sorted(((r.doc_id, r.n_lines, r.n_dropped, r.kept_sha256) for r in queries.op10_line_dedup(spark, tiny).collect()), key=str)
+def test_query_equals_brute_force(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    got = sorted(((r.doc_id, r.n_lines, r.n_dropped, r.kept_sha256) for r in queries.op10_line_dedup(spark, SF).collect()), key=str)
     assert got == brute(rows)
 
 

@@ -61,15 +61,17 @@ class LineRuns:
         self._tables.append(name)
         return self.spark.table(name)
 
-    def _counted(self, runs: list[DataFrame]) -> DataFrame:
+    def _merged(self, runs: list[DataFrame]) -> DataFrame:
+        """The runs joined key by key, counts added; a full outer join of sorted runs merges them."""
         every = runs[0]
         for run in runs[1:]:
-            every = every.unionByName(run)
-        return every.groupBy(*KEY).agg(F.sum("n").alias("n"))
+            n = F.coalesce(F.col("a.n"), F.lit(0)) + F.coalesce(F.col("b.n"), F.lit(0))
+            every = every.alias("a").join(run.alias("b"), KEY, "full_outer").select(*KEY, n.alias("n"))
+        return every
 
     def _settle(self, runs: list[DataFrame]) -> DataFrame:
         """Merge runs: their frequent keys become a frequent run; the others are returned as one run."""
-        merged = self._run(self._counted(runs)) if len(runs) > 1 else runs[0]
+        merged = self._run(self._merged(runs)) if len(runs) > 1 else runs[0]
         self.frequent.append(self._run(merged.where(F.col("n") >= self.min_docs)))
         return merged.where(F.col("n") < self.min_docs)
 
@@ -88,13 +90,15 @@ class LineRuns:
             self._put(level + 1, self._run(self._settle(runs)))
 
     def finish(self) -> DataFrame:
-        """All frequent keys (h1, h2), written; the runs' table entries are dropped."""
+        """All frequent keys (h1, h2), each once, written; the runs' table entries are dropped."""
         if runs := [r for level in self.levels for r in level]:
             self._settle(runs)
             self.levels = []
         if self.frequent:
-            # a key counted after it became frequent elsewhere may stand in two runs
-            found = keep(self._counted(self.frequent).select(*KEY), "frequent")
+            found = self.frequent[0]
+            for run in self.frequent[1:]:
+                found = found.unionByName(run)
+            found = keep(found.select(*KEY), "frequent")
         else:
             found = self.spark.createDataFrame([], "h1 long, h2 long")
         for name in self._tables:
