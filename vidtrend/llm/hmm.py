@@ -32,9 +32,9 @@ from vidtrend.llm.common import keep, small_batches
 
 CLASSES = 256
 RUN = 256
-#: Tokens a task works on at once.
-CHUNK = 1_000_000
-DISTINCT = 300_000
+#: Tokens a task works on at once, in training and in scoring.
+CHUNK, SCORED = 400_000, 1_500_000
+DISTINCT = 120_000
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -67,14 +67,14 @@ class Vocabulary:
 
 def count_words(documents: DataFrame, head: int = 1 << 17, emitted: int = 1 << 13) -> Vocabulary:
     """Count the words of ``documents``; every task adds up its own before the shuffle."""
-    small_batches(documents.sparkSession)
+    small_batches(documents.sparkSession, 250)
 
     def count(batches):
         seen: Counter[bytes] = Counter()
         for pdf in batches:
             for text in pdf["text"]:
                 seen.update(words_of(text))
-            if len(seen) > DISTINCT:
+            if len(seen) > DISTINCT:  # a task's counts stay small, whatever its share of the corpus
                 yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
                 seen.clear()
         yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
@@ -108,7 +108,7 @@ def encode(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Each document as symbols: (row, doc_id, held_out, n_tokens, head_known, head_log,
     class_log, symbols, tail); ``tail`` are its words outside the head."""
     v, spark = vocabulary, documents.sparkSession
-    small_batches(spark)
+    small_batches(spark, 250)
     share = np.log10(v.class_count + v.class_size + 1.0)
     shared = spark.sparkContext.broadcast((v.head, np.log10(v.head_count + 1.0), share, v.emitted, v.ends))
 
@@ -161,45 +161,44 @@ def initial(unigram: np.ndarray, states: int, seed: int) -> Hmm:
     return Hmm(even, even, move / move.sum(1, keepdims=True), emit / emit.sum(0))
 
 
-def padded(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs as columns, longest first, and how many are alive at each step; and their order."""
+def lockstep(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Runs to be walked side by side, longest first: all symbols in a row, the place of
+    each run's first, how many runs are alive at each step, and the runs' order."""
     size = np.array([len(r) for r in runs])
     order = np.argsort(-size, kind="stable")
-    grid = np.zeros((size.max(), len(runs)), dtype=np.int64)
-    for k, r in enumerate(order):
-        grid[:size[r], k] = runs[r]
-    alive = np.searchsorted(-size[order], -np.arange(size.max()), side="left")
-    return grid, alive, order
+    size = size[order]
+    start = np.concatenate(([0], np.cumsum(size)[:-1]))
+    alive = np.searchsorted(-size, -np.arange(size[0]), side="left")
+    return np.concatenate([runs[k] for k in order]).astype(np.int32), start, alive, order
 
 
 def expected_counts(model: Hmm, runs: list[np.ndarray], first: np.ndarray):
     """Baum-Welch sums over runs of symbols: (start, later, move, emit); ``first`` marks runs
     that start a text."""
     states, symbols = model.move.shape[0], len(model.emit)
-    grid, alive, order = padded(runs)
+    flat, place, alive, order = lockstep(runs)
     first = first[order]
     emit, move = model.emit.astype(np.float32), model.move.astype(np.float32)
     forward, scale = [], []
     a = np.where(first[:, None], model.start, model.later).astype(np.float32)
-    for t in range(len(grid)):
-        n = alive[t]
-        a = (a[:n] if t == 0 else a[:n] @ move) * emit[grid[t, :n]]
+    for t, n in enumerate(alive):
+        a = (a[:n] if t == 0 else a[:n] @ move) * emit[flat[place[:n] + t]]
         c = a.sum(1) + np.float32(1e-30)
         a /= c[:, None]
         forward.append(a)
         scale.append(c)
     moves, tokens, weights = np.zeros((states, states)), [], []
     back = np.ones((alive[-1], states), dtype=np.float32)
-    for t in range(len(grid) - 1, -1, -1):
-        n = alive[t]
+    for t in range(len(alive) - 1, -1, -1):
+        n, symbol = alive[t], flat[place[:alive[t]] + t]
         if len(back) < n:
             back = np.concatenate((back, np.ones((n - len(back), states), dtype=np.float32)))
         g = forward[t] * back
         g /= g.sum(1, keepdims=True) + np.float32(1e-30)
-        tokens.append(grid[t, :n])
+        tokens.append(symbol)
         weights.append(g)
         if t:
-            ahead = emit[grid[t, :n]] * back / scale[t][:, None]
+            ahead = emit[symbol] * back / scale[t][:, None]
             moves += forward[t - 1][:n].T @ ahead
             back = ahead @ move.T
     token, weight = np.concatenate(tokens), np.concatenate(weights)
@@ -210,12 +209,11 @@ def expected_counts(model: Hmm, runs: list[np.ndarray], first: np.ndarray):
 
 def log_likelihood(model: Hmm, texts: list[np.ndarray]) -> np.ndarray:
     """log10 probability of each whole text, by the scaled forward recursion."""
-    grid, alive, order = padded(texts)
+    flat, place, alive, order = lockstep(texts)
     total = np.zeros(len(texts))
     a = np.tile(model.start, (len(texts), 1))
-    for t in range(len(grid)):
-        n = alive[t]
-        a = (a[:n] if t == 0 else a[:n] @ model.move) * model.emit[grid[t, :n]]
+    for t, n in enumerate(alive):
+        a = (a[:n] if t == 0 else a[:n] @ model.move) * model.emit[flat[place[:n] + t]]
         c = a.sum(1)
         a /= c[:, None]
         total[:n] += np.log10(c)
@@ -288,7 +286,7 @@ def score(documents: DataFrame, head: int = 1 << 17, emitted: int = 1 << 13, sta
 
     def run(batches):
         model = Hmm(*shared.value)
-        for held in chunks(batches, CHUNK):
+        for held in chunks(batches, SCORED):
             found = log_likelihood(model, [np.frombuffer(r.symbols, "<u2") for r in held])
             yield pd.DataFrame({"row": [r.row for r in held], "doc_id": pd.array([r.doc_id for r in held], dtype="Int64"),
                                 "held_out": [r.held_out for r in held], "n_tokens": [r.n_tokens for r in held],
