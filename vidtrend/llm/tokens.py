@@ -21,7 +21,7 @@ SEPARATORS = re.compile("[\x1c-\x1f]").search
 PLAIN = re.compile(r"[!-~¡-įı-ɏ]+").fullmatch
 JOINED = 256
 #: Distinct chunks kept from task to task; those met when it is full are kept for a batch.
-CACHE = 1_000_000
+CACHE = 450_000
 
 
 def shared_encoder(path: str) -> "ChunkEncoder":
