@@ -45,12 +45,12 @@ def nasty_pages():
     return pages
 
 
-@pytest.mark.parametrize("split", ["128m", "700b"])
-def test_round_trip_with_magic_inside_payloads(spark, split):
+@pytest.mark.parametrize("split,compression", [("128m", "none"), ("700b", "none"), ("700b", "gzip")])
+def test_round_trip_with_magic_inside_payloads(spark, split, compression):
     old = spark.conf.get("spark.sql.files.maxPartitionBytes")
     pages = nasty_pages()
     path = shared_path(spark, "warc-test")
-    warc.write(spark.createDataFrame(pages, SCHEMA).withColumn("digest", F.lit("x")).repartition(2), path, file_records=15)
+    warc.write(spark.createDataFrame(pages, SCHEMA).withColumn("digest", F.lit("x")).repartition(2), path, file_records=15, compression=compression)
     try:
         spark.conf.set("spark.sql.files.maxPartitionBytes", split)
         got = sorted((tuple(r) for r in warc.read(spark, path).select(

@@ -42,9 +42,12 @@ def plan_revisits(pages: DataFrame, min_payload: int = 100) -> DataFrame:
 
 
 def write(pages: DataFrame, path: str, min_payload: int = 100, file_records: int = 8192,
-          date: str = "1970-01-01T00:00:00Z") -> None:
+          compression: str = "gzip", date: str = "1970-01-01T00:00:00Z") -> None:
     """Write ``pages`` (page_id, url, html) as WARC files under ``path``, at most
-    ``file_records`` records each; ``date`` is the WARC-Date of all records."""
+    ``file_records`` records each; ``date`` is the WARC-Date of all records.
+
+    ``compression``: ``"gzip"`` compresses each file, which one task then reads;
+    ``"none"`` leaves files that are read in splits.  Offsets are those of the text."""
     payload = F.coalesce("html", F.lit(""))
     own = pages.select("page_id", "url", payload.alias("payload"), F.sha2(payload, 256).alias("digest"))
     seen = plan_revisits(pages, min_payload)
@@ -69,7 +72,7 @@ def write(pages: DataFrame, path: str, min_payload: int = 100, file_records: int
         line("Content-Length", F.octet_length("block").cast("string")),
         F.lit("\r\n"), F.col("block"))
     (all_pages.withColumn("http", http).withColumn("block", block).select(record.alias("value"))
-     .write.option("lineSep", END).option("maxRecordsPerFile", file_records).text(path))
+     .write.option("lineSep", END).option("maxRecordsPerFile", file_records).option("compression", compression).text(path))
 
 
 def _header(head: Column, name: str, value: str) -> Column:
