@@ -25,6 +25,12 @@ def test_blocks_of_a_page():
     assert html.lines_of("<script>x") == [] and html.lines_of("<p>a</p>b<script>x</script>c") == [("a", 0), ("bc", 0)]
 
 
+def test_what_elements_say_of_themselves():
+    page = ("<div class='post-header'><h1>T</h1></div><div class=site-header>S</div><div id='cookie-banner'>C</div><p hidden>H</p>"
+            "<div style='display: none'>N</div><ul role=navigation><li>M</ul><p class='headline'>\u2003A&emsp;b</p>")
+    assert html.main_text(html.lines_of(page), None) == "T\nA b"
+
+
 def lcs(a, b):
     row = [0] * (len(b) + 1)
     for x in a:

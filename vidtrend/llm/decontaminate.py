@@ -37,7 +37,8 @@ from vidtrend.llm.common import small_batches
 WORDS = re.compile(r"\w+").findall
 BLOCK = 4
 K1, B = 1.2, 0.75
-MATCHES = "doc_id long, item_id long, score double, passage_start long, question_overlap double, answer_overlap double"
+#: Ids pass through pandas as text: a column of longs with a null would become floats.
+MATCHES = "doc_id string, item_id long, score double, passage_start long, question_overlap double, answer_overlap double"
 
 
 def words_of(text: str | None) -> list[str]:
@@ -212,15 +213,15 @@ def matches(documents: DataFrame, items: DataFrame, threshold: float = 0.5, shin
         def run(batches, shared=shared):
             index = ItemIndex(shared.value)
             for pdf in batches:
-                ids = pdf["doc_id"].astype("Int64")
                 found = find(index, pdf["text"].tolist(), threshold, shingle, overlap)
                 yield pd.DataFrame({
-                    "doc_id": ids.iloc[[d for d, _ in found]].array,
+                    "doc_id": pdf["doc_id"].iloc[[d for d, _ in found]].array,
                     "item_id": [index.items[i][0] for _, i in found],
                     **{c: [r[k] for r in found.values()]
                        for k, c in enumerate(("score", "passage_start", "question_overlap", "answer_overlap"))}})
 
-        got = documents.select("doc_id", "text").mapInPandas(run, MATCHES)
+        texts = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+        got = texts.mapInPandas(run, MATCHES).withColumn("doc_id", F.col("doc_id").cast("long"))
         out = got if out is None else out.unionByName(got)
     return out
 

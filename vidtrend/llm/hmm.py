@@ -132,10 +132,11 @@ def encode(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                              logs[known[known >= emitted]].sum() - share[classes].sum(), out.tobytes(), tail))
             names = ["n_tokens", "head_known", "head_log", "class_log", "symbols", "tail"]
             out = pd.DataFrame(rows, columns=names)
-            yield pd.concat([pdf[["doc_id", "held_out"]].assign(doc_id=pdf["doc_id"].astype("Int64")).reset_index(drop=True), out], axis=1)
+            yield pd.concat([pdf[["doc_id", "held_out"]].reset_index(drop=True), out], axis=1)
 
-    coded = documents.select("doc_id", "held_out", "text").mapInPandas(
-        run, "doc_id long, held_out boolean, n_tokens long, head_known long, head_log double, class_log double, "
+    # ids pass through pandas as text: a column of longs with a null would become floats
+    coded = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "held_out", "text").mapInPandas(
+        run, "doc_id string, held_out boolean, n_tokens long, head_known long, head_log double, class_log double, "
              "symbols binary, tail array<binary>")
     return keep(coded.withColumn("row", F.monotonically_increasing_id()), "symbols")
 
@@ -288,13 +289,13 @@ def score(documents: DataFrame, head: int = 1 << 17, emitted: int = 1 << 13, sta
         model = Hmm(*shared.value)
         for held in chunks(batches, SCORED):
             found = log_likelihood(model, [np.frombuffer(r.symbols, "<u2") for r in held])
-            yield pd.DataFrame({"row": [r.row for r in held], "doc_id": pd.array([r.doc_id for r in held], dtype="Int64"),
+            yield pd.DataFrame({"row": [r.row for r in held], "doc_id": [r.doc_id for r in held],
                                 "held_out": [r.held_out for r in held], "n_tokens": [r.n_tokens for r in held],
                                 "head_known": [r.head_known for r in held], "head_log": [r.head_log for r in held],
                                 "class_log": [r.class_log for r in held], "forward": found})
 
     scored = coded.drop("tail").mapInPandas(
-        run, "row long, doc_id long, held_out boolean, n_tokens long, head_known long, head_log double, class_log double, forward double")
+        run, "row long, doc_id string, held_out boolean, n_tokens long, head_known long, head_log double, class_log double, forward double")
     tail = coded.where(F.size("tail") > 0).select("row", F.explode("tail").alias("word"))
     found = (tail.join(vocabulary.table, "word", "left").groupBy("row")
              .agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1.0)).alias("tail_log"), F.count("n").alias("tail_known")))
@@ -302,7 +303,7 @@ def score(documents: DataFrame, head: int = 1 << 17, emitted: int = 1 << 13, sta
     none = vocabulary.tokens == 0
     each = float(np.log10(vocabulary.tokens + vocabulary.distinct + 1))
     return (scored.join(found, "row", "left")
-            .select("doc_id", "held_out", "n_tokens", (F.col("head_known") + zero("tail_known")).cast("long").alias("n_known"),
+            .select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "n_tokens", (F.col("head_known") + zero("tail_known")).cast("long").alias("n_known"),
                     F.lit(vocabulary.tokens).cast("long").alias("train_tokens"),
                     (F.col("head_log") + zero("tail_log") - F.col("n_tokens") * F.lit(each)).alias("base_score"),
                     F.lit(0.0).alias("score") if none else

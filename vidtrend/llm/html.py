@@ -31,7 +31,8 @@ from pyspark.sql import functions as F
 from vidtrend.llm.common import keep, small_batches
 
 TAG = re.compile(r"<!--.*?(?:-->|$)|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)([^>]*)(?:>|$)", re.S)
-SPACE = re.compile(r"[ \t\n\r\f\v\xa0]+")
+SPACE = re.compile(r"\s+")
+HIDDEN = re.compile(r"(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*[\"']?true", re.I)
 HINT = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 #: Elements whose text is never shown.
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "svg", "math", "object"}
@@ -41,6 +42,8 @@ ASIDE = {"nav", "footer", "aside", "form", "button", "select", "dialog", "menu",
 ASIDE_WORDS = set("""ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie
 cookies consent disqus footer header menu modal nav navbar navigation newsletter notice notices popup promo related reply
 replies search share sharing sidebar social sponsor sponsored subscribe toolbar widget contentinfo complementary""".split())
+#: Words that make a header the article's own.
+TITLE_WORDS = {"post", "entry", "article", "content", "title", "story"}
 ARTICLE = {"article", "main"}
 BLOCK = set("""address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form
 h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul option legend
@@ -54,9 +57,13 @@ REPEATS = {"p": {"p"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr
 def _not_content(name: str, attrs: str, inside_article: bool) -> bool:
     if name in ASIDE or name == "header" and not inside_article:
         return True
-    if name in ("html", "body") or "=" not in attrs:
+    if name in ("html", "body") or not attrs.strip():
         return False
+    if HIDDEN.search(attrs):
+        return True
     words = {w for m in HINT.findall(attrs) for w in re.split(r"[^a-z]+", " ".join(m).lower())}
+    if inside_article or words & TITLE_WORDS:
+        words.discard("header")  # the article's own
     return bool(words & ASIDE_WORDS)
 
 
@@ -69,7 +76,7 @@ def lines_of(page: str | None) -> list[tuple[str, int]]:
     kind, at, text = 0, 0, []
 
     def close_block() -> None:
-        line = SPACE.sub(" ", entities.unescape("".join(text))).strip(" ")
+        line = SPACE.sub(" ", entities.unescape("".join(text))).strip()
         text.clear()
         if line:
             out.append((line, kind))
@@ -174,12 +181,18 @@ def extract(pages: DataFrame, part_pages: int = 2000) -> DataFrame:
     spark = pages.sparkSession
     small_batches(spark)
 
+    def number(page_id: str | None) -> int:
+        return -(1 << 63) if page_id is None else int(page_id)
+
     def keys(batches):
         for pdf in batches:
             found = [url_key(u) for u in pdf["url"]]
-            yield pd.DataFrame({"host": [h for h, _ in found], "path": [p for _, p in found], "page_id": pdf["page_id"].astype("Int64")})
+            yield pd.DataFrame({"host": [h for h, _ in found], "path": [p for _, p in found],
+                                "page_id": pd.array([None if x is None else int(x) for x in pdf["page_id"]], "Int64")})
 
     # the order from the keys alone: first and last key of each part
+    # ids pass through pandas as text: a column of longs with a null would become floats
+    pages = pages.select(F.col("page_id").cast("string").alias("page_id"), "url", "html")
     slim = pages.select("url", "page_id").mapInPandas(keys, "host string, path string, page_id long")
     count = max(1, -(-pages.count() // part_pages))
     key = F.struct("host", "path", F.coalesce("page_id", F.lit(-(1 << 63))).alias("page_id"))
@@ -192,25 +205,21 @@ def extract(pages: DataFrame, part_pages: int = 2000) -> DataFrame:
         low, high = [e[0] for e in shared.value], [e[1] for e in shared.value]
         for pdf in batches:
             rows = []
-            for page_id, url, page in zip(pdf["page_id"].astype("Int64"), pdf["url"], pdf["html"]):
-                known = page_id is not pd.NA
+            for page_id, url, page in zip(pdf["page_id"], pdf["url"], pdf["html"]):
                 host, path = url_key(url)
-                k = (host, path, int(page_id) if known else -(1 << 63))
+                k = (host, path, number(page_id))
                 own = bisect_left(high, k)
                 lines = lines_of(page)
-                row = [page_id if known else None, url, host, path, [t for t, _ in lines], [n for _, n in lines]]
+                row = [page_id, url, host, path, [t for t, _ in lines], [n for _, n in lines]]
                 rows.append([own, False, *row])
                 if own and k == low[own]:
                     rows.append([own - 1, True, *row])
                 if own + 1 < len(high) and k == high[own]:
                     rows.append([own + 1, True, *row])
-            out = pd.DataFrame(rows, columns=["part", "guest", "page_id", "url", "host", "path", "lines", "kinds"])
-            out["page_id"] = out["page_id"].astype("Int64")
-            yield out
+            yield pd.DataFrame(rows, columns=["part", "guest", "page_id", "url", "host", "path", "lines", "kinds"])
 
     def difference(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf["page_id"] = pdf["page_id"].astype("Int64")
-        pdf = pdf.sort_values(["host", "path", "page_id"], kind="stable", na_position="first")
+        pdf = pdf.iloc[sorted(range(len(pdf)), key=list(zip(pdf["host"], pdf["path"], map(number, pdf["page_id"]))).__getitem__)]
         hosts, paths, guests = pdf["host"].tolist(), pdf["path"].tolist(), pdf["guest"].tolist()
         lines = [list(zip(t, k)) for t, k in zip(pdf["lines"], pdf["kinds"])]
         # the next page on either side whose text differs
@@ -229,6 +238,7 @@ def extract(pages: DataFrame, part_pages: int = 2000) -> DataFrame:
         out = pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts})
         return out[[not g for g in guests]]
 
-    parsed = pages.select("page_id", "url", "html").mapInPandas(
-        parse, "part int, guest boolean, page_id long, url string, host string, path string, lines array<string>, kinds array<int>")
-    return parsed.groupBy("part").applyInPandas(difference, "page_id long, url string, text string")
+    parsed = pages.mapInPandas(
+        parse, "part int, guest boolean, page_id string, url string, host string, path string, lines array<string>, kinds array<int>")
+    found = parsed.groupBy("part").applyInPandas(difference, "page_id string, url string, text string")
+    return found.withColumn("page_id", F.col("page_id").cast("long"))

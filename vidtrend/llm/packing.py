@@ -30,12 +30,12 @@ from pyspark.sql import functions as F
 from vidtrend.llm.common import keep, small_batches
 from vidtrend.llm.tokens import shared_encoder
 
-PIECES = ("doc_id long, source string, start long, length long, doc_tokens long, "
+PIECES = ("doc_id string, source string, start long, length long, doc_tokens long, "
           "sequence_id long, offset long, ids binary")
 
 
 def tokenize(documents: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """Rows (doc_id, source, n, ids): ids are little-endian unsigned integers of two
+    """Rows (doc_id as text, source, n, ids): ids are little-endian unsigned integers of two
     bytes (four for a vocabulary over 65,536), the end id included."""
     small_batches(documents.sparkSession)
 
@@ -43,12 +43,13 @@ def tokenize(documents: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
         encoder = shared_encoder(tokenizer)
         for pdf in batches:
             ids = encoder.encode_all(pdf["text"].tolist(), [end_id])
-            yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "source": pdf["source"],
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"],
                                 "n": [len(x) // encoder.dtype.itemsize for x in ids],
                                 "width": encoder.dtype.itemsize, "ids": ids})
 
-    return (documents.select("doc_id", F.coalesce("source", F.lit("")).alias("source"), "text")
-            .mapInPandas(run, "doc_id long, source string, n long, width int, ids binary"))
+    # ids pass through pandas as text: a column of longs with a null would become floats
+    return (documents.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("source", F.lit("")).alias("source"), "text")
+            .mapInPandas(run, "doc_id string, source string, n long, width int, ids binary"))
 
 
 def serve(queues: list[int], share: list[float], credit: list[float], window: int,
@@ -154,8 +155,9 @@ def pack(documents: DataFrame, tokenizer: str, end_id: int = 2, window: int = 40
         first = int(start["first"].iloc[0])
         got = pd.DataFrame(out, columns=["doc_id", "source", "start", "length", "doc_tokens",
                                          "sequence_id", "offset", "ids"])
-        got["doc_id"] = pd.array([doc_ids[r] for r in got["doc_id"]], dtype="Int64") if len(got) else pd.array([], "Int64")
+        got["doc_id"] = [doc_ids[r] for r in got["doc_id"]]
         got["sequence_id"] += first
         return got
 
-    return tokens.groupBy("lane").cogroup(starts.groupBy("lane")).applyInPandas(fill, PIECES)
+    pieces = tokens.groupBy("lane").cogroup(starts.groupBy("lane")).applyInPandas(fill, PIECES)
+    return pieces.withColumn("doc_id", F.col("doc_id").cast("long"))
