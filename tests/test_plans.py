@@ -60,6 +60,27 @@ def test_category_queries_scan_the_facts_once_and_join_on_both_keys(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
+def final_plan(df) -> list[str]:
+    """The lines of the plan that ran, without the initial plans it prints beside."""
+    df.collect()
+    out, skip = [], None
+    for row in plan(df).split("\n"):
+        indent = len(row) - len(row.lstrip(" :|+-"))
+        if skip is not None and indent > skip:
+            continue
+        skip = indent - 3 if "== Initial Plan ==" in row else None
+        if skip is None:
+            out.append(row)
+    return out
+
+
+def test_top_k_with_ties_runs_its_input_once(spark):
+    from vidtrend.plans import catalog
+    ran = final_plan(catalog.queries()["top5_channels_by_video_count"](spark, "/root/testdata/sf0.001"))
+    assert sum("FileScan" in row and "l_linenumber" in row for row in ran) == 1
+    assert any("ReusedExchange" in row for row in ran) and any("ReusedSubquery" in row for row in ran)
+
+
 def test_top_k_with_ties_has_no_unbounded_window(snapshots):
     counts = P.channel_video_count(snapshots)
     df = top_k_with_ties(counts, "n", 2, ["channel"])
