@@ -176,8 +176,11 @@ def _common(a: str, b: str) -> int:
     return n
 
 
-def extract(pages: DataFrame, part_pages: int = 2000) -> DataFrame:
-    """(page_id, url, text) of every page of ``pages`` (page_id, url, html)."""
+def extract(pages: DataFrame, part_pages: int = 2000, most_parts: int = 1 << 16) -> DataFrame:
+    """(page_id, url, text) of every page of ``pages`` (page_id, url, html).
+
+    ``most_parts`` bounds the part edges that every task gets; beyond it parts grow.
+    """
     spark = pages.sparkSession
     small_batches(spark)
 
@@ -194,7 +197,7 @@ def extract(pages: DataFrame, part_pages: int = 2000) -> DataFrame:
     # ids pass through pandas as text: a column of longs with a null would become floats
     pages = pages.select(F.col("page_id").cast("string").alias("page_id"), "url", "html")
     slim = pages.select("url", "page_id").mapInPandas(keys, "host string, path string, page_id long")
-    count = max(1, -(-pages.count() // part_pages))
+    count = min(most_parts, max(1, -(-pages.count() // part_pages)))
     key = F.struct("host", "path", F.coalesce("page_id", F.lit(-(1 << 63))).alias("page_id"))
     parts = (keep(slim.repartitionByRange(count, "host", "path", "page_id").select(key.alias("key"), F.spark_partition_id().alias("part")), "order")
              .groupBy("part").agg(F.min("key").alias("low"), F.max("key").alias("high")))

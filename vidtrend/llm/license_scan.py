@@ -161,9 +161,10 @@ def training_rows(documents: DataFrame, sample_docs: int, seed: int) -> DataFram
     known = shared.select(F.when(F.col("family") == F.col("other"), F.col("family")).otherwise(UNKNOWN).alias("family"), "tokens")
     some = documents.select("doc_id", "text").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(sample_docs)
     lines = some.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line")).select(words(F.col("line")).alias("tokens"))
-    grams = own.select(F.explode(ngrams(F.col("tokens"), 3)).alias("gram")).distinct().agg(F.collect_set("gram").alias("grams"))
-    plain = (lines.where(F.size("tokens") > 0).distinct().join(F.broadcast(grams))  # one row: the templates' runs
-             .where(~F.arrays_overlap(ngrams(F.col("tokens"), 3), F.col("grams"))).select(F.lit(UNKNOWN).alias("family"), "tokens"))
+    grams = own.select(F.explode(ngrams(F.col("tokens"), 3)).alias("gram")).distinct()
+    known_grams = F.array(*[F.lit(r.gram) for r in grams.collect()])  # the templates' runs
+    plain = (lines.where(F.size("tokens") > 0).distinct()
+             .where(~F.arrays_overlap(ngrams(F.col("tokens"), 3), known_grams)).select(F.lit(UNKNOWN).alias("family"), "tokens"))
     number = F.create_map(*[F.lit(x) for k, f in enumerate(FAMILIES) for x in (f, float(k))])
     return known.unionByName(plain).select(number[F.col("family")].alias("label"), "tokens")
 

@@ -24,7 +24,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vidtrend.llm.common import keep, small_batches
@@ -80,7 +80,7 @@ def sequence_ends(tokens: int, window: int) -> list[int]:
     return ends
 
 
-def _sequences(tokens: "F.Column", window: int):
+def _sequences(tokens: Column, window: int) -> Column:
     """How many sequences ``sequence_ends`` makes."""
     return F.floor(tokens / window) + F.bit_count(tokens % window)
 
@@ -109,8 +109,8 @@ def pack(documents: DataFrame, tokenizer: str, end_id: int = 2, window: int = 40
     if targets:
         asked = F.create_map(*[F.lit(x) for kv in targets.items() for x in kv])
         own = own.withColumn("weight", F.coalesce(asked[F.col("source")], F.col("weight") / total))
-    every = own.agg(F.sum("weight").alias("every"))
-    share = own.join(F.broadcast(every)).select("source", (F.col("weight") / F.col("every")).alias("share"))
+    every = own.agg(F.sum("weight")).first()[0] or 1.0
+    share = own.select("source", (F.col("weight") / every).alias("share"))
     earlier = Window.orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
     by_lane = (held.groupBy("lane").agg(F.sum("held").alias("tokens"))
                .select("lane", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("before"),

@@ -32,6 +32,8 @@ from vidtrend.llm.common import fresh, keep, min_labels, popcount, small_batches
 
 SEED = 42
 FAN = 8
+#: Bound of the upper nodes; beyond it blocks grow.
+MOST_BLOCKS = 1 << 14
 #: Pairs of query and node looked at together, which bounds a task's memory.
 FRONT = 1 << 20
 
@@ -144,11 +146,11 @@ def link_fingerprints(distinct: DataFrame, max_bits: int = 2, block_rows: int =
     """Links (a, b) that connect exactly what pairs within ``max_bits`` connect.
 
     ``distinct``: distinct fingerprints in column ``fp``, written out.  The index has
-    a block for every ``block_rows`` of them, and 64 at least; the driver holds three
-    numbers for each block.
+    a block for every ``block_rows`` of them, but from 64 to MOST_BLOCKS blocks in all;
+    the driver and every task hold three numbers for each.
     """
     spark = distinct.sparkSession
-    blocks = max(64, -(-distinct.count() // block_rows))
+    blocks = min(MOST_BLOCKS, max(64, -(-distinct.count() // block_rows)))
     flip = np.int64(-(1 << 63))  # unsigned order as the order of signed numbers
 
     def ranks(batches):
