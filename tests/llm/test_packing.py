@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,9 +25,9 @@ def tokenizer():
 def test_chunks_give_the_ids_of_the_whole_text():
     t, encoder, rng = tokenizer(), ChunkEncoder(word_bpe()), random.Random(4)
     alphabet = "aA É.,bΣ'sé́\t\n\r\x0b\x0c\x1c\x85 ​<|>endoftxt!12ßİſ½"
-    texts = ["", "<|endoftext|> x", "don 't a' s", *("".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(3000))]
-    for text, ids in zip(texts, encoder.encode_all(texts, [])):
-        assert np.frombuffer(ids, encoder.dtype).tolist() == t.encode(text, add_special_tokens=False).ids, repr(text)
+    texts = ["", None, "  ", "<|endoftext|> x", "don 't a' s", *("".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(3000))]
+    for text, ids in zip(texts, encoder.encode(pa.array(texts), [7]).to_pylist()):
+        assert np.frombuffer(ids, encoder.dtype).tolist() == [*t.encode(text or "", add_special_tokens=False).ids, 7], repr(text)
 
 
 def test_sequence_ends_are_windows_then_powers_of_two():

@@ -24,6 +24,8 @@ import math
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -41,15 +43,17 @@ def tokenize(documents: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
 
     def run(batches):
         encoder = shared_encoder(tokenizer)
-        for pdf in batches:
-            ids = encoder.encode_all(pdf["text"].tolist(), [end_id])
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "source": pdf["source"],
-                                "n": [len(x) // encoder.dtype.itemsize for x in ids],
-                                "width": encoder.dtype.itemsize, "ids": ids})
+        width = encoder.dtype.itemsize
+        for batch in batches:
+            ids = encoder.encode(batch.column("text"), [end_id])
+            n = pc.divide(pc.binary_length(ids), width)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("source"), n.cast(pa.int64()), pa.array([width] * len(ids), pa.int32()), ids],
+                names=["doc_id", "source", "n", "width", "ids"])
 
     # ids pass through pandas as text: a column of longs with a null would become floats
     return (documents.select(F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("source", F.lit("")).alias("source"), "text")
-            .mapInPandas(run, "doc_id string, source string, n long, width int, ids binary"))
+            .mapInArrow(run, "doc_id string, source string, n long, width int, ids binary"))
 
 
 def serve(queues: list[int], share: list[float], credit: list[float], window: int,

@@ -1,8 +1,9 @@
 """Token ids of whole texts by a public tokenizer file, with a word cache.
 
 The tokenizer drops white space and never joins across it, so the ids of a text
-are those of its white-space separated chunks in turn.  Chunks repeat, and are
-encoded once.
+are those of its white-space separated chunks in turn.  A batch of texts is cut
+into chunks, the distinct chunks are looked up or encoded, and their ids are
+gathered back, all as Arrow arrays.
 """
 
 from __future__ import annotations
@@ -13,15 +14,14 @@ from itertools import accumulate
 from types import ModuleType
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-CHUNKS = re.compile(r"[^ \t\n\r]+").findall
-#: Characters at which str.split() cuts and the tokenizer does not.
-SEPARATORS = re.compile("[\x1c-\x1f]").search
 #: Characters whose normalized form keeps its place.
 PLAIN = re.compile(r"[!-~¡-įı-ɏ]+").fullmatch
 JOINED = 256
 #: Distinct chunks kept from task to task; those met when it is full are kept for a batch.
-CACHE = 450_000
+CACHE = 500_000
 
 
 def shared_encoder(path: str) -> "ChunkEncoder":
@@ -34,7 +34,7 @@ def shared_encoder(path: str) -> "ChunkEncoder":
 
 
 class ChunkEncoder:
-    """encode_all(texts) -> ids of each as bytes of ``dtype``; ``path`` is the tokenizer's JSON file."""
+    """encode(texts) -> ids of each as bytes of ``dtype``; ``path`` is the tokenizer's JSON file."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -42,7 +42,7 @@ class ChunkEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.known: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {"": b""}
         self.marks = {m: self.coded(self.tokenizer.encode(m, add_special_tokens=False).ids) for m in ".,"}
 
     def learn(self, chunks: list[str]) -> list[str]:
@@ -76,18 +76,24 @@ class ChunkEncoder:
     def coded(self, ids: list[int]) -> bytes:
         return np.array(ids, dtype=self.dtype).tobytes()
 
-    def encode_all(self, texts: list[str | None], end: list[int]) -> list[bytes]:
-        """The ids of each text, followed by ``end``."""
-        split = [CHUNKS(t) if SEPARATORS(t) else t.split() for t in (t or "" for t in texts)]
+    def encode(self, texts: pa.Array, end: list[int]) -> pa.Array:
+        """The ids of each text, followed by ``end``, as a binary array; null is the empty text."""
         known, last = self.known, self.coded(end)
-        found = [list(map(known.get, chunks)) for chunks in split]
-        gaps = [[k for k, ids in enumerate(parts) if ids is None] if None in parts else [] for parts in found]
-        new = {chunks[k] for chunks, open_ in zip(split, gaps) for k in open_}
-        words = self.learn(list(new)) if new else []
-        for chunks, parts, open_ in zip(split, found, gaps):
-            for k in open_:
-                parts[k] = known[chunks[k]]
-        if len(known) > CACHE:
-            for c in new.union(words):
-                del known[c]
-        return [b"".join(parts) + last for parts in found]
+        lists = pc.ascii_split_whitespace(texts.cast(pa.string()).fill_null(""))
+        encoded = lists.flatten().dictionary_encode()
+        distinct = encoded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        ids = list(map(known.get, distinct))
+        new = [c for c, found in zip(distinct, ids) if found is None]
+        if new:
+            words = self.learn(new)
+            ids = [known[c] if found is None else found for c, found in zip(distinct, ids)]
+            if len(known) > CACHE:
+                for c in set(new).union(words):
+                    del known[c]
+        # the end follows the last chunk of each text
+        stops = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+        codes = np.insert(encoded.indices.to_numpy(zero_copy_only=False), stops, len(ids))
+        gathered = pa.array([*ids, last], pa.binary()).take(pa.array(codes))
+        _, offsets, data = gathered.buffers()
+        at = np.frombuffer(offsets, np.int32)[np.concatenate(([0], stops + np.arange(1, len(stops) + 1)))]
+        return pa.BinaryArray.from_buffers(pa.binary(), len(texts), [None, pa.py_buffer(at.tobytes()), data])
