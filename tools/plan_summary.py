@@ -1,4 +1,4 @@
-"""Summarise the physical plan of every registered query: hash / range /
+"""Summarise the physical plan of every registered query of the engine: hash / range /
 single-partition shuffles, broadcasts, aggregate kinds and windows.
 
     python tools/plan_summary.py [sf_dir]
@@ -12,7 +12,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from vidtrend.plans import catalog  # noqa: E402
 from vidtrend.session import build_session  # noqa: E402
 
 PATTERNS = {
@@ -34,7 +34,7 @@ def main(argv):
     spark.sparkContext.setLogLevel("ERROR")
     print("| query | " + " | ".join(PATTERNS) + " |")
     print("|---" * (len(PATTERNS) + 1) + "|")
-    for name, fn in entry.queries().items():
+    for name, fn in catalog.queries().items():
         text = fn(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
         counts = [len(re.findall(p, text)) for p in PATTERNS.values()]
         print(f"| {name} | " + " | ".join(str(c) for c in counts) + " |")
