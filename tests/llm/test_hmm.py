@@ -102,3 +102,13 @@ def test_probabilities_of_all_continuations_add_up(spark):
     vocabulary = hmm.count_words(docs, emitted=2)
     assert vocabulary.tokens == 12 and vocabulary.distinct == 6 and vocabulary.unigram().sum() == 12
     assert hmm.score(learned, emitted=2).count() == 4
+
+
+def test_classes_are_counted_as_words_are_classed(spark):
+    texts = ["a bb ccc dddd été x" * 3, "a étés bb", "zz zz zzz aa"]
+    vocabulary = hmm.count_words(spark.createDataFrame([(t,) for t in texts], "text string"), emitted=0)
+    want, size = np.zeros(hmm.CLASSES), np.zeros(hmm.CLASSES)
+    for word, n in Counter(w for t in texts for w in hmm.words_of(t)).items():
+        want[hmm.word_class(word)] += n
+        size[hmm.word_class(word)] += 1
+    assert (vocabulary.class_count == want).all() and (vocabulary.class_size == size).all()
