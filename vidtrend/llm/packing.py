@@ -21,6 +21,7 @@ table gives no pieces.  Extra input columns are ignored.
 from __future__ import annotations
 
 import math
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -126,31 +127,33 @@ def pack(documents: DataFrame, tokenizer: str, end_id: int = 2, window: int = 40
                       (F.col("share") * F.col("before") - F.col("served")).alias("deficit")))
 
     def fill(docs: pd.DataFrame, start: pd.DataFrame) -> pd.DataFrame:
-        docs = docs.sort_values(["source", "doc_id", "n"], kind="stable")
+        # by content, as a shuffle may bring rows in any order
+        docs = docs.assign(crc=docs["ids"].map(zlib.crc32)).sort_values(["source", "doc_id", "n", "crc"], kind="stable")
         start = start.sort_values("source")
         order = {s: k for k, s in enumerate(start["source"])}
         queue: list[list[int]] = [[] for _ in order]
-        sizes = docs["n"].to_numpy()
+        sizes = docs["n"].tolist()
         for row, s in enumerate(docs["source"]):
             queue[order[s]].append(row)
-        turns = serve([int(sizes[q].sum()) for q in queue], start["share"].tolist(),
+        turns = serve([sum(sizes[row] for row in q) for q in queue], start["share"].tolist(),
                       start["deficit"].tolist(), window, quantum)
-        ends = sequence_ends(int(sizes.sum()), window)
-        texts, doc_ids, sources = docs["ids"].tolist(), docs["doc_id"].tolist(), docs["source"].tolist()
+        ends = sequence_ends(sum(sizes), window)
         dtype = "<u2" if docs["width"].iloc[0] == 2 else "<u4"
+        texts = [np.frombuffer(x, dtype).astype("<u4").tobytes() for x in docs["ids"]]
+        doc_ids, sources = docs["doc_id"].tolist(), docs["source"].tolist()
         head, done = [0] * len(queue), [0] * len(queue)
         out, at, seq, began = [], 0, 0, 0
         for s, n in turns:
             while n:
                 row = queue[s][head[s]]
-                take = min(n, int(sizes[row]) - done[s], ends[seq] - at)
-                ids = np.frombuffer(texts[row], dtype)[done[s]:done[s] + take].astype("<u4")
+                take = min(n, sizes[row] - done[s], ends[seq] - at)
+                ids = texts[row][4 * done[s]:4 * (done[s] + take)]
                 last = out[-1] if out else None
                 if last and last[0] == row and last[5] == seq and last[2] + last[3] == done[s]:
                     last[3] += take  # goes on where the piece before it ends
-                    last[7] += ids.tobytes()
+                    last[7] += ids
                 else:
-                    out.append([row, sources[row], done[s], take, int(sizes[row]), seq, at - began, ids.tobytes()])
+                    out.append([row, sources[row], done[s], take, sizes[row], seq, at - began, ids])
                 at, n, done[s] = at + take, n - take, done[s] + take
                 if done[s] == sizes[row]:
                     head[s], done[s] = head[s] + 1, 0

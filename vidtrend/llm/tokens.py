@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 PLAIN = re.compile(r"[!-~¡-įı-ɏ]+").fullmatch
 JOINED = 256
 #: Distinct chunks kept from task to task; those met when it is full are kept for a batch.
-CACHE = 500_000
+CACHE = 800_000
 
 
 def shared_encoder(path: str) -> "ChunkEncoder":
@@ -49,13 +49,22 @@ class ChunkEncoder:
         """Make every chunk known; returns the words added besides them."""
         known = self.known
         # letters with a stop or comma: the ids of the lower-case letters, then of the mark
-        ended = [(c, c[:-1].lower(), c[-1]) for c in chunks if c[-1] in self.marks and c[:-1].isalpha() and PLAIN(c)]
-        bare = [(c, c.lower()) for c in chunks if c.isalpha() and PLAIN(c)]
-        words = list({w for _, w, _ in ended}.union(w for _, w in bare).difference(known))
+        ended, bare, rest = [], [], []
+        for c in chunks:
+            if not (c.isascii() or PLAIN(c)):
+                rest.append(c)
+            elif c.isalpha():
+                bare.append((c, c.lower()))
+            elif c[-1] in self.marks and c[:-1].isalpha():
+                ended.append((c, c[:-1].lower(), c[-1]))
+            else:
+                rest.append(c)
+        words = list({w for _, w, _ in ended}.union([w for _, w in bare]).difference(known))
         self.encode_words(words)
-        known.update((c, known[w]) for c, w in bare)
-        known.update((c, known[w] + self.marks[m]) for c, w, m in ended)
-        rest = [c for c in chunks if c not in known]
+        for c, w in bare:
+            known[c] = known[w]
+        for c, w, m in ended:
+            known[c] = known[w] + self.marks[m]
         self.encode_words([c for c in rest if PLAIN(c)])
         rest = [c for c in rest if c not in known]
         for c, enc in zip(rest, self.tokenizer.encode_batch(rest, add_special_tokens=False)):
