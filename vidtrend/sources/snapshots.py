@@ -79,17 +79,26 @@ def _fields(line: Column) -> Column:
     return F.split(marked, ",", -1)
 
 
-def _text(field: Column) -> Column:
-    """A field's text: without the quotes around it, blanks outside them
-    skipped; a doubled quote inside them is a literal quote."""
-    trimmed = java_trim(field)
-    around = F.length(trimmed) >= 2
-    around = around & F.startswith(trimmed, F.lit('"')) & F.endswith(trimmed, F.lit('"'))
-    bare = F.replace(F.substring(trimmed, F.lit(2), F.length(trimmed) - 2), F.lit('""'), F.lit('"'))
-    out = F.when(around, bare).otherwise(trimmed)
+def _unquoted(field: Column) -> Column:
+    """A trimmed field without the quotes around it; a doubled quote inside them
+    is a literal quote."""
+    around = (F.length(field) >= 2) & F.startswith(field, F.lit('"')) & F.endswith(field, F.lit('"'))
+    inner = F.substring(field, F.lit(2), F.length(field) - 2)
+    return F.when(around, F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(field)
+
+
+def _restored(field: Column) -> Column:
     for stand_in, char in ((IN_COMMA, ","), (BACKSLASH, "\\"), (QUOTE, '"')):
-        out = F.replace(out, F.lit(stand_in), F.lit(char))
-    return java_trim(out)
+        field = F.replace(field, F.lit(stand_in), F.lit(char))
+    return field
+
+
+def _texts(fields: Column) -> Column:
+    """The texts of raw fields.  Each step is a transform, so its argument is
+    computed once however often the step uses it."""
+    for step in (java_trim, _unquoted, _restored, java_trim):
+        fields = F.transform(fields, step)
+    return fields
 
 
 def parse_snapshot_lines(lines: DataFrame, value: str = "value",
@@ -128,11 +137,10 @@ def parse_snapshot_lines(lines: DataFrame, value: str = "value",
     rows = (cut.where(n_quotes % 2 == 0)                                     # P1
             .select("region", F.explode(F.array(_fields(F.col("line")))).alias("f"))
             .where(F.size("f") == SNAPSHOT_ARITY))                           # P1
-    f = {c: F.get("f", F.lit(k)) for k, c in enumerate(RAW_COLUMNS)}
-    text = rows.select(
-        "region", F.inline(F.array(F.struct(*[
-            _text(f[c]).alias(c) for c in ("video_id", "title", "channel", "category_raw",           # P3
-                                           "views_raw", "likes_raw", "dislikes_raw", "comments_raw")]))))
+    used = ("video_id", "title", "channel", "category_raw", "views_raw", "likes_raw", "dislikes_raw", "comments_raw")
+    needed = F.array(*[F.get("f", F.lit(RAW_COLUMNS.index(c))) for c in used])
+    text = (rows.select("region", F.explode(F.array(_texts(needed))).alias("t"))                     # P3
+            .select("region", *[F.get("t", F.lit(k)).alias(c) for k, c in enumerate(used)]))
     return text.select(
         "region", "video_id", "title", "channel", "category_raw",
         parse_int("category_raw").alias("category_id"),                      # P4
