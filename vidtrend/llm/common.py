@@ -18,9 +18,17 @@ cloudpickle.register_pickle_by_value(sys.modules["vidtrend.llm"])
 #: ASCII white space of the text contracts: [\x20\x09-\x0D]
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 
+#: Holds what a Python worker keeps from task to task.
+WORKER_STATE = "vidtrend_worker_state"
+
 _local_shared: list[str] = []
 
 
+def release_worker_state() -> None:
+    """Called by tasks that need none of it, so its memory is theirs."""
+    sys.modules.pop(WORKER_STATE, None)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -32,7 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vidtrend.llm.common import small_batches
+from vidtrend.llm.common import release_worker_state, small_batches
 
 WORDS = re.compile(r"\w+").findall
 BLOCK = 4
@@ -237,6 +237,7 @@ def clean(documents: DataFrame, items: DataFrame, threshold: float = 0.5, shingl
         def run(batches, shared=shared):
             import pyarrow as pa
 
+            release_worker_state()
             index = ItemIndex(shared.value)
             for batch in batches:
                 found = find(index, batch.column("text").to_pylist(), threshold, shingle, overlap)

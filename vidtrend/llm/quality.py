@@ -22,7 +22,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vidtrend.llm.common import small_batches
+from vidtrend.llm.common import release_worker_state, small_batches
 
 NGRAMS = (3, 4)
 SLICE_TOKENS = 300_000
@@ -191,6 +191,7 @@ def fit(documents: DataFrame, labels: DataFrame, usable, max_rows: int = 3000, b
             .groupBy("doc_id", "label").agg(F.min("text").alias("text")))
 
     def turn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_worker_state()
         for pdf in batches:
             out = [features(t, buckets) for t in pdf["text"]]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "label": pdf["label"],
@@ -219,6 +220,7 @@ def score(documents: DataFrame, model: QualityModel, threshold: float = 0.7) ->
     def run(batches):
         import pyarrow as pa
 
+        release_worker_state()
         vectors, layer, bias = shared.value
         for batch in batches:
             texts = batch.column("text").to_pylist()

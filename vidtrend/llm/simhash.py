@@ -28,7 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vidtrend.llm.common import fresh, keep, min_labels, popcount, small_batches
+from vidtrend.llm.common import fresh, keep, min_labels, popcount, release_worker_state, small_batches
 
 SEED = 42
 FAN = 8
@@ -65,6 +65,7 @@ def fingerprints(documents: DataFrame, shingle: int, columns: list[str], name: s
     def run(batches):
         import pyarrow as pa
 
+        release_worker_state()
         for batch in batches:
             *rest, texts = batch.columns
             fp = np.array([fingerprint(t, shingle) for t in texts.to_pylist()], dtype=np.uint64)

@@ -17,16 +17,18 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from vidtrend.llm.common import WORKER_STATE
+
 #: Characters whose normalized form keeps its place.
 PLAIN = re.compile(r"[!-~¡-įı-ɏ]+").fullmatch
 JOINED = 256
 #: Distinct chunks kept from task to task; those met when it is full are kept for a batch.
-CACHE = 800_000
+CACHE = 450_000
 
 
 def shared_encoder(path: str) -> "ChunkEncoder":
     """The encoder of this Python worker, which Spark keeps for many tasks."""
-    state = sys.modules.setdefault("vidtrend_worker_state", ModuleType("vidtrend_worker_state"))
+    state = sys.modules.setdefault(WORKER_STATE, ModuleType(WORKER_STATE))
     encoders = vars(state).setdefault("encoders", {})
     if path not in encoders:
         encoders[path] = ChunkEncoder(path)
