@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from vidtrend.llm.common import release_worker_state, small_batches
 
 NGRAMS = (3, 4)
-SLICE_TOKENS = 300_000
+SLICE_TOKENS = 100_000
 
 
 @dataclass(frozen=True)

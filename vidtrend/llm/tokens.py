@@ -23,7 +23,7 @@ from vidtrend.llm.common import WORKER_STATE
 PLAIN = re.compile(r"[!-~¡-įı-ɏ]+").fullmatch
 JOINED = 256
 #: Distinct chunks kept from task to task; those met when it is full are kept for a batch.
-CACHE = 450_000
+CACHE = 350_000
 
 
 def shared_encoder(path: str) -> "ChunkEncoder":
