@@ -91,6 +91,21 @@ def test_template_lines_go_and_parts_do_not_matter(spark):
     assert texts[300] == "Quote" and texts[301] == "Quote\nMore" and texts[201] == ""
 
 
+def test_the_partner_decides_on_pages_with_articles(spark):
+    def page(k):
+        return template(f"<article><h1>Teaser {k}</h1><p>Text of teaser {k}</p><p>Read more</p></article><div><p>The body of page {k}</p><p>Our notice</p></div>", k)
+
+    assert html.main_text(html.lines_of(page(0)), None) == "Teaser 0\nText of teaser 0\nRead more\nThe body of page 0\nOur notice"
+    rows = [(k, f"http://site.example/{k}", page(k)) for k in range(3)]
+    got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {k: f"Teaser {k}\nText of teaser {k}\nThe body of page {k}" for k in range(3)}
+
+
+def test_articles_of_near_copies_stay():
+    a, b = (html.lines_of(f"<main><p>A long paragraph of both</p><p>Edit {k}</p></main>") for k in range(2))
+    assert html.main_text(a, b) == "A long paragraph of both\nEdit 0"
+
+
 def test_query_keeps_every_page(spark, tiny):
     rows = op9_main_text(spark, tiny).collect()
     source = {r.page_id: r for r in spark.read.parquet(f"{tiny}/pages.parquet").collect()}

@@ -3,10 +3,11 @@
 Pages are ordered by host and URL path.  A page's partner is the neighbour on the
 same host whose path shares the longer prefix with its own, and whose text is not
 the same.  The text lines of both are aligned by longest common subsequence; the
-shared lines are the site's template and are deleted.  Lines in an element that
-says it is not content (menus, forms, notices, ...) go too, and lines of the
-page's own article element, where it has one, are checked to stay, as articles on
-one site may quote the same line.
+shared lines are the site's template and are deleted, inside and outside of article
+elements.  Shared lines of articles stay if they are half or more of the text of
+either page's articles: then the pages are near copies or one quotes the other, and
+what they share is no template.  Lines in an element that says it is not content
+(menus, forms, notices, ...) go too.
 
 The order is cut into parts of about ``part_pages`` pages by the keys alone; a page
 at a part's edge is also sent to the neighbouring part, so partners are the same
@@ -153,9 +154,11 @@ def shared_lines(a: list[str], b: list[str]) -> list[int]:
 def main_text(lines: list[tuple[str, int]], partner: list[tuple[str, int]] | None) -> str:
     """The lines that stay once those shared with the partner are deleted."""
     gone = set(shared_lines([t for t, _ in lines], [t for t, _ in partner])) if partner else set()
-    article = any(kind == 1 for _, kind in lines)
-    return "\n".join(t for k, (t, kind) in enumerate(lines)
-                     if kind == 1 or kind == 0 and not article and k not in gone)
+    common = {k for k in gone if lines[k][1] == 1}
+    wholes = [n for n in (sum(len(t) for t, kind in page if kind == 1) for page in (lines, partner or ())) if n]
+    if common and 2 * sum(len(lines[k][0]) for k in common) >= min(wholes):
+        gone -= common
+    return "\n".join(t for k, (t, kind) in enumerate(lines) if kind != 2 and k not in gone)
 
 
 def url_key(url: str | None) -> tuple[str, str]:
