@@ -101,6 +101,17 @@ def test_the_partner_decides_on_pages_with_articles(spark):
     assert got == {k: f"Teaser {k}\nText of teaser {k}\nThe body of page {k}" for k in range(3)}
 
 
+def test_copies_longer_than_parts_find_the_pages_behind_them(spark):
+    copy = "<p>Menu</p><p>Left</p><p>The copy</p><p>Right</p>"
+    for ends in ((0, 30), (0,), (30,)):
+        rows = [(k, f"http://copies.example/{k:02}", copy) for k in range(31)]
+        for k in ends:
+            rows[k] = (k, rows[k][1], f"<p>Menu</p><p>{'Right' if k else 'Left'}</p><p>Own {k}</p>")
+        rows += [(40 + k, f"http://z.example/{k:02}", copy) for k in range(9)]
+        got = sorted((tuple(r) for r in html.extract(spark.createDataFrame(rows, SCHEMA), 5).collect()), key=str)
+        assert got == expected(rows)
+
+
 def test_articles_of_near_copies_stay():
     a, b = (html.lines_of(f"<main><p>A long paragraph of both</p><p>Edit {k}</p></main>") for k in range(2))
     assert html.main_text(a, b) == "A long paragraph of both\nEdit 0"

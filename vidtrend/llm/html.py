@@ -9,9 +9,10 @@ either page's articles: then the pages are near copies or one quotes the other,
 what they share is no template.  Lines in an element that says it is not content
 (menus, forms, notices, ...) go too.
 
-The order is cut into parts of about ``part_pages`` pages by the keys alone; a page
-at a part's edge is also sent to the neighbouring part, so partners are the same
-however the pages are dealt, and a host with a third of all pages is many parts.
+The order is cut into parts of about ``part_pages`` pages by the keys and a digest of
+the lines.  Each part is also sent the nearest page on either side whose lines differ
+from those at its edge, however far it is, so partners are the same however the pages
+are dealt, and a host with a third of all pages is many parts.
 
 Defined results: a null html is the empty text; pages with a null url are one host
 without paths; a page without a partner loses no line by differencing; repeated
@@ -20,6 +21,7 @@ rows stay repeated; an empty table gives an empty result.  Extra columns are ign
 
 from __future__ import annotations
 
+import hashlib
 import html as entities
 import re
 from bisect import bisect_left
@@ -179,6 +181,28 @@ def _common(a: str, b: str) -> int:
     return n
 
 
+def digest_of(lines: list[tuple[str, int]]) -> str:
+    return hashlib.blake2b(repr(lines).encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
+def _far(edges: list[tuple]) -> list:
+    """For each part in order, the nearest page before it on its first page's host whose
+    digest differs from that page's.  ``edges``: (first, last, last other) of each part,
+    where ``last other`` is the last page on the last one's host that differs from it."""
+    out: list = [None] * len(edges)
+    for k in range(1, len(edges)):
+        first, (begin, last, other) = edges[k][0], edges[k - 1]
+        if last[0] != first[0]:
+            continue
+        if last[3] != first[3]:
+            out[k] = last
+        elif other is not None:
+            out[k] = other
+        elif begin[0] == first[0]:  # the part before holds copies alone
+            out[k] = out[k - 1]
+    return out
+
+
 def extract(pages: DataFrame, part_pages: int = 2000, most_parts: int = 1 << 16) -> DataFrame:
     """(page_id, url, text) of every page of ``pages`` (page_id, url, html).
 
@@ -194,48 +218,59 @@ def extract(pages: DataFrame, part_pages: int = 2000, most_parts: int = 1 << 16)
         for pdf in batches:
             found = [url_key(u) for u in pdf["url"]]
             yield pd.DataFrame({"host": [h for h, _ in found], "path": [p for _, p in found],
-                                "page_id": pd.array([None if x is None else int(x) for x in pdf["page_id"]], "Int64")})
+                                "page_id": [*map(number, pdf["page_id"])], "digest": [digest_of(lines_of(x)) for x in pdf["html"]]})
 
     # the order from the keys alone: first and last key of each part
     # ids pass through pandas as text: a column of longs with a null would become floats
     pages = pages.select(F.col("page_id").cast("string").alias("page_id"), "url", "html")
-    slim = pages.select("url", "page_id").mapInPandas(keys, "host string, path string, page_id long")
-    count = min(most_parts, max(1, -(-pages.count() // part_pages)))
-    key = F.struct("host", "path", F.coalesce("page_id", F.lit(-(1 << 63))).alias("page_id"))
-    parts = (keep(slim.repartitionByRange(count, "host", "path", "page_id").select(key.alias("key"), F.spark_partition_id().alias("part")), "order")
-             .groupBy("part").agg(F.min("key").alias("low"), F.max("key").alias("high")))
-    edges = sorted(((tuple(r.low), tuple(r.high)) for r in parts.collect()))  # two keys a part
-    shared = spark.sparkContext.broadcast(edges)
+    slim = keep(pages.mapInPandas(keys, "host string, path string, page_id long, digest string"), "keys")
+    count = min(most_parts, max(1, -(-slim.count() // part_pages)))
+    names = ["host", "path", "page_id", "digest"]
+    order = keep(slim.repartitionByRange(count, *names).select(F.struct(*names).alias("key"), F.spark_partition_id().alias("part")), "order")
+    parts = order.groupBy("part").agg(F.min("key").alias("low"), F.max("key").alias("high"))
+
+    def other(edge: str):  # the key, if it is on the edge's host and its lines differ
+        return F.when((F.col("key.host") == F.col(f"{edge}.host")) & (F.col("key.digest") != F.col(f"{edge}.digest")), F.col("key"))
+
+    inner = (order.join(parts, "part").groupBy("part")
+             .agg(F.min("low").alias("low"), F.max("high").alias("high"), F.min(other("low")).alias("low2"), F.max(other("high")).alias("high2")))
+    edges = sorted((tuple(tuple(x) if x else () for x in (r.low, r.high, r.low2, r.high2)) for r in inner.collect()))  # four keys a part
+    before = _far([(low, high, high2 or None) for low, high, _, high2 in edges])
+    after = _far([(high, low, low2 or None) for low, high, low2, _ in reversed(edges)])[::-1]
+    guests: dict[tuple, list[int]] = {}
+    for part, both in enumerate(zip(before, after)):
+        for k in both:
+            if k is not None:
+                guests.setdefault(k, []).append(part)
+    shared = spark.sparkContext.broadcast(([e[1] for e in edges], guests))
 
     def parse(batches):
-        low, high = [e[0] for e in shared.value], [e[1] for e in shared.value]
+        high, guests = shared.value
+        sent = set()  # one of equal rows is enough as a guest
         for pdf in batches:
             rows = []
             for page_id, url, page in zip(pdf["page_id"], pdf["url"], pdf["html"]):
                 host, path = url_key(url)
-                k = (host, path, number(page_id))
-                own = bisect_left(high, k)
                 lines = lines_of(page)
-                row = [page_id, url, host, path, [t for t, _ in lines], [n for _, n in lines]]
-                rows.append([own, False, *row])
-                if own and k == low[own]:
-                    rows.append([own - 1, True, *row])
-                if own + 1 < len(high) and k == high[own]:
-                    rows.append([own + 1, True, *row])
-            yield pd.DataFrame(rows, columns=["part", "guest", "page_id", "url", "host", "path", "lines", "kinds"])
+                k = (host, path, number(page_id), digest_of(lines))
+                to = [] if k in sent else guests.get(k, [])
+                if to:
+                    sent.add(k)
+                rows.append([bisect_left(high, k), to, page_id, url, host, path, k[3], [t for t, _ in lines], [n for _, n in lines]])
+            yield pd.DataFrame(rows, columns=["own", "others", "page_id", "url", "host", "path", "digest", "lines", "kinds"])
 
     def difference(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.iloc[sorted(range(len(pdf)), key=list(zip(pdf["host"], pdf["path"], map(number, pdf["page_id"]))).__getitem__)]
-        hosts, paths, guests = pdf["host"].tolist(), pdf["path"].tolist(), pdf["guest"].tolist()
+        pdf = pdf.iloc[sorted(range(len(pdf)), key=list(zip(pdf["host"], pdf["path"], map(number, pdf["page_id"]), pdf["digest"])).__getitem__)]
+        hosts, paths, guests, digests = (pdf[c].tolist() for c in ("host", "path", "guest", "digest"))
         lines = [list(zip(t, k)) for t, k in zip(pdf["lines"], pdf["kinds"])]
         # the next page on either side whose text differs
         before, after = [-1] * len(lines), [-1] * len(lines)
         for k in range(1, len(lines)):
             if hosts[k - 1] == hosts[k]:
-                before[k] = k - 1 if lines[k - 1] != lines[k] else before[k - 1]
+                before[k] = k - 1 if digests[k - 1] != digests[k] else before[k - 1]
         for k in range(len(lines) - 2, -1, -1):
             if hosts[k + 1] == hosts[k]:
-                after[k] = k + 1 if lines[k + 1] != lines[k] else after[k + 1]
+                after[k] = k + 1 if digests[k + 1] != digests[k] else after[k + 1]
         texts = []
         for k in range(len(lines)):
             near = [j for j in (before[k], after[k]) if j >= 0]
@@ -245,6 +280,9 @@ def extract(pages: DataFrame, part_pages: int = 2000, most_parts: int = 1 << 16)
         return out[[not g for g in guests]]
 
     parsed = pages.mapInPandas(
-        parse, "part int, guest boolean, page_id string, url string, host string, path string, lines array<string>, kinds array<int>")
+        parse, "own int, others array<int>, page_id string, url string, host string, path string, digest string, lines array<string>, kinds array<int>")
+    to = F.concat(F.array(F.struct(F.col("own").alias("part"), F.lit(False).alias("guest"))),
+                  F.transform("others", lambda k: F.struct(k.alias("part"), F.lit(True).alias("guest"))))
+    parsed = parsed.withColumn("to", F.explode(to)).select("to.part", "to.guest", "page_id", "url", "host", "path", "digest", "lines", "kinds")
     found = parsed.groupBy("part").applyInPandas(difference, "page_id string, url string, text string")
     return found.withColumn("page_id", F.col("page_id").cast("long"))
