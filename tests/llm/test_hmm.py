@@ -104,6 +104,28 @@ def test_probabilities_of_all_continuations_add_up(spark):
     assert hmm.score(learned, emitted=2).count() == 4
 
 
+def test_words_outside_the_emitted_ones_learn_their_states(spark):
+    """Two equally frequent words of one class, each in its own kind of text."""
+    rows = [(k, ("a a xaing a a " if k % 2 else "b b xbing b b ") * 8, False) for k in range(80)]
+    rows += [(100, "a a xaing a a", True), (101, "a a xbing a a", True), (102, "b b xbing b b", True), (103, "b b xaing b b", True)]
+    got = hmm.score(spark.createDataFrame(rows, "doc_id long, text string, held_out boolean"), emitted=2, states=2)
+    score = {r.doc_id: r.score for r in got.collect()}
+    assert hmm.word_class(b"xaing") == hmm.word_class(b"xbing") and len(score) == 84
+    assert score[100] > score[101] + 0.2 and score[102] > score[103] + 0.2
+
+
+def test_probabilities_within_a_class_add_up():
+    import pandas as pd
+
+    rng = np.random.default_rng(4)
+    words = pd.DataFrame({"class": [0, 0, 0, 1, 1], "n": [3, 1, 0, 2, 0]})  # a class's unseen words are one
+    own = rng.random((5, 2)) * words[["n"]].to_numpy()
+    words[["h0", "h1"]] = own
+    of_state = np.stack([own[:3].sum(0), own[3:].sum(0)])
+    got = hmm.within_class(words, ["h0", "h1"], of_state, np.array([4, 2]), np.array([2, 1]))
+    assert np.allclose(got[:3].sum(0), 1) and np.allclose(got[3:].sum(0), 1)
+
+
 def test_classes_are_counted_as_words_are_classed(spark):
     texts = ["a bb ccc dddd été x" * 3, "a étés bb", "zz zz zzz aa"]
     vocabulary = hmm.count_words(spark.createDataFrame([(t,) for t in texts], "text string"), emitted=0)

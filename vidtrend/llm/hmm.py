@@ -1,16 +1,20 @@
 """Hidden Markov language model, trained by Baum-Welch over the whole corpus.
 
-Words are counted over all training documents.  The ``head`` most frequent are known
-to every task; the ``emitted`` most frequent of these are symbols of their own, and
-every other word is the symbol of its class (by its ending), within which it has
-its smoothed share of the class's counts.  So the model gives every word a
-probability.  Baum-Welch runs over all training documents: each task adds the
+Words are counted over all training documents.  The ``emitted`` most frequent are
+symbols of their own, known to every task; every other word is emitted as the symbol
+of its class (by its ending) and then, within the class, by the state's own
+probability of the word.  That comes from the expected (word, state) counts of every
+training word: a table as long as the vocabulary, summed over all tasks by a shuffle
+and joined back to the blocks of documents that hold the word.  A prior of ``PRIOR``
+words leads it to the word's smoothed share of the class's counts, so every word has
+a probability.  Baum-Welch runs over all training documents: each task adds the
 expected counts of its rows, and the sums over all tasks make the next parameters.
-A document's score is the scaled forward recursion over its whole text.
+The first rounds have the words of a class tied to their shares, the last ``own``
+rounds gather every word's counts.  A document's score is the scaled forward
+recursion over its whole text.
 
 Training cuts texts into runs of ``RUN`` tokens, each started from the state
-distribution found for such starts; scoring never cuts.  Counts of words outside
-the head come by a join, whatever their number.
+distribution found for such starts; scoring never cuts.
 
 Defined results: a null or empty text is its end token alone; without any training
 document all counts are zero and every token has probability one; rows are scored
@@ -25,15 +29,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vidtrend.llm.common import keep, small_batches
 
 CLASSES = 256
 RUN = 256
-#: Tokens a task works on at once, in training and in scoring.
-CHUNK, SCORED = 400_000, 1_500_000
+#: Tokens of a block of documents, which a task works on at once.
+CHUNK = 1_000_000
+PRIOR = 4.0
 DISTINCT = 120_000
 
 
@@ -46,9 +51,14 @@ def word_class(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % CLASSES
 
 
+def class_of(word: str) -> Column:
+    """As ``word_class``."""
+    return (F.crc32(F.substring(word, -3, 3)) % CLASSES).cast("int")
+
+
 @dataclass(frozen=True)
 class Vocabulary:
-    """Counts of the corpus: ``table`` (word, n) of every training word, and what every task needs."""
+    """Counts of the corpus: ``table`` (word, n, id) of every training word, and what every task needs."""
 
     table: DataFrame
     head: list[bytes]
@@ -80,16 +90,15 @@ def count_words(documents: DataFrame, head: int = 1 << 17, emitted: int = 1 << 1
         yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
 
     parts = documents.select("text").mapInPandas(count, "word binary, n long")
-    table = keep(parts.groupBy("word").agg(F.sum("n").alias("n")), "words")
+    table = keep(parts.groupBy("word").agg(F.sum("n").alias("n")).withColumn("id", F.monotonically_increasing_id()), "words")
     ends = documents.count()
-    top = table.orderBy(F.desc("n"), "word").limit(head).collect()  # bounded by ``head``
+    top = table.orderBy(F.desc("n"), "word").limit(min(head, emitted)).collect()
     names = [bytes(r.word) for r in top]
     counts = np.array([r.n for r in top], dtype=np.int64)
     emitted = min(emitted, len(names))
 
     of_class, size = np.zeros(CLASSES, dtype=np.int64), np.zeros(CLASSES, dtype=np.int64)
-    last = F.crc32(F.substring("word", -3, 3)) % CLASSES  # as word_class
-    by_class = table.groupBy(last.cast("int").alias("class")).agg(F.sum("n").alias("n"), F.count("*").alias("size"))
+    by_class = table.groupBy(class_of("word").alias("class")).agg(F.sum("n").alias("n"), F.count("*").alias("size"))
     for r in by_class.collect():
         of_class[r["class"]], size[r["class"]] = r.n, r["size"]
     tokens, distinct = int(of_class.sum()) + ends, int(size.sum()) + (ends > 0)
@@ -99,41 +108,45 @@ def count_words(documents: DataFrame, head: int = 1 << 17, emitted: int = 1 << 1
     return Vocabulary(table, names, counts, emitted, of_class, size, ends, tokens, distinct)
 
 
-def encode(documents: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """Each document as symbols: (row, doc_id, held_out, n_tokens, head_known, head_log,
-    class_log, symbols, tail); ``tail`` are its words outside the head."""
+def encode(documents: DataFrame, vocabulary: Vocabulary) -> tuple[DataFrame, DataFrame]:
+    """Blocks of about ``CHUNK`` tokens, held-out documents apart: (block, held_out, doc_ids,
+    sizes, symbols, classes), and their other words: (block, held_out, slot, class, id, n).  The
+    symbol of a block's word outside the emitted ones is the number of symbols plus its slot."""
     v, spark = vocabulary, documents.sparkSession
     small_batches(spark, 250)
-    share = np.log10(v.class_count + v.class_size + 1.0)
-    shared = spark.sparkContext.broadcast((v.head, np.log10(v.head_count + 1.0), share, v.emitted, v.ends))
+    shared = spark.sparkContext.broadcast((v.head[:v.emitted], v.emitted))
 
     def run(batches):
-        head, logs, share, emitted, ends = shared.value
-        rank = {w: k for k, w in enumerate(head)}
-        symbol = np.array([k if k < emitted else emitted + word_class(w) for k, w in enumerate(head)], dtype=np.int64)
+        head, emitted = shared.value
+        rank, filled, tokens = {w: k for k, w in enumerate(head)}, {}, {}
+        names = ["held_out", "doc_ids", "sizes", "symbols", "classes", "words"]
+
+        def frame(held_out):
+            ids, texts, places = filled.pop(held_out)
+            words = list(places)[emitted:]
+            classes = np.array([word_class(w) for w in words], dtype=np.uint8).tobytes()
+            return pd.DataFrame([[held_out, ids, [len(t) for t in texts], np.concatenate(texts).tobytes(), classes, words]], columns=names)
+
         for pdf in batches:
-            rows = []
-            for text in pdf["text"]:
-                words = words_of(text)
-                ranks = np.array([rank.get(w, -1) for w in words], dtype=np.int64)
-                tail = [words[k] for k in np.flatnonzero(ranks < 0)]
-                known = ranks[ranks >= 0]
-                out = np.empty(len(words) + 1, dtype="<u2")
-                out[:-1][ranks >= 0] = symbol[known]
-                out[:-1][ranks < 0] = [emitted + word_class(w) for w in tail]
-                out[-1] = emitted + CLASSES
-                classes = out[(out >= emitted) & (out < emitted + CLASSES)].astype(np.int64) - emitted
-                rows.append((len(out), len(known) + (ends > 0), logs[known].sum() + np.log10(ends + 1.0),
-                             logs[known[known >= emitted]].sum() - share[classes].sum(), out.tobytes(), tail))
-            names = ["n_tokens", "head_known", "head_log", "class_log", "symbols", "tail"]
-            out = pd.DataFrame(rows, columns=names)
-            yield pd.concat([pdf[["doc_id", "held_out"]].reset_index(drop=True), out], axis=1)
+            for doc_id, held_out, text in zip(pdf["doc_id"], pdf["held_out"], pdf["text"]):
+                ids, texts, places = filled.setdefault(held_out, ([], [], dict(rank)))
+                symbols = [places.setdefault(w, len(places) + CLASSES + 1) for w in words_of(text)]
+                ids.append(doc_id)
+                texts.append(np.array([*symbols, emitted + CLASSES], dtype="<u4"))
+                tokens[held_out] = tokens.get(held_out, 0) + len(symbols) + 1
+                if tokens[held_out] >= CHUNK:
+                    tokens[held_out] = 0
+                    yield frame(held_out)
+        for held_out in list(filled):
+            yield frame(held_out)
 
     # ids pass through pandas as text: a column of longs with a null would become floats
     coded = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "held_out", "text").mapInPandas(
-        run, "doc_id string, held_out boolean, n_tokens long, head_known long, head_log double, class_log double, "
-             "symbols binary, tail array<binary>")
-    return keep(coded.withColumn("row", F.monotonically_increasing_id()), "symbols")
+        run, "held_out boolean, doc_ids array<string>, sizes array<int>, symbols binary, classes binary, words array<binary>")
+    blocks = keep(coded.withColumn("block", F.monotonically_increasing_id()), "blocks")
+    slots = blocks.select("block", "held_out", F.posexplode("words").alias("slot", "word")).join(v.table, "word", "left")
+    slots = slots.select("block", "held_out", "slot", class_of("word").alias("class"), "id", F.coalesce("n", F.lit(0)).alias("n"))
+    return blocks.drop("words"), keep(slots, "slots")
 
 
 @dataclass(frozen=True)
@@ -218,55 +231,102 @@ def log_likelihood(model: Hmm, texts: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def chunks(batches, size: int):
-    """Frames of rows with about ``size`` tokens in all."""
-    held, tokens = [], 0
-    for pdf in batches:
-        for _, row in enumerate(pdf.itertuples(index=False)):
-            held.append(row)
-            tokens += len(row.symbols) // 2
-            if tokens >= size:
-                yield held
-                held, tokens = [], 0
-    if held:
-        yield held
-
-
-def train(coded: DataFrame, unigram: np.ndarray, states: int = 8, rounds: int = 6, seed: int = 5) -> Hmm:
-    """Baum-Welch over all rows of ``coded`` that are not held out."""
-    model, symbols = initial(unigram, states, seed), len(unigram)
-    spark = coded.sparkSession
-    rows = coded.where("not held_out").select("symbols")
+def runs_of(symbols: np.ndarray, sizes) -> tuple[list[np.ndarray], np.ndarray]:
+    """A block's texts in runs, and which of them start a text."""
+    runs, first, place = [], [], 0
+    for size in sizes:
+        for at in range(0, size, RUN):
+            runs.append(symbols[place + at:place + min(size, at + RUN)])
+            first.append(at == 0)
+        place += size
+    return runs, np.array(first)
+
+
+def within_class(slots: pd.DataFrame, names: list[str], of_state: np.ndarray, count: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Each state's probability of each slot's word within its class.  ``of_state`` are the expected
+    (class, state) counts, ``count`` and ``size`` the training words and distinct words of a class."""
+    k = slots["class"].to_numpy(dtype=np.int64)
+    share = ((slots["n"].to_numpy(dtype=float) + 1) / (count[k] + size[k] + 1))[:, None]
+    own = slots[names].to_numpy(dtype=float, na_value=0.0)
+    prior = PRIOR * ((size + 1) / np.maximum(count, 1))[k][:, None] * of_state[k]
+    total = of_state[k] + prior
+    return np.where(total > 1e-9, (own + prior * share) / np.maximum(total, 1e-9), share)
+
+
+def with_words(model: Hmm, classes: np.ndarray, within: np.ndarray) -> Hmm:
+    """The model with a block's own words as further symbols."""
+    first = len(model.emit) - 1 - CLASSES
+    return Hmm(model.start, model.later, model.move, np.concatenate((model.emit, model.emit[first + classes] * within)))
+
+
+def with_counts(slots: DataFrame, counts: DataFrame | None, names: list[str]) -> DataFrame:
+    if counts is None:
+        return slots.select("*", *[F.lit(None).cast("float").alias(c) for c in names])
+    return slots.join(counts.where("key >= 0").select(F.col("key").alias("id"), *names), "id", "left")
+
+
+def in_order(block: pd.DataFrame, slots: pd.DataFrame) -> tuple:
+    return next(block.itertuples(index=False)), slots.sort_values("slot")
+
+
+def train(blocks: DataFrame, slots: DataFrame, vocabulary: Vocabulary, states: int = 8, rounds: int = 6, own: int = 2,
+          seed: int = 5) -> tuple[Hmm, DataFrame | None, np.ndarray]:
+    """Baum-Welch over all blocks that are not held out: the model, the expected counts of all
+    other words (key, h0, ...), and those of the classes."""
+    unigram = vocabulary.unigram()
+    model, symbols, emitted = initial(unigram, states, seed), len(unigram), vocabulary.emitted
+    spark = blocks.sparkSession
+    small_batches(spark, 10_000)
+    rows, words = blocks.where("not held_out").select("block", "sizes", "symbols", "classes"), slots.where("not held_out").drop("held_out")
     names = [f"h{k}" for k in range(states)]
-    for _ in range(rounds):
-        shared = spark.sparkContext.broadcast((model.start, model.later, model.move, model.emit))
-
-        def expect(batches, shared=shared):
-            model, total = Hmm(*shared.value), np.zeros((symbols + states + 2, states))
-            for held in chunks(batches, CHUNK):
-                runs, first = [], []
-                for row in held:
-                    text = np.frombuffer(row.symbols, "<u2")
-                    for at in range(0, len(text), RUN):
-                        runs.append(text[at:at + RUN])
-                        first.append(at == 0)
-                start, later, move, emit = expected_counts(model, runs, np.array(first))
-                total += np.concatenate((emit, move, [start, later]))
+    counts, of_state = None, np.zeros((CLASSES, states))
+    for turn in range(rounds):
+        shared = spark.sparkContext.broadcast((model.start, model.later, model.move, model.emit, of_state, vocabulary.class_count, vocabulary.class_size))
+
+        def tied(batches, shared=shared):
+            model, total = Hmm(*shared.value[:4]), np.zeros((symbols + states + 2, states))
+            for pdf in batches:
+                for row in pdf.itertuples(index=False):
+                    flat, classes = np.frombuffer(row.symbols, "<u4"), np.frombuffer(row.classes, np.uint8)
+                    flat = np.concatenate((np.arange(symbols), emitted + classes.astype(np.int64)))[flat]
+                    start, later, move, emit = expected_counts(model, *runs_of(flat, row.sizes))
+                    total += np.concatenate((emit, move, [start, later]))
             some = np.flatnonzero(total.any(axis=1))
-            yield pd.DataFrame(total[some], columns=names).assign(key=some.astype(np.int32))
-
-        sums = rows.mapInPandas(expect, ", ".join(f"{c} double" for c in names) + ", key int").groupBy("key").agg(
-            *[F.sum(c).alias(c) for c in names])
+            yield pd.DataFrame(total[some], columns=names).assign(key=-1 - some)
+
+        def each(block: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+            row, found = in_order(block, found)
+            model, classes = Hmm(*shared.value[:4]), np.frombuffer(row.classes, np.uint8).astype(np.int64)
+            model = with_words(model, classes, within_class(found, names, *shared.value[4:]))
+            start, later, move, emit = expected_counts(model, *runs_of(np.frombuffer(row.symbols, "<u4"), row.sizes))
+            word, emit = emit[symbols:], emit[:symbols]
+            np.add.at(emit, emitted + classes, word)
+            total = np.concatenate((emit, move, [start, later]))
+            some = np.flatnonzero(total.any(axis=1))
+            key = np.concatenate((-1 - some, found["id"].to_numpy(dtype=np.int64)))
+            return pd.DataFrame(np.concatenate((total[some], word)), columns=names).assign(key=key)
+
+        if turn < rounds - own:
+            parts = rows.mapInPandas(tied, ", ".join(f"{c} double" for c in names) + ", key long")
+        else:
+            both = rows.groupBy("block").cogroup(with_counts(words, counts, names).groupBy("block"))
+            parts = both.applyInPandas(each, ", ".join(f"{c} float" for c in names) + ", key long")
+        sums = parts.groupBy("key").agg(*[F.sum(c).alias(c) for c in names])
+        if turn >= rounds - own:
+            counts = sums = keep(sums.select("key", *[F.col(c).cast("float").alias(c) for c in names]), "word-states")
+            del both, parts
+            spark._jvm.System.gc()  # the cleaner then deletes the shuffle files of the round
         total = np.zeros((symbols + states + 2, states))
-        for r in sums.collect():  # one row for each symbol and state: as many for any corpus
-            total[r.key] = r[1:]
+        for r in sums.where("key < 0").collect():  # one row for each symbol and state: as many for any corpus
+            total[-1 - r.key] = [r[c] for c in names]
         if not total.any():
-            break
+            return model, None, of_state
         emit = total[:symbols] + 0.01 * (unigram + 1.0)[:, None] / (unigram + 1.0).sum() * total[:symbols].sum(0)
         move, start, later = total[symbols:-2] + 0.1, total[-2] + 0.1, total[-1] + 0.1
         model = Hmm(start / start.sum(), later / later.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
+        of_state = total[emitted:emitted + CLASSES] if counts is not None else of_state
         shared.unpersist()
-    return model
+    return model, counts, of_state
 
 
 def score(documents: DataFrame, head: int = 1 << 17, emitted: int = 1 << 13, states: int = 8, rounds: int = 6) -> DataFrame:
@@ -276,30 +336,28 @@ def score(documents: DataFrame, head: int = 1 << 17, emitted: int = 1 << 13, sta
     of the hidden Markov model."""
     spark = documents.sparkSession
     vocabulary = count_words(documents.where("not held_out"), head, emitted)
-    coded = encode(documents, vocabulary)
-    model = train(coded, vocabulary.unigram(), states, rounds)
-    shared = spark.sparkContext.broadcast((model.start, model.later, model.move, model.emit))
-
-    def run(batches):
-        model = Hmm(*shared.value)
-        for held in chunks(batches, SCORED):
-            found = log_likelihood(model, [np.frombuffer(r.symbols, "<u2") for r in held])
-            yield pd.DataFrame({"row": [r.row for r in held], "doc_id": [r.doc_id for r in held],
-                                "held_out": [r.held_out for r in held], "n_tokens": [r.n_tokens for r in held],
-                                "head_known": [r.head_known for r in held], "head_log": [r.head_log for r in held],
-                                "class_log": [r.class_log for r in held], "forward": found})
-
-    scored = coded.drop("tail").mapInPandas(
-        run, "row long, doc_id string, held_out boolean, n_tokens long, head_known long, head_log double, class_log double, forward double")
-    tail = coded.where(F.size("tail") > 0).select("row", F.explode("tail").alias("word"))
-    found = (tail.join(vocabulary.table, "word", "left").groupBy("row")
-             .agg(F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1.0)).alias("tail_log"), F.count("n").alias("tail_known")))
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
-    none = vocabulary.tokens == 0
-    each = float(np.log10(vocabulary.tokens + vocabulary.distinct + 1))
-    return (scored.join(found, "row", "left")
-            .select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "n_tokens", (F.col("head_known") + zero("tail_known")).cast("long").alias("n_known"),
-                    F.lit(vocabulary.tokens).cast("long").alias("train_tokens"),
-                    (F.col("head_log") + zero("tail_log") - F.col("n_tokens") * F.lit(each)).alias("base_score"),
-                    F.lit(0.0).alias("score") if none else
-                    (F.col("forward") + F.col("class_log") + zero("tail_log")).alias("score")))
+    blocks, slots = encode(documents, vocabulary)
+    model, counts, of_state = train(blocks, slots, vocabulary, states, rounds)
+    v, names = vocabulary, [f"h{k}" for k in range(states)]
+    first = np.concatenate((v.head_count[:v.emitted], np.zeros(CLASSES, dtype=np.int64), [v.ends]))
+    shared = spark.sparkContext.broadcast((model.start, model.later, model.move, model.emit, of_state, v.class_count, v.class_size, first))
+    each = float(np.log10(v.tokens + v.distinct + 1))
+
+    def run(block: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        row, found = in_order(block, found)
+        *values, first = shared.value
+        classes = np.frombuffer(row.classes, np.uint8).astype(np.int64)
+        model = with_words(Hmm(*values[:4]), classes, within_class(found, names, *values[4:]))
+        flat, sizes = np.frombuffer(row.symbols, "<u4"), np.array(row.sizes, dtype=np.int64)
+        starts = np.cumsum(sizes) - sizes
+        n = np.concatenate((first, found["n"].to_numpy(dtype=np.int64)))
+        return pd.DataFrame({"doc_id": list(row.doc_ids), "held_out": row.held_out, "n_tokens": sizes,
+                             "n_known": np.add.reduceat((n > 0).astype(np.int64)[flat], starts),
+                             "base_score": np.add.reduceat(np.log10(n + 1.0)[flat], starts) - sizes * each,
+                             "score": log_likelihood(model, np.split(flat, starts[1:]))})
+
+    scored = blocks.groupBy("block").cogroup(with_counts(slots.drop("held_out"), counts, names).groupBy("block")).applyInPandas(
+        run, "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    return scored.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "n_tokens", "n_known",
+                         F.lit(v.tokens).cast("long").alias("train_tokens"), "base_score",
+                         (F.lit(0.0) if v.tokens == 0 else F.col("score")).alias("score"))
