@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import textwrap
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -23,6 +25,24 @@ def test_templates_are_told_apart_and_confirmed(spark, model):
     assert [got[k].family for k in range(len(rows))] == want
 
 
+def test_wrapped_and_stemless_statements(spark, model):
+    grant = TEMPLATES["MIT"][2]
+    rows = [(0, "confidential. Unauthorized copying of this file is strictly prohibited."),
+            (1, "documentation files, to deal in the Software without restriction, including without limitation the rights"),
+            *((k, "First.\n\n" + "\n".join(textwrap.wrap(grant, k)) + "\n\nLast.") for k in (72, 80))]
+    got = {}
+    for r in license_scan.scan(spark.createDataFrame(rows, SCHEMA), model).collect():
+        got.setdefault(r.doc_id, set()).add((r.family, r.confirmed))
+    assert got[0] == {("Proprietary", True)} and got[1] == {("MIT", True)} and ("MIT", True) in got[72] & got[80]
+
+
+def test_wrapped_lines_are_joined(spark):
+    a, b = "a" * 60 + " one", "b" * 55 + " two"
+    df = spark.createDataFrame([(1, f"x\n{a}\n{b}\nend.\n{a}\n\n{b}"), (2, a), (3, ""), (4, None)], SCHEMA)
+    got = [(r.doc_id, r.first, r.last, r.text) for r in license_scan.paragraphs(df).collect()]
+    assert [g for g in got if g[1] < g[2]] == [(1, 1, 3, f"{a} {b} end.")] and len(got) == 10
+
+
 def test_other_text_is_unknown(spark, model):
     rows = [(0, "The driver lost the licence plate in the permitted area"), (1, "copyright is a word"), (2, "Warranty void"),
             (3, "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation")]

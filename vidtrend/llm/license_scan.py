@@ -5,16 +5,18 @@ a bounded sample of the corpus as the unknown class.  Features are the word
 n-grams (one to three words) of the templates, weights a sparse multinomial logistic
 regression.  A temperature and the decision threshold are then fitted on rows held
 out of training, so that the unknown class's probability is calibrated.  Scanning
-splits every text into paragraphs (lines), keeps those that name a licence stem,
-sums the weights of their n-grams and applies the softmax.  Each prediction is
+takes every line of every text as a paragraph, and every run of wrapped lines joined,
+sums the weights of their n-grams and applies the softmax.  Paragraphs whose n-grams
+cannot reach the threshold, by an upper bound of their weights, are dropped before.
+A joined run is numbered by its first line, and reported if none of its lines is.  Each prediction is
 compared with its family's templates: it is confirmed if 0.8 of the five-word
 shingles of the shorter of both are shared.
 
 Everything is DataFrame operations and Spark's own logistic regression; a paragraph's
 n-grams meet the weights in a join, and sums are aggregated before the shuffle.
 
-Defined results: null and empty texts have no paragraph; a paragraph that holds no
-stem is no licence statement; rows with equal or null ids are scanned each for
+Defined results: null and empty texts have no paragraph; a line is wrapped if it has
+50 to 100 characters, does not end a sentence and the next line is not blank; rows with equal or null ids are scanned each for
 itself; repeated paragraphs repeat; an empty table gives an empty result.  Extra
 columns are ignored.
 """
@@ -22,6 +24,7 @@ columns are ignored.
 from __future__ import annotations
 
 import json
+import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -109,8 +112,8 @@ TEMPLATES: dict[str, list[str]] = {
         "This software is proprietary and confidential. Unauthorized copying of this file is strictly prohibited.",
     ],
 }
-#: A licence statement names one of these.
-STEMS = r"(?i)licen[cs]|copyright|permi[st]|warrant|redistribut|public domain|rights reserved|proprietary|gnu |mpl|\bcc"
+#: The marks that end a sentence, and the length of a wrapped line.
+ENDS, WRAPPED = r"[.!?:;]\s*$", (50, 100)
 FAMILIES = [UNKNOWN, *TEMPLATES]
 
 
@@ -223,21 +226,73 @@ def softmax(z: Column, temperature: float) -> Column:
     return F.transform(e, lambda x: x / total)
 
 
+def held(column: Column) -> Column:
+    """The column through a generator, so that later steps do not compute it again."""
+    return F.explode(F.array(column))
+
+
+def paragraphs(documents: DataFrame) -> DataFrame:
+    """(doc, doc_id, first, last, text): every line, and every run of wrapped lines joined."""
+    lines = documents.where(F.col("text").isNotNull()).select(
+        "doc_id", F.monotonically_increasing_id().alias("doc"), held(F.split("text", "\n", -1)).alias("lines"))
+    places = F.sequence(F.lit(0), F.size("lines") - 1)
+
+    def goes_on(k: Column) -> Column:
+        line = F.rtrim(F.get("lines", k))
+        return F.length(line).between(*WRAPPED) & ~line.rlike(ENDS) & F.coalesce(F.get("lines", k + 1).rlike(r"\S"), F.lit(False))
+
+    marked = lines.select("*", held(F.transform(places, goes_on)).alias("on"))
+    before = lambda k: (k > 0) & F.get("on", F.greatest(k - 1, F.lit(0)))
+    runs = marked.select("*", held(F.arrays_zip(F.filter(places, lambda k: F.get("on", k) & ~before(k)).alias("a"),
+                                                F.filter(places, lambda k: ~F.get("on", k) & before(k)).alias("b"))).alias("runs"))
+    single = F.transform("lines", lambda x, k: F.struct(k.alias("first"), k.alias("last"), x.alias("text")))
+    joined = F.transform("runs", lambda r: F.struct(r["a"].alias("first"), r["b"].alias("last"),
+                                                    F.array_join(F.slice("lines", r["a"] + 1, r["b"] - r["a"] + 1), " ").alias("text")))
+    return runs.select("doc", "doc_id", F.inline(F.concat(single, joined)))
+
+
+def can_be_told(grams: str, model: tuple[DataFrame, list[float], float, float]) -> Column:
+    """False only for n-grams that no family's score over the unknown class's can lift to the
+    threshold: each counts as the most it adds to any, rounded up."""
+    weights, biases, temperature, threshold = model
+    over: dict[float, list[str]] = {}
+    for r in weights.collect():  # bounded by the vocabulary of ``fit``
+        most = max(w - r.w[0] for w in r.w[1:])
+        if most > 0:
+            over.setdefault(math.ceil(most * 4) / 4 if most > 0.25 else math.ceil(most * 32) / 32, []).append(r.gram)
+    need = temperature * (math.log(threshold / (1 - threshold)) - math.log(len(biases) - 1)) - max(b - biases[0] for b in biases[1:])
+    if not over or need <= 0:
+        return F.lit(need <= 0)
+    value = F.lit(0.0)
+    known = [g for own in over.values() for g in own]
+
+    def worth(g: Column) -> Column:
+        out = None
+        for v, own in over.items():
+            out = (F if out is None else out).when(g.isin(own), F.lit(float(v)))
+        return out.otherwise(F.lit(0.0))
+
+    return F.aggregate(F.filter(grams, lambda g: g.isin(known)), value, lambda a, g: a + worth(g)) >= need - 1e-6
+
+
 def scan(documents: DataFrame, model: tuple[DataFrame, list[float], float, float], similarity: float = 0.8) -> DataFrame:
     """Rows (doc_id, paragraph, family, probability, similarity, confirmed): every paragraph
     whose family the model tells from the unknown class, with the best share of five-word
     shingles it has in common with a template of that family."""
     weights, biases, temperature, threshold = model
     spark = documents.sparkSession
-    named = (documents.where(F.col("text").rlike(STEMS))
-             .select("doc_id", F.posexplode(F.split("text", "\n", -1)).alias("paragraph", "line")).where(F.col("line").rlike(STEMS)))
-    rows = keep(named.select("doc_id", "paragraph", words(F.col("line")).alias("tokens"), F.monotonically_increasing_id().alias("row")), "licence-lines")
+    named = (paragraphs(documents).select("*", held(words(F.col("text"))).alias("tokens")).where(F.size("tokens") > 0)
+             .select("*", held(features(F.col("tokens"))).alias("grams")).where(can_be_told("grams", model)))
+    rows = keep(named.select("doc", "doc_id", "first", "last", "tokens", F.monotonically_increasing_id().alias("row")), "licence-lines")
     z = _logits(rows.select("row", features(F.col("tokens")).alias("grams")), ["row"], weights, biases)
     p = z.select("row", softmax(F.col("z"), temperature).alias("p"))
     best = F.array_position("p", F.array_max("p")).cast("int")
     told = (p.where(1 - F.col("p")[0] >= threshold).withColumn("p", F.concat(F.array(F.lit(-1.0)), F.slice("p", 2, len(FAMILIES))))
             .select("row", F.element_at(F.array(*map(F.lit, FAMILIES)), best).alias("family"), F.array_max("p").alias("probability")))
-    found = keep(rows.join(told, "row"), "licence-found")
+    found = keep(rows.join(told, "row"), "licence-told")
+    line = found.where("first = last").select(F.col("doc").alias("d"), F.col("first").alias("n"))
+    again = (F.col("first") < F.col("last")) & (F.col("doc") == F.col("d")) & F.col("n").between(F.col("first"), F.col("last"))
+    found = keep(found.join(line, again, "left_anti").drop("doc", "last").withColumnRenamed("first", "paragraph"), "licence-found")
     own = templates(spark).select("family", "template", shingles(F.col("tokens")).alias("shingles"))
     own = own.select("family", "template", F.size("shingles").alias("of"), F.explode("shingles").alias("shingle"))
     mine = found.select("row", "family", shingles(F.col("tokens")).alias("s"))
