@@ -1,5 +1,5 @@
 """Operators for preparing training data at scale.
 
-Ten operators, one module each, and the thin queries over the driver's tables
+Operators, one module each, and the thin queries over the driver's tables
 (``queries.py``).  Nothing else in the library imports this subpackage.
 """
