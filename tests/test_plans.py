@@ -6,6 +6,8 @@ from __future__ import annotations
 
 import re
 
+import pytest
+
 from vidtrend.operators.rank import top_k_with_ties
 from vidtrend.plans import programs as P
 
@@ -50,7 +52,7 @@ def test_category_queries_scan_the_facts_once_and_join_on_both_keys(spark):
     old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        snaps, cats = model.snapshots(spark, "/root/testdata/sf0.001"), model.categories(spark, "/root/testdata/sf0.001")
+        snaps, cats = model.late_snapshots(spark, "/root/testdata/sf0.001"), model.categories(spark, "/root/testdata/sf0.001")
         for df in (P.category_views(snaps, cats), P.category_totals(snaps, cats, "AM")):
             text = plan(df)
             assert text.count("lineitem.parquet") == 1 and "checkpoint" not in text.lower()
@@ -65,6 +67,8 @@ def final_plan(df) -> list[str]:
     df.collect()
     out, skip = [], None
     for row in plan(df).split("\n"):
+        if "AdaptiveSparkPlan" not in row and "== " not in row and not re.match(r"[ :]*[+:]- ", row):
+            continue   # a literal's line breaks
         indent = len(row) - len(row.lstrip(" :|+-"))
         if skip is not None and indent > skip:
             continue
@@ -74,6 +78,62 @@ def final_plan(df) -> list[str]:
     return out
 
 
+def ways_up(rows: list[str], scan: str) -> list[list[str]]:
+    """For each scan of ``scan``, the operators above it up to and with the first exchange."""
+    depth = [len(re.match(r"[ :|+\-]*", row)[0]) for row in rows]
+    ways = []
+    for k, row in enumerate(rows):
+        if "FileScan" not in row or scan not in row:
+            continue
+        way, at = [], depth[k]
+        for above in range(k - 1, -1, -1):
+            if depth[above] < at:
+                at = depth[above]
+                way.append(rows[above])
+                if re.search(r"\bExchange\b", rows[above]):
+                    break
+        ways.append(way)
+    return ways
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_facts_are_exchanged_once_and_aggregated_before_any_join(spark, threshold):
+    """On the plans that ran: between the scan of the facts and their only exchange
+    stands a partial aggregate and no join, whatever the dimensions' sizes."""
+    from vidtrend.plans import catalog
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        seen = 0
+        for name, build in catalog.queries().items():
+            if name in catalog.WRITES_FILES or name.startswith("csv_"):
+                continue
+            for way in ways_up(final_plan(build(spark, "/root/testdata/sf0.001")), "lineitem.parquet"):
+                assert not any("Join" in row for row in way), (name, way)
+                assert any("Exchange" in row for row in way) and any("partial_" in row for row in way), (name, way)
+                seen += 1
+        assert seen >= 30
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_one_pass_has_one_exchange_of_the_snapshots(snapshots, categories):
+    rows = final_plan(P.best_snapshots(snapshots))
+    assert sum("Exchange" in row for row in rows) == 1 and sum("FileScan" in row for row in rows) == 1
+    assert sum("partial_max(" in row and row.count("partial_max(") == 4 for row in rows) == 1
+
+
+def test_second_program_over_a_bucketed_stage_has_no_identity_exchange(spark, snapshots, tmp_path):
+    from vidtrend.operators.late import reduced_snapshots
+    from vidtrend.sources import read_bucketed_stage, write_bucketed_stage
+    write_bucketed_stage(reduced_snapshots(snapshots), str(tmp_path / "stage"), "identity", 3)
+    stage = read_bucketed_stage(spark, str(tmp_path / "stage"))
+    for df in (P.video_table(stage), P.best_snapshots(stage)):
+        assert not any("Exchange" in row for row in final_plan(df))
+    rows = final_plan(P.channel_totals(stage))
+    assert sum("Exchange" in row for row in rows) == 1 and any("hashpartitioning(channel" in row for row in rows)
+
+
 def test_top_k_with_ties_runs_its_input_once(spark):
     from vidtrend.plans import catalog
     ran = final_plan(catalog.queries()["top5_channels_by_video_count"](spark, "/root/testdata/sf0.001"))
@@ -104,7 +164,7 @@ def test_rankings_are_range_partitioned_sorts(snapshots):
 
 def test_scan_reads_only_needed_columns(spark):
     from vidtrend.plans import model
-    snaps = model.snapshots(spark, "/root/testdata/sf0.001")
+    snaps = model.late_snapshots(spark, "/root/testdata/sf0.001")
     text = plan(P.channel_row_count(snaps))
     scan = [ln for ln in text.split("\n") if "FileScan parquet" in ln and "lineitem" in ln][0]
     assert "l_suppkey" in scan and "l_shipdate" not in scan and "l_orderkey" not in scan

@@ -14,14 +14,17 @@ import argparse
 import os
 import sys
 
+from vidtrend.operators.late import reduced_snapshots
 from vidtrend.operators.stats import stat_correlations
 from vidtrend.plans import programs as P
 from vidtrend.session import build_session
 from vidtrend.schema import CATEGORY_VIEWS_REPORT, REPORT_NAMES, SNAPSHOT_COLUMNS, SNAPSHOT_SCHEMA
-from vidtrend.sources import read_categories, read_snapshots, write_report, write_stage
+from vidtrend.sources import (
+    read_bucketed_stage, read_categories, read_snapshots, write_bucketed_stage, write_report, write_stage,
+)
 
 PROGRAMS = ("ingest", "channel-rows", "channel-videos", "viewed-channels", "channel-stats",
-            "category-stats", "video-stats", "category-views", "correlation")
+            "category-stats", "video-stats", "category-views", "correlation", "all")
 
 
 def parse_args(argv: list[str]) -> argparse.Namespace:
@@ -39,17 +42,20 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
     ap.add_argument("--encoding", default="UTF-8", help="input charset (UTF-8, ISO-8859-1, US-ASCII)")
     ap.add_argument("--escape", default="backslash", choices=("backslash", "double"),
                     help="backslash: \\\" is a quote and \\\\ a backslash; double: backslashes are text")
-    ap.add_argument("--input-format", default="csv", choices=("csv", "parquet"),
-                    help="parquet: INPUT is the output of the ingest program")
+    ap.add_argument("--input-format", default="csv", choices=("csv", "parquet", "stage"),
+                    help="parquet: INPUT is the output of the ingest program; stage: of ingest --bucketed")
+    ap.add_argument("--bucketed", action="store_true",
+                    help="ingest: merge the snapshots no program tells apart and keep them bucketed by video")
+    ap.add_argument("--buckets", type=int, help="number of buckets (default: spark.sql.shuffle.partitions)")
     ap.add_argument("--format", default="tsv", choices=("tsv", "parquet"))
     ap.add_argument("--save-stages", action="store_true",
                     help="also keep the intermediate stages")
     ap.add_argument("--master", help="Spark master; leave unset under spark-submit")
     args = ap.parse_args(argv)
-    if args.program in ("category-stats", "category-views") and not args.dictionaries:
+    if args.program in ("category-stats", "category-views", "all") and not args.dictionaries:
         ap.error(f"{args.program} needs --dictionaries")
-    if args.program == "category-stats" and (not args.region or len(args.region) != 2):
-        ap.error("category-stats needs --region with a two-letter code")
+    if args.program in ("category-stats", "all") and (not args.region or len(args.region) != 2):
+        ap.error(f"{args.program} needs --region with a two-letter code")
     return args
 
 
@@ -58,6 +64,8 @@ def run(args: argparse.Namespace) -> dict[str, str]:
     if args.input_format == "parquet":
         # declared schema: the region partition folders stay text
         snaps = spark.read.schema(SNAPSHOT_SCHEMA).parquet(args.input).select(*SNAPSHOT_COLUMNS)
+    elif args.input_format == "stage":
+        snaps = read_bucketed_stage(spark, args.input)
     else:
         snaps = read_snapshots(spark, args.input, encoding=args.encoding,
                                escape=args.escape)
@@ -66,6 +74,10 @@ def run(args: argparse.Namespace) -> dict[str, str]:
         # Parse once; every program can then read typed, region-partitioned
         # parquet (column pruning, pushdown, region pruning) instead of CSV.
         path = os.path.join(out, "snapshots")
+        if args.bucketed:
+            # Programs over it aggregate per video without an exchange.
+            write_bucketed_stage(reduced_snapshots(snaps), path, "identity", args.buckets)
+            return {"snapshots": path}
         write_stage(snaps, path, partition_by=["region"])
         return {"snapshots": path}
     if args.program == "channel-rows":
@@ -92,6 +104,8 @@ def run(args: argparse.Namespace) -> dict[str, str]:
         return P.run_category_stats(snaps, cats, args.region, out, fmt=fmt, k=args.top,
                                     with_ties=args.with_ties, save_stages=args.save_stages)
     cats = read_categories(spark, args.dictionaries)
+    if args.program == "all":
+        return P.run_all(snaps, cats, args.region, out, fmt=fmt, buckets=args.buckets)
     return {CATEGORY_VIEWS_REPORT: P.run_category_views(snaps, cats, out, fmt=fmt, save_stages=args.save_stages)}
 
 

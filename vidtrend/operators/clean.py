@@ -32,5 +32,8 @@ def valid_rows(snapshots: DataFrame, required: Iterable[str] = REQUIRE_STATS,
 
 def with_identity(snapshots: DataFrame) -> DataFrame:
     """Add ``identity`` (grouping key of a video) and ``token`` (the text that
-    travels with it: error code or title), P5."""
+    travels with it: error code or title), P5.  A frame that has them keeps its
+    own: a stage bucketed by identity is aggregated as it lies."""
+    if {"identity", "token"} <= set(snapshots.columns):
+        return snapshots
     return snapshots.withColumns({"identity": identity(), "token": payload_token()})

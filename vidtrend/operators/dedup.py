@@ -12,9 +12,11 @@ overload one task.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
+from vidtrend.operators.clean import REQUIRE_STATS, REQUIRE_STATS_AND_CATEGORY, REQUIRE_VIEWS
 from vidtrend.functions.identity import report_id, report_title
 from vidtrend.schema import STATS
 
@@ -33,7 +35,12 @@ def best_snapshot(df: DataFrame, payload: Sequence[str], key: str = "identity",
     best = (df.groupBy(key)
             .agg(F.max(F.struct(*[F.col(c) for c in order])).alias("_best"))
             .select(key, *[F.col(f"_best.{c}").alias(c) for c in order]))
-    has_winner = F.col(ranked_by[0]) > 0
+    return _winners(best, ranked_by[0], no_winner, blank)
+
+
+def _winners(best: DataFrame, stat: str, no_winner: str, blank: Sequence[str]) -> DataFrame:
+    """The D6 rule of ``best_snapshot``."""
+    has_winner = F.col(stat) > 0
     if no_winner == "drop":
         return best.where(has_winner)
     if no_winner == "blank":
@@ -43,10 +50,43 @@ def best_snapshot(df: DataFrame, payload: Sequence[str], key: str = "identity",
     raise ValueError(f"unknown no_winner rule {no_winner!r}")
 
 
+# The payload of each of the best snapshots that ``best_of_all`` takes, and the
+# fields that must parse for it.
+PAYLOADS = {
+    "video": ("token", REQUIRE_STATS),
+    "channel": ("channel", REQUIRE_STATS),
+    "category": ("category_id", REQUIRE_STATS_AND_CATEGORY),
+    "counted": ("channel", REQUIRE_VIEWS),
+}
+
+
+def best_of_all(df: DataFrame) -> DataFrame:
+    """D1-D4 in one aggregation: ``(identity, video, channel, category, counted)``,
+    each the struct of the best snapshot with that payload, null where no row of
+    the video has the fields it needs.  Every row needs the views (P4)."""
+    def best(payload: str, required: Sequence[str]) -> Column:
+        valid = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in required])
+        return F.max(F.when(valid, F.struct(*STATS, F.col(payload).alias("payload"))))
+
+    return df.groupBy("identity").agg(*[best(*of).alias(name) for name, of in PAYLOADS.items()])
+
+
+def one_of(best: DataFrame, name: str) -> DataFrame:
+    """One of the best snapshots of ``best_of_all``, as ``best_snapshot`` gives it (D6 applied)."""
+    payload = PAYLOADS[name][0]
+    rows = (best.where(F.col(name).isNotNull())
+            .select("identity", *[F.col(f"{name}.{s}").alias(s) for s in STATS], F.col(f"{name}.payload").alias(payload)))
+    return _winners(rows, STATS[0], "blank" if name == "counted" else "drop", [payload])
+
+
 def best_video(df: DataFrame) -> DataFrame:
     """``(video_id, title, views, likes, dislikes, comments)`` per video;
     title-keyed videos print ``N/A`` as id (P6).  Needs ``with_identity``."""
-    best = best_snapshot(df, payload=["token"])
+    return printed(best_snapshot(df, payload=["token"]))
+
+
+def printed(best: DataFrame) -> DataFrame:
+    """Best snapshots with the token payload, as reports print them."""
     return best.select(report_id().alias("video_id"), report_title().alias("title"), *STATS)
 
 

@@ -13,11 +13,13 @@ from vidtrend.schema import STATS
 def stat_correlations(df: DataFrame, stats: Sequence[str] = STATS,
                       digits: int | None = None) -> DataFrame:
     """Long format ``(stat_a, stat_b, r)``, one row per pair in input-column
-    order.  All pairs are computed by one partial + final aggregation."""
+    order.  All pairs are computed by one partial + final aggregation.  A statistic
+    that is the same everywhere has no correlation: null (``corr`` would divide by zero)."""
     pairs = list(combinations(stats, 2))
     aggs = []
     for i, (a, b) in enumerate(pairs):
-        r = F.corr(F.col(a).cast("double"), F.col(b).cast("double"))
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
         aggs.append((F.round(r, digits) if digits is not None else r).alias(f"r{i}"))
     wide = df.agg(*aggs)
     entries = ", ".join(f"'{a}', '{b}', r{i}" for i, (a, b) in enumerate(pairs))

@@ -4,25 +4,32 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from vidtrend.operators.clean import REQUIRE_STATS, REQUIRE_VIEWS, valid_rows, with_identity
-from vidtrend.operators.dedup import best_channel_snapshot, channel_of_video
+from vidtrend.operators.dedup import PAYLOADS, best_channel_snapshot, channel_of_video, one_of
+from vidtrend.operators.late import LateSnapshots, reduced_snapshots
 from vidtrend.operators.rollup import count_by, totals_by
 from vidtrend.plans import model, programs
 from vidtrend.plans.oracle import CATEGORY_REGION, ORACLE_SQL
-from vidtrend.schema import DICTIONARY_SCHEMA, STATS
+from vidtrend.schema import DICTIONARY_SCHEMA, SNAPSHOT_COLUMNS, STATS
+from vidtrend.session import shared_path
 from vidtrend.sources.categories import categories_from_documents
 from vidtrend.sources.reports import parse_report_lines
-from vidtrend.sources.sinks import to_tsv_lines
+from vidtrend.sources.sinks import to_tsv_lines, write_bucketed_stage
 from vidtrend.sources.snapshots import decode_lines, parse_snapshot_lines, union_snapshots
 
+# Queries that write files to the shared folder and read them back: their files are
+# written when the plan is built; all others start no job before they run.
+WRITES_FILES = {"bucketed_stage_channels", "bucketed_stage_all_rules"}
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-def _snaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return model.snapshots(spark, sf_dir)
+def _snaps(spark: SparkSession, sf_dir: str) -> LateSnapshots:
+    return model.late_snapshots(spark, sf_dir)
 
 
 def _with_categories(fn):
@@ -84,7 +91,8 @@ def latin1_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def united_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Frames of single regions united are the whole."""
-    snaps = _snaps(spark, sf_dir)
+    names = [c for c in SNAPSHOT_COLUMNS if c not in STATS]
+    snaps = _snaps(spark, sf_dir).best(names, REQUIRE_STATS)
     parts = [snaps.where(F.col("region") == r) for r in ("AF", "AM", "AS", "EU", "MI")]
     return programs.channel_totals(union_snapshots(*parts))
 
@@ -100,6 +108,44 @@ def report_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_report_lines(header.unionByName(to_tsv_lines(report)), schema)
 
 
+def one_pass_best_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All four best snapshots of every video from one aggregation, one below the other."""
+    best = programs.best_snapshots(_snaps(spark, sf_dir))
+    kinds = [one_of(best, kind).select(F.lit(kind).alias("kind"), "identity", F.col(payload).cast("string").alias("payload"), *STATS)
+             for kind, (payload, _) in PAYLOADS.items()]
+    return reduce(DataFrame.unionByName, kinds)
+
+
+def one_pass_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2, Q4, Q5 from one pass over the snapshots: channels counted, channels and categories added up."""
+    parts = programs.programs_of(programs.best_snapshots(_snaps(spark, sf_dir)), model.categories(spark, sf_dir), CATEGORY_REGION)
+    long = lambda name, key, *stats: parts[name].select(
+        F.lit(name).alias("report"), F.col(key).alias("name"), F.explode(F.map_from_arrays(
+            F.array(*[F.lit(s) for s in stats]), F.array(*[F.col(s).cast("bigint") for s in stats]))).alias("stat", "value"))
+    rows = [long("channelCount", "channel", "n"), long("channelStats", "channel", *STATS), long("categoryStats", "label", *STATS)]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def _stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshots merged, kept bucketed by identity."""
+    return write_bucketed_stage(reduced_snapshots(_snaps(spark, sf_dir)), shared_path(spark, "snapshots"), "identity")
+
+
+def bucketed_stage_channels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Channel totals of a stage that lies bucketed by identity."""
+    return programs.channel_totals(_stage(spark, sf_dir))
+
+
+def bucketed_stage_all_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stage bucketed by identity answers the row count (Q1), the video count
+    (Q2) and the category views (Q7) of the snapshots it was made of."""
+    stage = _stage(spark, sf_dir)
+    reports = (("rows", programs.channel_row_count(stage), "channel", "n"), ("videos", programs.channel_video_count(stage), "channel", "n"),
+               ("views", programs.category_views(stage, model.categories(spark, sf_dir)), "label", "views"))
+    return reduce(DataFrame.unionByName, [df.select(F.lit(report).alias("report"), F.col(name).alias("name"), F.col(value).alias("value"))
+                                          for report, df, name, value in reports])
+
+
 def top_parts_with_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O6 with a tie across the cut: parts by number of rows."""
     counts = model.table(spark, sf_dir, "lineitem").groupBy(F.col("l_partkey").alias("part")).agg(F.count("*").alias("n"))
@@ -146,10 +192,14 @@ def queries() -> dict[str, Query]:
     q["united_regions"] = united_regions
     q["report_round_trip"] = report_round_trip
     q["top_parts_with_ties"] = top_parts_with_ties
-    q["tied_views_channel_totals"] = lambda s, d: programs.channel_totals(model.with_tied_views(_snaps(s, d)))
-    q["tied_views_channel_videos"] = lambda s, d: programs.channel_video_count(model.with_tied_views(_snaps(s, d)))
-    q["category_views_bad_ids"] = _with_categories(
-        lambda snaps, cats: programs.category_views(model.with_bad_categories(snaps), cats))
+    q["tied_views_channel_totals"] = lambda s, d: programs.channel_totals(model.late_snapshots(s, d, tied_views=True))
+    q["tied_views_channel_videos"] = lambda s, d: programs.channel_video_count(model.late_snapshots(s, d, tied_views=True))
+    q["category_views_bad_ids"] = lambda s, d: programs.category_views(
+        model.late_snapshots(s, d, bad_categories=True), model.categories(s, d))
+    q["one_pass_best_snapshots"] = one_pass_best_snapshots
+    q["one_pass_reports"] = one_pass_reports
+    q["bucketed_stage_channels"] = bucketed_stage_channels
+    q["bucketed_stage_all_rules"] = bucketed_stage_all_rules
     q["stat_correlations"] = lambda s, d: programs.stat_correlation(_snaps(s, d), digits=6)
     return q
 

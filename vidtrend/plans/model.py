@@ -20,10 +20,12 @@ fallback labels.
 from __future__ import annotations
 
 import os
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from vidtrend.schema import PLACEHOLDER_IDS, SNAPSHOT_COLUMNS
+from vidtrend.operators.late import LateSnapshots
+from vidtrend.schema import PLACEHOLDER_IDS, SNAPSHOT_COLUMNS, STATS
 
 # Model parameters (also used by the SQL oracle).
 NAME_LINE, VALUE_LINE = 7, 6          # line numbers carrying the error codes
@@ -58,41 +60,65 @@ def _cents(c: str) -> Column:
     return F.round(F.col(c) * 100).cast("bigint")
 
 
-def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``SNAPSHOT_SCHEMA`` rows, one per lineitem row."""
-    li = table(spark, sf_dir, "lineitem").select(
-        "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_tax", "l_returnflag")
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
-    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
-    region = table(spark, sf_dir, "region").select(
-        "r_regionkey", F.upper(F.substring("r_name", 1, 2)).alias("region"))
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    # The three small dimensions meet first, so a fact row is probed twice.
-    # No hints: the planner's byte threshold and adaptive execution decide.
-    channels = (supplier
-                .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-                .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-                .select("s_suppkey", "s_name", "region"))
-    rows = (li
-            .join(part, F.col("l_partkey") == F.col("p_partkey"))
-            .join(channels, F.col("l_suppkey") == F.col("s_suppkey")))
+def late_snapshots(spark: SparkSession, sf_dir: str, bad_categories: bool = False, tied_views: bool = False) -> LateSnapshots:
+    """The snapshots with their names still in the tables: facts are lineitem rows.
+
+    ``bad_categories``: every tenth quantity carries a category that is not a
+    number, in regions with and without a dictionary.  ``tied_views``: views cut to
+    a few values per category, so the best views of most videos tie between
+    snapshots with other statistics and channels (D7)."""
+    li = table(spark, sf_dir, "lineitem")
     name_code, value_code = PLACEHOLDER_IDS
-    video_id = (F.when(F.col("l_linenumber") == NAME_LINE, F.lit(name_code))
-                .when(F.col("l_linenumber") == VALUE_LINE, F.lit(value_code))
-                .otherwise(F.col("l_partkey").cast("string")))
-    return rows.select(
-        F.col("region"),
-        video_id.alias("video_id"),
-        F.concat("p_name", F.lit(" "), "l_returnflag").alias("title"),
-        F.col("s_name").alias("channel"),
-        F.col("p_size").cast("string").alias("category_raw"),
-        F.col("p_size").alias("category_id"),
-        _cents("l_extendedprice").alias("views"),
-        F.round("l_quantity").cast("bigint").alias("likes"),
-        _cents("l_discount").alias("dislikes"),
-        _cents("l_tax").alias("comments"),
-    ).select(*SNAPSHOT_COLUMNS)
+    code = F.when(F.col("l_linenumber") == NAME_LINE, F.lit(name_code)).when(F.col("l_linenumber") == VALUE_LINE, F.lit(value_code))
+    likes = F.round("l_quantity").cast("bigint")
+    facts = li.select(
+        "l_partkey", "l_suppkey", code.alias("code"), F.col("l_returnflag").alias("flag"),
+        F.when(code.isNotNull(), F.col("l_returnflag")).alias("code_flag"),   # a title is an identity only under a code
+        (F.lit(bad_categories) & (likes % 10 == 3)).alias("bad"),
+        _cents("l_extendedprice").alias("views"), likes.alias("likes"),
+        _cents("l_discount").alias("dislikes"), _cents("l_tax").alias("comments"))
+    keys = {"video_id": ("l_partkey", "code"), "title": ("l_partkey", "flag"), "identity": ("l_partkey", "code", "code_flag"),
+            "token": ("l_partkey", "code", "flag"), "channel": ("l_suppkey",), "region": ("l_suppkey",),
+            "category_raw": ("l_partkey", "bad"), "category_id": ("l_partkey", "bad")}
+    if tied_views:
+        facts, keys = facts.drop("views"), keys | {"views": ("l_partkey",)}
+
+    def look_up(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+        wanted = set(columns)
+        if wanted & {"title", "identity", "token", "category_raw", "category_id", "views"}:
+            part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_size")
+            rows = rows.join(part, F.col("l_partkey") == F.col("p_partkey"))
+        if wanted & {"channel", "region"}:
+            supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+            rows = rows.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
+        if "region" in wanted:
+            nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+            region = table(spark, sf_dir, "region").select("r_regionkey", F.upper(F.substring("r_name", 1, 2)).alias("region"))
+            rows = (rows.join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+                    .join(region, F.col("n_regionkey") == F.col("r_regionkey")))
+        own_id = F.col("l_partkey").cast("string")
+        title = lambda flag: F.concat("p_name", F.lit(" "), flag)
+        found = {
+            "video_id": F.coalesce("code", own_id),
+            "title": title("flag"),
+            "identity": F.when(F.col("code").isNotNull(), title("code_flag")).otherwise(own_id),
+            "token": F.coalesce("code", title("flag")),
+            "channel": F.col("s_name"),
+            "region": F.col("region"),
+            "category_raw": F.when(F.col("bad"), F.lit("x")).otherwise(F.col("p_size").cast("string")),
+            "category_id": F.when(~F.col("bad"), F.col("p_size")),
+            "views": F.col("p_size").cast("bigint") % 3,
+        }
+        kept = [c for c in rows.columns if c in ("_n", *STATS)]
+        return rows.select(*[found[c].alias(c) for c in columns], *kept)
+
+    return LateSnapshots(facts, keys, look_up)
+
+
+def snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``SNAPSHOT_SCHEMA`` rows, one per lineitem row, all names looked up."""
+    names = [c for c in SNAPSHOT_COLUMNS if c not in STATS]
+    return late_snapshots(spark, sf_dir).frame(names).select(*SNAPSHOT_COLUMNS)
 
 
 def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,21 +131,6 @@ def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("title", title))
 
 
-def with_bad_categories(snaps: DataFrame) -> DataFrame:
-    """Every tenth quantity carries a category that is not a number, in regions
-    with and without a dictionary."""
-    bad = F.col("likes") % 10 == 3
-    return snaps.withColumns({
-        "category_raw": F.when(bad, F.lit("x")).otherwise(F.col("category_raw")),
-        "category_id": F.when(~bad, F.col("category_id"))})
-
-
-def with_tied_views(snaps: DataFrame) -> DataFrame:
-    """Views cut to a few values per category: the best views of most videos
-    tie between snapshots with other statistics and channels (D7)."""
-    return snaps.withColumn("views", F.col("category_id").cast("bigint") % 3)
-
-
 def events_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as snapshots for the no-winner rule (D6): each event is a video
     of channel ``event_type`` with ``floor(value)`` views; small values give

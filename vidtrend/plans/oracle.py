@@ -186,6 +186,26 @@ SELECT n, channel, CAST(rnk AS INTEGER) AS rank FROM (
     q["united_regions"] = f"{CHANNEL_TOTALS} SELECT channel, views, likes, dislikes, comments FROM tot"
     q["report_round_trip"] = f"""{CHANNEL_TOTALS}
 SELECT views, channel || chr(9) || chr(92) || 't' AS channel, likes, dislikes, comments FROM tot"""
+    complete = "views IS NOT NULL AND likes IS NOT NULL AND dislikes IS NOT NULL AND comments IS NOT NULL"
+    kinds = [f"""SELECT '{kind}' AS kind, identity, {text} AS payload, views, likes, dislikes, comments FROM (
+  SELECT *, row_number() OVER (PARTITION BY identity ORDER BY {NULLS_LAST}, {payload} DESC) AS rn FROM snapi WHERE {where}
+) WHERE rn = 1{winner}"""
+             for kind, payload, text, where, winner in (
+                 ("video", "token", "token", complete, " AND views > 0"), ("channel", "channel", "channel", complete, " AND views > 0"),
+                 ("category", "category_id", "CAST(category_id AS VARCHAR)", f"{complete} AND category_id IS NOT NULL", " AND views > 0"),
+                 ("counted", "channel", "CASE WHEN views > 0 THEN channel ELSE '' END", "views IS NOT NULL", ""))]
+    q["one_pass_best_snapshots"] = f"WITH {SNAPSHOTS_CTE} " + " UNION ALL ".join(kinds)
+    totals = " UNION ALL ".join(f"SELECT '{report}' AS report, {name} AS name, '{s}' AS stat, {s} AS value FROM ({sql})"
+                                for report, name, sql in (("channelStats", "channel", f"{CHANNEL_TOTALS} SELECT * FROM tot"),
+                                                          ("categoryStats", "label", f"{CATEGORY_TOTALS} SELECT * FROM tot"))
+                                for s in STATS)
+    q["one_pass_reports"] = f"""SELECT 'channelCount' AS report, channel AS name, 'n' AS stat, n AS value FROM ({CHANNEL_OF_VIDEO} SELECT * FROM cnt)
+UNION ALL {totals}"""
+    q["bucketed_stage_channels"] = f"{CHANNEL_TOTALS} SELECT channel, views, likes, dislikes, comments FROM tot"
+    q["bucketed_stage_all_rules"] = f"""
+SELECT 'rows' AS report, channel AS name, n AS value FROM ({q["channel_row_count"]})
+UNION ALL SELECT 'videos', channel, n FROM ({q["channel_video_count"]})
+UNION ALL SELECT 'views', label, views FROM ({q["category_views_all_regions"]})"""
     q["top_parts_with_ties"] = """
 SELECT part, n, CAST(rnk AS INTEGER) AS rank FROM (
   SELECT part, n, rank() OVER (ORDER BY n DESC) AS rnk FROM (

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -62,3 +65,39 @@ def write_stage(df: DataFrame, path: str, mode: str = "overwrite",
     writer.parquet(path)
     spark: SparkSession = df.sparkSession
     return spark.read.parquet(path)
+
+
+# Beside a bucketed stage's files, in a folder that readers of the files skip.
+BUCKETING = "_bucketing"
+
+
+def write_bucketed_stage(df: DataFrame, path: str, key: str, buckets: int | None = None,
+                         mode: str = "overwrite") -> DataFrame:
+    """A parquet stage bucketed and sorted by ``key``.  Programs that group by
+    the key, in this session or a later one (``read_bucketed_stage``), aggregate it
+    without an exchange.  ``buckets`` is a setting of the data: by default the
+    session's number of shuffle partitions.  The rows should be reduced first
+    (``reduced_snapshots``), as all rows of a key lie in one bucket."""
+    spark: SparkSession = df.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"stage_{uuid.uuid4().hex}"
+    (df.repartition(buckets, key).write.mode(mode).bucketBy(buckets, key).sortBy(key)
+     .option("path", path).saveAsTable(table))
+    spark.sql(f"DROP TABLE {table}")  # an external table: the files stay
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    kept = spark.createDataFrame([(key, buckets, columns)], "key string, buckets int, columns string")
+    kept.coalesce(1).write.mode(mode).json(os.path.join(path, BUCKETING))
+    return read_bucketed_stage(spark, path)
+
+
+def read_bucketed_stage(spark: SparkSession, path: str) -> DataFrame:
+    """A stage of ``write_bucketed_stage``, with its bucketing."""
+    kept = spark.read.schema("key string, buckets int, columns string").json(os.path.join(path, BUCKETING)).first()
+    if kept is None:
+        raise ValueError(f"{path} holds no bucketed stage")
+    table, location = f"stage_{uuid.uuid4().hex}", path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {table} ({kept.columns}) USING parquet CLUSTERED BY (`{kept.key}`) "
+              f"SORTED BY (`{kept.key}`) INTO {kept.buckets} BUCKETS LOCATION '{location}'")
+    stage = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the frame is bound to the files
+    return stage
