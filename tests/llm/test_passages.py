@@ -78,11 +78,12 @@ def test_other_columns_stay_and_clashing_ones_are_replaced(spark, edge, empty):
 
 
 def test_hashes_of_runs_and_words():
-    texts = [b"a bb ccc a bb ccc a", b"x" * (passages.SLICE + 9) + b" a bb", b"", b" a"]
+    texts = [b"a bb ccc a bb ccc a", b"x" * (passages.SLICE + 9) + b" a bb", b"", b"\t a\x0b"]
     shard = passages.Shard(pa.table({"doc_id": [1, 2, 3, 4], "text": pa.array(texts, pa.binary())}))
-    words = [w for d in shard.docs for w in d]
+    words = [w for text in shard.texts for w in text.split()]
+    assert words == [shard.buffer[i:j].tobytes() for i, j in zip(shard.low, shard.high)] and shard.sizes.tolist() == [7, 3, 0, 1]
     hashes = shard.hashes()
-    assert len(set(words)) == len(set(hashes.tolist())) and all((hashes[i] == hashes[j]) == (words[i] == words[j]) for i in range(11) for j in range(11))
+    assert all((hashes[i] == hashes[j]) == (words[i] == words[j]) for i in range(11) for j in range(11))
     some = np.arange(60, dtype=np.uint64) % np.uint64(7)
     for length in (1, 2, 3, 7, 20):
         runs = passages._runs_hash(some, length, passages.WORD_BASES[0])
@@ -90,10 +91,20 @@ def test_hashes_of_runs_and_words():
         assert len(runs) == len(want) and len(set(runs.tolist())) == len(set(want))
 
 
-def test_automata_find_every_place_around_surrogate_code_points():
-    sequence = np.concatenate([np.arange(1, 60_001), [0], np.arange(55_290, 55_330), [0], np.arange(1, 30)])
-    starts = np.arange(0, 60_000 - 19)
-    found = [np.stack(x) for x in passages.located(sequence, starts, 20, 58_000)]
-    index, place = np.concatenate(found, axis=1)
-    assert len(index) == len(starts) + 21 + 10
-    assert all((sequence[starts[i]:starts[i] + 20] == sequence[p:p + 20]).all() for i, p in zip(index[-40:], place[-40:]))
+def test_automata_find_every_place_in_one_document_at_a_time(monkeypatch):
+    rng = random.Random(3)
+    words = [rng.choice([b"a", b"b", b"cc", b"d%d" % rng.randrange(900)]) for _ in range(4000)]
+    doc = np.sort(np.array([rng.randrange(30) for _ in words]))
+    phrases = list({b" ".join(words[i:i + n]): (i, i + n) for i in range(0, 3900, 3) for n in (2, 3, 5) if doc[i] == doc[i + n - 1]}.values())
+    want = sorted((p, p + j - i - 1) for i, j in phrases for p in range(len(words) - (j - i) + 1)
+                  if words[p:p + j - i] == words[i:j] and doc[p] == doc[p + j - i - 1])
+    for base, patterns in ((80, 16_000), (80, 100), (9, 16_000)):
+        monkeypatch.setattr(passages, "BASE", base)
+        got = [np.stack(x, axis=1) for x in passages.located(words, doc, phrases, patterns)]
+        assert sorted(map(tuple, np.concatenate(got).tolist())) == want and (len(got) > 1) == (patterns == 100 or base == 9)
+
+
+def test_pairs_with_equal_first_hashes_are_told_apart():
+    told = pa.table({"h1": pa.array([5, 5, 5, 9, 1]), "h2": pa.array([3, 1, 2, 0, 0], pa.int32())})
+    h1, h2 = np.array([5, 5, 5, 5, 9, 9, 1, 7, 99], np.uint64), np.array([1, 2, 3, 4, 0, 1, 0, 0, 0], np.uint32)
+    assert passages._found(told, h1, h2).tolist() == [1, 2, 0, -1, 3, -1, 4, -1, -1]

@@ -11,10 +11,11 @@ pass meets them without moving texts.
 2. Confirm.  Each shard sends a 96-bit hash of the windows of those anchors, once, with
    the smallest doc_id that holds it.  Windows that stand once end there; the recurring
    ones go back to their shards, and the shard that has the smallest doc_id is told so.
-3. Compile.  A shard writes its confirmed windows as words and compiles them into
-   Aho-Corasick automata of at most ``patterns`` windows each, over the words as symbols.
+3. Compile.  A shard takes its confirmed passages, phrases of neighbouring windows with one
+   anchor, and compiles them into Aho-Corasick automata of at most ``patterns`` phrases
+   each, over the words as symbols.
 4. Stream.  All documents of the shard run through each automaton, which finds every
-   place of every passage by its words.  The first place of all goes free, all others
+   place of every phrase by its words.  A window's first place of all goes free, all others
    lose the words they cover.
 
 A window is a row per shard at most, so neither a passage of a third of all documents nor a
@@ -30,6 +31,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +45,11 @@ ANCHOR = 8
 #: Odd multipliers and the steps of a 64-bit finalizer: fixed values.
 BYTE_BASE, WORD_BASES = 0x9E3779B97F4A7C15, (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 MIX_1, MIX_2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-SLICE = 1 << 20
-#: Code points that are no characters.
-SURROGATES = (0xD800, 0xE000)
+SLICE = 1 << 18
+IS_BLANK = np.isin(np.arange(256), [32, *range(9, 14)])
+#: A word of an automaton is WIDTH characters, each out of BASE of its own: short child
+#: lists, as the library searches them one by one, and no match inside a word.
+WIDTH, BASE = 3, 80
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -65,42 +69,45 @@ def _powers(base: int, count: int) -> np.ndarray:
 
 
 class Shard:
-    """A shard's documents in order, as one sequence of words."""
+    """A shard's documents in order, their words as spans of one buffer."""
 
     def __init__(self, table: pa.Table) -> None:
         ids, texts = table["doc_id"].to_pylist(), [(t or b"") for t in table["text"].to_pylist()]
         keys = [((i is not None, i if i is not None else 0), t) for i, t in zip(ids, texts)]
         order = sorted(range(len(keys)), key=keys.__getitem__)
         # rows equal in id and text share one place
-        self.place, self.ids, self.docs = [0] * len(keys), [], []
+        self.place, self.ids, self.texts = [0] * len(keys), [], []
         for k, row in enumerate(order):
             if not k or keys[row] != keys[order[k - 1]]:
                 self.ids.append(ids[row])
-                self.docs.append(texts[row].split())
-            self.place[row] = len(self.docs) - 1
-        self.sizes = np.array([len(d) for d in self.docs], np.int64)
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)])
-        self.doc = np.repeat(np.arange(len(self.docs)), self.sizes)
+                self.texts.append(texts[row])
+            self.place[row] = len(self.texts) - 1
+        self.buffer = np.frombuffer(b" " + b" ".join(self.texts) + b" ", np.uint8)
+        blank = IS_BLANK[self.buffer]
+        self.low = np.flatnonzero(blank[:-1] & ~blank[1:]) + 1
+        self.high = np.flatnonzero(~blank[:-1] & blank[1:]) + 1
+        ends = np.cumsum(np.fromiter(map(len, self.texts), np.int64, len(self.texts)) + 1)
+        self.starts = np.concatenate([[0], np.searchsorted(self.low, ends)])
+        self.sizes = np.diff(self.starts)
+        self.doc = np.repeat(np.arange(len(self.texts), dtype=np.int32), self.sizes)
 
     def hashes(self) -> np.ndarray:
         """A 64-bit hash of every word, from sums of its bytes times powers."""
-        out = [np.zeros(0, np.uint64)]
+        out = np.zeros(len(self.low), np.uint64)
         forward, back = _powers(BYTE_BASE, SLICE), _powers(int(_power(BYTE_BASE, -1)), SLICE)
-        words = [w for d in self.docs for w in d]
-        lengths = np.fromiter(map(len, words), np.int64, len(words))
-        ends, at = np.cumsum(lengths), 0
-        while at < len(words):
-            before = ends[at - 1] if at else 0
-            to = max(at + 1, int(np.searchsorted(ends, before + SLICE, "right")))
-            data = np.frombuffer(b"".join(words[at:to]), np.uint8).astype(np.uint64) + np.uint64(1)
+        at = 0
+        while at < len(out):
+            first = self.low[at]
+            to = max(at + 1, int(np.searchsorted(self.high, first + SLICE, "right")))
+            data = self.buffer[first:self.high[to - 1]]
             if len(data) > len(forward):
                 forward, back = _powers(BYTE_BASE, len(data)), _powers(int(_power(BYTE_BASE, -1)), len(data))
-            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(data * forward[:len(data)], dtype=np.uint64)])
-            high = ends[at:to] - before
-            low = high - lengths[at:to]
-            out.append(_mix((sums[high] - sums[low]) * back[low] + lengths[at:to].astype(np.uint64)))
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum((data + np.uint64(1)) * forward[:len(data)], out=sums[1:])
+            low, high = self.low[at:to] - first, self.high[at:to] - first
+            out[at:to] = _mix((sums[high] - sums[low]) * back[low] + (high - low).astype(np.uint64))
             at = to
-        return np.concatenate(out)
+        return out
 
 
 def _runs_hash(words: np.ndarray, length: int, base: int) -> np.ndarray:
@@ -148,11 +155,18 @@ def nominate(key: tuple, table: pa.Table, length: int) -> pa.Table:
     return pa.table({"shard": pa.array([key[0].as_py()] * len(found), pa.int64()), "h": _signed(found), "twice": pa.array(counts > 1)})
 
 
-def _window_hashes(words: np.ndarray, windows: np.ndarray, length: int) -> np.ndarray:
-    pairs = np.empty(len(windows), [("h1", np.int64), ("h2", np.int32)])
-    pairs["h1"] = _runs_hash(words, length, WORD_BASES[0])[windows].view(np.int64)
-    pairs["h2"] = (_runs_hash(words, length, WORD_BASES[1])[windows] >> np.uint64(32)).astype(np.uint32).view(np.int32)
-    return pairs
+def _window_hashes(words: np.ndarray, windows: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    return (_runs_hash(words, length, WORD_BASES[0])[windows],
+            (_runs_hash(words, length, WORD_BASES[1])[windows] >> np.uint64(32)).astype(np.uint32))
+
+
+def _distinct(h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal pairs are neighbours, first ones first, and where each new pair begins."""
+    order = np.argsort(h1, kind="stable")
+    h1, h2 = h1[order], h2[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])
+    return order, np.flatnonzero(new)
 
 
 def candidates(table: pa.Table, anchors: pa.Table, length: int) -> pa.Table:
@@ -161,75 +175,109 @@ def candidates(table: pa.Table, anchors: pa.Table, length: int) -> pa.Table:
     shard = Shard(table)
     words = shard.hashes()
     windows, at, least = _anchors(shard, words, length)
-    windows = windows[np.isin(least[at], anchors["h"].to_numpy().view(np.uint64))]
-    pairs, first, counts = np.unique(_window_hashes(words, windows, length), return_index=True, return_counts=True)
+    windows = windows[np.isin(least, anchors["h"].to_numpy().view(np.uint64))[at]]
+    h1, h2 = _window_hashes(words, windows, length)
+    order, new = _distinct(h1, h2)
+    first, counts = order[new], np.diff(np.append(new, len(order)))
     ids = pa.array(shard.ids, table.schema.field("doc_id").type)
-    return pa.table({"h1": pairs["h1"], "h2": pairs["h2"], "doc_id": ids.take(pa.array(shard.doc[windows[first]])), "twice": counts > 1})
+    return pa.table({"h1": _signed(h1[first]), "h2": pa.array(h2[first].view(np.int32)),
+                     "doc_id": ids.take(pa.array(shard.doc[windows[first]])), "twice": pa.array(counts > 1)})
 
 
-def _characters(codes: np.ndarray) -> str:
-    """Codes as characters, one for one, around the code points that are none."""
-    shifted = np.where(codes >= SURROGATES[0], codes + (SURROGATES[1] - SURROGATES[0]), codes)
-    return shifted.astype("<u4").tobytes().decode("utf-32-le")
+def _text(codes: np.ndarray) -> tuple[str, np.ndarray]:
+    """Word codes as text, ``WIDTH`` characters a word out of an alphabet for each position,
+    and where each word begins in it.  A run of zeros (words of no phrase) is one character."""
+    digits = np.stack([codes // BASE ** k % BASE + (1 + BASE * k) for k in range(WIDTH)], axis=1).astype("<u4")
+    digits[codes == 0] = 0
+    shown = np.repeat((codes > 0)[:, None], WIDTH, axis=1)
+    shown[:, 0] |= np.append(True, codes[:-1] > 0)
+    return digits[shown].tobytes().decode("utf-32-le"), np.cumsum(shown.sum(axis=1)) - shown.sum(axis=1)
 
 
-def located(sequence: np.ndarray, starts: np.ndarray, length: int, patterns: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Every place in ``sequence`` (word numbers, 0 between documents) of the windows that start
-    at ``starts``, as arrays (index into ``starts``, place): one automaton per ``patterns`` windows."""
+def located(words: list[bytes], doc: np.ndarray, phrases: list[tuple[int, int]], patterns: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """First and last word of every place where one of the ``phrases`` (spans of ``words``) stands
+    in a document, by Aho-Corasick automata of at most ``patterns`` phrases each."""
     import ahocorasick
 
-    for low in range(0, len(starts), patterns):
-        part = starts[low:low + patterns]
-        windows = np.lib.stride_tricks.sliding_window_view(sequence, length)[part]
-        used = np.unique(windows)
-        symbols = np.zeros(int(sequence.max()) + 1, np.int64)
-        symbols[used] = np.arange(1, len(used) + 1)
+    numbers: dict[bytes, int] = {}
+    for start, end in phrases:
+        for word in words[start:end]:
+            numbers.setdefault(word, len(numbers) + 1)
+    number = np.fromiter(map(numbers.get, words, repeat(0)), np.int64, len(words))
+    place = np.arange(len(words)) + doc  # with a zero after each document
+    sequence = np.zeros(len(words) + int(doc[-1]) + 1, np.int64)
+    sequence[place] = number
+    document = np.zeros(len(sequence), np.int64)
+    document[place] = doc
+    # as many words as there are codes at most
+    patterns = min(patterns, (BASE ** WIDTH - 1) // max((end - start for start, end in phrases), default=1))
+    for low in range(0, len(phrases), patterns):
+        part = phrases[low:low + patterns]
+        used = np.unique(np.concatenate([number[start:end] for start, end in part]))
+        code = np.zeros(len(numbers) + 1, np.int64)
+        code[used] = np.arange(1, len(used) + 1)
+        text, begin = _text(code[sequence])
         automaton = ahocorasick.Automaton(ahocorasick.STORE_INTS)
-        text = _characters(symbols[sequence])
-        for k, start in enumerate(part.tolist()):
-            automaton.add_word(text[start:start + length], low + k)
+        spans = np.array(part)
+        for at, size in zip(begin[place[spans[:, 0]]].tolist(), (spans[:, 1] - spans[:, 0]).tolist()):
+            automaton.add_word(text[at:at + WIDTH * size], size)
         automaton.make_automaton()
-        hits = np.fromiter((x for hit in automaton.iter(text) for x in hit), np.int64).reshape(-1, 2)
-        yield hits[:, 1], hits[:, 0] - (length - 1)
+        hits = np.fromiter(chain.from_iterable(automaton.iter(text)), np.int64).reshape(-1, 2)
+        last = np.searchsorted(begin, hits[:, 0], "right") - 1
+        last = last - document[last]
+        yield last - hits[:, 1] + 1, last
+
+
+def _phrases(words: list[bytes], windows: np.ndarray, at: np.ndarray, length: int) -> list[tuple[int, int]]:
+    """Spans of neighbouring windows with one anchor, equal ones once: at most 2 x ``length`` - ANCHOR words each."""
+    begins = np.append(True, (np.diff(windows) != 1) | (np.diff(at) != 0))
+    low, high = windows[begins], windows[np.append(begins[1:], True)] + length
+    return list({b" ".join(words[i:j]): (i, j) for i, j in zip(low.tolist(), high.tolist())}.values())
+
+
+def _found(told: pa.Table, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
+    """For each pair its row in ``told``, or -1."""
+    of1, of2 = told["h1"].to_numpy().view(np.uint64), told["h2"].to_numpy().view(np.uint32)
+    order = np.lexsort((of2, of1))
+    of1, of2 = of1[order], of2[order]
+    row = np.searchsorted(of1, h1)
+    while True:  # on to the next row of the same first hash, which is rare
+        inside = np.minimum(row, len(of1) - 1)
+        same = (of1[inside] == h1) & (row < len(of1))
+        if not (same & (of2[inside] != h2)).any():
+            return np.where(same, order[inside], -1)
+        row = row + (same & (of2[inside] != h2))
 
 
 def cut(table: pa.Table, confirmed: pa.Table, length: int, patterns: int) -> pa.Table:
     """The shard's documents without the words of repeated windows."""
     release_worker_state()
     shard = Shard(table)
-    gone = np.zeros(int(shard.sizes.sum()) + 1, np.int64)
+    total = len(shard.low)
+    covered = np.zeros(total, bool)
     if len(confirmed):
-        words = shard.hashes()
-        windows, at, least = _anchors(shard, words, length)
-        told = np.empty(len(confirmed), [("h1", np.int64), ("h2", np.int32)])
-        told["h1"], told["h2"] = confirmed["h1"].to_numpy(), confirmed["h2"].to_numpy()
-        order = np.argsort(told)
-        told, mine = told[order], confirmed["first"].to_numpy(zero_copy_only=False)[order]
-        own, first = np.unique(_window_hashes(words, windows, length), return_index=True)
-        known = np.searchsorted(told, own)
-        match = told[np.minimum(known, len(told) - 1)] == own
-        starts, free = windows[first[match]], mine[known[match]]
-        del words, windows, at, least, own
-        # words by number, exactly; a 0 after each document
-        numbers: dict[bytes, int] = {}
-        sequence = np.zeros(len(gone) - 1 + len(shard.docs), np.int64)
-        sequence[np.arange(len(gone) - 1) + shard.doc] = np.fromiter(
-            (numbers.setdefault(w, len(numbers) + 1) for d in shard.docs for w in d), np.int64, len(gone) - 1)
-        document = np.cumsum(sequence == 0)
-        for index, place in located(sequence, starts + shard.doc[starts], length, patterns):
-            # places ascend; the first one of a window goes free where no smaller doc_id has it
-            earliest = np.zeros(len(index), bool)
-            earliest[np.unique(index, return_index=True)[1]] = True
-            again = place[~(free[index] & earliest)]
-            again = again - document[again]
-            gone[again] += 1
-            gone[again + length] -= 1
-    covered = np.cumsum(gone)[:-1] > 0
+        hashes = shard.hashes()
+        windows, at, _ = _anchors(shard, hashes, length)
+        h1, h2 = _window_hashes(hashes, np.arange(total - length + 1), length)
+        del hashes
+        mine = _found(confirmed, h1[windows], h2[windows]) >= 0
+        words = [w for text in shard.texts for w in text.split()]
+        places = np.zeros(total + 1, np.int64)
+        for first, last in located(words, shard.doc, _phrases(words, windows[mine], at[mine], length), patterns):
+            places += np.bincount(first, minlength=total + 1) - np.bincount(last - length + 2, minlength=total + 1)
+        again = np.flatnonzero(np.cumsum(places)[:-1] > 0)
+        # the first place of a window goes free where no smaller doc_id has it
+        order, new = _distinct(h1[again], h2[again])
+        earliest = order[new]
+        row = _found(confirmed, h1[again[earliest]], h2[again[earliest]])
+        free = (row >= 0) & confirmed["first"].to_numpy(zero_copy_only=False)[row]
+        again = np.delete(again, earliest[free])
+        covered = np.cumsum(np.bincount(again, minlength=total + 1) - np.bincount(again + length, minlength=total + 1))[:-1] > 0
     kept, removed = [], []
-    for k, doc in enumerate(shard.docs):
+    for k, text in enumerate(shard.texts):
         out = covered[shard.starts[k]:shard.starts[k + 1]]
-        removed.append(int(out.sum()))
-        kept.append(b" ".join([w for w, x in zip(doc, out.tolist()) if not x] if removed[-1] else doc))
+        removed.append(int(np.count_nonzero(out)))
+        kept.append(b" ".join([w for w, x in zip(text.split(), out.tolist()) if not x] if removed[-1] else text.split()))
     place = shard.place
     result = table.set_column(table.schema.get_field_index("text"), "text", pa.array([kept[p] for p in place], pa.binary()))
     return (result.append_column("n_words", pa.array([int(shard.sizes[p]) for p in place], pa.int64()))
@@ -255,7 +303,7 @@ def shard_of(doc_id: str, shards: int) -> Column:
     return F.pmod(F.xxhash64(doc_id, F.lit(12)), F.lit(shards))
 
 
-def remove_repeats(documents: DataFrame, length: int = 20, shard_bytes: int = 4 << 20, patterns: int = 40_000) -> DataFrame:
+def remove_repeats(documents: DataFrame, length: int = 20, shard_bytes: int = 4 << 20, patterns: int = 16_000) -> DataFrame:
     """``documents`` whose ``text`` lost every word of a repeated window of ``length`` words,
     plus ``n_words`` (before) and ``n_removed``."""
     documents = documents.drop("n_words", "n_removed")
