@@ -152,8 +152,14 @@ def test_top_k_with_ties_has_no_unbounded_window(snapshots):
 
 
 def test_scan_parses_each_line_once(snapshots):
-    text = optimized(P.channel_totals(snapshots))
-    assert text.count("Generate explode(array(split(") == 1 and text.count("Generate explode(array(transform(") == 1
+    df = P.channel_totals(snapshots)
+    text = optimized(df)
+    cut = [row for row in text.split("\n") if "Generate explode(" in row and "split(" in row]
+    assert len(cut) == 1 and text.count("[+-]?[0-9]+") == 5   # a test per number
+    # the whole scan is generated code: no interpreted lambda, and no operator outside a code stage
+    assert "lambda" not in text and "transform(" not in text
+    ran = [row for row in plan(snapshots).split("\n") if re.match(r"[ :]*[+:]- .*(Generate|Filter) ", row[:160])]
+    assert len(ran) >= 8 and all("- *(" in row for row in ran)
 
 
 def test_rankings_are_range_partitioned_sorts(snapshots):

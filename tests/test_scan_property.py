@@ -58,3 +58,60 @@ def test_round_trip(spark, rows):
     got = parse_snapshot_lines(df, region="ZZ", escape="double").select(
         "video_id", "title", "channel", "category_raw", "views", "likes", "dislikes", "comments").collect()
     assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def cut_by_hand(line: str) -> list[str] | None:
+    """The fields of a line by the rules, character by character: backslash escapes set
+    aside, cut at commas outside quotes, trimmed, unquoted, trimmed; None for an open quote."""
+    chars, k = [], 0
+    while k < len(line):   # (character, whether it is meant literally)
+        if line[k] == "\\":
+            if line[k + 1:k + 2] in ("\\", '"') and k + 1 < len(line):
+                chars.append((line[k + 1], True))
+                k += 1
+        else:
+            chars.append((line[k], False))
+        k += 1
+    fields, open_ = [[]], False
+    for c, literal in chars:
+        if c == '"' and not literal:
+            open_ = not open_
+        if c == "," and not open_:
+            fields.append([])
+        else:
+            fields[-1].append((c, literal))
+    if open_:
+        return None
+
+    def trimmed(f):
+        while f and f[0][0] <= " ":
+            f = f[1:]
+        while f and f[-1][0] <= " ":
+            f = f[:-1]
+        return f
+
+    out = []
+    for f in map(trimmed, fields):
+        mark = ('"', False)
+        if len(f) >= 2 and f[0] == f[-1] == mark:
+            inner, f, k = f[1:-1], [], 0
+            while k < len(inner):
+                f.append(inner[k])
+                k += 2 if inner[k:k + 2] == [mark, mark] else 1
+        out.append("".join(c for c, _ in trimmed(f)))
+    return out
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.text(alphabet='ab",\\ \té', max_size=24), min_size=40, max_size=80))
+def test_fields_of_odd_texts_as_by_hand(spark, titles):
+    lines = [f"v{k},x,{title},c,1,x,x,1,1,1,1,x,x,x,x,x" for k, title in enumerate(titles)]
+    lines += [title + "," * 13 for title in titles] + ["," * 14 + title for title in titles]
+    lines = [line for line in lines if line]
+    want = []
+    for line in lines:
+        fields = cut_by_hand(line)
+        if fields is not None and len(fields) == 16:
+            want.append((fields[0], fields[2], fields[3], fields[4]))
+    got = parse_snapshot_lines(spark.createDataFrame([(x,) for x in lines], "value string"), region="XX")
+    assert sorted((r.video_id, r.title, r.channel, r.category_raw) for r in got.collect()) == sorted(want)

@@ -1,8 +1,8 @@
 """Snapshot CSV scan (S1-S3, S9) with the line rules P1, P3, P4, P7.
 
 The file is read line by line (``spark.read.text``: splittable, one row per
-line, file name in ``_metadata``) and each line is cut into fields with array
-functions: at its quotes first, then at the commas outside quotes.  A line
+line, file name in ``_metadata``) and each line is cut into fields at the commas
+outside quotes, in generated code: no lambda runs per field.  A line
 whose field count is not exactly 16 is dropped, whatever its length, and so is
 a line with an unterminated quoted field.  Parsing per line on purpose: a
 quoted field that spans lines is not joined, so both halves fail the field
@@ -21,11 +21,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vidtrend.functions.text import java_trim, parse_int, parse_long
-from vidtrend.schema import RAW_COLUMNS, SNAPSHOT_ARITY, SNAPSHOT_COLUMNS
+from vidtrend.schema import RAW_COLUMNS, SNAPSHOT_ARITY, SNAPSHOT_COLUMNS, STATS
 
-# Stand for a comma inside quotes, an escaped backslash and an escaped quote
+# Stand for a cut between fields, an escaped backslash and an escaped quote
 # while a line is cut.  Noncharacters: no text holds them.
-IN_COMMA, BACKSLASH, QUOTE = "\ufdd0", "\ufdd1", "\ufdd2"
+CUT, BACKSLASH, QUOTE = "\ufdd0", "\ufdd1", "\ufdd2"
 
 # Charsets Spark's ``decode`` accepts; the line split on "\n" is only safe
 # for the ASCII-compatible ones, so UTF-16 input must be converted first.
@@ -70,35 +70,48 @@ def _escapes_set_aside(line: Column, escape: str) -> Column:
     return line
 
 
-def _fields(line: Column) -> Column:
+def _fields(line: Column, n_quotes: Column) -> Column:
     """The raw fields of a line without open quotes: cut at the commas that lie
-    outside quoted parts, wherever in a field a quoted part begins."""
-    inside = F.transform(F.split(line, '"', -1),
-                         lambda part, i: F.when(i % 2 == 1, F.replace(part, F.lit(","), F.lit(IN_COMMA))).otherwise(part))
-    marked = F.when(F.contains(line, F.lit('"')), F.array_join(inside, '"')).otherwise(line)
-    return F.split(marked, ",", -1)
+    outside quoted parts, wherever in a field a quoted part begins.
+
+    A line without quotes is split as it is, one with a single quoted part before and
+    behind it.  In the others the first pass puts a cut behind every quoted part and in
+    place of every comma outside of them; the second takes the cuts behind quoted parts
+    away.  Both patterns run through a line once, whatever its length."""
+    comma, cut, quote = F.lit(","), F.lit(CUT), F.lit('"')
+    before, behind = F.substring_index(line, '"', 1), F.substring_index(line, '"', -1)
+    between = F.substring(line, F.length(before) + 1, F.length(line) - F.length(before) - F.length(behind))
+    single = F.concat(F.replace(before, comma, cut), between, F.replace(behind, comma, cut))
+    quoted = '("[^"]*+")'
+    cuts = F.regexp_replace(line, quoted + "|,", "$1" + CUT)
+    several = F.regexp_replace(cuts, quoted + CUT, "$1")
+    return (F.when(~F.contains(line, quote), F.split(line, ",", -1))
+            .otherwise(F.split(F.when(n_quotes == 2, single).otherwise(several), CUT, -1)))
 
 
 def _unquoted(field: Column) -> Column:
     """A trimmed field without the quotes around it; a doubled quote inside them
     is a literal quote."""
-    around = (F.length(field) >= 2) & F.startswith(field, F.lit('"')) & F.endswith(field, F.lit('"'))
+    quote = F.lit('"')
+    around = (F.octet_length(field) >= 2) & F.startswith(field, quote) & F.endswith(field, quote)
     inner = F.substring(field, F.lit(2), F.length(field) - 2)
-    return F.when(around, F.replace(inner, F.lit('""'), F.lit('"'))).otherwise(field)
+    return F.when(around, F.replace(inner, F.lit('""'), quote)).otherwise(field)
 
 
 def _restored(field: Column) -> Column:
-    for stand_in, char in ((IN_COMMA, ","), (BACKSLASH, "\\"), (QUOTE, '"')):
-        field = F.replace(field, F.lit(stand_in), F.lit(char))
-    return field
+    """Escaped characters instead of their stand-ins, in the lines that have some."""
+    out = field
+    for stand_in, char in ((BACKSLASH, "\\"), (QUOTE, '"')):
+        out = F.replace(out, F.lit(stand_in), F.lit(char))
+    return F.when(F.col("escaped"), out).otherwise(field)
 
 
-def _texts(fields: Column) -> Column:
-    """The texts of raw fields.  Each step is a transform, so its argument is
-    computed once however often the step uses it."""
-    for step in (java_trim, _unquoted, _restored, java_trim):
-        fields = F.transform(fields, step)
-    return fields
+def _step(rows: DataFrame, others: list[str], columns: dict[str, Column]) -> DataFrame:
+    """``rows`` with ``columns`` computed, each once: a generator holds them, so that
+    neither later steps nor filters repeat them.  Steps of small expressions stay
+    small methods of generated code, which the virtual machine compiles."""
+    held = F.struct(*[c.alias(name) for name, c in columns.items()])
+    return rows.select(*others, F.explode(F.array(held)).alias("step")).select(*others, "step.*")
 
 
 def parse_snapshot_lines(lines: DataFrame, value: str = "value",
@@ -134,18 +147,18 @@ def parse_snapshot_lines(lines: DataFrame, value: str = "value",
     # fields: an odd number of quotes.  Counted in bytes; the quote byte never
     # occurs inside a multi-byte UTF-8 character.
     n_quotes = F.octet_length("line") - F.octet_length(F.replace("line", F.lit('"'), F.lit("")))
-    rows = (cut.where(n_quotes % 2 == 0)                                     # P1
-            .select("region", F.explode(F.array(_fields(F.col("line")))).alias("f"))
+    escaped = F.contains("line", F.lit(BACKSLASH)) | F.contains("line", F.lit(QUOTE))
+    rows = (cut.where(~F.contains("line", F.lit('"')) | (n_quotes % 2 == 0))  # P1
+            .select("region", escaped.alias("escaped"), F.explode(F.array(_fields(F.col("line"), n_quotes))).alias("f"))
             .where(F.size("f") == SNAPSHOT_ARITY))                           # P1
     used = ("video_id", "title", "channel", "category_raw", "views_raw", "likes_raw", "dislikes_raw", "comments_raw")
-    needed = F.array(*[F.get("f", F.lit(RAW_COLUMNS.index(c))) for c in used])
-    text = (rows.select("region", F.explode(F.array(_texts(needed))).alias("t"))                     # P3
-            .select("region", *[F.get("t", F.lit(k)).alias(c) for k, c in enumerate(used)]))
-    return text.select(
-        "region", "video_id", "title", "channel", "category_raw",
-        parse_int("category_raw").alias("category_id"),                      # P4
-        *[parse_long(f"{c}_raw").alias(c) for c in ("views", "likes", "dislikes", "comments")],
-    ).select(*SNAPSHOT_COLUMNS)
+    names, kept = {c: F.get("f", F.lit(RAW_COLUMNS.index(c))) for c in used}, ["region", "escaped"]
+    text = _step(rows, kept, {c: java_trim(raw) for c, raw in names.items()})                # P3
+    for rule in (_unquoted, _restored, java_trim):
+        text = _step(text, kept, {c: rule(F.col(c)) for c in used})
+    words = ["region", "video_id", "title", "channel", "category_raw"]
+    numbers = {"category_id": parse_int("category_raw")} | {c: parse_long(f"{c}_raw") for c in STATS}   # P4
+    return _step(text, words, numbers).select(*SNAPSHOT_COLUMNS)
 
 
 def read_snapshots(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8",
