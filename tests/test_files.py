@@ -1,0 +1,154 @@
+"""Regional files, UTF-16 files and heads of written reports."""
+
+from __future__ import annotations
+
+import codecs
+import os
+import random
+from contextlib import contextmanager
+
+import pytest
+
+from tests.conftest import IN_LINES, US_LINES, line
+from vidtrend import cli
+from vidtrend.operators.rank import rank_report, top_k
+from vidtrend.sources import parse_snapshot_lines, read_report_head, read_snapshots, write_report
+from vidtrend.sources.wide_lines import _pieces
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.select(*sorted(df.columns)).collect()), key=repr)
+
+
+@contextmanager
+def splits_of(spark, size):
+    """Files are cut into splits of ``size`` bytes, each a partition."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    for k, v in zip(old, (size, 0)):
+        spark.conf.set(k, str(v))
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+
+
+def names(df):
+    return {os.path.basename(f) for f in df.inputFiles()}
+
+
+def test_only_the_files_of_the_regions_are_read(spark, fixture_dirs, snapshots):
+    csv_dir = fixture_dirs[0]
+    one = read_snapshots(spark, csv_dir, regions=["IN"])
+    assert names(one) == {"INvideos.csv"} and rows(one) == rows(snapshots.where("region = 'IN'"))
+    both = read_snapshots(spark, csv_dir + "/", regions=["US", "IN"])
+    assert names(both) == {"INvideos.csv", "USvideos.csv"} and rows(both) == rows(snapshots)
+    for bad in ([], ["I"], ["INX"]):
+        with pytest.raises(ValueError, match="two-letter"):
+            read_snapshots(spark, csv_dir, regions=bad)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        read_snapshots(spark, csv_dir, regions=["ZZ"])
+
+
+def test_regions_are_no_patterns(spark, tmp_path):
+    for name in ("[IXvideos.csv", "IXvideos.csv", "*Ivideos.csv"):
+        (tmp_path / name).write_text("v,x,t,c,1,x,x,1,1,1,1,x,x,x,x,x\n")
+    for region in ("[I", "*I"):
+        assert [r.region for r in read_snapshots(spark, str(tmp_path), regions=[region]).collect()] == [region]
+
+
+def test_regional_files_written_by_jobs(spark, fixture_dirs, snapshots, tmp_path):
+    for region, text in (("IN", IN_LINES), ("US", US_LINES)):
+        spark.createDataFrame([(x,) for x in text], "value string").repartition(3).write.text(f"{tmp_path}/{region}videos.csv")
+    assert rows(read_snapshots(spark, f"{tmp_path}/*")) == rows(snapshots)
+    one = read_snapshots(spark, str(tmp_path), regions=["US"])
+    assert rows(one) == rows(snapshots.where("region = 'US'")) and all("USvideos.csv/" in f for f in one.inputFiles())
+    w = cli.run(cli.parse_args(["channel-rows", str(tmp_path), str(tmp_path / "out"), "--regions", "US"]))
+    assert os.path.isdir(w["channelRows"])
+
+
+# Characters whose neighbouring bytes look like a line break in either byte order.
+GURMUKHI, HIGH_ZERO = "ਅ", "Ā　一"
+ODD_TEXTS = [GURMUKHI + HIGH_ZERO, HIGH_ZERO + GURMUKHI, (GURMUKHI + HIGH_ZERO) * 9, "Āਅ਀Ā", "plain", "😀ਊĀ"]
+
+
+def wide_lines(n, seed=1):
+    rng = random.Random(seed)
+    return [line(f"v{k}", '"' + ", ".join(rng.choices(ODD_TEXTS, k=rng.randrange(4))) + '"', rng.choice(ODD_TEXTS), "1", str(k), "1", "1", "1")
+            for k in range(n)]
+
+
+@pytest.mark.parametrize("size", [10**6, 4096, 999, 64])
+def test_utf16_twins_equal_utf8(spark, tmp_path, size):
+    text = "\n".join(wide_lines(40)) + "\n" + "\r\n".join(wide_lines(40, 2)) + "\r\n\n" + "\r".join(wide_lines(9, 3))
+    (tmp_path / "INutf8.csv").write_bytes(text.encode())
+    want = rows(read_snapshots(spark, str(tmp_path / "INutf8.csv")))
+    assert len(want) == 89
+    twins = {"le": ("UTF-16LE", text.encode("utf-16-le")), "be": ("UTF-16BE", text.encode("utf-16-be")),
+             "mark-le": ("UTF-16", codecs.BOM_UTF16_LE + text.encode("utf-16-le")), "mark-be": ("UTF-16", codecs.BOM_UTF16_BE + text.encode("utf-16-be")),
+             "no-mark": ("UTF-16", text.encode("utf-16-be")), "mark": ("UTF-16LE", codecs.BOM_UTF16_LE + text.encode("utf-16-le"))}
+    with splits_of(spark, size):
+        for name, (charset, data) in twins.items():
+            path = tmp_path / name / "INvideos.csv"
+            path.parent.mkdir()
+            path.write_bytes(data)
+            got = read_snapshots(spark, str(path.parent), encoding=charset)
+            assert rows(got) == want, name
+            if size < 10**5:
+                assert _pieces(spark, [str(path)], "UTF-16LE").select("split").distinct().count() > 1
+
+
+def test_utf16_files_of_both_byte_orders_in_one_folder(spark, tmp_path):
+    (tmp_path / "INvideos.csv").write_bytes(codecs.BOM_UTF16_LE + "\n".join(IN_LINES).encode("utf-16-le"))
+    (tmp_path / "USvideos.csv").write_bytes(codecs.BOM_UTF16_BE + "\n".join(US_LINES).encode("utf-16-be"))
+    (tmp_path / "FRvideos.csv").write_bytes(b"")
+    got = read_snapshots(spark, str(tmp_path), encoding="utf-16")
+    for region, text in (("IN", IN_LINES), ("US", US_LINES)):
+        plain = parse_snapshot_lines(spark.createDataFrame([(x,) for x in text], "value string"), region=region)
+        assert rows(got.where(got.region == region)) == rows(plain) != []
+    assert read_snapshots(spark, str(tmp_path / "FRvideos.csv"), encoding="UTF-16").count() == 0
+
+
+def report_of(spark, n, files):
+    data = [(k * 7 % 50, f"ch{k:03d}", k, 1, 2) for k in range(n)]
+    df = spark.createDataFrame(data, "views bigint, channel string, likes bigint, dislikes bigint, comments bigint")
+    return rank_report(df.repartition(files), "views", ["channel"])
+
+
+SCHEMA = "views bigint, channel string, likes bigint, dislikes bigint, comments bigint"
+
+
+@pytest.mark.parametrize("size", [10**6, 200])
+def test_head_of_a_written_report_is_the_top_k(spark, tmp_path, size):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        report = report_of(spark, 300, 5)
+        write_report(report, str(tmp_path / "r"), header=report.columns)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = sorted(f for f in os.listdir(tmp_path / "r") if f.startswith("part-"))
+    assert len(files) > 3
+    with splits_of(spark, size):
+        for k in (1, 3, 70, 299, 300, 1000):
+            head = read_report_head(spark, str(tmp_path / "r"), SCHEMA, k, header=1)
+            got = sorted(head.collect(), key=lambda r: r.position)
+            assert [tuple(r)[:5] for r in got] == [tuple(r) for r in top_k(report, "views", k, ["channel"]).collect()]
+            assert [r.position for r in got] == list(range(min(k, 300)))
+            text = head._jdf.queryExecution().executedPlan().toString()
+            assert "rangepartitioning" not in text and "TakeOrdered" not in text
+        first = read_report_head(spark, str(tmp_path / "r"), SCHEMA, 2, header=1)
+        read = sorted({os.path.basename(f) for f in first.inputFiles()})
+        assert read == files[:len(read)] and len(read) < len(files)
+
+
+def test_head_of_empty_and_odd_reports(spark, tmp_path):
+    write_report(report_of(spark, 0, 1), str(tmp_path / "e"))
+    assert read_report_head(spark, str(tmp_path / "e"), SCHEMA, 5).count() == 0
+    os.makedirs(tmp_path / "none")
+    assert read_report_head(spark, str(tmp_path / "none"), SCHEMA, 5).columns[-1] == "position"
+    odd = spark.createDataFrame([("3\ta\t1\t1\t1",), ("no report line",), ("2\tb\\tc\t1\t1\t1",)], "value string").coalesce(1)
+    odd.write.text(str(tmp_path / "o"))
+    got = sorted(read_report_head(spark, str(tmp_path / "o"), SCHEMA, 3).collect(), key=lambda r: r.position)
+    assert [(r.views, r.channel, r.position) for r in got] == [(3, "a", 0), (2, "b\tc", 2)]
+    with pytest.raises(ValueError):
+        read_report_head(spark, str(tmp_path / "o"), SCHEMA, 0)

@@ -39,7 +39,8 @@ def parse_args(argv: list[str]) -> argparse.Namespace:
                     "(channel-videos: always with whole tie groups)")
     ap.add_argument("--with-ties", action="store_true",
                     help="with --top: keep whole tie groups at the cut and add a rank column")
-    ap.add_argument("--encoding", default="UTF-8", help="input charset (UTF-8, ISO-8859-1, US-ASCII)")
+    ap.add_argument("--encoding", default="UTF-8", help="input charset (UTF-8, ISO-8859-1, US-ASCII, UTF-16, UTF-16LE, UTF-16BE)")
+    ap.add_argument("--regions", help="INPUT is a folder of regional files: read only these, e.g. IN,US")
     ap.add_argument("--escape", default="backslash", choices=("backslash", "double"),
                     help="backslash: \\\" is a quote and \\\\ a backslash; double: backslashes are text")
     ap.add_argument("--input-format", default="csv", choices=("csv", "parquet", "stage"),
@@ -67,8 +68,8 @@ def run(args: argparse.Namespace) -> dict[str, str]:
     elif args.input_format == "stage":
         snaps = read_bucketed_stage(spark, args.input)
     else:
-        snaps = read_snapshots(spark, args.input, encoding=args.encoding,
-                               escape=args.escape)
+        snaps = read_snapshots(spark, args.input, encoding=args.encoding, escape=args.escape,
+                               regions=args.regions.split(",") if args.regions else None)
     out, fmt = args.output, args.format
     if args.program == "ingest":
         # Parse once; every program can then read typed, region-partitioned

@@ -6,7 +6,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vidtrend.operators.clean import REQUIRE_STATS, REQUIRE_VIEWS, valid_rows, with_identity
 from vidtrend.operators.dedup import PAYLOADS, best_channel_snapshot, channel_of_video, one_of
@@ -17,13 +17,15 @@ from vidtrend.plans.oracle import CATEGORY_REGION, ORACLE_SQL
 from vidtrend.schema import DICTIONARY_SCHEMA, SNAPSHOT_COLUMNS, STATS
 from vidtrend.session import shared_path
 from vidtrend.sources.categories import categories_from_documents
-from vidtrend.sources.reports import parse_report_lines
-from vidtrend.sources.sinks import to_tsv_lines, write_bucketed_stage
-from vidtrend.sources.snapshots import decode_lines, parse_snapshot_lines, union_snapshots
+from vidtrend.sources.reports import parse_report_lines, read_report_head
+from vidtrend.sources.sinks import to_tsv_lines, write_bucketed_stage, write_report
+from vidtrend.sources.snapshots import (
+    decode_lines, parse_snapshot_lines, read_snapshots, region_from_file_name, union_snapshots,
+)
 
 # Queries that write files to the shared folder and read them back: their files are
 # written when the plan is built; all others start no job before they run.
-WRITES_FILES = {"bucketed_stage_channels", "bucketed_stage_all_rules"}
+WRITES_FILES = {"bucketed_stage_channels", "bucketed_stage_all_rules", "regional_file_scan", "utf16_titles", "report_head"}
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,31 +46,24 @@ def csv_arity_and_number_guard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.drop("region")
 
 
-def _documents(cats: DataFrame) -> DataFrame:
-    """Dictionary rows written as one JSON document per region and parsed, as on
-    disk: a group holds one region's categories (tens of ids)."""
-    item = F.struct("pos", F.col("category_id").cast("string").alias("id"),
-                    F.struct(F.col("title").alias("title")).alias("snippet"))
-    docs = (cats.groupBy("region")
-            .agg(F.to_json(F.struct(F.array_sort(F.collect_list(item)).alias("items"))).alias("json")))
-    return docs.select("region", F.from_json("json", DICTIONARY_SCHEMA).alias("doc"))
+def _dictionaries(spark: SparkSession, sf_dir: str, ids: Column) -> DataFrame:
+    """Dictionary documents as on disk, parsed."""
+    docs = model.order_dictionaries(spark, sf_dir, ids)
+    return categories_from_documents(docs.select("region", F.from_json("json", DICTIONARY_SCHEMA).alias("doc")), items="doc.items")
 
 
 def category_json_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived dictionaries written as JSON documents and read back
+    """Dictionaries, one per order, written as JSON documents and read back
     (explode, id to int)."""
-    cats = model.categories(spark, sf_dir).withColumn("pos", F.lit(0))
-    return categories_from_documents(_documents(cats), items="doc.items")
+    return _dictionaries(spark, sf_dir, F.col("l_linenumber"))
 
 
 def category_json_last_item_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents in which every id stands twice, read for one region:
-    the later item's title wins."""
-    cats = model.categories(spark, sf_dir)
-    twice = (cats.withColumns({"pos": F.col("category_id"), "title": F.concat(F.lit("old "), "title")})
-             .unionByName(cats.withColumn("pos", F.col("category_id") + 1000)))
-    docs = _documents(twice).where(F.col("region") == CATEGORY_REGION)
-    return categories_from_documents(docs, items="doc.items")
+    """Documents in which ids stand several times: the last item's title
+    wins.  Every fifth line has an id that is no number, so its document is known
+    by a null id."""
+    ids = F.when(F.col("l_linenumber") == 5, F.lit("x")).otherwise((F.col("l_linenumber") % 3).cast("string"))
+    return _dictionaries(spark, sf_dir, ids)
 
 
 def _regional(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,6 +77,40 @@ def views_by_region(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.groupBy("region").agg(F.count("*").alias("n"), F.sum("views").cast("bigint").alias("views"))
 
 
+def regional_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines written as regional files, all of them scanned, and those of
+    one region only."""
+    path, lines = shared_path(spark, "regional"), model.regional_lines(spark, sf_dir)
+    for region in ("IN", "US"):
+        (lines.where(region_from_file_name() == region).select("value")
+         .write.text(f"{path}/{region}videos.csv"))
+    scans = (("all", read_snapshots(spark, f"{path}/*")), ("one", read_snapshots(spark, path, regions=["IN"])))
+    return reduce(DataFrame.unionByName, [
+        valid_rows(rows, REQUIRE_VIEWS, drop_header=False).groupBy("region")
+        .agg(F.count("*").alias("n"), F.sum("views").cast("bigint").alias("views")).withColumn("scan", F.lit(scan))
+        for scan, rows in scans])
+
+
+def utf16_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines as UTF-16 files of both byte orders, read as lines."""
+    path, lines = shared_path(spark, "utf16"), model.regional_lines(spark, sf_dir)
+    rows = []
+    for charset in ("UTF-16LE", "UTF-16BE"):
+        stored = lines.select(F.encode("value", charset).cast("string").alias("value"))
+        stored.write.option("encoding", charset).option("lineSep", "\n").text(f"{path}/{charset}")
+        encoded = read_snapshots(spark, f"{path}/{charset}", encoding=charset, region="UX")
+        rows.append(count_by(encoded, "title", "n").withColumn("charset", F.lit(charset)))
+    return reduce(DataFrame.unionByName, rows)
+
+
+def report_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The head of a written report, read without sorting it."""
+    path = shared_path(spark, "report")
+    report = programs.most_viewed_channels(_snaps(spark, sf_dir))
+    write_report(report, path, header=report.columns)
+    return read_report_head(spark, path, "views bigint, channel string, likes bigint, dislikes bigint, comments bigint", 40, header=1)
+
+
 def latin1_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines stored in another charset, decoded before the parse."""
     lines = model.regional_lines(spark, sf_dir)
@@ -189,6 +218,9 @@ def queries() -> dict[str, Query]:
     q["channel_videos_without_headers"] = lambda s, d: programs.channel_video_count(_regional(s, d))
     q["views_by_region"] = views_by_region
     q["latin1_titles"] = latin1_titles
+    q["regional_file_scan"] = regional_file_scan
+    q["utf16_titles"] = utf16_titles
+    q["report_head"] = report_head
     q["united_regions"] = united_regions
     q["report_round_trip"] = report_round_trip
     q["top_parts_with_ties"] = top_parts_with_ties

@@ -131,6 +131,17 @@ def categories(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("title", title))
 
 
+def order_dictionaries(spark: SparkSession, sf_dir: str, ids: Column) -> DataFrame:
+    """Dictionary documents that grow with the facts: one JSON text (``json``) per order
+    (``region``), an item per line of it, in the order of line number and title.
+    ``ids``: an item's id.  A document holds the lines of one order, a few."""
+    li = table(spark, sf_dir, "lineitem")
+    item = F.struct(F.col("l_linenumber").alias("pos"), ids.cast("string").alias("id"),
+                    F.struct(F.concat(F.lit("Part "), F.col("l_partkey").cast("string")).alias("title")).alias("snippet"))
+    return (li.groupBy(F.col("l_orderkey").cast("string").alias("region"))
+            .agg(F.to_json(F.struct(F.array_sort(F.collect_list(item)).alias("items"))).alias("json")))
+
+
 def events_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as snapshots for the no-winner rule (D6): each event is a video
     of channel ``event_type`` with ``floor(value)`` views; small values give

@@ -211,8 +211,19 @@ SELECT part, n, CAST(rnk AS INTEGER) AS rank FROM (
   SELECT part, n, rank() OVER (ORDER BY n DESC) AS rnk FROM (
     SELECT l_partkey AS part, count(*) AS n FROM lineitem GROUP BY l_partkey)
 ) WHERE rnk <= 5"""
-    q["category_json_last_item_wins"] = f"""WITH {SNAPSHOTS_CTE}
-SELECT region, category_id, title FROM cats WHERE region = '{CATEGORY_REGION}'"""
+    q["category_json_last_item_wins"] = """
+SELECT CAST(l_orderkey AS VARCHAR) AS region, id AS category_id,
+       CASE WHEN id IS NOT NULL THEN max({'n': l_linenumber, 'title': title}).title END AS title
+FROM (SELECT l_orderkey, l_linenumber, 'Part ' || CAST(l_partkey AS VARCHAR) AS title,
+             CASE WHEN l_linenumber <> 5 THEN l_linenumber % 3 END AS id FROM lineitem) GROUP BY l_orderkey, id"""
+    q["regional_file_scan"] = """
+SELECT scan, region, n, views FROM (
+  SELECT CASE WHEN l_linestatus = 'O' THEN 'IN' ELSE 'US' END AS region, count(*) AS n, CAST(sum(l_orderkey) AS BIGINT) AS views
+  FROM lineitem GROUP BY 1), (VALUES ('all'), ('one')) AS scans(scan)
+WHERE scan = 'all' OR region = 'IN'"""
+    q["report_head"] = f"""{CHANNEL_TOTALS}
+SELECT views, channel, likes, dislikes, comments, row_number() OVER (ORDER BY views DESC, channel) - 1 AS position
+FROM tot ORDER BY views DESC, channel LIMIT 40"""
     headers = f"SELECT count(*) FROM lineitem WHERE l_linenumber = {HEADER_LINE}"
     q["channel_rows_with_headers"] = f"""
 SELECT 'ch' || CAST(l_suppkey AS VARCHAR) AS channel, count(*) AS n FROM lineitem GROUP BY l_suppkey
@@ -232,6 +243,8 @@ FROM lineitem GROUP BY 1"""
     q["latin1_titles"] = f"""
 SELECT 'Café' AS title, count(*) AS n FROM lineitem HAVING count(*) > 0
 UNION ALL SELECT 'title', ({headers}) WHERE ({headers}) > 0"""
+    q["utf16_titles"] = f"""
+SELECT charset, title, n FROM ({q["latin1_titles"]}), (VALUES ('UTF-16LE'), ('UTF-16BE')) AS charsets(charset)"""
     q["zero_view_rule_drop"] = f"""
 WITH {EVENTS_CTE}, {_best("channel")}
 SELECT channel, CAST(sum(views) AS BIGINT) AS views, CAST(sum(likes) AS BIGINT) AS likes,
@@ -269,7 +282,9 @@ WHERE l_linenumber NOT IN ({SHORT_LINE}, {LONG_LINE}, {BAD_VIEWS_LINE})
   AND NOT coalesce({case} = {WIDE_LINE}
                    OR {case} BETWEEN {DELETE_CHARACTER[0]} AND {DELETE_CHARACTER[1]}
                    OR {case} BETWEEN {OPEN_QUOTE[0]} AND {OPEN_QUOTE[1]}, false)"""
-    q["category_json_dictionary"] = f"WITH {SNAPSHOTS_CTE} SELECT region, category_id, title FROM cats"
+    q["category_json_dictionary"] = """
+SELECT CAST(l_orderkey AS VARCHAR) AS region, l_linenumber AS category_id, max('Part ' || CAST(l_partkey AS VARCHAR)) AS title
+FROM lineitem GROUP BY l_orderkey, l_linenumber"""
     pairs = [(a, b) for i, a in enumerate(STATS) for b in STATS[i + 1:]]
     corr_rows = " UNION ALL ".join(
         f"SELECT '{a}' AS stat_a, '{b}' AS stat_b, round(corr({a}, {b}), 6) AS r FROM vid"

@@ -7,7 +7,7 @@ from vidtrend.sources.snapshots import (
 from vidtrend.sources.categories import (
     categories_from_documents, read_categories,
 )
-from vidtrend.sources.reports import parse_report_lines, read_report
+from vidtrend.sources.reports import parse_report_lines, read_report, read_report_head
 from vidtrend.sources.sinks import (
     read_bucketed_stage, to_tsv_lines, write_bucketed_stage, write_report, write_stage,
 )
@@ -15,6 +15,6 @@ from vidtrend.sources.sinks import (
 __all__ = [
     "decode_lines", "parse_snapshot_lines", "read_snapshot_lines", "read_snapshots", "union_snapshots",
     "categories_from_documents", "read_categories",
-    "parse_report_lines", "read_report", "to_tsv_lines", "write_report", "write_stage",
+    "parse_report_lines", "read_report", "read_report_head", "to_tsv_lines", "write_report", "write_stage",
     "read_bucketed_stage", "write_bucketed_stage",
 ]

@@ -16,38 +16,63 @@ splits at commas inside a quoted part of an unquoted field.
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from vidtrend.functions.text import java_trim, parse_int, parse_long
 from vidtrend.schema import RAW_COLUMNS, SNAPSHOT_ARITY, SNAPSHOT_COLUMNS, STATS
+from vidtrend.sources.wide_lines import read_utf16_lines
 
 # Stand for a cut between fields, an escaped backslash and an escaped quote
 # while a line is cut.  Noncharacters: no text holds them.
 CUT, BACKSLASH, QUOTE = "\ufdd0", "\ufdd1", "\ufdd2"
 
-# Charsets Spark's ``decode`` accepts; the line split on "\n" is only safe
-# for the ASCII-compatible ones, so UTF-16 input must be converted first.
+# Charsets in which a line can be cut out before it is decoded.
 LINE_CHARSETS = ("UTF-8", "US-ASCII", "ISO-8859-1")
+WIDE_CHARSETS = ("UTF-16", "UTF-16LE", "UTF-16BE")
+
+
+def _of_regions(path: str, regions: Sequence[str]) -> str:
+    """A glob of what lies in folder ``path`` under names that begin with one of ``regions``."""
+    if not regions or any(len(r) != 2 for r in regions):
+        raise ValueError(f"regions must be two-letter codes, got {list(regions)!r}")
+    names = [re.sub(r"([\[\]{}*?\\,])", r"\\\1", r) for r in regions]
+    return f"{path.rstrip('/')}/{{{','.join(names)}}}*"
 
 
 def read_snapshot_lines(spark: SparkSession, path: str | list[str],
-                        encoding: str = "UTF-8") -> DataFrame:
+                        encoding: str = "UTF-8", regions: Sequence[str] | None = None) -> DataFrame:
     """Raw lines of one file, a directory, a glob or a list of them (S2:
     several regional files are a UNION ALL).  Columns ``value`` and
-    ``file_name``; non-UTF-8 input is decoded per line (S9)."""
+    ``file_name``; other charsets than UTF-8 are decoded (S9).
+
+    ``regions``: ``path`` is a folder (or several) of regional files, and only those
+    of the regions are listed and read.  A regional file may be a folder of part
+    files (``INvideos.csv/part-...``), as jobs write it; its name counts."""
     paths = [path] if isinstance(path, str) else list(path)
-    lines = spark.read.text(paths).select("value", F.col("_metadata.file_name").alias("file_name"))
+    if regions is not None:
+        paths = [_of_regions(p, regions) for p in paths]
+    if encoding.upper() in WIDE_CHARSETS:
+        return read_utf16_lines(spark, paths, encoding.upper())
+    name, folder = F.col("_metadata.file_name"), F.element_at(F.split(F.col("_metadata.file_path"), "/"), -2)
+    own = F.when(F.startswith(name, F.lit("part-")), folder).otherwise(name)
+    lines = spark.read.text(paths).select("value", plain_name(own).alias("file_name"))
     return decode_lines(lines, encoding)
 
 
+def plain_name(name: Column) -> Column:
+    """A file's name as it is in its folder; Spark gives it as part of an address."""
+    return F.when(F.contains(name, F.lit("%")), F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))).otherwise(name)
+
+
 def decode_lines(lines: DataFrame, encoding: str) -> DataFrame:
     """``value``, the bytes of each line, read in ``encoding``."""
     enc = encoding.upper()
     if enc not in LINE_CHARSETS:
-        raise ValueError(f"encoding {encoding!r} not supported line by line; "
-                         f"use one of {LINE_CHARSETS} or convert the files first")
+        raise ValueError(f"encoding {encoding!r} not supported line by line; use one of {LINE_CHARSETS}")
     if enc == "UTF-8":
         return lines
     return lines.withColumn("value", F.decode(F.col("value").cast("binary"), enc))
@@ -162,11 +187,13 @@ def parse_snapshot_lines(lines: DataFrame, value: str = "value",
 
 
 def read_snapshots(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8",
-                   region: str | None = None, escape: str = "backslash") -> DataFrame:
+                   region: str | None = None, escape: str = "backslash",
+                   regions: Sequence[str] | None = None) -> DataFrame:
     """Scan regional snapshot CSV files into typed snapshots.
 
-    ``region`` overrides the region taken from each file name."""
-    lines = read_snapshot_lines(spark, path, encoding)
+    ``region`` overrides the region taken from each file name; ``regions`` reads only
+    the files of those regions (``read_snapshot_lines``)."""
+    lines = read_snapshot_lines(spark, path, encoding, regions)
     return parse_snapshot_lines(lines, region=region, escape=escape)
 
 
