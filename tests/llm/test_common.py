@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 
+from vidtrend.llm import common
 from vidtrend.llm.common import fresh, min_labels, shared_dir
 
 
@@ -36,9 +37,27 @@ def test_shared_folder_is_the_named_one(spark):
         assert shared_dir(spark).startswith("file:///") and shared_dir(spark) == shared_dir(spark)
 
 
-def test_entry_lists_the_ten_operators_and_the_pipeline():
+def test_entry_lists_all_operators_and_the_pipeline():
     import __spark_entry__
 
     names = __spark_entry__.queries()
-    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in names if n.startswith("op")} == {f"op{k}" for k in range(1, 14)}
     assert "pipeline" in names and set(__spark_entry__.oracle_sql()) <= set(names)
+
+
+def test_least_hashed_rows(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(400).withColumn("h", F.xxhash64(F.col("id") % 50))
+    rows = sorted((r.h, r.id) for r in df.collect())
+    for n in (0, 1, 7, 60, 399, 500):
+        assert [(r.h, r.id) for r in common.least_hashed(df, F.col("h"), n, ["id"]).collect()] == rows[:n]
+    same = spark.range(30).withColumn("h", F.lit(2**63 - 1))   # none is below a threshold
+    assert [r.id for r in common.least_hashed(same, F.col("h"), 3, ["id"]).collect()] == [0, 1, 2]
+
+
+def test_links_that_do_not_settle_are_an_error(spark):
+    import pytest
+    edges = spark.createDataFrame([(k, k + 1) for k in range(40)], "a long, b long")
+    with pytest.raises(RuntimeError, match="still change"):
+        common.min_labels(edges, max_rounds=1)
+    assert {r.root for r in common.min_labels(edges).collect()} == {0}

@@ -60,6 +60,25 @@ def test_every_licence_line_of_the_corpus(spark, model):
     assert want and got == want
 
 
+def test_the_bound_loses_no_paragraph(spark, model):
+    """Every paragraph scored without it gives the same rows."""
+    documents = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = lambda **how: sorted(tuple(r) for r in license_scan.scan(documents, model, **how).collect())
+    want = rows(bounded=False)
+    got = rows()
+    assert [r[:3] + r[4:] for r in got] == [r[:3] + r[4:] for r in want] != []
+    assert all(abs(a[3] - b[3]) < 1e-9 for a, b in zip(got, want))
+
+
+def test_known_ngrams_are_the_features_with_a_weight(spark, model):
+    grams = {r.gram for r in model[0].collect()}
+    bound = license_scan.Bound(model)
+    lines = [t for own in TEMPLATES.values() for t in own] + ["", "the the the", "Licensed", "software is provided under the terms of the software"]
+    df = spark.createDataFrame([(x,) for x in lines], "text string").select(license_scan.words(F.col("text")).alias("t"))
+    for r in df.where(F.size("t") > 0).select(license_scan.features(F.col("t")).alias("every"), bound.known(F.col("t")).alias("known")).collect():
+        assert len(r.known) == len(set(r.known)) and set(r.known) == grams & set(r.every)
+
+
 def test_edges_and_empty_tables(spark, edge, empty, model):
     assert license_scan.scan(edge.withColumn("row", F.lit("x")).withColumn("gram", F.lit(1)), model).count() == 0
     assert license_scan.scan(empty, model).count() == 0

@@ -80,6 +80,19 @@ def crc_mod(doc_id: Column, mod: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % mod
 
 
+def least_hashed(df: DataFrame, number: Column, n: int, then: list[str]) -> DataFrame:
+    """The ``n`` rows with the smallest ``number``, a 64-bit hash, and of equal ones the smallest
+    ``then``.  A threshold that lets about twice as many pass keeps all others from the sort,
+    however many tasks there are; it rises while too few pass."""
+    share = min(1.0, 2 * n / max(df.count(), 1))
+    while share < 1:
+        low = df.where(number < int(share * 2**64) - 2**63)
+        if low.count() >= n:
+            return low.orderBy(number, *then).limit(n)
+        share = min(1.0, share * 4)
+    return df.orderBy(number, *then).limit(n)
+
+
 def popcount(x: np.ndarray) -> np.ndarray:
     return np.bitwise_count(x.astype(np.uint64, copy=False))
 
@@ -90,7 +103,7 @@ def min_labels(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
     Alternates two star contractions: each node's larger neighbours are linked to
     its smallest neighbour, then its smaller ones.  Components end as stars, after
-    rounds that grow with the logarithm of their size.  A node's neighbours are
+    rounds that grow with the logarithm of their size; more than ``max_rounds`` are an error.  A node's neighbours are
     never gathered: minima are aggregated, and joined back on the edges, where
     adaptive execution splits a node with very many.  Each round is written out.
     """
@@ -114,5 +127,7 @@ def min_labels(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if now == seen:
             break
         seen = now
+    else:
+        raise RuntimeError(f"links still change after {max_rounds} rounds")
     return (links.select(F.col("u").alias("node"), F.col("v").alias("root"))
             .unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()))

@@ -3,10 +3,11 @@
 Training rows are runs of words cut from the licence templates below, and lines of
 a bounded sample of the corpus as the unknown class.  Features are the word
 n-grams (one to three words) of the templates, weights a sparse multinomial logistic
-regression.  A temperature and the decision threshold are then fitted on rows held
-out of training, so that the unknown class's probability is calibrated.  Scanning
+regression.  A temperature is then fitted on the families' rows and on unknown rows held
+out of training, the decision threshold on the latter.  Scanning
 takes every line of every text as a paragraph, and every run of wrapped lines joined,
-sums the weights of their n-grams and applies the softmax.  Paragraphs whose n-grams
+sums the weights of their n-grams and applies the softmax.  Only n-grams with a weight are
+built, where their words stand; paragraphs whose n-grams
 cannot reach the threshold, by an upper bound of their weights, are dropped before.
 A joined run is numbered by its first line, and reported if none of its lines is.  Each prediction is
 compared with its family's templates: it is confirmed if 0.8 of the five-word
@@ -29,7 +30,7 @@ import math
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vidtrend.llm.common import keep
+from vidtrend.llm.common import keep, least_hashed
 
 UNKNOWN = "unknown"
 #: Statements of licence families as they are published.
@@ -162,7 +163,7 @@ def training_rows(documents: DataFrame, sample_docs: int, seed: int) -> DataFram
     # a run that two families share says nothing about either
     shared = runs.groupBy("tokens").agg(F.min("family").alias("family"), F.max("family").alias("other"))
     known = shared.select(F.when(F.col("family") == F.col("other"), F.col("family")).otherwise(UNKNOWN).alias("family"), "tokens")
-    some = documents.select("doc_id", "text").orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(sample_docs)
+    some = least_hashed(documents.select("doc_id", "text"), F.xxhash64("doc_id", F.lit(seed)), sample_docs, ["doc_id"])
     lines = some.select(F.explode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("line")).select(words(F.col("line")).alias("tokens"))
     grams = own.select(F.explode(ngrams(F.col("tokens"), 3)).alias("gram")).distinct()
     known_grams = F.array(*[F.lit(r.gram) for r in grams.collect()])  # the templates' runs
@@ -251,40 +252,72 @@ def paragraphs(documents: DataFrame) -> DataFrame:
     return runs.select("doc", "doc_id", F.inline(F.concat(single, joined)))
 
 
-def can_be_told(grams: str, model: tuple[DataFrame, list[float], float, float]) -> Column:
-    """False only for n-grams that no family's score over the unknown class's can lift to the
-    threshold: each counts as the most it adds to any, rounded up."""
-    weights, biases, temperature, threshold = model
-    over: dict[float, list[str]] = {}
-    for r in weights.collect():  # bounded by the vocabulary of ``fit``
-        most = max(w - r.w[0] for w in r.w[1:])
-        if most > 0:
-            over.setdefault(math.ceil(most * 4) / 4 if most > 0.25 else math.ceil(most * 32) / 32, []).append(r.gram)
-    need = temperature * (math.log(threshold / (1 - threshold)) - math.log(len(biases) - 1)) - max(b - biases[0] for b in biases[1:])
-    if not over or need <= 0:
-        return F.lit(need <= 0)
-    value = F.lit(0.0)
-    known = [g for own in over.values() for g in own]
-
-    def worth(g: Column) -> Column:
-        out = None
-        for v, own in over.items():
-            out = (F if out is None else out).when(g.isin(own), F.lit(float(v)))
-        return out.otherwise(F.lit(0.0))
-
-    return F.aggregate(F.filter(grams, lambda g: g.isin(known)), value, lambda a, g: a + worth(g)) >= need - 1e-6
-
-
-def scan(documents: DataFrame, model: tuple[DataFrame, list[float], float, float], similarity: float = 0.8) -> DataFrame:
+class Bound:
+    """What the scan knows of the weights before any join: their n-grams, and how much each
+    can lift a family over the unknown class."""
+
+    def __init__(self, model: tuple[DataFrame, list[float], float, float]) -> None:
+        weights, biases, temperature, threshold = model
+        rows = weights.collect()  # bounded by the vocabulary of ``fit``
+        self.of_length: dict[int, list[str]] = {1: [], 2: [], 3: []}
+        self.worth: dict[float, list[str]] = {}
+        for r in rows:
+            self.of_length[r.gram.count(" ") + 1].append(r.gram)
+            most = max(w - r.w[0] for w in r.w[1:])
+            if most > 0:  # rounded up, so that few values are told apart
+                self.worth.setdefault(math.ceil(most * 4) / 4 if most > 0.25 else math.ceil(most * 32) / 32, []).append(r.gram)
+        self.words = sorted({w for r in rows for w in r.gram.split(" ")})
+        self.need = temperature * (math.log(threshold / (1 - threshold)) - math.log(len(biases) - 1)) - max(b - biases[0] for b in biases[1:])
+
+    def known(self, tokens: Column) -> Column:
+        """The distinct n-grams of ``tokens`` that have a weight.  A longer one is built only
+        where each of its words is a word of some weighted n-gram."""
+        def stands(n: int):
+            return lambda k: F.get(tokens, k + (n - 1)).isin(self.words)
+
+        def run(n: int):
+            return lambda k: F.concat_ws(" ", *[F.get(tokens, k + j) for j in range(n)])
+
+        def weighted(n: int):
+            return lambda g: g.isin(self.of_length[n])
+
+        places = F.sequence(F.lit(0), F.size(tokens) - 1)
+        found = []
+        for n in (1, 2, 3):
+            places = F.filter(places, stands(n))
+            found.append(F.filter(F.transform(places, run(n)), weighted(n)))
+        return F.array_distinct(F.concat(*found))
+
+    def can_be_told(self, grams: Column) -> Column:
+        """False only for n-grams that no family's score over the unknown class's can lift to
+        the threshold: each counts as the most it adds to any, rounded up."""
+        if not self.worth or self.need <= 0:
+            return F.lit(self.need <= 0)
+
+        def worth(g: Column) -> Column:
+            out = None
+            for v, own in sorted(self.worth.items(), key=lambda x: -len(x[1])):
+                out = (F if out is None else out).when(g.isin(own), F.lit(float(v)))
+            return out.otherwise(F.lit(0.0))
+
+        return F.aggregate(grams, F.lit(0.0), lambda a, g: a + worth(g)) >= self.need - 1e-6
+
+
+def scan(documents: DataFrame, model: tuple[DataFrame, list[float], float, float], similarity: float = 0.8,
+         bounded: bool = True) -> DataFrame:
     """Rows (doc_id, paragraph, family, probability, similarity, confirmed): every paragraph
     whose family the model tells from the unknown class, with the best share of five-word
-    shingles it has in common with a template of that family."""
+    shingles it has in common with a template of that family.  ``bounded``: drop paragraphs
+    that cannot reach the threshold before their n-grams meet the weights; the rows are the same."""
     weights, biases, temperature, threshold = model
     spark = documents.sparkSession
+    bound = Bound(model)
     named = (paragraphs(documents).select("*", held(words(F.col("text"))).alias("tokens")).where(F.size("tokens") > 0)
-             .select("*", held(features(F.col("tokens"))).alias("grams")).where(can_be_told("grams", model)))
-    rows = keep(named.select("doc", "doc_id", "first", "last", "tokens", F.monotonically_increasing_id().alias("row")), "licence-lines")
-    z = _logits(rows.select("row", features(F.col("tokens")).alias("grams")), ["row"], weights, biases)
+             .select("*", held(bound.known(F.col("tokens"))).alias("grams")))
+    named = named.where(bound.can_be_told(F.col("grams"))) if bounded else named
+    rows = keep(named.select("doc", "doc_id", "first", "last", "tokens", "grams", F.monotonically_increasing_id().alias("row")), "licence-lines")
+    z = _logits(rows.select("row", "grams"), ["row"], weights, biases)
+    rows = rows.drop("grams")
     p = z.select("row", softmax(F.col("z"), temperature).alias("p"))
     best = F.array_position("p", F.array_max("p")).cast("int")
     told = (p.where(1 - F.col("p")[0] >= threshold).withColumn("p", F.concat(F.array(F.lit(-1.0)), F.slice("p", 2, len(FAMILIES))))
