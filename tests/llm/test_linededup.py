@@ -58,5 +58,30 @@ def test_query_equals_brute_force(spark):
     assert got == brute(rows)
 
 
+def test_marks(spark):
+    df = spark.createDataFrame([([0],), ([3],), ([0, 1, 5],), ([],)], "p array<int>")
+    assert [r.m for r in df.select(linededup.marks(F.col("p")).alias("m")).collect()] == [
+        [True], [False] * 3 + [True], [True, True, False, False, False, True], []]
+
+
+def test_work_grows_with_the_lines_of_a_document(spark):
+    """Twenty times the lines, half of them dropped, take about as many times as long."""
+    import time
+
+    def seconds(n):
+        text = "\n".join(f"own {k}" if k % 2 else f"shared {k % 40}" for k in range(n))
+        docs = spark.createDataFrame([(k, text if not k else "\n".join(f"shared {j}" for j in range(40))) for k in range(10)], "doc_id long, text string")
+        best = 1e9
+        for _ in range(2):
+            start = time.perf_counter()
+            got = linededup.drop_frequent_lines(docs, batches=1).where("doc_id = 0").select("n_dropped", F.length("text").alias("n")).first()
+            best = min(best, time.perf_counter() - start)
+            assert got.n_dropped == n // 2 and got.n == len("\n".join(f"own {k}" for k in range(1, n, 2)))
+        return best
+
+    small, large = seconds(10_000), seconds(200_000)
+    assert large < 20 * small + 5
+
+
 def test_empty_table(empty):
     assert linededup.drop_frequent_lines(empty).count() == 0

@@ -106,6 +106,13 @@ class LineRuns:
         return found
 
 
+def marks(places: Column) -> Column:
+    """An array that is true at the given ascending places and false between them, up to the
+    last one: as many steps as it is long."""
+    gaps = F.transform(places, lambda at, k: at - F.when(k > 0, F.get(places, F.greatest(k - 1, F.lit(0)))).otherwise(-1) - 1)
+    return F.flatten(F.transform(gaps, lambda n: F.concat(F.array_repeat(F.lit(False), n), F.array(F.lit(True)))))
+
+
 def drop_frequent_lines(documents: DataFrame, min_docs: int = 10, min_chars: int = 1, batches: int = 4,
                         fanout: int = 3) -> DataFrame:
     """``documents`` with ``text`` rid of every line whose key has at least ``min_chars``
@@ -117,7 +124,8 @@ def drop_frequent_lines(documents: DataFrame, min_docs: int = 10, min_chars: int
     text = F.coalesce(F.col("text"), F.lit(""))
     # a row is known by its id and its text: equal rows lose the same lines
     row = [F.col("doc_id"), F.xxhash64(text).alias("t1"), F.xxhash64(F.lit(2), text).alias("t2")]
-    lines = (docs.select(*row, F.posexplode(F.split(text, "\n", -1)).alias("pos", "line"))
+    # the hashes are taken below the generator: above it they would be taken of the text for every line
+    lines = (docs.select(*row, text.alias("text")).select("doc_id", "t1", "t2", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
              .withColumn("key", line_key(F.col("line"))).where(F.length("key") >= min_chars)
              .select("doc_id", "t1", "t2", "pos", F.xxhash64("key").alias("h1"), F.xxhash64(F.lit(1), "key").alias("h2"),
                      F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(batches)).cast("int").alias("batch")))
@@ -132,15 +140,16 @@ def drop_frequent_lines(documents: DataFrame, min_docs: int = 10, min_chars: int
     frequent = runs.finish()
 
     drops = (lines.join(frequent, KEY, "left_semi").groupBy("doc_id", "t1", "t2")
-             .agg(F.collect_set("pos").alias("drop")))
+             .agg(F.array_sort(F.collect_set("pos")).alias("drop")))
     t1, t2 = fresh("t1", docs.columns), fresh("t2", docs.columns)
     named = docs.withColumns({t1: row[1], t2: row[2]})
     parts = F.split(text, "\n", -1)
     drop = F.col("x.drop")
-    keep_line = F.filter(parts, lambda line, i: ~F.array_contains(drop, i))
+    gone = marks(drop)
+    keep_line = F.filter(F.arrays_zip(parts.alias("line"), gone.alias("gone")), lambda x: ~F.coalesce(x["gone"], F.lit(False)))
     on = [F.col(f"d.{mine}").eqNullSafe(F.col(f"x.{other}")) for mine, other in (("doc_id", "doc_id"), (t1, "t1"), (t2, "t2"))]
     joined = named.alias("d").join(drops.alias("x"), on[0] & on[1] & on[2], "left")
-    new_text = F.when(drop.isNull(), text).otherwise(F.array_join(keep_line, "\n"))
+    new_text = F.when(drop.isNull(), text).otherwise(F.array_join(F.transform(keep_line, lambda x: x["line"]), "\n"))
     return joined.select(
         *[new_text.alias("text") if c == "text" else F.col(f"d.{c}") for c in docs.columns],
         F.size(parts).cast("long").alias("n_lines"), F.coalesce(F.when(drop.isNotNull(), F.size(drop)), F.lit(0)).cast("long").alias("n_dropped"))
