@@ -65,7 +65,7 @@ def expected(rows):
                     break
                 j += step
         partner = max(near, key=lambda j: html._common(html.url_key(rows[j][1])[1], path)) if near else None
-        out.append((page_id, url, html.main_text(lines[k], None if partner is None else lines[partner])))
+        out.append((page_id, url, html.main_text(lines[k], None if partner is None else lines[partner], [lines[j] for j in near])))
     return sorted(out, key=str)
 
 
@@ -101,6 +101,17 @@ def test_the_partner_decides_on_pages_with_articles(spark):
     assert got == {k: f"Teaser {k}\nText of teaser {k}\nThe body of page {k}" for k in range(3)}
 
 
+def test_a_sentence_of_two_articles_is_no_template(spark):
+    def page(k, *body):
+        return template(f"<article><h1>Head {k}</h1><p>By the desk</p>{''.join(f'<p>{x}</p>' for x in body)}<p>Our notice</p></article>", k)
+
+    long = "A sentence that is long enough to be most of what there is to read on a page."
+    rows = [(0, "http://s.example/0", page(0, "Zero. " + long, "Rain fell.")), (1, "http://s.example/1", page(1, "Rain fell.", "One. " + long, "a")),
+            (2, "http://s.example/2", page(2, "Two. " + long, "x", "Rain fell.", "y")), (3, "http://s.example/3", page(3, "Three. " + long, "z", "q", "w", "Rain fell.", "e", "r"))]
+    got = {r.page_id: r.text.split("\n") for r in html.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all("Rain fell." in t and "Our notice" not in t and "By the desk" not in t and t[0] == f"Head {k}" for k, t in got.items())
+
+
 def test_copies_longer_than_parts_find_the_pages_behind_them(spark):
     copy = "<p>Menu</p><p>Left</p><p>The copy</p><p>Right</p>"
     for ends in ((0, 30), (0,), (30,)):

@@ -3,8 +3,9 @@
 Pages are ordered by host and URL path.  A page's partner is the neighbour on the
 same host whose path shares the longer prefix with its own, and whose text is not
 the same.  The text lines of both are aligned by longest common subsequence; the
-shared lines are the site's template and are deleted, inside and outside of article
-elements.  Shared lines of articles stay if they are half or more of the text of
+shared lines are the site's template and are deleted.  Inside article elements, only those
+go that the differing neighbours on both sides have at the same place of their articles:
+a sentence that another article has too is no template.  Such lines stay if they are half or more of the text of
 either page's articles: then the pages are near copies or one quotes the other, and
 what they share is no template.  Lines in an element that says it is not content
 (menus, forms, notices, ...) go too.
@@ -153,10 +154,32 @@ def shared_lines(a: list[str], b: list[str]) -> list[int]:
     return [*range(head), *reversed(middle), *range(len(a) - tail, len(a))]
 
 
-def main_text(lines: list[tuple[str, int]], partner: list[tuple[str, int]] | None) -> str:
-    """The lines that stay once those shared with the partner are deleted."""
+def _article(page: list[tuple[str, int]]) -> list[int]:
+    return [k for k, (_, kind) in enumerate(page) if kind == 1]
+
+
+def _fixed(lines: list[tuple[str, int]], near: list[list[tuple[str, int]]]) -> set[int]:
+    """Article lines that every page of ``near`` has at the same place of its article, counted
+    from the start in all of them or from the end in all of them."""
+    own, found = _article(lines), set()
+    others = [[page[k][0] for k in _article(page)] for page in near]
+    for n, k in enumerate(own):
+        for place in (n, n - len(own)):
+            if all(-len(o) <= place < len(o) and o[place] == lines[k][0] for o in others):
+                found.add(k)
+    return found
+
+
+def main_text(lines: list[tuple[str, int]], partner: list[tuple[str, int]] | None,
+              near: list[list[tuple[str, int]]] | None = None) -> str:
+    """The lines that stay once those shared with the partner are deleted.  ``near`` are the
+    pages on either side that differ, the partner among them."""
     gone = set(shared_lines([t for t, _ in lines], [t for t, _ in partner])) if partner else set()
     common = {k for k in gone if lines[k][1] == 1}
+    if common:
+        # a sentence that another article has as well is no template
+        gone -= common - _fixed(lines, near or [partner])
+        common &= gone
     wholes = [n for n in (sum(len(t) for t, kind in page if kind == 1) for page in (lines, partner or ())) if n]
     if common and 2 * sum(len(lines[k][0]) for k in common) >= min(wholes):
         gone -= common
@@ -275,7 +298,7 @@ def extract(pages: DataFrame, part_pages: int = 2000, most_parts: int = 1 << 16)
         for k in range(len(lines)):
             near = [j for j in (before[k], after[k]) if j >= 0]
             partner = max(near, key=lambda j: _common(paths[j], paths[k])) if near else None
-            texts.append(None if guests[k] else main_text(lines[k], None if partner is None else lines[partner]))
+            texts.append(None if guests[k] else main_text(lines[k], None if partner is None else lines[partner], [lines[j] for j in near]))
         out = pd.DataFrame({"page_id": pdf["page_id"], "url": pdf["url"], "text": texts})
         return out[[not g for g in guests]]
 
