@@ -35,6 +35,28 @@ def test_recall_and_scores(spark):
     assert np.mean([len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]) >= 0.9
 
 
+def test_recall_of_the_forest_itself(spark):
+    """On tables of 500 and 2,000 rows queries look at a part of them, and find nine tenths."""
+    for sf in (SF, "/root/testdata/sf0.1"):
+        rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]
+        ids, vectors = np.array([i for i, _ in rows]), np.array([v for _, v in rows], dtype=float)
+        asked = np.flatnonzero(ids % 20 == 0)
+        looked, found = [], []
+        want = brute(rows, [rows[j] for j in asked], 20)
+        for j, near in zip(asked, ann.Forest(vectors, 32, 32, 3).candidates(vectors[asked], int(np.ceil(0.7 * len(rows))))):
+            looked.append(len(near) / len(rows))
+            found.append(len({i for i, _ in want[ids[j]]} & set(ids[near].tolist())) / 20)
+        assert max(looked) < 0.8 and np.mean(found) >= 0.9
+
+
+def test_repeated_rows_and_ids(spark):
+    rows = [(1, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [3.0, 0.0]), (2, [2.0, 1.0]), (3, [0.0, 5.0])]
+    df = spark.createDataFrame(rows, SCHEMA)
+    queries = spark.createDataFrame([(9, [1.0, 0.0]), (9, [1.0, 0.0]), (9, [0.0, 1.0])], "query_id long, vector array<float>")
+    got = [(r["rank"], r.vec_id, r.score) for r in ann.search(df, queries, k=6, share=1.0).orderBy("rank").collect()]
+    assert [x[1:] for x in got] == [(3, 5.0), (1, 3.0), (2, 2.0), (1, 1.0), (2, 1.0), (1, 0.0)] and [x[0] for x in got] == [1, 2, 3, 4, 5, 6]
+
+
 def test_whole_share_is_exact_over_shards_and_blocks(spark):
     rng = np.random.default_rng(6)
     rows = [(k, [float(x) for x in np.float32(rng.standard_normal(8) * (1 + k % 5))]) for k in range(300)]

@@ -19,7 +19,9 @@ vector up to the largest norm of its shard.
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components take no part; vectors of another length than the query's are no
 candidates; rows with a null id take no part; rows with the query's own id are no
-candidates; equal scores go to the smaller id; an empty table gives no rows.
+candidates; equal scores go to the smaller id; an empty table gives no rows.  Rows of
+the index with equal ids are candidates each for itself, equal rows once; queries with
+equal ids are one query, ranked by the scores of all its vectors together.
 Extra columns are ignored.
 """
 
@@ -86,13 +88,14 @@ class Forest:
             yield np.flatnonzero(found)
 
 
-def search(index: DataFrame, queries: DataFrame, k: int = 20, trees: int = 32, bits: int = 32, share: float = 0.6,
-           least: int = 2000, shard_rows: int = 8192, block_queries: int = 4096, seed: int = 3) -> DataFrame:
+def search(index: DataFrame, queries: DataFrame, k: int = 20, trees: int = 32, bits: int = 32, share: float = 0.7,
+           least: int | None = None, shard_rows: int = 8192, block_queries: int = 4096, seed: int = 3) -> DataFrame:
     """The ``k`` nearest found for each row of ``queries`` (query_id, vector) among ``index``
     (vec_id, vector): (query_id, rank, vec_id, score), rank from 1.  ``share``: the part of a
-    shard that a query looks at, and ``least`` rows of it at least, which sets recall
-    against work.
+    shard that a query looks at, and ``least`` rows of it at least (ten for each of the
+    ``k`` unless given), which sets recall against work.
     """
+    least = 10 * k if least is None else least
     spark = index.sparkSession
     small_batches(spark, 5000)
     rows = index.where("vec_id is not null").where(usable(F.col("vector"))).select("vec_id", "vector", F.size("vector").alias("dim"))
