@@ -96,6 +96,49 @@ def test_small_lanes_carry_deficits(spark, tiny):
     assert sizes.count(1024) * 1024 >= 0.9 * sum(sizes)
 
 
+def shares_of_windows(pieces, window):
+    """Per full window in order, the share of each source."""
+    tokens = defaultdict(lambda: defaultdict(int))
+    for r in pieces:
+        tokens[r.sequence_id][r.source] += r.length
+    return [{s: n / window for s, n in tokens[q].items()} for q in sorted(tokens) if sum(tokens[q].values()) == window]
+
+
+def test_targets_hold_in_every_window_of_many_lanes(spark):
+    """Two sources with as many tokens each, wanted as 80 to 20: the mixture lasts as long as the first
+    source does, at the targets in every lane, and what is over of the other comes last."""
+    docs = spark.range(40_000).select(F.col("id").alias("doc_id"), F.lit("word word word word word").alias("text"),
+                                      F.concat(F.lit("s"), (F.col("id") % 2).cast("string")).alias("source"))
+    pieces = packing.pack(docs, word_bpe(), END_ID, window=256, quantum=32, lane_tokens=8192, targets={"s0": 0.8, "s1": 0.2}).collect()
+    windows = shares_of_windows(pieces, 256)
+    share = np.array([w.get("s0", 0.0) for w in windows])
+    mixed = int(np.flatnonzero(share)[-1]) + 1
+    # lanes of 32 windows are dealt by hash, so the last windows of one may lack a source
+    assert len(windows) > 600 and 0.5 < mixed / len(windows) < 0.7
+    assert abs(share[:mixed].mean() - 0.8) < 0.02 and (np.abs(share[:mixed] - 0.8) < 0.1).mean() > 0.9
+    # all tokens are there
+    whole = sum(r.length for r in packing.pack(docs, word_bpe(), END_ID, window=256, lane_tokens=8192).collect())
+    assert sum(r.length for r in pieces) == whole and len({r.doc_id for r in pieces}) == 40_000
+
+
+def test_targets_of_some_sources_and_odd_ones(spark):
+    docs = spark.createDataFrame([(k, "word " * 20, f"s{k % 4}") for k in range(400)], "doc_id long, text string, source string")
+    for targets in ({"s0": 0.1}, {"s0": 0.0, "s1": 1.0}, {"none": 0.5}, {"s0": 5.0, "s1": 1.0, "s2": 1.0, "s3": 1.0}):
+        pieces = packing.pack(docs, word_bpe(), END_ID, window=128, quantum=16, lane_tokens=2048, targets=targets).collect()
+        assert len({r.doc_id for r in pieces}) == 400
+        assert all(sum(x.length for x in pieces if x.doc_id == k) == next(x.doc_tokens for x in pieces if x.doc_id == k) for k in range(0, 400, 37))
+
+
+def test_sums_over_earlier_lanes(spark):
+    rng = random.Random(2)
+    rows = sorted({(rng.choice("ab"), rng.randrange(100)): rng.randrange(9) for _ in range(150)}.items())
+    df = spark.createDataFrame([(s, lane, n) for (s, lane), n in rows], "source string, lane long, n long")
+    for block in (1, 7, 4096):
+        for keys in ([], ["source"]):
+            got = {(r.source, r.lane): r.x for r in packing._earlier(df if keys else df.where("source = 'a'"), {"x": F.col("n")}, keys, block).collect()}
+            assert got and all(x == sum(n for (s2, l2), n in rows if s2 == s and l2 < lane) for (s, lane), x in got.items())
+
+
 def test_empty_table_and_bad_window(empty):
     assert packed(empty).count() == 0
     with pytest.raises(ValueError):

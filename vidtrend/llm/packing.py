@@ -90,6 +90,34 @@ def _sequences(tokens: Column, window: int) -> Column:
     return F.floor(tokens / window) + F.bit_count(tokens % window)
 
 
+def _mixable(held: DataFrame, targets: dict[str, float]) -> tuple[Column, int]:
+    """The part of each source's tokens that a mixture at ``targets`` can use, and the sum of
+    all tokens.  Sources that are not named count with their own shares."""
+    total = held.agg(F.sum("held")).first()[0] or 0
+    named = {r.source: r.held for r in held.where(F.col("source").isin(list(targets))).collect()}  # of a list a user writes
+    rest = 1 - sum(named.values()) / max(total, 1)
+    weights = {source: max(0.0, targets[source]) for source in named}
+    every = sum(weights.values()) + rest
+    # the source that runs out first bounds the tokens of the mixture
+    most = min([named[s] * every / w for s, w in weights.items() if w > 0] + [total * every], default=0)
+    part = F.lit(min(1.0, most / every / total) if total and every else 1.0)
+    for source, w in weights.items():
+        part = F.when(F.col("source") == source, F.lit(min(1.0, most * w / every / named[source]) if every else 1.0)).otherwise(part)
+    return part, total
+
+
+def _earlier(rows: DataFrame, sums: dict[str, Column], keys: list[str], block: int = 4096) -> DataFrame:
+    """``rows`` (``keys``, lane, ...) with the sums of columns over the rows of earlier lanes:
+    within blocks of lanes, and over the blocks."""
+    rows = rows.withColumn("block", F.floor(F.col("lane") / block)).withColumns({f"own_{c}": x for c, x in sums.items()})
+    before = Window.partitionBy(*keys).orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = rows.groupBy(*keys, "block").agg(*[F.sum(f"own_{c}").alias(f"own_{c}") for c in sums])
+    blocks = blocks.select(*keys, "block", *[F.coalesce(F.sum(f"own_{c}").over(before), F.lit(0)).alias(f"all_{c}") for c in sums])
+    inside = Window.partitionBy(*keys, "block").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
+    found = rows.join(blocks, [*keys, "block"])
+    return found.withColumns({c: F.col(f"all_{c}") + F.coalesce(F.sum(f"own_{c}").over(inside), F.lit(0)) for c in sums})
+
+
 def pack(documents: DataFrame, tokenizer: str, end_id: int = 2, window: int = 4096, quantum: int = 512,
          lane_tokens: int = 1 << 20, targets: dict[str, float] | None = None) -> DataFrame:
     """Pieces (doc_id, source, start, length, doc_tokens, sequence_id, offset, ids) that
@@ -98,31 +126,37 @@ def pack(documents: DataFrame, tokenizer: str, end_id: int = 2, window: int = 40
 
     ``targets`` are the wanted shares of tokens by source; sources not named, and all
     sources by default, count with their own tokens, so that all queues end together.
+    Where targets differ from what the sources hold, the lanes are of two kinds: as many
+    tokens as can be mixed at the targets, drawn by hash, fill the first lanes, and what
+    the other sources have over goes to the last ones, in the proportions it has there.
     ``window`` is a power of two.
     """
     if window < 1 or window & (window - 1):
         raise ValueError("window must be a power of two")
     small_batches(documents.sparkSession)
     tokens = keep(tokenize(documents, tokenizer, end_id), "tokens")
-    total = tokens.agg(F.sum("n")).first()[0] or 0
-    lanes = max(1, math.ceil(total / lane_tokens))
-    tokens = tokens.withColumn("lane", F.pmod(F.xxhash64("doc_id", "n", F.crc32("ids")), F.lit(lanes)))
-    held = keep(tokens.groupBy("lane", "source").agg(F.sum("n").alias("held")), "lanes")
-
-    # shares by source, then what each lane inherits: sums over all earlier lanes
-    own = held.groupBy("source").agg(F.sum("held").cast("double").alias("weight"))
+    hashed = lambda salt: F.xxhash64("doc_id", "n", F.crc32("ids"), *[F.lit(x) for x in salt])
     if targets:
-        asked = F.create_map(*[F.lit(x) for kv in targets.items() for x in kv])
-        own = own.withColumn("weight", F.coalesce(asked[F.col("source")], F.col("weight") / total))
-    every = own.agg(F.sum("weight")).first()[0] or 1.0
-    share = own.select("source", (F.col("weight") / every).alias("share"))
-    earlier = Window.orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
-    by_lane = (held.groupBy("lane").agg(F.sum("held").alias("tokens"))
-               .select("lane", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("before"),
-                       F.coalesce(F.sum(_sequences(F.col("tokens"), window)).over(earlier), F.lit(0)).alias("first")))
-    own_earlier = Window.partitionBy("source").orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (held.withColumn("served", F.coalesce(F.sum("held").over(own_earlier), F.lit(0)))
-              .join(share, "source").join(by_lane, "lane")
+        part, total = _mixable(tokens.groupBy("source").agg(F.sum("n").alias("held")), targets)
+        tokens = tokens.withColumn("over", (F.pmod(hashed([1]), F.lit(1 << 30)) >= part * (1 << 30)).cast("int"))
+    else:
+        tokens, total = tokens.withColumn("over", F.lit(0)), tokens.agg(F.sum("n")).first()[0] or 0
+    # lanes of the mixture, then those of what is over
+    sizes = {r.over: r.n for r in tokens.groupBy("over").agg(F.sum("n").alias("n")).collect()} if targets else {0: total}
+    lanes = [max(1, math.ceil(sizes.get(k, 0) / lane_tokens)) for k in (0, 1)]
+    lane = F.pmod(hashed([]), F.when(F.col("over") == 0, F.lit(lanes[0])).otherwise(F.lit(lanes[1])))
+    tokens = tokens.withColumn("lane", lane + F.col("over") * lanes[0])
+    held = keep(tokens.groupBy("lane", "source", "over").agg(F.sum("n").alias("held")), "lanes")
+
+    # shares by source, then what each lane inherits: sums over all earlier lanes of its kind
+    own = held.groupBy("source", "over").agg(F.sum("held").cast("double").alias("weight"))
+    share = (own.join(own.groupBy("over").agg(F.sum("weight").alias("every")), "over")
+             .select("source", "over", (F.col("weight") / F.col("every")).alias("share")))
+    by_lane = held.groupBy("lane", "over").agg(F.sum("held").alias("tokens"))
+    by_lane = _earlier(by_lane, {"before": F.col("tokens")}, ["over"]).select("lane", "over", "tokens", "before")
+    by_lane = _earlier(by_lane, {"first": _sequences(F.col("tokens"), window)}, []).select("lane", "before", "first")
+    starts = (_earlier(held, {"served": F.col("held")}, ["over", "source"])
+              .join(share, ["source", "over"]).join(by_lane, "lane")
               .select("lane", "source", "share", "first",
                       (F.col("share") * F.col("before") - F.col("served")).alias("deficit")))
 
