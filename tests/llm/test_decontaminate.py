@@ -85,6 +85,23 @@ def test_matches_equal_brute_force(spark, case):
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in documents} - {d for d, _ in got}
 
 
+def test_results_do_not_depend_on_shards_or_slices(spark, case, monkeypatch):
+    documents, items = case
+    docs, own = spark.createDataFrame(documents, "doc_id long, text string"), spark.createDataFrame(items, SCHEMA)
+
+    def rows(shard_items):
+        return sorted((r.doc_id, r.item_id, round(r.score, 9), r.passage_start, r.question_overlap, r.answer_overlap)
+                      for r in D.matches(docs, own, threshold=0.3, shard_items=shard_items).collect())
+
+    want = rows(4096)
+    assert want and rows(9) == want and rows(3) == want
+    index = D.ItemIndex([i for i in items if i[1]])
+    whole = D.find(index, [t for _, t in documents], 0.3, 5, 0.8)
+    for cells in (1, 40, 1000):
+        monkeypatch.setattr(D, "CELLS", cells)
+        assert D.find(index, [t for _, t in documents], 0.3, 5, 0.8) == whole != {}
+
+
 def test_planted_items_are_found_and_others_left(spark, tiny):
     documents, items = (spark.read.parquet(f"{tiny}/{t}.parquet") for t in ("documents", "benchmark"))
     texts = {r.item_id: " ".join(D.words_of(r.text)) for r in items.collect()}

@@ -15,6 +15,8 @@ the answer part of the item each for itself.
 
 The index is built over shards of at most ``shard_items`` items, so what a task
 holds is bounded; each shard is one pass over the documents, without a shuffle.
+Document frequencies, the mean length and the longest item are those of all items, counted
+once, so scores and passages do not depend on how items are dealt into shards.
 
 Defined results: words are runs of letters and digits in lower case; items and
 texts that are null or without words match nothing; an item shorter than a shingle
@@ -26,16 +28,19 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vidtrend.llm.common import release_worker_state, small_batches
+from vidtrend.llm.common import keep, release_worker_state, small_batches
 
 WORDS = re.compile(r"\w+").findall
 BLOCK = 4
+#: Cells of the table of bounds (segments by blocks) that are held at once.
+CELLS = 1 << 22
 K1, B = 1.2, 0.75
 #: Ids pass through pandas as text: a column of longs with a null would become floats.
 MATCHES = "doc_id string, item_id long, score double, passage_start long, question_overlap double, answer_overlap double"
@@ -60,22 +65,40 @@ def shingles(words: list[str], n: int) -> set[tuple[str, ...]]:
     return {tuple(words[k:k + n]) for k in range(max(1, len(words) - n + 1))} if words else set()
 
 
+@dataclass(frozen=True)
+class Statistics:
+    """Of all items that have words: how many there are, their mean and greatest number of
+    words, and in how many a word stands (of the words that are asked for)."""
+
+    items: int
+    mean: float
+    longest: int
+    df: dict[str, int]
+
+
+def statistics_of(items: list[tuple[int, str]]) -> Statistics:
+    bags = [b for b in (Counter(words_of(t)) for _, t in items) if b]
+    size = [sum(b.values()) for b in bags]
+    return Statistics(len(bags), sum(size) / max(1, len(bags)), max(size, default=1), Counter(w for b in bags for w in b))
+
+
 class ItemIndex:
-    """Inverted index over (item_id, text) rows with block maxima."""
+    """Inverted index over (item_id, text) rows with block maxima; ``known`` are the statistics
+    of all items where these are a part of them."""
 
-    def __init__(self, items: list[tuple[int, str]]) -> None:
+    def __init__(self, items: list[tuple[int, str]], known: Statistics | None = None) -> None:
+        known = known or statistics_of(items)
         bags = [Counter(words_of(t)) for _, t in items]
         # items with similar terms side by side: by their most widespread terms
-        df = Counter(w for b in bags for w in b)
+        df = {w: known.df[w] for b in bags for w in b}
         order = sorted((k for k, b in enumerate(bags) if b),
                        key=lambda k: (sorted(bags[k], key=lambda w: (-df[w], w))[:3], k))
         self.items = [items[k] for k in order]
         bags = [bags[k] for k in order]
-        n, size = len(bags), [sum(b.values()) for b in bags]
-        mean = sum(size) / max(1, n)
-        self.longest = max(size, default=1)
+        n, size, mean = len(bags), [sum(b.values()) for b in bags], known.mean
+        self.longest = known.longest
         self.term = {w: k for k, w in enumerate(sorted(df))}
-        idf = {w: math.log(1 + (n - d + 0.5) / (d + 0.5)) for w, d in df.items()}
+        idf = {w: math.log(1 + (known.items - d + 0.5) / (d + 0.5)) for w, d in df.items()}
         #: by (term, block): the block's postings in item order
         self.postings: dict[tuple[int, int], list[tuple[int, float]]] = {}
         for k, (b, m) in enumerate(zip(bags, size)):
@@ -140,32 +163,44 @@ def _candidates(index: ItemIndex, terms: list[np.ndarray], threshold: float):
     number = (first[doc] + place)[known]
     key = np.unique(number * np.int64(len(index.term)) + term[known])
     number, term = key // len(index.term), key % len(index.term)
-    starts = np.flatnonzero(np.concatenate(([True], number[1:] != number[:-1])))
-    bound = np.zeros((first[-1] + 1, index.blocks), dtype=np.float32)
-    step = max(1, (1 << 22) // index.blocks)  # terms summed at once, for bounded memory
-    ends = np.append(starts, len(term))
-    at = 0
-    while at < len(starts):
-        to = max(at + 1, int(np.searchsorted(ends, ends[at] + step, "right")) - 1)
-        a, b = ends[at], ends[to]
-        bound[number[starts[at:to]]] = np.add.reduceat(index.maxima[term[a:b]], starts[at:to] - a, axis=0)
-        at = to
-    last = np.zeros(len(bound), dtype=bool)
-    last[first[1:] - 1] = True
-    both = bound[:-1] + np.where(last[:-1, None], 0, bound[1:])
-    open_block = both >= threshold - 1e-4
-    for n in np.flatnonzero(open_block.any(axis=1)):
-        d = int(np.searchsorted(first, n, "right")) - 1
-        yield d, int(n - first[d]), np.flatnonzero(open_block[n]).tolist()
+    step = max(1, CELLS // index.blocks)  # segments, and terms, summed at once: bounded memory for texts of any length
+    last = np.zeros(first[-1], dtype=bool)
+    last[first[1:][first[1:] > first[:-1]] - 1] = True
+    for low in range(0, len(last), step):
+        high = min(len(last), low + step)
+        bound = np.zeros((high - low + 1, index.blocks), dtype=np.float32)  # and the segment behind them
+        begin, end = np.searchsorted(number, [low, high + 1])
+        for a in range(begin, end, step):
+            own = slice(a, min(end, a + step))
+            starts = np.flatnonzero(np.append(True, np.diff(number[own]) != 0))
+            bound[number[own][starts] - low] += np.add.reduceat(index.maxima[term[own]], starts, axis=0)
+        both = bound[:-1] + np.where(last[low:high, None], 0, bound[1:])
+        open_block = both >= threshold - 1e-4
+        for n in np.flatnonzero(open_block.any(axis=1)):
+            d = int(np.searchsorted(first, low + n, "right")) - 1
+            yield d, int(low + n - first[d]), np.flatnonzero(open_block[n]).tolist()
 
 
 def item_shards(items: DataFrame, shard_items: int = 4096):
-    """The items' (id, text) rows in shards of about ``shard_items``; each task indexes one."""
+    """The items' (id, text) rows in shards of about ``shard_items``, each with the statistics
+    of all items; each task indexes one."""
     usable = items.where("item_id is not null and text is not null").select("item_id", "text")
     shards = max(1, -(-usable.count() // shard_items))
+    usable = usable.withColumn("shard", F.pmod(F.xxhash64("item_id"), F.lit(shards)))
+
+    def bags(batches):
+        for pdf in batches:
+            found = [words_of(t) for t in pdf["text"]]
+            yield pd.DataFrame({"shard": pdf["shard"], "size": [len(w) for w in found], "words": [sorted(set(w)) for w in found]})
+
+    counted = keep(usable.mapInPandas(bags, "shard long, size long, words array<string>").where("size > 0"), "items")
+    n, total, longest = counted.agg(F.count("*"), F.sum("size"), F.max("size")).first()
+    words = counted.select("shard", F.explode("words").alias("word"))
+    df = keep(words.distinct().join(words.groupBy("word").agg(F.count("*").alias("n")), "word"), "item-words")
     for k in range(shards):
-        own = usable.where(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == k) if shards > 1 else usable
-        yield sorted((r.item_id, r.text) for r in own.collect())
+        own = {r.word: r.n for r in df.where(F.col("shard") == k).collect()}  # the words of one shard
+        known = Statistics(n, (total or 0) / max(1, n), longest or 1, own)
+        yield sorted((r.item_id, r.text) for r in usable.where(F.col("shard") == k).collect()), known
 
 
 def find(index: ItemIndex, texts: list[str | None], threshold: float, shingle: int, overlap: float):
@@ -207,11 +242,11 @@ def matches(documents: DataFrame, items: DataFrame, threshold: float = 0.5, shin
     spark = documents.sparkSession
     small_batches(spark, 500)
     out = None
-    for rows in item_shards(items, shard_items):
-        shared = spark.sparkContext.broadcast(rows)
+    for shard in item_shards(items, shard_items):
+        shared = spark.sparkContext.broadcast(shard)
 
         def run(batches, shared=shared):
-            index = ItemIndex(shared.value)
+            index = ItemIndex(*shared.value)
             for pdf in batches:
                 found = find(index, pdf["text"].tolist(), threshold, shingle, overlap)
                 yield pd.DataFrame({
@@ -231,14 +266,14 @@ def clean(documents: DataFrame, items: DataFrame, threshold: float = 0.5, shingl
     """The rows of ``documents`` in which no item is found; see ``matches``."""
     spark = documents.sparkSession
     small_batches(spark, 500)
-    for rows in item_shards(items, shard_items):
-        shared = spark.sparkContext.broadcast(rows)
+    for shard in item_shards(items, shard_items):
+        shared = spark.sparkContext.broadcast(shard)
 
         def run(batches, shared=shared):
             import pyarrow as pa
 
             release_worker_state()
-            index = ItemIndex(shared.value)
+            index = ItemIndex(*shared.value)
             for batch in batches:
                 found = find(index, batch.column("text").to_pylist(), threshold, shingle, overlap)
                 bad = {d for d, _ in found}
