@@ -86,8 +86,8 @@ def test_edges_small_vocabularies_and_empty_table(spark, edge, empty):
 
     docs = edge.withColumn("held_out", crc_mod(F.col("doc_id"), 7) == 2).withColumn("row", F.lit("x")).withColumn("word", F.lit(1))
     rows = [(r.doc_id, r.text) for r in edge.collect()]
-    for head, emitted in ((1 << 17, 1 << 13), (20, 5)):  # with few known words the rest come by the join
-        got = hmm.score(docs, head=head, emitted=emitted, states=3, rounds=2).cache()
+    for emitted in (1 << 13, 5):  # with few known words the rest come by the join
+        got = hmm.score(docs, emitted=emitted, states=3, rounds=2).cache()
         assert digest(got) == base(rows)
         assert got.where("score IS NULL OR score > 0 OR isnan(score)").count() == 0
     assert hmm.score(empty.withColumn("held_out", F.lit(False))).count() == 0
@@ -96,12 +96,18 @@ def test_edges_small_vocabularies_and_empty_table(spark, edge, empty):
 
 
 def test_probabilities_of_all_continuations_add_up(spark):
-    """One-word texts over a known vocabulary, and the unknown words' share, are a distribution."""
+    """All sequences of one symbol, and all of two, are distributions under the trained model."""
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(["a b", "b c c", "a", "d e"])], "doc_id long, text string")
     learned = docs.withColumn("held_out", F.lit(False))
     vocabulary = hmm.count_words(docs, emitted=2)
     assert vocabulary.tokens == 12 and vocabulary.distinct == 6 and vocabulary.unigram().sum() == 12
     assert hmm.score(learned, emitted=2).count() == 4
+    blocks, slots = hmm.encode(learned, vocabulary)
+    model, _, _ = hmm.train(blocks, slots, vocabulary, states=3, rounds=3)
+    symbols = range(len(model.emit))
+    assert abs((10 ** hmm.log_likelihood(model, [np.array([x]) for x in symbols])).sum() - 1) < 1e-9
+    pairs = [np.array([x, y]) for x in symbols for y in symbols]
+    assert len(pairs) == 259 ** 2 and abs((10 ** hmm.log_likelihood(model, pairs)).sum() - 1) < 1e-9
 
 
 def test_words_outside_the_emitted_ones_learn_their_states(spark):
@@ -134,3 +140,12 @@ def test_classes_are_counted_as_words_are_classed(spark):
         want[hmm.word_class(word)] += n
         size[hmm.word_class(word)] += 1
     assert (vocabulary.class_count == want).all() and (vocabulary.class_size == size).all()
+
+
+def test_most_frequent_words(spark):
+    rows = [(b"w%03d" % k, 1 + k * k % 97) for k in range(300)]
+    table = spark.createDataFrame(rows, "word binary, n long").repartition(5)
+    want = sorted(rows, key=lambda r: (-r[1], r[0]))
+    for count in (0, 1, 40, 299, 300, 400):
+        assert [(bytes(r.word), r.n) for r in hmm.most_frequent(table, count)] == want[:count]
+    assert hmm.most_frequent(table.limit(0), 5) == []

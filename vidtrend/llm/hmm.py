@@ -75,7 +75,21 @@ class Vocabulary:
         return np.concatenate((self.head_count[:self.emitted], self.class_count, [self.ends])).astype(float)
 
 
-def count_words(documents: DataFrame, head: int = 1 << 17, emitted: int = 1 << 13) -> Vocabulary:
+def most_frequent(table: DataFrame, count: int) -> list:
+    """The ``count`` words of ``table`` with the highest ``n``, equal ones by word.  Only words of the
+    sixteenths of a doubling in which these lie are sorted, however many parts the table has."""
+    table = table.withColumn("step", F.floor(F.log2("n") * 16))
+    least, left = None, count
+    for r in sorted(table.groupBy("step").agg(F.count("*").alias("words")).collect(), key=lambda r: -r.step):  # a thousand rows at most
+        if left <= 0:
+            break
+        least, left = r.step, left - r.words
+    if least is None:
+        return []
+    return table.where(F.col("step") >= least).orderBy(F.desc("n"), "word").limit(count).collect()
+
+
+def count_words(documents: DataFrame, emitted: int = 1 << 13) -> Vocabulary:
     """Count the words of ``documents``; every task adds up its own before the shuffle."""
     small_batches(documents.sparkSession, 250)
 
@@ -92,7 +106,7 @@ def count_words(documents: DataFrame, head: int = 1 << 17, emitted: int = 1 << 1
     parts = documents.select("text").mapInPandas(count, "word binary, n long")
     table = keep(parts.groupBy("word").agg(F.sum("n").alias("n")).withColumn("id", F.monotonically_increasing_id()), "words")
     ends = documents.count()
-    top = table.orderBy(F.desc("n"), "word").limit(min(head, emitted)).collect()
+    top = most_frequent(table, emitted)
     names = [bytes(r.word) for r in top]
     counts = np.array([r.n for r in top], dtype=np.int64)
     emitted = min(emitted, len(names))
@@ -314,8 +328,6 @@ def train(blocks: DataFrame, slots: DataFrame, vocabulary: Vocabulary, states: i
         sums = parts.groupBy("key").agg(*[F.sum(c).alias(c) for c in names])
         if turn >= rounds - own:
             counts = sums = keep(sums.select("key", *[F.col(c).cast("float").alias(c) for c in names]), "word-states")
-            del both, parts
-            spark._jvm.System.gc()  # the cleaner then deletes the shuffle files of the round
         total = np.zeros((symbols + states + 2, states))
         for r in sums.where("key < 0").collect():  # one row for each symbol and state: as many for any corpus
             total[-1 - r.key] = [r[c] for c in names]
@@ -329,13 +341,13 @@ def train(blocks: DataFrame, slots: DataFrame, vocabulary: Vocabulary, states: i
     return model, counts, of_state
 
 
-def score(documents: DataFrame, head: int = 1 << 17, emitted: int = 1 << 13, states: int = 8, rounds: int = 6) -> DataFrame:
+def score(documents: DataFrame, emitted: int = 1 << 13, states: int = 8, rounds: int = 6) -> DataFrame:
     """Score every row of ``documents`` (doc_id, text, held_out); the rows with ``held_out``
     false are learned from.  Result: (doc_id, held_out, n_tokens, n_known, train_tokens,
     base_score, score), the scores as log10 probabilities of the add-one unigram model and
     of the hidden Markov model."""
     spark = documents.sparkSession
-    vocabulary = count_words(documents.where("not held_out"), head, emitted)
+    vocabulary = count_words(documents.where("not held_out"), emitted)
     blocks, slots = encode(documents, vocabulary)
     model, counts, of_state = train(blocks, slots, vocabulary, states, rounds)
     v, names = vocabulary, [f"h{k}" for k in range(states)]
