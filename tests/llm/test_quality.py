@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from vidtrend.llm import quality, queries
@@ -10,7 +11,9 @@ from vidtrend.llm import quality, queries
 SF = "/root/testdata/sf0.01"
 
 
-def test_mean_vectors_equal_the_features_one_by_one():
+@pytest.mark.parametrize("slice_tokens", [quality.SLICE_TOKENS, 1, 7])
+def test_mean_vectors_equal_the_features_one_by_one(monkeypatch, slice_tokens):
+    monkeypatch.setattr(quality, "SLICE_TOKENS", slice_tokens)
     rng = np.random.default_rng(1)
     vectors = rng.standard_normal((512, 8)).astype(np.float32)
     texts = ["a b a", "", None, "one", "Éa Éa Éa", "x" * 5000, " ".join(map(str, range(3000)))]

@@ -102,8 +102,7 @@ def features(text: str | None, buckets: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def mean_vectors(texts: list[str | None], vectors: np.ndarray) -> np.ndarray:
-    """The mean feature vector of each text, in slices of bounded size; a text longer
-    than a slice is cut there, and has no pair across the cut."""
+    """The mean feature vector of each text, in slices of bounded size."""
     buckets, dim = vectors.shape
     sums, counts = np.zeros((len(texts), dim), np.float64), np.zeros(len(texts))
     words: list[str] = []
@@ -133,6 +132,10 @@ def mean_vectors(texts: list[str | None], vectors: np.ndarray) -> np.ndarray:
         own = (text or "").split()
         for at in range(0, len(own), SLICE_TOKENS):
             part = own[at:at + SLICE_TOKENS]
+            if at:  # the pair across the cut
+                edge = _gram_hashes(own[at - 1:at + 1], buckets)[0]
+                sums[k] += vectors[_pairs(edge, buckets)[0]]
+                counts[k] += 1
             words.extend(part)
             spans.append((k, len(part)))
             if len(words) >= SLICE_TOKENS:
