@@ -15,9 +15,9 @@ from vidtrend.operators.rollup import count_by, totals_by
 from vidtrend.plans import model, programs
 from vidtrend.plans.oracle import CATEGORY_REGION, ORACLE_SQL
 from vidtrend.schema import DICTIONARY_SCHEMA, SNAPSHOT_COLUMNS, STATS
-from vidtrend.session import shared_path
 from vidtrend.sources.categories import categories_from_documents
 from vidtrend.sources.reports import parse_report_lines, read_report_head
+from vidtrend.sources.shared import shared_path
 from vidtrend.sources.sinks import to_tsv_lines, write_bucketed_stage, write_report
 from vidtrend.sources.snapshots import (
     decode_lines, parse_snapshot_lines, read_snapshots, region_from_file_name, union_snapshots,
