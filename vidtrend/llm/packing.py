@@ -152,9 +152,12 @@ def pack(documents: DataFrame, tokenizer: str, end_id: int = 2, window: int = 40
     own = held.groupBy("source", "over").agg(F.sum("held").cast("double").alias("weight"))
     share = (own.join(own.groupBy("over").agg(F.sum("weight").alias("every")), "over")
              .select("source", "over", (F.col("weight") / F.col("every")).alias("share")))
-    by_lane = held.groupBy("lane", "over").agg(F.sum("held").alias("tokens"))
-    by_lane = _earlier(by_lane, {"before": F.col("tokens")}, ["over"]).select("lane", "over", "tokens", "before")
-    by_lane = _earlier(by_lane, {"first": _sequences(F.col("tokens"), window)}, []).select("lane", "before", "first")
+    by_lane = (held.groupBy("lane", "over").agg(F.sum("held").alias("tokens"))
+               .withColumn("sequences", _sequences(F.col("tokens"), window)))
+    # sequences of the mixture come first
+    mixture = by_lane.where("over = 0").agg(F.sum("sequences")).first()[0] if targets else 0
+    by_lane = (_earlier(by_lane, {"before": F.col("tokens"), "first": F.col("sequences")}, ["over"])
+               .select("lane", "before", (F.col("first") + F.col("over") * F.lit(mixture or 0)).alias("first")))
     starts = (_earlier(held, {"served": F.col("held")}, ["over", "source"])
               .join(share, ["source", "over"]).join(by_lane, "lane")
               .select("lane", "source", "share", "first",
