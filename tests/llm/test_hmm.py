@@ -149,3 +149,44 @@ def test_most_frequent_words(spark):
     for count in (0, 1, 40, 299, 300, 400):
         assert [(bytes(r.word), r.n) for r in hmm.most_frequent(table, count)] == want[:count]
     assert hmm.most_frequent(table.limit(0), 5) == []
+
+
+def test_blocks_stay_where_they_are_and_only_counts_move(spark, capsys):
+    rows = [(k, f"a b c{k} a", k % 3 == 0) for k in range(30)]
+    hmm.score(spark.createDataFrame(rows, "doc_id long, text string, held_out boolean"), emitted=2, states=2, rounds=3).explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning(block") == 1  # of the counts; that of the texts' blocks is gone
+
+
+def test_scores_do_not_depend_on_the_blocks(spark, monkeypatch):
+    rows = [(k, " ".join(f"w{(k * 7 + j * j) % 90} the" for j in range(5 + k % 40)) if k % 11 else None, k % 5 == 0) for k in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean").repartition(3)
+    monkeypatch.setattr(hmm, "PART", 300)
+    found = []
+    for size in (1 << 20, 1 << 11):
+        monkeypatch.setattr(hmm, "BLOCK_BYTES", size)
+        assert hmm.blocks_of(docs).select("block").distinct().count() == (1 if size == 1 << 20 else 3)
+        found.append({r.doc_id: r for r in hmm.score(docs, emitted=20, states=3, rounds=4).collect()})
+    one, many = found
+    assert len(one) == len(many) == 120
+    for k, r in one.items():
+        assert r[:5] == many[k][:5] and math.isclose(r.base_score, many[k].base_score, rel_tol=1e-9)
+        assert math.isclose(r.score, many[k].score, rel_tol=2e-3)
+
+
+def test_words_in_a_row_are_the_words_of_each_text():
+    import pyarrow as pa
+
+    texts = ["A  b\tÉCOLE\x0b c\n", None, "", " \t\r\n", "x\x1cy\xa0z w \x0c Q", "a"]
+    words, count = hmm.split_words(pa.array(["skipped", *texts]).slice(1))
+    assert words.to_pylist() == [w for t in texts for w in hmm.words_of(t)]
+    assert count.tolist() == [len(hmm.words_of(t)) for t in texts]
+
+
+def test_packed_numbers_and_shares_come_back():
+    rng = np.random.default_rng(3)
+    codes = np.array([0, 1, 255, 256, 70_000, 2**32 - 1], dtype=np.uint32)
+    assert (hmm.numbers(hmm.planes(codes)) == codes).all() and len(hmm.numbers(hmm.planes(codes[:0]))) == 0
+    share = rng.dirichlet(np.ones(8), 50)
+    got = hmm.shares(hmm.halves(share), 50, 8)
+    assert np.allclose(got, share, atol=1e-3) and np.allclose(got.sum(1), 1, atol=1e-12)
+    assert hmm.shares(hmm.halves(np.ones((3, 1))), 3, 1).tolist() == [[1.0]] * 3

@@ -1,13 +1,17 @@
 """Hidden Markov language model, trained by Baum-Welch over the whole corpus.
 
+Texts are turned into large blocks of word numbers once, in buckets that no later
+step moves.  A block's words are dealt by hash into places, where the words of all
+blocks meet; what a block and a place tell each other is one row of packed numbers.
+
 Words are counted over all training documents.  The ``emitted`` most frequent are
 symbols of their own, known to every task; every other word is emitted as the symbol
 of its class (by its ending) and then, within the class, by the state's own
 probability of the word.  That comes from the expected (word, state) counts of every
-training word: a table as long as the vocabulary, summed over all tasks by a shuffle
-and joined back to the blocks of documents that hold the word.  A prior of ``PRIOR``
-words leads it to the word's smoothed share of the class's counts, so every word has
-a probability.  Baum-Welch runs over all training documents: each task adds the
+training word, summed in the word's place over all blocks and sent back to those that
+hold the word.  They travel as shares of the word's count in half precision; what a
+class's words have is added up from the same shares.  A prior of ``PRIOR`` words leads
+it to the word's smoothed share of the class's counts, so every word has a probability.  Baum-Welch runs over all training documents: each task adds the
 expected counts of its rows, and the sums over all tasks make the next parameters.
 The first rounds have the words of a class tied to their shares, the last ``own``
 rounds gather every word's counts.  A document's score is the scaled forward
@@ -23,23 +27,29 @@ one by one, so repeated rows and ids repeat.  Extra columns are ignored.
 
 from __future__ import annotations
 
+import uuid
 import zlib
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vidtrend.llm.common import keep, small_batches
+from vidtrend.llm.common import keep, shared_path, small_batches
 
 CLASSES = 256
 RUN = 256
-#: Tokens of a block of documents, which a task works on at once.
-CHUNK = 1_000_000
+#: Text of a block of documents, which a task works on: about five million words, by parts.
+BLOCK_BYTES = 32 << 20
+#: Tokens that are walked at once.
+PART = 1_000_000
+#: Slices of the expected counts of symbols and moves, each summed by itself.
+HEAD_PARTS = 64
 PRIOR = 4.0
-DISTINCT = 120_000
+BLOCKS = ("block long, part int, doc_ids array<string>, held_out array<boolean>, sizes array<int>, codes binary, "
+          "place int, words binary, counts binary")
+PARTS = "block long, place int, ids binary, counts binary, classes binary, shares binary"
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -51,16 +61,10 @@ def word_class(word: bytes) -> int:
     return zlib.crc32(word[-3:]) % CLASSES
 
 
-def class_of(word: str) -> Column:
-    """As ``word_class``."""
-    return (F.crc32(F.substring(word, -3, 3)) % CLASSES).cast("int")
-
-
 @dataclass(frozen=True)
 class Vocabulary:
-    """Counts of the corpus: ``table`` (word, n, id) of every training word, and what every task needs."""
+    """Counts of the corpus that every task needs."""
 
-    table: DataFrame
     head: list[bytes]
     head_count: np.ndarray
     emitted: int
@@ -89,78 +93,202 @@ def most_frequent(table: DataFrame, count: int) -> list:
     return table.where(F.col("step") >= least).orderBy(F.desc("n"), "word").limit(count).collect()
 
 
-def count_words(documents: DataFrame, emitted: int = 1 << 13) -> Vocabulary:
-    """Count the words of ``documents``; every task adds up its own before the shuffle."""
-    small_batches(documents.sparkSession, 250)
+def planes(codes: np.ndarray) -> bytes:
+    """Unsigned 32-bit numbers, byte by byte: first all lowest bytes; small numbers compress well so."""
+    return np.ascontiguousarray(codes.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def numbers(data: bytes) -> np.ndarray:
+    """The numbers of ``planes``."""
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
+def split_words(texts) -> tuple:
+    """The words of an Arrow array of texts, as ``words_of`` has them, in a row; and how many each text has."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.cast(pa.string()).fill_null("")))
+    words = lists.flatten().cast(pa.binary())
+    real = pc.greater(pc.binary_length(words), 0)
+    before = np.concatenate(([0], np.cumsum(real.to_numpy(zero_copy_only=False))))
+    ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False).astype(np.int64))
+    return words.filter(real), np.diff(before[np.concatenate(([0], ends))])
+
+
+def parts_of(ends: np.ndarray) -> list[tuple[int, int]]:
+    """Texts that end so, in parts of about ``PART`` tokens: the first of each and the first behind it."""
+    cuts = [0, *(np.flatnonzero(np.diff(ends // PART)) + 1).tolist(), len(ends)]
+    return list(zip(cuts, cuts[1:]))
+
+
+def block_rows(number: int, batches: list, places: int):
+    """A block's rows of ``blocks_of``."""
+    import pyarrow as pa
+
+    dictionaries, indices, sizes = [], [], []
+    for batch in batches:
+        words, count = split_words(batch.column("text"))
+        coded = words.dictionary_encode()
+        dictionaries.append(coded.dictionary)
+        indices.append(coded.indices.to_numpy(zero_copy_only=False))
+        sizes.append(count + 1)
+    every = pa.concat_arrays(dictionaries).dictionary_encode()
+    of, at = every.indices.to_numpy(zero_copy_only=False), 0
+    for k, d in enumerate(dictionaries):
+        indices[k], at = of[at:at + len(d)][indices[k]], at + len(d)
+    codes, sizes = np.concatenate(indices), np.concatenate(sizes)
+    # the most frequent words first; number 0 is the end of a text
+    order = np.argsort(-np.bincount(codes, minlength=len(every.dictionary)), kind="stable")
+    rank = np.empty(len(order), np.uint32)
+    rank[order] = np.arange(1, len(order) + 1)
+    stops = np.cumsum(sizes)
+    codes = np.insert(rank[codes], stops - np.arange(1, len(sizes) + 1), 0)
+    words = every.dictionary.take(pa.array(order)).to_pylist()
+    doc_ids = [i for b in batches for i in b.column("doc_id").to_pylist()]
+    held_out = [h for b in batches for h in b.column("held_out").to_pylist()]
+    learned = np.repeat([h is not None and not h for h in held_out], sizes)
+    counts = np.bincount(codes[learned], minlength=len(words) + 1)[1:]
+    place = np.array([zlib.crc32(w) % places for w in words], dtype=np.int64)
+    for k, (i, j) in enumerate(parts_of(stops)):
+        part = codes[stops[i] - sizes[i]:stops[j - 1]]
+        yield [number, k, doc_ids[i:j], held_out[i:j], sizes[i:j].tolist(), planes(part), -1, b"", b""]
+    sorted_by = np.argsort(place, kind="stable")
+    ends = np.cumsum(np.bincount(place, minlength=places))
+    for p, (i, j) in enumerate(zip([0, *ends], ends)):
+        if i < j:
+            own = sorted_by[i:j]
+            yield [number, -1, [], [], [], planes(own), p, b" ".join([words[c] for c in own]), planes(counts[own])]
+
+
+def blocks_of(documents: DataFrame) -> DataFrame:
+    """Blocks of about ``BLOCK_BYTES`` of text, written in buckets of whole blocks.  Rows of
+    texts (block, part from 0, doc_ids, held_out, sizes, codes): the words as numbers from 1
+    in the block, 0 for the end of a text.  Rows of the block's words by the hash of the word
+    (block, part -1, codes, place, words, counts): the words less 1, how often each is learned from."""
+    spark = documents.sparkSession
+    small_batches(spark, 250)
+    size = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    parts = max(1, -(-size // BLOCK_BYTES))
+    places = 2 * parts
 
-    def count(batches):
-        seen: Counter[bytes] = Counter()
+    def run(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        number, waiting, held = TaskContext.get().partitionId() << 32, [], 0
+        names = ["block", "part", "doc_ids", "held_out", "sizes", "codes", "place", "words", "counts"]
+        kinds = [pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.int32(),
+                 pa.binary(), pa.binary()]
+
+        def done():
+            for row in block_rows(number, waiting, places):
+                yield pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds)], names=names)
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            waiting.append(batch)
+            held += batch.column("text").nbytes
+            if held >= 1.5 * BLOCK_BYTES:
+                yield from done()
+                number, waiting, held = number + 1, [], 0
+        if waiting:
+            yield from done()
+        pa.default_memory_pool().release_unused()
+
+    # ids pass through as text; few large blocks, as a word is sent once for each block that has it
+    coded = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "held_out", "text").coalesce(parts).mapInArrow(run, BLOCKS)
+    name = f"hmm_blocks_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    (coded.write.bucketBy(buckets, "block").option("compression", "zstd")
+     .option("path", shared_path(spark, "blocks")).saveAsTable(name))
+    blocks = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the entry; the files stay
+    return blocks
+
+
+def slots_of(blocks: DataFrame, emitted: int) -> DataFrame:
+    """The training counts of all words, added up over the blocks.  Rows (block, place, ids, n):
+    for a block's words of a place, in their order there, the word's number in the place and its
+    count.  And one row of each place for block -1: its ``emitted`` most frequent words with
+    their counts, and (classes) the sums of counts and of words by class."""
+
+    def add(rows: pd.DataFrame) -> pd.DataFrame:
+        import pyarrow as pa
+
+        rows = rows.sort_values("block")
+        lists = [x.split(b" ") for x in rows["words"]]
+        coded = pa.array([w for x in lists for w in x], pa.binary()).dictionary_encode()
+        ids, words = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+        n = np.bincount(ids, np.concatenate([numbers(x) for x in rows["counts"]]), len(words)).astype(np.int64)
+        place, out, at = int(rows["place"].iloc[0]), [], 0
+        for block, x in zip(rows["block"], lists):
+            own = ids[at:at + len(x)]
+            at += len(x)
+            out.append([block, place, planes(own), n[own].tobytes(), b"", b""])
+        seen = np.flatnonzero(n)
+        k = np.array([word_class(words[w]) for w in seen], dtype=np.int64)
+        sums = np.stack((np.bincount(k, n[seen], CLASSES), np.bincount(k, minlength=CLASSES))).astype(np.int64)
+        if 0 < emitted < len(seen):
+            seen = seen[n[seen] >= np.partition(n[seen], -emitted)[-emitted]]
+        top = sorted(seen.tolist(), key=lambda w: (-n[w], words[w]))[:emitted]
+        out.append([-1, place, b"", n[top].tobytes(), b" ".join([words[w] for w in top]), sums.tobytes()])
+        return pd.DataFrame(out, columns=["block", "place", "ids", "n", "words", "classes"])
+
+    words = blocks.where("part = -1").select("block", "place", "words", "counts")
+    return keep(words.groupBy("place").applyInPandas(add, "block long, place int, ids binary, n binary, words binary, classes binary"), "slots")
+
+
+def vocabulary_of(slots: DataFrame, ends: int, emitted: int) -> Vocabulary:
+    """The counts of the corpus, with ``ends`` texts, from ``slots_of``."""
+    places = slots.where("block = -1")
+
+    def tops(batches):
+        for pdf in batches:
+            for words, n in zip(pdf["words"], pdf["n"]):
+                n = np.frombuffer(n, np.int64)
+                yield pd.DataFrame({"word": words.split(b" ")[:len(n)], "n": n})
+
+    def by_class(batches):
+        total = np.zeros((2, CLASSES), dtype=np.int64)
         for pdf in batches:
-            for text in pdf["text"]:
-                seen.update(words_of(text))
-            if len(seen) > DISTINCT:  # a task's counts stay small, whatever its share of the corpus
-                yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
-                seen.clear()
-        yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
-
-    parts = documents.select("text").mapInPandas(count, "word binary, n long")
-    table = keep(parts.groupBy("word").agg(F.sum("n").alias("n")).withColumn("id", F.monotonically_increasing_id()), "words")
-    ends = documents.count()
+            for x in pdf["classes"]:
+                total += np.frombuffer(x, np.int64).reshape(2, CLASSES)
+        yield pd.DataFrame({"class": np.arange(CLASSES), "n": total[0], "size": total[1]})
+
+    table = places.select("words", "n").mapInPandas(tops, "word binary, n long")
     top = most_frequent(table, emitted)
     names = [bytes(r.word) for r in top]
     counts = np.array([r.n for r in top], dtype=np.int64)
     emitted = min(emitted, len(names))
-
     of_class, size = np.zeros(CLASSES, dtype=np.int64), np.zeros(CLASSES, dtype=np.int64)
-    by_class = table.groupBy(class_of("word").alias("class")).agg(F.sum("n").alias("n"), F.count("*").alias("size"))
-    for r in by_class.collect():
+    sums = places.select("classes").mapInPandas(by_class, "class int, n long, size long")
+    for r in sums.groupBy("class").agg(F.sum("n").alias("n"), F.sum("size").alias("size")).collect():
         of_class[r["class"]], size[r["class"]] = r.n, r["size"]
     tokens, distinct = int(of_class.sum()) + ends, int(size.sum()) + (ends > 0)
     for word, n in zip(names[:emitted], counts):  # emitted words are not in their class
         of_class[word_class(word)] -= n
         size[word_class(word)] -= 1
-    return Vocabulary(table, names, counts, emitted, of_class, size, ends, tokens, distinct)
+    return Vocabulary(names, counts, emitted, of_class, size, ends, tokens, distinct)
 
 
-def encode(documents: DataFrame, vocabulary: Vocabulary) -> tuple[DataFrame, DataFrame]:
-    """Blocks of about ``CHUNK`` tokens, held-out documents apart: (block, held_out, doc_ids,
-    sizes, symbols, classes), and their other words: (block, held_out, slot, class, id, n).  The
-    symbol of a block's word outside the emitted ones is the number of symbols plus its slot."""
-    v, spark = vocabulary, documents.sparkSession
-    small_batches(spark, 250)
-    shared = spark.sparkContext.broadcast((v.head[:v.emitted], v.emitted))
+def with_columns(documents: DataFrame) -> DataFrame:
+    """(doc_id, text, held_out); without ``held_out`` all are learned from."""
+    missing = {c: v for c, v in (("doc_id", F.lit(None).cast("long")), ("held_out", F.lit(False))) if c not in documents.columns}
+    return documents.withColumns(missing).select("doc_id", "text", "held_out")
 
-    def run(batches):
-        head, emitted = shared.value
-        rank, filled, tokens = {w: k for k, w in enumerate(head)}, {}, {}
-        names = ["held_out", "doc_ids", "sizes", "symbols", "classes", "words"]
 
-        def frame(held_out):
-            ids, texts, places = filled.pop(held_out)
-            words = list(places)[emitted:]
-            classes = np.array([word_class(w) for w in words], dtype=np.uint8).tobytes()
-            return pd.DataFrame([[held_out, ids, [len(t) for t in texts], np.concatenate(texts).tobytes(), classes, words]], columns=names)
+def count_words(documents: DataFrame, emitted: int = 1 << 13) -> Vocabulary:
+    """Count the words of ``documents`` that are learned from."""
+    documents = with_columns(documents)
+    return vocabulary_of(slots_of(blocks_of(documents), emitted), documents.where("not held_out").count(), emitted)
+
 
-        for pdf in batches:
-            for doc_id, held_out, text in zip(pdf["doc_id"], pdf["held_out"], pdf["text"]):
-                ids, texts, places = filled.setdefault(held_out, ([], [], dict(rank)))
-                symbols = [places.setdefault(w, len(places) + CLASSES + 1) for w in words_of(text)]
-                ids.append(doc_id)
-                texts.append(np.array([*symbols, emitted + CLASSES], dtype="<u4"))
-                tokens[held_out] = tokens.get(held_out, 0) + len(symbols) + 1
-                if tokens[held_out] >= CHUNK:
-                    tokens[held_out] = 0
-                    yield frame(held_out)
-        for held_out in list(filled):
-            yield frame(held_out)
-
-    # ids pass through pandas as text: a column of longs with a null would become floats
-    coded = documents.select(F.col("doc_id").cast("string").alias("doc_id"), "held_out", "text").mapInPandas(
-        run, "held_out boolean, doc_ids array<string>, sizes array<int>, symbols binary, classes binary, words array<binary>")
-    blocks = keep(coded.withColumn("block", F.monotonically_increasing_id()), "blocks")
-    slots = blocks.select("block", "held_out", F.posexplode("words").alias("slot", "word")).join(v.table, "word", "left")
-    slots = slots.select("block", "held_out", "slot", class_of("word").alias("class"), "id", F.coalesce("n", F.lit(0)).alias("n"))
-    return blocks.drop("words"), keep(slots, "slots")
+def encode(documents: DataFrame, vocabulary: Vocabulary) -> tuple[DataFrame, DataFrame]:
+    """``blocks_of`` and ``slots_of`` the documents of which ``vocabulary`` has the counts."""
+    blocks = blocks_of(with_columns(documents))
+    return blocks, slots_of(blocks, vocabulary.emitted).where("block >= 0").select("block", "place", "ids", "n")
 
 
 @dataclass(frozen=True)
@@ -273,70 +401,166 @@ def with_words(model: Hmm, classes: np.ndarray, within: np.ndarray) -> Hmm:
     return Hmm(model.start, model.later, model.move, np.concatenate((model.emit, model.emit[first + classes] * within)))
 
 
-def with_counts(slots: DataFrame, counts: DataFrame | None, names: list[str]) -> DataFrame:
-    if counts is None:
-        return slots.select("*", *[F.lit(None).cast("float").alias(c) for c in names])
-    return slots.join(counts.where("key >= 0").select(F.col("key").alias("id"), *names), "id", "left")
-
-
-def in_order(block: pd.DataFrame, slots: pd.DataFrame) -> tuple:
-    return next(block.itertuples(index=False)), slots.sort_values("slot")
+@dataclass(frozen=True)
+class Block:
+    """A block with its texts' words as symbols.  ``own``: its words outside the emitted ones by
+    place, their symbols follow all others in this order; ``classes`` and ``counts`` are theirs,
+    ``ranks`` (place, and which of the place's words these are) say where to find them."""
+
+    doc_ids: list
+    held_out: list
+    sizes: np.ndarray
+    symbols: np.ndarray
+    classes: np.ndarray
+    counts: np.ndarray
+    ranks: list[tuple[int, np.ndarray]]
+
+
+def read_block(rows: pd.DataFrame, head: dict[bytes, int], tied: bool = False) -> Block:
+    """The block of its rows; ``tied``: words outside the emitted ones are their class's symbol."""
+    rows, emitted = rows.sort_values(["part", "place"]), len(head)
+    texts, words = rows[rows["part"] >= 0], rows[rows["part"] < 0]
+    symbol = np.zeros(1 + sum(len(x) // 4 for x in words["codes"]), dtype=np.uint32)
+    symbol[0] = emitted + CLASSES
+    classes, counts, ranks, own = [], [], [], 0
+    for place, codes, names, n in zip(words["place"], words["codes"], words["words"], words["counts"]):
+        names, codes = names.split(b" "), numbers(codes)
+        found = np.fromiter((head.get(w, -1) for w in names), np.int64, len(names))
+        rest = np.flatnonzero(found < 0)
+        kind = np.fromiter((word_class(names[k]) for k in rest), np.int64, len(rest))
+        symbol[codes + 1] = found
+        symbol[codes[rest] + 1] = emitted + kind if tied else emitted + CLASSES + 1 + own + np.arange(len(rest))
+        own += len(rest)
+        classes.append(kind)
+        counts.append(numbers(n)[rest])
+        ranks.append((int(place), rest))
+    join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    return Block([i for x in texts["doc_ids"] for i in x], [h for x in texts["held_out"] for h in x],
+                 np.concatenate([np.asarray(x, dtype=np.int64) for x in texts["sizes"]]),
+                 np.concatenate([symbol[numbers(x)] for x in texts["codes"]]), join(classes), join(counts), ranks)
+
+
+def halves(share: np.ndarray) -> bytes:
+    """Shares of the states but the last, in half precision; all of a row add up to one."""
+    return share[:, :-1].astype("<f2").tobytes()
+
+
+def shares(data: bytes, words: int, states: int) -> np.ndarray:
+    """The shares of ``halves``."""
+    first = np.frombuffer(data, "<f2").reshape(words, states - 1).astype(float)
+    return np.concatenate((first, np.maximum(0.0, 1.0 - first.sum(1, keepdims=True))), axis=1)
+
+
+def known_words(block: Block, found: pd.DataFrame, states: int) -> tuple[pd.DataFrame, list[np.ndarray]]:
+    """The block's own words (class, n, h0, ...), and their numbers in each place: from its
+    rows of ``slots_of`` and, where there are any, of the counts by state."""
+    ids = {r.place: (numbers(r.ids), np.frombuffer(r.n, np.int64)) for r in found.itertuples(index=False) if r.ids is not None}
+    by_state = {r.place: r.shares for r in found.itertuples(index=False) if r.ids is None}
+    number, n = [ids[p][0][k] for p, k in block.ranks], [ids[p][1][k] for p, k in block.ranks]
+    n = np.concatenate(n) if n else np.zeros(0, np.int64)
+    words = pd.DataFrame({"class": block.classes, "n": n})
+    own = np.zeros((len(n), states))
+    if by_state:
+        own = n[:, None] * np.concatenate([shares(by_state[p], len(k), states) for p, k in block.ranks])
+    return words.assign(**{f"h{k}": own[:, k] for k in range(states)}), number
+
+
+def with_counts(slots: DataFrame, counts: DataFrame | None) -> DataFrame:
+    """The rows of both, for the blocks they belong to."""
+    none = F.lit(None).cast("binary")
+    slots = slots.select("block", "place", "ids", "n", none.alias("shares"))
+    return slots if counts is None else slots.unionByName(counts.select("block", "place", none.alias("ids"), none.alias("n"), "shares"))
+
+
+def learned_runs(block: Block):
+    """The runs of a block's texts that are not held out, about ``PART`` tokens at a time; see ``runs_of``."""
+    ends = np.cumsum(block.sizes)
+    learned = np.array([h is not None and not h for h in block.held_out], dtype=bool)
+    for i, j in parts_of(ends):
+        own = np.arange(i, j)[learned[i:j]]
+        if len(own):
+            texts = np.concatenate([block.symbols[ends[k] - block.sizes[k]:ends[k]] for k in own])
+            yield runs_of(texts, block.sizes[own].tolist())
 
 
 def train(blocks: DataFrame, slots: DataFrame, vocabulary: Vocabulary, states: int = 8, rounds: int = 6, own: int = 2,
           seed: int = 5) -> tuple[Hmm, DataFrame | None, np.ndarray]:
-    """Baum-Welch over all blocks that are not held out: the model, the expected counts of all
-    other words (key, h0, ...), and those of the classes."""
+    """Baum-Welch over all texts that are not held out: the model, the expected counts of all
+    other words (block, place, shares: see ``halves``), and those of the classes."""
     unigram = vocabulary.unigram()
     model, symbols, emitted = initial(unigram, states, seed), len(unigram), vocabulary.emitted
     spark = blocks.sparkSession
     small_batches(spark, 10_000)
-    rows, words = blocks.where("not held_out").select("block", "sizes", "symbols", "classes"), slots.where("not held_out").drop("held_out")
     names = [f"h{k}" for k in range(states)]
+    rows, cut = symbols + states + 2, -(-(symbols + states + 2) // HEAD_PARTS)
     counts, of_state = None, np.zeros((CLASSES, states))
     for turn in range(rounds):
-        shared = spark.sparkContext.broadcast((model.start, model.later, model.move, model.emit, of_state, vocabulary.class_count, vocabulary.class_size))
-
-        def tied(batches, shared=shared):
-            model, total = Hmm(*shared.value[:4]), np.zeros((symbols + states + 2, states))
-            for pdf in batches:
-                for row in pdf.itertuples(index=False):
-                    flat, classes = np.frombuffer(row.symbols, "<u4"), np.frombuffer(row.classes, np.uint8)
-                    flat = np.concatenate((np.arange(symbols), emitted + classes.astype(np.int64)))[flat]
-                    start, later, move, emit = expected_counts(model, *runs_of(flat, row.sizes))
-                    total += np.concatenate((emit, move, [start, later]))
-            some = np.flatnonzero(total.any(axis=1))
-            yield pd.DataFrame(total[some], columns=names).assign(key=-1 - some)
-
-        def each(block: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-            row, found = in_order(block, found)
-            model, classes = Hmm(*shared.value[:4]), np.frombuffer(row.classes, np.uint8).astype(np.int64)
-            model = with_words(model, classes, within_class(found, names, *shared.value[4:]))
-            start, later, move, emit = expected_counts(model, *runs_of(np.frombuffer(row.symbols, "<u4"), row.sizes))
-            word, emit = emit[symbols:], emit[:symbols]
-            np.add.at(emit, emitted + classes, word)
-            total = np.concatenate((emit, move, [start, later]))
-            some = np.flatnonzero(total.any(axis=1))
-            key = np.concatenate((-1 - some, found["id"].to_numpy(dtype=np.int64)))
-            return pd.DataFrame(np.concatenate((total[some], word)), columns=names).assign(key=key)
-
-        if turn < rounds - own:
-            parts = rows.mapInPandas(tied, ", ".join(f"{c} double" for c in names) + ", key long")
+        tied = turn < rounds - own
+        shared = spark.sparkContext.broadcast((model.start, model.later, model.move, model.emit, of_state, vocabulary.class_count,
+                                               vocabulary.class_size, vocabulary.head[:emitted]))
+
+        def step(rows_in: pd.DataFrame, found: pd.DataFrame | None, shared=shared, tied=tied) -> pd.DataFrame:
+            *values, head = shared.value
+            model, block = Hmm(*values[:4]), read_block(rows_in, {w: k for k, w in enumerate(head)}, tied)
+            if not tied:
+                words, ids = known_words(block, found, states)
+                model = with_words(model, block.classes, within_class(words, names, *values[4:]))
+            total, emits = np.zeros((rows, states)), np.zeros((len(model.emit), states))
+            for texts, first in learned_runs(block):
+                start, later, move, emit = expected_counts(model, texts, first)
+                emits += emit
+                total[symbols:] += np.concatenate((move, [start, later]))
+            word = emits[symbols:]
+            total[:symbols] = emits[:symbols]
+            np.add.at(total, emitted + block.classes[:len(word)], word)
+            number = int(rows_in["block"].iloc[0])
+            out = [[number, -1 - k, b"", b"", b"", total[k * cut:(k + 1) * cut].tobytes()] for k in range(HEAD_PARTS) if k * cut < rows]
+            at = 0
+            for (place, k), own_ids in zip(block.ranks, [] if tied else ids):
+                part = slice(at, at + len(k))
+                at += len(k)
+                share = word[part] / np.maximum(word[part].sum(1, keepdims=True), 1e-30)
+                out.append([number, place, planes(own_ids), planes(block.counts[part]), block.classes[part].astype(np.uint8).tobytes(), halves(share)])
+            return pd.DataFrame(out, columns=["block", "place", "ids", "counts", "classes", "shares"])
+
+        def add(got: pd.DataFrame) -> pd.DataFrame:
+            place, got = int(got["place"].iloc[0]), got.sort_values("block")
+            if place < 0:
+                total = np.sum([np.frombuffer(x) for x in got["shares"]], axis=0)
+                return pd.DataFrame([[-1, place, total.tobytes()]], columns=["block", "place", "shares"])
+            ids, n = [numbers(x) for x in got["ids"]], np.concatenate([numbers(x) for x in got["counts"]]).astype(float)
+            every, part = np.concatenate(ids), np.concatenate([shares(x, len(i), states) for x, i in zip(got["shares"], ids)])
+            size = int(every.max()) + 1 if len(every) else 0
+            of = np.zeros(size)
+            np.add.at(of, every, n)
+            total = np.stack([np.bincount(every, part[:, h] * n, size) for h in range(states)], axis=1).astype(float)
+            total /= np.maximum(total.sum(1, keepdims=True), 1e-30)
+            kept = shares(halves(total), size, states) * of[:, None]  # as the blocks will read it
+            kind = np.zeros(size, dtype=np.int64)
+            kind[every] = np.concatenate([np.frombuffer(x, np.uint8) for x in got["classes"]])
+            sums = np.zeros((CLASSES, states))
+            np.add.at(sums, kind, kept)
+            out = [[b, place, halves(total[i])] for b, i in zip(got["block"], ids)]
+            return pd.DataFrame([*out, [-1, place, sums.tobytes()]], columns=["block", "place", "shares"])
+
+        by_block = blocks.groupBy("block")
+        if tied:
+            parts = by_block.applyInPandas(lambda rows_in: step(rows_in, None), PARTS)
         else:
-            both = rows.groupBy("block").cogroup(with_counts(words, counts, names).groupBy("block"))
-            parts = both.applyInPandas(each, ", ".join(f"{c} float" for c in names) + ", key long")
-        sums = parts.groupBy("key").agg(*[F.sum(c).alias(c) for c in names])
-        if turn >= rounds - own:
-            counts = sums = keep(sums.select("key", *[F.col(c).cast("float").alias(c) for c in names]), "word-states")
-        total = np.zeros((symbols + states + 2, states))
-        for r in sums.where("key < 0").collect():  # one row for each symbol and state: as many for any corpus
-            total[-1 - r.key] = [r[c] for c in names]
+            parts = by_block.cogroup(with_counts(slots, counts).groupBy("block")).applyInPandas(lambda rows_in, found: step(rows_in, found), PARTS)
+        sums = keep(parts.groupBy("place").applyInPandas(add, "block long, place int, shares binary"), "word-states")
+        found = {r.place: np.frombuffer(bytes(r.shares)) for r in sums.where("block = -1").collect()}  # model and classes: few numbers
+        if not found:
+            return model, None, of_state
+        total = np.concatenate([found[p] for p in sorted((p for p in found if p < 0), reverse=True)]).reshape(rows, states)
         if not total.any():
             return model, None, of_state
         emit = total[:symbols] + 0.01 * (unigram + 1.0)[:, None] / (unigram + 1.0).sum() * total[:symbols].sum(0)
         move, start, later = total[symbols:-2] + 0.1, total[-2] + 0.1, total[-1] + 0.1
         model = Hmm(start / start.sum(), later / later.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
-        of_state = total[emitted:emitted + CLASSES] if counts is not None else of_state
+        if not tied:
+            counts = sums.where("block >= 0")
+            of_state = sum((x.reshape(CLASSES, states) for p, x in found.items() if p >= 0), np.zeros((CLASSES, states)))
         shared.unpersist()
     return model, counts, of_state
 
@@ -347,28 +571,31 @@ def score(documents: DataFrame, emitted: int = 1 << 13, states: int = 8, rounds:
     base_score, score), the scores as log10 probabilities of the add-one unigram model and
     of the hidden Markov model."""
     spark = documents.sparkSession
-    vocabulary = count_words(documents.where("not held_out"), emitted)
-    blocks, slots = encode(documents, vocabulary)
-    model, counts, of_state = train(blocks, slots, vocabulary, states, rounds)
-    v, names = vocabulary, [f"h{k}" for k in range(states)]
+    documents = with_columns(documents)
+    blocks = blocks_of(documents)
+    every = slots_of(blocks, emitted)
+    v = vocabulary_of(every, documents.where("not held_out").count(), emitted)
+    slots = every.where("block >= 0").select("block", "place", "ids", "n")
+    model, counts, of_state = train(blocks, slots, v, states, rounds)
+    names = [f"h{k}" for k in range(states)]
     first = np.concatenate((v.head_count[:v.emitted], np.zeros(CLASSES, dtype=np.int64), [v.ends]))
-    shared = spark.sparkContext.broadcast((model.start, model.later, model.move, model.emit, of_state, v.class_count, v.class_size, first))
+    shared = spark.sparkContext.broadcast((model.start, model.later, model.move, model.emit, of_state, v.class_count, v.class_size,
+                                           v.head[:v.emitted], first))
     each = float(np.log10(v.tokens + v.distinct + 1))
 
-    def run(block: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        row, found = in_order(block, found)
-        *values, first = shared.value
-        classes = np.frombuffer(row.classes, np.uint8).astype(np.int64)
-        model = with_words(Hmm(*values[:4]), classes, within_class(found, names, *values[4:]))
-        flat, sizes = np.frombuffer(row.symbols, "<u4"), np.array(row.sizes, dtype=np.int64)
-        starts = np.cumsum(sizes) - sizes
-        n = np.concatenate((first, found["n"].to_numpy(dtype=np.int64)))
-        return pd.DataFrame({"doc_id": list(row.doc_ids), "held_out": row.held_out, "n_tokens": sizes,
-                             "n_known": np.add.reduceat((n > 0).astype(np.int64)[flat], starts),
-                             "base_score": np.add.reduceat(np.log10(n + 1.0)[flat], starts) - sizes * each,
-                             "score": log_likelihood(model, np.split(flat, starts[1:]))})
-
-    scored = blocks.groupBy("block").cogroup(with_counts(slots.drop("held_out"), counts, names).groupBy("block")).applyInPandas(
+    def run(rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+        *values, head, first = shared.value
+        block = read_block(rows, {w: k for k, w in enumerate(head)})
+        words, _ = known_words(block, found, states)
+        model = with_words(Hmm(*values[:4]), block.classes, within_class(words, names, *values[4:]))
+        starts = np.cumsum(block.sizes) - block.sizes
+        n = np.concatenate((first, words["n"].to_numpy(dtype=np.int64)))
+        return pd.DataFrame({"doc_id": block.doc_ids, "held_out": block.held_out, "n_tokens": block.sizes,
+                             "n_known": np.add.reduceat((n > 0).astype(np.int64)[block.symbols], starts),
+                             "base_score": np.add.reduceat(np.log10(n + 1.0)[block.symbols], starts) - block.sizes * each,
+                             "score": log_likelihood(model, np.split(block.symbols, starts[1:]))})
+
+    scored = blocks.groupBy("block").cogroup(with_counts(slots, counts).groupBy("block")).applyInPandas(
         run, "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "n_tokens", "n_known",
                          F.lit(v.tokens).cast("long").alias("train_tokens"), "base_score",
