@@ -118,3 +118,9 @@ def test_query_equals_brute_force(spark, tiny):
 
 def test_empty_table(empty):
     assert simhash.components(empty).count() == 0
+
+
+def test_links_take_one_python_step_a_task(spark, capsys):
+    distinct = spark.range(1000).select((F.col("id") * 7919).alias("fp"))
+    simhash.link_fingerprints(distinct).explain()
+    assert capsys.readouterr().out.count("MapInPandas") == 1  # each more would hold a worker of its own

@@ -154,22 +154,28 @@ def link_fingerprints(distinct: DataFrame, max_bits: int = 2, block_rows: int =
     blocks = min(MOST_BLOCKS, max(64, -(-distinct.count() // block_rows)))
     flip = np.int64(-(1 << 63))  # unsigned order as the order of signed numbers
 
+    def rank_of(fp: np.ndarray) -> np.ndarray:
+        return gray_rank(fp.view(np.uint64)).view(np.int64) ^ flip
+
+    # each step goes from the fingerprints on: a chain of Python steps would hold a worker of its own for
+    # every step and task, which stay and fill with what later tasks keep
     def ranks(batches):
         for pdf in batches:
-            fp = pdf["fp"].to_numpy()
-            yield pd.DataFrame({"fp": fp, "rank": gray_rank(fp.view(np.uint64)).view(np.int64) ^ flip})
+            yield pd.DataFrame({"rank": rank_of(pdf["fp"].to_numpy())})
 
-    ranked = distinct.select("fp").mapInPandas(ranks, "fp long, rank long")
+    ranked = distinct.select("fp").mapInPandas(ranks, "rank long")
     marks = F.array(*[F.lit(k / blocks) for k in range(1, blocks)])
     bounds = np.array(ranked.agg(F.percentile_approx("rank", marks, 100 * blocks)).first()[0] or [], dtype=np.int64)
 
+    def block_of(fp: np.ndarray) -> np.ndarray:
+        return np.searchsorted(bounds, rank_of(fp)).astype(np.int32)
+
     def deal(batches):
         for pdf in batches:
-            block = np.searchsorted(bounds, pdf["rank"].to_numpy())
-            yield pd.DataFrame({"fp": pdf["fp"], "block": block.astype(np.int32)})
+            yield pd.DataFrame({"fp": pdf["fp"], "block": block_of(pdf["fp"].to_numpy())})
 
-    ranked = ranked.mapInPandas(deal, "fp long, block int")
-    tops = (ranked.groupBy("block").agg(F.expr("bit_and(fp)").alias("ones"), F.expr("bit_and(~fp)").alias("zeros"))
+    dealt = distinct.select("fp").mapInPandas(deal, "fp long, block int")
+    tops = (dealt.groupBy("block").agg(F.expr("bit_and(fp)").alias("ones"), F.expr("bit_and(~fp)").alias("zeros"))
             .orderBy("block").collect())
     number = np.array([t.block for t in tops], dtype=np.int32)
     ones = np.array([t.ones for t in tops], dtype=np.int64).view(np.uint64)
@@ -180,14 +186,15 @@ def link_fingerprints(distinct: DataFrame, max_bits: int = 2, block_rows: int =
         number, bits, shared = upper.value
         tree = GrayTree(bits, shared)
         for pdf in batches:
-            fp, own = pdf["fp"].to_numpy(), pdf["block"].to_numpy()
+            fp = pdf["fp"].to_numpy()
+            own = block_of(fp)
             for q, leaf in tree.search(fp.view(np.uint64), max_bits):
                 # two blocks meet once; which of them has guests changes from pair to pair
                 to, home = number[leaf], own[q]
                 meet = (to == home) | (((to + home) % 2 == 0) == (to < home))
                 yield pd.DataFrame({"block": to[meet], "fp": fp[q[meet]], "guest": (to != home)[meet]})
 
-    sent = ranked.select("fp", "block").mapInPandas(route, "block int, fp long, guest boolean")
+    sent = distinct.select("fp").mapInPandas(route, "block int, fp long, guest boolean")
 
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
         fp = pdf["fp"].to_numpy().view(np.uint64)
