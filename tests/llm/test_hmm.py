@@ -190,3 +190,33 @@ def test_packed_numbers_and_shares_come_back():
     got = hmm.shares(hmm.halves(share), 50, 8)
     assert np.allclose(got, share, atol=1e-3) and np.allclose(got.sum(1), 1, atol=1e-12)
     assert hmm.shares(hmm.halves(np.ones((3, 1))), 3, 1).tolist() == [[1.0]] * 3
+
+
+def test_words_put_together_come_apart():
+    import pyarrow as pa
+
+    words = ["a", "bb", "été", "xyz", "\x1cq", "ab\x00c", "w" * 300]
+    words = [w.encode() for w in words]
+    found = hmm.together(pa.array(words, pa.binary()), np.array([2, 2, 6, 7]))
+    assert found == [b"a bb", b"", b" ".join(words[2:6]), words[6]]
+    again, sizes = hmm.apart([x for x in found if x])
+    assert again.to_pylist() == words and sizes == [2, 4, 1]
+    assert hmm.classes_of(again).tolist() == [hmm.word_class(w) for w in words]
+    nothing, sizes = hmm.apart([])
+    assert nothing.to_pylist() == [] and sizes == [] and len(hmm.classes_of(nothing)) == 0
+
+
+def test_a_walk_keeps_the_numbers_of_a_step_once():
+    """The expected counts held three copies of every token's states: 130 bytes a token of 8 states."""
+    import tracemalloc
+
+    rng = np.random.default_rng(6)
+    model = hmm.initial(np.ones(50), 8, 1)
+    runs = [rng.integers(0, 50, 256) for _ in range(400)]
+    tracemalloc.start()
+    try:
+        hmm.expected_counts(model, runs, np.ones(400, dtype=bool))
+        peak = tracemalloc.get_traced_memory()[1] / (400 * 256)
+    finally:
+        tracemalloc.stop()
+    assert peak < 90

@@ -116,6 +116,40 @@ def split_words(texts) -> tuple:
     return words.filter(real), np.diff(before[np.concatenate(([0], ends))])
 
 
+def together(words, ends: np.ndarray) -> list[bytes]:
+    """The words of an Arrow array, those up to each of ``ends`` in one text with spaces between them."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    starts = pa.array(np.concatenate(([0], ends)), pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(starts, words), pa.scalar(b" ", pa.binary())).to_pylist()
+
+
+def apart(texts) -> tuple:
+    """The words that ``together`` put into each of ``texts``, which are not empty, as one Arrow array; and how many each has."""
+    import pyarrow as pa
+
+    data = np.frombuffer(b" ".join(texts), np.uint8)
+    spaces = np.flatnonzero(data == ord(" "))
+    offsets = np.concatenate(([0], spaces - np.arange(len(spaces)), [len(data) - len(spaces)])).astype(np.int32)
+    count = len(offsets) - 1 if len(texts) else 0
+    words = pa.Array.from_buffers(pa.binary(), count, [None, pa.py_buffer(offsets), pa.py_buffer(data[data != ord(" ")])])
+    return words, [x.count(b" ") + 1 for x in texts]
+
+
+def classes_of(words) -> np.ndarray:
+    """``word_class`` of each word of an Arrow array; an ending is classed once."""
+    import pyarrow.compute as pc
+
+    ends = pc.binary_slice(words, -3).dictionary_encode()
+    return np.array([word_class(w) for w in ends.dictionary.to_pylist()], dtype=np.int64)[ends.indices.to_numpy(zero_copy_only=False)]
+
+
+def sums_by(numbers_in: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
+    """The rows added up by number, which is below ``size``."""
+    return np.stack([np.bincount(numbers_in, rows[:, h], size) for h in range(rows.shape[1])]).astype(float, copy=False).T
+
+
 def parts_of(ends: np.ndarray) -> list[tuple[int, int]]:
     """Texts that end so, in parts of about ``PART`` tokens: the first of each and the first behind it."""
     cuts = [0, *(np.flatnonzero(np.diff(ends // PART)) + 1).tolist(), len(ends)]
@@ -144,21 +178,22 @@ def block_rows(number: int, batches: list, places: int):
     rank[order] = np.arange(1, len(order) + 1)
     stops = np.cumsum(sizes)
     codes = np.insert(rank[codes], stops - np.arange(1, len(sizes) + 1), 0)
-    words = every.dictionary.take(pa.array(order)).to_pylist()
+    words = every.dictionary.take(pa.array(order))
     doc_ids = [i for b in batches for i in b.column("doc_id").to_pylist()]
     held_out = [h for b in batches for h in b.column("held_out").to_pylist()]
     learned = np.repeat([h is not None and not h for h in held_out], sizes)
     counts = np.bincount(codes[learned], minlength=len(words) + 1)[1:]
-    place = np.array([zlib.crc32(w) % places for w in words], dtype=np.int64)
+    named = together(words, np.array([len(words)]))[0].split(b" ") if len(words) else []
+    place = np.fromiter((zlib.crc32(w) % places for w in named), np.int64, len(words))
     for k, (i, j) in enumerate(parts_of(stops)):
         part = codes[stops[i] - sizes[i]:stops[j - 1]]
         yield [number, k, doc_ids[i:j], held_out[i:j], sizes[i:j].tolist(), planes(part), -1, b"", b""]
     sorted_by = np.argsort(place, kind="stable")
     ends = np.cumsum(np.bincount(place, minlength=places))
-    for p, (i, j) in enumerate(zip([0, *ends], ends)):
+    for p, (i, j, text) in enumerate(zip([0, *ends], ends, together(words.take(pa.array(sorted_by)), ends))):
         if i < j:
             own = sorted_by[i:j]
-            yield [number, -1, [], [], [], planes(own), p, b" ".join([words[c] for c in own]), planes(counts[own])]
+            yield [number, -1, [], [], [], planes(own), p, text, planes(counts[own])]
 
 
 def blocks_of(documents: DataFrame) -> DataFrame:
@@ -218,22 +253,22 @@ def slots_of(blocks: DataFrame, emitted: int) -> DataFrame:
         import pyarrow as pa
 
         rows = rows.sort_values("block")
-        lists = [x.split(b" ") for x in rows["words"]]
-        coded = pa.array([w for x in lists for w in x], pa.binary()).dictionary_encode()
-        ids, words = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary.to_pylist()
+        every, sizes = apart(rows["words"])
+        coded = every.dictionary_encode()
+        ids, words = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary
         n = np.bincount(ids, np.concatenate([numbers(x) for x in rows["counts"]]), len(words)).astype(np.int64)
         place, out, at = int(rows["place"].iloc[0]), [], 0
-        for block, x in zip(rows["block"], lists):
-            own = ids[at:at + len(x)]
-            at += len(x)
+        for block, size in zip(rows["block"], sizes):
+            own = ids[at:at + size]
+            at += size
             out.append([block, place, planes(own), n[own].tobytes(), b"", b""])
         seen = np.flatnonzero(n)
-        k = np.array([word_class(words[w]) for w in seen], dtype=np.int64)
+        k = classes_of(words.take(pa.array(seen)))
         sums = np.stack((np.bincount(k, n[seen], CLASSES), np.bincount(k, minlength=CLASSES))).astype(np.int64)
         if 0 < emitted < len(seen):
             seen = seen[n[seen] >= np.partition(n[seen], -emitted)[-emitted]]
-        top = sorted(seen.tolist(), key=lambda w: (-n[w], words[w]))[:emitted]
-        out.append([-1, place, b"", n[top].tobytes(), b" ".join([words[w] for w in top]), sums.tobytes()])
+        top = sorted(zip((-n[seen]).tolist(), words.take(pa.array(seen)).to_pylist()))[:emitted]
+        out.append([-1, place, b"", np.array([-c for c, _ in top], dtype=np.int64).tobytes(), b" ".join([w for _, w in top]), sums.tobytes()])
         return pd.DataFrame(out, columns=["block", "place", "ids", "n", "words", "classes"])
 
     words = blocks.where("part = -1").select("block", "place", "words", "counts")
@@ -329,43 +364,44 @@ def expected_counts(model: Hmm, runs: list[np.ndarray], first: np.ndarray):
     states, symbols = model.move.shape[0], len(model.emit)
     flat, place, alive, order = lockstep(runs)
     first = first[order]
-    emit, move = model.emit.astype(np.float32), model.move.astype(np.float32)
-    forward, scale = [], []
+    emit, move, one = model.emit.astype(np.float32), model.move.astype(np.float32), np.ones(states, dtype=np.float32)
+    # all that is kept of the steps lies in a row, step by step: take() and products with ones, as an
+    # index or a sum along an axis as short as the states costs several times as much
+    ends = np.cumsum(alive)
+    steps = [slice(end - n, end) for n, end in zip(alive, ends)]
+    token, scale, forward = np.empty(len(flat), dtype=np.intp), np.empty(len(flat), np.float32), np.empty((len(flat), states), np.float32)
     a = np.where(first[:, None], model.start, model.later).astype(np.float32)
-    for t, n in enumerate(alive):
-        a = (a[:n] if t == 0 else a[:n] @ move) * emit[flat[place[:n] + t]]
-        c = a.sum(1) + np.float32(1e-30)
+    for t, (n, step) in enumerate(zip(alive, steps)):
+        token[step] = flat[place[:n] + t]
+        a = np.multiply(a if t == 0 else a[:n] @ move, emit.take(token[step], axis=0), out=forward[step])
+        c = np.add(a @ one, np.float32(1e-30), out=scale[step])
         a /= c[:, None]
-        forward.append(a)
-        scale.append(c)
-    moves, tokens, weights = np.zeros((states, states)), [], []
+    moves = np.zeros((states, states))
     back = np.ones((alive[-1], states), dtype=np.float32)
     for t in range(len(alive) - 1, -1, -1):
-        n, symbol = alive[t], flat[place[:alive[t]] + t]
+        n, step = alive[t], steps[t]
         if len(back) < n:
             back = np.concatenate((back, np.ones((n - len(back), states), dtype=np.float32)))
-        g = forward[t] * back
-        g /= g.sum(1, keepdims=True) + np.float32(1e-30)
-        tokens.append(symbol)
-        weights.append(g)
+        g = forward[step]  # from here on the step's posterior
+        g *= back
+        g /= (g @ one + np.float32(1e-30))[:, None]
         if t:
-            ahead = emit[symbol] * back / scale[t][:, None]
-            moves += forward[t - 1][:n].T @ ahead
-            back = ahead @ move.T
-    token, weight = np.concatenate(tokens), np.concatenate(weights)
-    emits = np.stack([np.bincount(token, weight[:, h], symbols) for h in range(states)], axis=1)
-    opening = weights[-1]
-    return opening[first].sum(0), opening[~first].sum(0), moves * model.move, emits
+            back *= emit.take(token[step], axis=0)
+            back /= scale[step][:, None]
+            moves += forward[steps[t - 1]][:n].T @ back
+            back = back @ move.T
+    opening = forward[steps[0]]
+    return opening[first].sum(0), opening[~first].sum(0), moves * model.move, sums_by(token, forward, symbols)
 
 
 def log_likelihood(model: Hmm, texts: list[np.ndarray]) -> np.ndarray:
     """log10 probability of each whole text, by the scaled forward recursion."""
     flat, place, alive, order = lockstep(texts)
-    total = np.zeros(len(texts))
+    total, one = np.zeros(len(texts)), np.ones(len(model.start))
     a = np.tile(model.start, (len(texts), 1))
     for t, n in enumerate(alive):
-        a = (a[:n] if t == 0 else a[:n] @ model.move) * model.emit[flat[place[:n] + t]]
-        c = a.sum(1)
+        a = (a[:n] if t == 0 else a[:n] @ model.move) * model.emit.take(flat[place[:n] + t], axis=0)
+        c = a @ one
         a /= c[:, None]
         total[:n] += np.log10(c)
     out = np.empty(len(texts))
@@ -416,28 +452,29 @@ class Block:
     ranks: list[tuple[int, np.ndarray]]
 
 
-def read_block(rows: pd.DataFrame, head: dict[bytes, int], tied: bool = False) -> Block:
+def read_block(rows: pd.DataFrame, head: list[bytes], tied: bool = False) -> Block:
     """The block of its rows; ``tied``: words outside the emitted ones are their class's symbol."""
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
     rows, emitted = rows.sort_values(["part", "place"]), len(head)
     texts, words = rows[rows["part"] >= 0], rows[rows["part"] < 0]
-    symbol = np.zeros(1 + sum(len(x) // 4 for x in words["codes"]), dtype=np.uint32)
+    join = lambda parts, kind=np.int64: np.concatenate([np.zeros(0, kind), *parts])
+    names, sizes = apart(words["words"])
+    codes, n = (join([numbers(x) for x in words[c]]) for c in ("codes", "counts"))
+    found = pc.index_in(names, value_set=pa.array(head, pa.binary())).fill_null(-1).to_numpy(zero_copy_only=False)
+    rest = np.flatnonzero(found < 0)
+    classes = classes_of(names.take(pa.array(rest)))
+    symbol = np.zeros(1 + len(codes), dtype=np.uint32)
     symbol[0] = emitted + CLASSES
-    classes, counts, ranks, own = [], [], [], 0
-    for place, codes, names, n in zip(words["place"], words["codes"], words["words"], words["counts"]):
-        names, codes = names.split(b" "), numbers(codes)
-        found = np.fromiter((head.get(w, -1) for w in names), np.int64, len(names))
-        rest = np.flatnonzero(found < 0)
-        kind = np.fromiter((word_class(names[k]) for k in rest), np.int64, len(rest))
-        symbol[codes + 1] = found
-        symbol[codes[rest] + 1] = emitted + kind if tied else emitted + CLASSES + 1 + own + np.arange(len(rest))
-        own += len(rest)
-        classes.append(kind)
-        counts.append(numbers(n)[rest])
-        ranks.append((int(place), rest))
-    join = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    symbol[codes + 1] = found
+    symbol[codes[rest] + 1] = emitted + classes if tied else emitted + CLASSES + 1 + np.arange(len(rest))
+    ends = np.cumsum(sizes, dtype=np.int64)
+    cuts = np.searchsorted(rest, ends)
+    ranks = [(int(place), rest[i:j] - (end - size)) for place, i, j, end, size in zip(words["place"], [0, *cuts], cuts, ends, sizes)]
     return Block([i for x in texts["doc_ids"] for i in x], [h for x in texts["held_out"] for h in x],
-                 np.concatenate([np.asarray(x, dtype=np.int64) for x in texts["sizes"]]),
-                 np.concatenate([symbol[numbers(x)] for x in texts["codes"]]), join(classes), join(counts), ranks)
+                 join([np.asarray(x, dtype=np.int64) for x in texts["sizes"]]),
+                 join([symbol[numbers(x)] for x in texts["codes"]], np.uint32), classes, n[rest], ranks)
 
 
 def halves(share: np.ndarray) -> bytes:
@@ -501,18 +538,19 @@ def train(blocks: DataFrame, slots: DataFrame, vocabulary: Vocabulary, states: i
 
         def step(rows_in: pd.DataFrame, found: pd.DataFrame | None, shared=shared, tied=tied) -> pd.DataFrame:
             *values, head = shared.value
-            model, block = Hmm(*values[:4]), read_block(rows_in, {w: k for k, w in enumerate(head)}, tied)
+            model, block = Hmm(*values[:4]), read_block(rows_in, head, tied)
             if not tied:
                 words, ids = known_words(block, found, states)
                 model = with_words(model, block.classes, within_class(words, names, *values[4:]))
-            total, emits = np.zeros((rows, states)), np.zeros((len(model.emit), states))
+            total, emits = np.zeros((rows, states)), np.zeros((states, len(model.emit))).T
             for texts, first in learned_runs(block):
                 start, later, move, emit = expected_counts(model, texts, first)
                 emits += emit
                 total[symbols:] += np.concatenate((move, [start, later]))
             word = emits[symbols:]
             total[:symbols] = emits[:symbols]
-            np.add.at(total, emitted + block.classes[:len(word)], word)
+            if not tied:
+                total[emitted:emitted + CLASSES] += sums_by(block.classes, word, CLASSES)
             number = int(rows_in["block"].iloc[0])
             out = [[number, -1 - k, b"", b"", b"", total[k * cut:(k + 1) * cut].tobytes()] for k in range(HEAD_PARTS) if k * cut < rows]
             at = 0
@@ -533,13 +571,12 @@ def train(blocks: DataFrame, slots: DataFrame, vocabulary: Vocabulary, states: i
             size = int(every.max()) + 1 if len(every) else 0
             of = np.zeros(size)
             np.add.at(of, every, n)
-            total = np.stack([np.bincount(every, part[:, h] * n, size) for h in range(states)], axis=1).astype(float)
+            total = sums_by(every, part * n[:, None], size)
             total /= np.maximum(total.sum(1, keepdims=True), 1e-30)
             kept = shares(halves(total), size, states) * of[:, None]  # as the blocks will read it
             kind = np.zeros(size, dtype=np.int64)
             kind[every] = np.concatenate([np.frombuffer(x, np.uint8) for x in got["classes"]])
-            sums = np.zeros((CLASSES, states))
-            np.add.at(sums, kind, kept)
+            sums = sums_by(kind, kept, CLASSES)
             out = [[b, place, halves(total[i])] for b, i in zip(got["block"], ids)]
             return pd.DataFrame([*out, [-1, place, sums.tobytes()]], columns=["block", "place", "shares"])
 
@@ -585,7 +622,7 @@ def score(documents: DataFrame, emitted: int = 1 << 13, states: int = 8, rounds:
 
     def run(rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         *values, head, first = shared.value
-        block = read_block(rows, {w: k for k, w in enumerate(head)})
+        block = read_block(rows, head)
         words, _ = known_words(block, found, states)
         model = with_words(Hmm(*values[:4]), block.classes, within_class(words, names, *values[4:]))
         starts = np.cumsum(block.sizes) - block.sizes
