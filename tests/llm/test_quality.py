@@ -50,3 +50,24 @@ def test_edges_and_empty_tables(spark, edge, empty):
         model = quality.fit(docs, known, lambda c: F.lit(True), epochs=1)
         scores = {round(r.score, 6) for r in quality.score(edge, model).collect()}
         assert len(scores) >= 1 and all(0 <= s <= 1 for s in scores)
+
+
+def test_the_sample_is_learned_from_in_a_task_not_in_the_driver(spark, edge, monkeypatch, tmp_path):
+    import os
+
+    learned, plain = tmp_path / "learned", quality.train
+
+    def noted(rows, *rest):
+        learned.write_text(f"{os.getpid()} {len(rows)}")
+        return plain(rows, *rest)
+
+    monkeypatch.setattr(quality, "train", noted)
+    labels = spark.createDataFrame([(k, k % 2) for k in range(12)], "doc_id long, quality int")
+    model = quality.fit(edge, labels, lambda c: F.lit(True), epochs=1)
+    pid, rows = map(int, learned.read_text().split())
+    assert pid != os.getpid() and rows == 12
+    texts = {r.doc_id: r.text for r in edge.where("doc_id < 12").collect()}
+    own = [(*quality.features(texts[k], 1 << 16), k % 2) for k in range(12)]
+    here = plain(own, 1 << 16, 16, 1, 0.5, 7)
+    assert np.allclose(model.vectors, here.vectors, atol=1e-6) and np.allclose(model.layer, here.layer, atol=1e-6)
+    assert np.allclose(model.bias, here.bias, atol=1e-6)  # both labels are as frequent as in the sample

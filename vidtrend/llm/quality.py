@@ -4,7 +4,7 @@ Every word of a text has a hashed vector; so have its character n-grams and each
 pair of adjacent words.  A document is the mean of all of them, a softmax layer on
 that mean gives the probability of each label.  Vectors and layer are learned
 together by stochastic gradient descent in numpy on a bounded sample of labelled
-documents; scoring is one pass over the documents without a shuffle.
+documents, in a task of its own; scoring is one pass over the documents without a shuffle.
 
 Defined results: a null or empty text has no features and scores the learned bias
 alone; rows are scored one by one, so repeated rows and ids simply repeat; without
@@ -178,7 +178,8 @@ def fit(documents: DataFrame, labels: DataFrame, usable, max_rows: int = 3000, b
     if there are as many.  ``usable(doc_id column)`` says which ids may be learned from.
 
     The sample is the rows with the smallest hash of doc_id, so it is the same however
-    the tables are laid out.  Only its feature buckets reach the driver.
+    the tables are laid out.  Its feature buckets meet in one task, which learns from them;
+    only the model, whose size the parameters fix, reaches the driver.
     """
     spark = documents.sparkSession
     small_batches(spark)
@@ -201,13 +202,25 @@ def fit(documents: DataFrame, labels: DataFrame, usable, max_rows: int = 3000, b
                                 "ids": [i.astype(np.int32).tobytes() for i, _ in out],
                                 "part": [p.tobytes() for _, p in out]})
 
-    got = rows.mapInPandas(turn, "doc_id long, label int, ids binary, part binary").collect()
-    found = sorted(((r.doc_id, r.label, bytes(r.ids), bytes(r.part)) for r in got))
-    train_rows = [(np.frombuffer(i, np.int32), np.frombuffer(p, np.float32), y) for _, y, i, p in found if i]
+    def learn(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        release_worker_state()
+        found = sorted((i, y, ids, part) for pdf in batches for i, y, ids, part in pdf.itertuples(index=False) if ids)
+        own = [(np.frombuffer(ids, np.int32), np.frombuffer(part, np.float32), y) for _, y, ids, part in found]
+        model, seen = train(own, buckets, dim, epochs, rate, seed), np.bincount([y for *_, y in own], minlength=2)
+        yield pd.DataFrame([[x.tobytes() for x in (model.vectors, model.layer, model.bias)] + seen.tolist()],
+                           columns=["vectors", "layer", "bias", "zeros", "ones"])
+
+    # the sample meets in one task, not in the driver, which gets vectors of a fixed size only
+    found = (rows.mapInPandas(turn, "doc_id long, label int, ids binary, part binary").repartition(1)
+             .mapInPandas(learn, "vectors binary, layer binary, bias binary, zeros long, ones long").collect())
     totals = {r.label: r["count"] for r in known.groupBy("label").count().collect()}
-    model = train(train_rows, buckets, dim, epochs, rate, seed)
+    if found:
+        vectors, layer, bias = (np.frombuffer(bytes(x), np.float32) for x in found[0][:3])
+        model, seen = QualityModel(vectors.reshape(buckets, dim), layer.reshape(dim, 2), bias), found[0][3:]
+    else:  # no task at all, as there are no rows
+        model, seen = train([], buckets, dim, epochs, rate, seed), (0, 0)
     # the halves are balanced; the bias goes back to the shares of all usable labels
-    n, m = np.array([totals.get(0, 0), totals.get(1, 0)]) + 1.0, np.bincount([y for *_, y in train_rows], minlength=2) + 1.0
+    n, m = np.array([totals.get(0, 0), totals.get(1, 0)]) + 1.0, np.array(seen) + 1.0
     return QualityModel(model.vectors, model.layer, (model.bias + np.log(n / n.sum()) - np.log(m / m.sum())).astype(np.float32))
 
 
