@@ -220,3 +220,12 @@ def test_a_walk_keeps_the_numbers_of_a_step_once():
     finally:
         tracemalloc.stop()
     assert peak < 90
+
+
+def test_sums_across_are_those_of_numpy():
+    rng = np.random.default_rng(8)
+    for states, kind in itertools.product((1, 2, 3, 8), (np.float32, float)):
+        a = rng.random((500, states)).astype(kind)
+        got = hmm.across(a)
+        assert (got == a.sum(1)).all() and got.dtype == kind and not np.shares_memory(got, a)
+    assert np.allclose(hmm.across(rng.random((4, 5)) * 0 + 1), 5) and len(hmm.across(np.zeros((0, 8)))) == 0

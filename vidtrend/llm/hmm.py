@@ -358,23 +358,32 @@ def lockstep(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return np.concatenate([runs[k] for k in order]).astype(np.int32), start, alive, order
 
 
+def across(a: np.ndarray) -> np.ndarray:
+    """The sum of each row, added up column by column in pairs, as numpy adds eight: its own sum
+    along an axis as short as the states takes several times as long."""
+    columns = list(a.T)
+    while len(columns) > 1:
+        columns = [sum(columns[k + 1:k + 2], columns[k]) for k in range(0, len(columns), 2)]
+    return columns[0] if a.shape[1] > 1 else columns[0].copy()
+
+
 def expected_counts(model: Hmm, runs: list[np.ndarray], first: np.ndarray):
     """Baum-Welch sums over runs of symbols: (start, later, move, emit); ``first`` marks runs
     that start a text."""
     states, symbols = model.move.shape[0], len(model.emit)
     flat, place, alive, order = lockstep(runs)
     first = first[order]
-    emit, move, one = model.emit.astype(np.float32), model.move.astype(np.float32), np.ones(states, dtype=np.float32)
-    # all that is kept of the steps lies in a row, step by step: take() and products with ones, as an
-    # index or a sum along an axis as short as the states costs several times as much
-    ends = np.cumsum(alive)
-    steps = [slice(end - n, end) for n, end in zip(alive, ends)]
+    emit, move = model.emit.astype(np.float32), model.move.astype(np.float32)
+    # all that is kept of the steps lies in a row, the last step first; rows are picked by take(), which is
+    # several times as fast as an index
+    behind = len(flat) - np.cumsum(alive)
+    steps = [slice(at, at + n) for n, at in zip(alive, behind)]
     token, scale, forward = np.empty(len(flat), dtype=np.intp), np.empty(len(flat), np.float32), np.empty((len(flat), states), np.float32)
     a = np.where(first[:, None], model.start, model.later).astype(np.float32)
     for t, (n, step) in enumerate(zip(alive, steps)):
         token[step] = flat[place[:n] + t]
         a = np.multiply(a if t == 0 else a[:n] @ move, emit.take(token[step], axis=0), out=forward[step])
-        c = np.add(a @ one, np.float32(1e-30), out=scale[step])
+        c = np.add(across(a), np.float32(1e-30), out=scale[step])
         a /= c[:, None]
     moves = np.zeros((states, states))
     back = np.ones((alive[-1], states), dtype=np.float32)
@@ -384,7 +393,7 @@ def expected_counts(model: Hmm, runs: list[np.ndarray], first: np.ndarray):
             back = np.concatenate((back, np.ones((n - len(back), states), dtype=np.float32)))
         g = forward[step]  # from here on the step's posterior
         g *= back
-        g /= (g @ one + np.float32(1e-30))[:, None]
+        g /= (across(g) + np.float32(1e-30))[:, None]
         if t:
             back *= emit.take(token[step], axis=0)
             back /= scale[step][:, None]
@@ -397,11 +406,11 @@ def expected_counts(model: Hmm, runs: list[np.ndarray], first: np.ndarray):
 def log_likelihood(model: Hmm, texts: list[np.ndarray]) -> np.ndarray:
     """log10 probability of each whole text, by the scaled forward recursion."""
     flat, place, alive, order = lockstep(texts)
-    total, one = np.zeros(len(texts)), np.ones(len(model.start))
+    total = np.zeros(len(texts))
     a = np.tile(model.start, (len(texts), 1))
     for t, n in enumerate(alive):
         a = (a[:n] if t == 0 else a[:n] @ model.move) * model.emit.take(flat[place[:n] + t], axis=0)
-        c = a @ one
+        c = across(a)
         a /= c[:, None]
         total[:n] += np.log10(c)
     out = np.empty(len(texts))
@@ -557,7 +566,7 @@ def train(blocks: DataFrame, slots: DataFrame, vocabulary: Vocabulary, states: i
             for (place, k), own_ids in zip(block.ranks, [] if tied else ids):
                 part = slice(at, at + len(k))
                 at += len(k)
-                share = word[part] / np.maximum(word[part].sum(1, keepdims=True), 1e-30)
+                share = word[part] / np.maximum(across(word[part])[:, None], 1e-30)
                 out.append([number, place, planes(own_ids), planes(block.counts[part]), block.classes[part].astype(np.uint8).tobytes(), halves(share)])
             return pd.DataFrame(out, columns=["block", "place", "ids", "counts", "classes", "shares"])
 
@@ -572,7 +581,7 @@ def train(blocks: DataFrame, slots: DataFrame, vocabulary: Vocabulary, states: i
             of = np.zeros(size)
             np.add.at(of, every, n)
             total = sums_by(every, part * n[:, None], size)
-            total /= np.maximum(total.sum(1, keepdims=True), 1e-30)
+            total /= np.maximum(across(total)[:, None], 1e-30)
             kept = shares(halves(total), size, states) * of[:, None]  # as the blocks will read it
             kind = np.zeros(size, dtype=np.int64)
             kind[every] = np.concatenate([np.frombuffer(x, np.uint8) for x in got["classes"]])
