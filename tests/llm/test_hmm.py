@@ -229,3 +229,73 @@ def test_sums_across_are_those_of_numpy():
         got = hmm.across(a)
         assert (got == a.sum(1)).all() and got.dtype == kind and not np.shares_memory(got, a)
     assert np.allclose(hmm.across(rng.random((4, 5)) * 0 + 1), 5) and len(hmm.across(np.zeros((0, 8)))) == 0
+
+
+def block_table(texts, places=3):
+    """A block's rows as its steps get them."""
+    import pyarrow as pa
+
+    batch = pa.record_batch({"doc_id": [str(k) for k in range(len(texts))], "held_out": [k % 5 == 0 for k in range(len(texts))], "text": texts})
+    names = ["block", "part", "doc_ids", "held_out", "sizes", "codes", "place", "words", "counts"]
+    kinds = [pa.int64(), pa.int32(), pa.list_(pa.string()), pa.list_(pa.bool_()), pa.list_(pa.int32()), pa.binary(), pa.int32(), pa.binary(), pa.binary()]
+    return pa.table([pa.array(x, k) for x, k in zip(zip(*hmm.block_rows(0, [batch], places)), kinds)], names=names)
+
+
+def test_a_block_is_read_part_by_part(monkeypatch):
+    """All texts of a block were held as symbols beside their packed numbers: 8 bytes a token and more."""
+    import tracemalloc
+
+    monkeypatch.setattr(hmm, "PART", 10_000)
+    texts = [" ".join(f"w{(k + j * j) % 70}" for j in range(1000 + k)) if k else None for k in range(300)]
+    rows = block_table(texts[::-1])
+    tracemalloc.start()
+    try:
+        block = hmm.read_block(rows, [b"w3", b"w5"])
+        tokens = sum(len(symbols) for *_, symbols in block.parts())
+        peak = tracemalloc.get_traced_memory()[1] / tokens
+    finally:
+        tracemalloc.stop()
+    assert peak < 2
+    ids, held_out, sizes, symbols = (np.concatenate(x).tolist() for x in zip(*block.parts()))
+    assert ids == [str(k) for k in range(300)] and held_out == [k % 5 == 0 for k in range(300)]
+    assert sizes == [len(hmm.words_of(t)) + 1 for t in texts[::-1]]
+    words = {s: w for w, s in zip([w for t in texts[::-1] for w in [*hmm.words_of(t), None]], symbols)}
+    assert len(words) == 71 and words[0] == b"w3" and words[1] == b"w5" and words[2 + hmm.CLASSES] is None
+    assert [words[s] for s in symbols] == [w for t in texts[::-1] for w in [*hmm.words_of(t), None]]
+    runs = [(runs, first) for runs, first in hmm.learned_runs(block)]
+    want = [w for k, t in enumerate(texts[::-1]) if k % 5 for w in [*hmm.words_of(t), None]]
+    assert [words[s] for x, _ in runs for run in x for s in run] == want and sum(f.sum() for _, f in runs) == 240
+
+
+def test_own_words_take_little_besides_their_emissions(monkeypatch):
+    """The probabilities of all of a block's own words were worked out at once: over 400 bytes a word of 8 states."""
+    import tracemalloc
+
+    import pandas as pd
+
+    rng = np.random.default_rng(9)
+    monkeypatch.setattr(hmm, "WORDS", 1 << 12)
+    model, each = hmm.initial(np.ones(3 + hmm.CLASSES + 1), 8, 1), [0, 5_000, 1, 60_000, 35_000, 0, 4_000]
+    size = sum(each)
+    classes, n, share = rng.integers(0, hmm.CLASSES, size), rng.integers(0, 9, size), rng.dirichlet(np.ones(8), size)
+    ends = np.cumsum(each)
+    by_state = {p: hmm.halves(share[end - k:end]) for p, (k, end) in enumerate(zip(each, ends))}
+    block = hmm.Block([], np.zeros(1), classes, n, [(p, np.arange(k)) for p, k in enumerate(each)])
+    total, distinct = np.bincount(classes, n, hmm.CLASSES), np.bincount(classes, minlength=hmm.CLASSES)
+    of_state = rng.random((hmm.CLASSES, 8)) * total[:, None]
+    for found in (by_state, {}):
+        own = n[:, None] * np.concatenate([hmm.shares(by_state[p], k, 8) for p, k in enumerate(each)]) if found else np.zeros((size, 8))
+        words, names = pd.DataFrame(own).add_prefix("h").assign(**{"class": classes, "n": n}), [f"h{k}" for k in range(8)]
+        want = model.emit[3 + classes] * hmm.within_class(words, names, of_state, total, distinct)
+        for kind in (float, np.float32):
+            got = hmm.with_words(model, block, n, found, of_state, total, distinct, kind=kind).emit
+            assert (got[:-size] == model.emit.astype(kind)).all() and (got[-size:] == want.astype(kind)).all()
+    even = [2_080] * 50
+    tracemalloc.start()
+    try:
+        hmm.with_words(model, hmm.Block([], np.zeros(1), classes[:104_000], n[:104_000], [(p, np.arange(k)) for p, k in enumerate(even)]), n[:104_000],
+                       {p: hmm.halves(share[p * k:p * k + k]) for p, k in enumerate(even)}, of_state, total, distinct, kind=np.float32)
+        peak = tracemalloc.get_traced_memory()[1] / size
+    finally:
+        tracemalloc.stop()
+    assert peak < 120

@@ -46,6 +46,8 @@ BLOCK_BYTES = 32 << 20
 PART = 1_000_000
 #: Slices of the expected counts of symbols and moves, each summed by itself.
 HEAD_PARTS = 64
+#: A block's words whose probabilities are worked out at once.
+WORDS = 1 << 15
 PRIOR = 4.0
 BLOCKS = ("block long, part int, doc_ids array<string>, held_out array<boolean>, sizes array<int>, codes binary, "
           "place int, words binary, counts binary")
@@ -145,14 +147,17 @@ def classes_of(words) -> np.ndarray:
     return np.array([word_class(w) for w in ends.dictionary.to_pylist()], dtype=np.int64)[ends.indices.to_numpy(zero_copy_only=False)]
 
 
-def sums_by(numbers_in: np.ndarray, rows: np.ndarray, size: int) -> np.ndarray:
-    """The rows added up by number, which is below ``size``."""
-    return np.stack([np.bincount(numbers_in, rows[:, h], size) for h in range(rows.shape[1])]).astype(float, copy=False).T
+def sums_by(numbers_in: np.ndarray, rows: np.ndarray, size: int, onto: np.ndarray | None = None) -> np.ndarray:
+    """The rows added up by number, which is below ``size``; with ``onto``, added to what that has."""
+    total = np.zeros((rows.shape[1], size)).T if onto is None else onto
+    for h in range(rows.shape[1]):
+        total[:, h] += np.bincount(numbers_in, rows[:, h], size)
+    return total
 
 
-def parts_of(ends: np.ndarray) -> list[tuple[int, int]]:
-    """Texts that end so, in parts of about ``PART`` tokens: the first of each and the first behind it."""
-    cuts = [0, *(np.flatnonzero(np.diff(ends // PART)) + 1).tolist(), len(ends)]
+def parts_of(ends: np.ndarray, part: int) -> list[tuple[int, int]]:
+    """Texts that end so, in parts of about ``part`` tokens: the first of each and the first behind it."""
+    cuts = [0, *(np.flatnonzero(np.diff(ends // part)) + 1).tolist(), len(ends)]
     return list(zip(cuts, cuts[1:]))
 
 
@@ -185,7 +190,7 @@ def block_rows(number: int, batches: list, places: int):
     counts = np.bincount(codes[learned], minlength=len(words) + 1)[1:]
     named = together(words, np.array([len(words)]))[0].split(b" ") if len(words) else []
     place = np.fromiter((zlib.crc32(w) % places for w in named), np.int64, len(words))
-    for k, (i, j) in enumerate(parts_of(stops)):
+    for k, (i, j) in enumerate(parts_of(stops, PART)):
         part = codes[stops[i] - sizes[i]:stops[j - 1]]
         yield [number, k, doc_ids[i:j], held_out[i:j], sizes[i:j].tolist(), planes(part), -1, b"", b""]
     sorted_by = np.argsort(place, kind="stable")
@@ -355,7 +360,7 @@ def lockstep(runs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     size = size[order]
     start = np.concatenate(([0], np.cumsum(size)[:-1]))
     alive = np.searchsorted(-size, -np.arange(size[0]), side="left")
-    return np.concatenate([runs[k] for k in order]).astype(np.int32), start, alive, order
+    return np.concatenate([runs[k] for k in order], dtype=np.int32, casting="unsafe"), start, alive, order
 
 
 def across(a: np.ndarray) -> np.ndarray:
@@ -367,13 +372,13 @@ def across(a: np.ndarray) -> np.ndarray:
     return columns[0] if a.shape[1] > 1 else columns[0].copy()
 
 
-def expected_counts(model: Hmm, runs: list[np.ndarray], first: np.ndarray):
+def expected_counts(model: Hmm, runs: list[np.ndarray], first: np.ndarray, emits: np.ndarray | None = None):
     """Baum-Welch sums over runs of symbols: (start, later, move, emit); ``first`` marks runs
-    that start a text."""
+    that start a text.  With ``emits``, those of emit are added to what that has."""
     states, symbols = model.move.shape[0], len(model.emit)
     flat, place, alive, order = lockstep(runs)
     first = first[order]
-    emit, move = model.emit.astype(np.float32), model.move.astype(np.float32)
+    emit, move = model.emit.astype(np.float32, copy=False), model.move.astype(np.float32)
     # all that is kept of the steps lies in a row, the last step first; rows are picked by take(), which is
     # several times as fast as an index
     behind = len(flat) - np.cumsum(alive)
@@ -400,7 +405,7 @@ def expected_counts(model: Hmm, runs: list[np.ndarray], first: np.ndarray):
             moves += forward[steps[t - 1]][:n].T @ back
             back = back @ move.T
     opening = forward[steps[0]]
-    return opening[first].sum(0), opening[~first].sum(0), moves * model.move, sums_by(token, forward, symbols)
+    return opening[first].sum(0), opening[~first].sum(0), moves * model.move, sums_by(token, forward, symbols, emits)
 
 
 def log_likelihood(model: Hmm, texts: list[np.ndarray]) -> np.ndarray:
@@ -440,37 +445,37 @@ def within_class(slots: pd.DataFrame, names: list[str], of_state: np.ndarray, co
     return np.where(total > 1e-9, (own + prior * share) / np.maximum(total, 1e-9), share)
 
 
-def with_words(model: Hmm, classes: np.ndarray, within: np.ndarray) -> Hmm:
-    """The model with a block's own words as further symbols."""
-    first = len(model.emit) - 1 - CLASSES
-    return Hmm(model.start, model.later, model.move, np.concatenate((model.emit, model.emit[first + classes] * within)))
-
-
 @dataclass(frozen=True)
 class Block:
-    """A block with its texts' words as symbols.  ``own``: its words outside the emitted ones by
-    place, their symbols follow all others in this order; ``classes`` and ``counts`` are theirs,
+    """A block.  ``texts``: the rows of its texts by part, as Arrow has them (doc_ids, held_out, sizes,
+    codes); ``symbol``: the symbol of each of its numbers.  ``classes`` and ``counts`` are those of its
+    own words, the words outside the emitted ones by place, whose symbols follow all others in this order;
     ``ranks`` (place, and which of the place's words these are) say where to find them."""
 
-    doc_ids: list
-    held_out: list
-    sizes: np.ndarray
-    symbols: np.ndarray
+    texts: list[tuple]
+    symbol: np.ndarray
     classes: np.ndarray
     counts: np.ndarray
     ranks: list[tuple[int, np.ndarray]]
 
+    def parts(self):
+        """The texts (doc_ids, held_out, sizes, symbols in a row), of which one part is held at a time."""
+        for doc_ids, held_out, sizes, codes in self.texts:
+            yield doc_ids.as_py(), held_out.as_py(), np.array(sizes.as_py(), dtype=np.int64), self.symbol[numbers(codes.as_buffer())]
+
 
-def read_block(rows: pd.DataFrame, head: list[bytes], tied: bool = False) -> Block:
-    """The block of its rows; ``tied``: words outside the emitted ones are their class's symbol."""
+def read_block(rows, head: list[bytes], tied: bool = False) -> Block:
+    """The block of its rows, an Arrow table; ``tied``: words outside the emitted ones are their class's symbol."""
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    rows, emitted = rows.sort_values(["part", "place"]), len(head)
-    texts, words = rows[rows["part"] >= 0], rows[rows["part"] < 0]
-    join = lambda parts, kind=np.int64: np.concatenate([np.zeros(0, kind), *parts])
-    names, sizes = apart(words["words"])
-    codes, n = (join([numbers(x) for x in words[c]]) for c in ("codes", "counts"))
+    part, place = rows["part"].to_numpy(), rows["place"].to_numpy()
+    order, emitted = np.lexsort((place, part)), len(head)
+    words = order[part[order] < 0]
+    of = {c: list(rows[c]) for c in ("doc_ids", "held_out", "sizes", "codes", "words", "counts")}
+    texts = [tuple(of[c][k] for c in ("doc_ids", "held_out", "sizes", "codes")) for k in order[len(words):]]
+    names, sizes = apart([of["words"][k].as_py() for k in words])
+    codes, n = (np.concatenate([np.zeros(0, np.int64), *(numbers(of[c][k].as_buffer()) for k in words)]) for c in ("codes", "counts"))
     found = pc.index_in(names, value_set=pa.array(head, pa.binary())).fill_null(-1).to_numpy(zero_copy_only=False)
     rest = np.flatnonzero(found < 0)
     classes = classes_of(names.take(pa.array(rest)))
@@ -480,10 +485,8 @@ def read_block(rows: pd.DataFrame, head: list[bytes], tied: bool = False) -> Blo
     symbol[codes[rest] + 1] = emitted + classes if tied else emitted + CLASSES + 1 + np.arange(len(rest))
     ends = np.cumsum(sizes, dtype=np.int64)
     cuts = np.searchsorted(rest, ends)
-    ranks = [(int(place), rest[i:j] - (end - size)) for place, i, j, end, size in zip(words["place"], [0, *cuts], cuts, ends, sizes)]
-    return Block([i for x in texts["doc_ids"] for i in x], [h for x in texts["held_out"] for h in x],
-                 join([np.asarray(x, dtype=np.int64) for x in texts["sizes"]]),
-                 join([symbol[numbers(x)] for x in texts["codes"]], np.uint32), classes, n[rest], ranks)
+    ranks = [(int(p), rest[i:j] - (end - size)) for p, i, j, end, size in zip(place[words], [0, *cuts], cuts, ends, sizes)]
+    return Block(texts, symbol, classes, n[rest], ranks)
 
 
 def halves(share: np.ndarray) -> bytes:
@@ -497,18 +500,35 @@ def shares(data: bytes, words: int, states: int) -> np.ndarray:
     return np.concatenate((first, np.maximum(0.0, 1.0 - first.sum(1, keepdims=True))), axis=1)
 
 
-def known_words(block: Block, found: pd.DataFrame, states: int) -> tuple[pd.DataFrame, list[np.ndarray]]:
-    """The block's own words (class, n, h0, ...), and their numbers in each place: from its
-    rows of ``slots_of`` and, where there are any, of the counts by state."""
-    ids = {r.place: (numbers(r.ids), np.frombuffer(r.n, np.int64)) for r in found.itertuples(index=False) if r.ids is not None}
-    by_state = {r.place: r.shares for r in found.itertuples(index=False) if r.ids is None}
-    number, n = [ids[p][0][k] for p, k in block.ranks], [ids[p][1][k] for p, k in block.ranks]
-    n = np.concatenate(n) if n else np.zeros(0, np.int64)
-    words = pd.DataFrame({"class": block.classes, "n": n})
-    own = np.zeros((len(n), states))
-    if by_state:
-        own = n[:, None] * np.concatenate([shares(by_state[p], len(k), states) for p, k in block.ranks])
-    return words.assign(**{f"h{k}": own[:, k] for k in range(states)}), number
+def known_words(block: Block, found) -> tuple[np.ndarray, list[np.ndarray], dict]:
+    """The training counts of the block's own words and their numbers in each place, from the block's
+    rows of ``slots_of``; and, where there are any, the places' counts by state (see ``halves``)."""
+    places = found["place"].to_pylist()
+    ids, n, by_state = ({p: x.as_buffer() for p, x in zip(places, found[c]) if x.is_valid} for c in ("ids", "n", "shares"))
+    counts = [np.frombuffer(n[p], np.int64)[k] for p, k in block.ranks]
+    return np.concatenate([np.zeros(0, np.int64), *counts]), [numbers(ids[p])[k] for p, k in block.ranks], by_state
+
+
+def with_words(model: Hmm, block: Block, n: np.ndarray, by_state: dict, of_state: np.ndarray, count: np.ndarray, size: np.ndarray,
+               kind=float) -> Hmm:
+    """The model with a block's own words as further symbols, which have the probability of their class
+    times their own within it; see ``known_words`` and ``within_class``.  About ``WORDS`` words are worked
+    out at once, as the steps between are as large as the result.  ``kind`` is that of the emissions."""
+    symbols, states = model.emit.shape
+    names, first = [f"h{k}" for k in range(states)], symbols - 1 - CLASSES
+    emit = np.empty((symbols + len(n), states), dtype=kind)
+    emit[:symbols] = model.emit
+    ends = np.cumsum([len(k) for _, k in block.ranks], dtype=np.int64)
+    for i, j in parts_of(ends, WORDS):
+        if i == j:
+            continue
+        part = slice(ends[i] - len(block.ranks[i][1]), ends[j - 1])
+        own = np.zeros((part.stop - part.start, states))
+        if by_state:
+            own = n[part, None] * np.concatenate([shares(by_state[p], len(k), states) for p, k in block.ranks[i:j]])
+        words = pd.DataFrame(own, columns=names).assign(**{"class": block.classes[part], "n": n[part]})
+        emit[symbols:][part] = model.emit[first + block.classes[part]] * within_class(words, names, of_state, count, size)
+    return Hmm(model.start, model.later, model.move, emit)
 
 
 def with_counts(slots: DataFrame, counts: DataFrame | None) -> DataFrame:
@@ -519,14 +539,11 @@ def with_counts(slots: DataFrame, counts: DataFrame | None) -> DataFrame:
 
 
 def learned_runs(block: Block):
-    """The runs of a block's texts that are not held out, about ``PART`` tokens at a time; see ``runs_of``."""
-    ends = np.cumsum(block.sizes)
-    learned = np.array([h is not None and not h for h in block.held_out], dtype=bool)
-    for i, j in parts_of(ends):
-        own = np.arange(i, j)[learned[i:j]]
-        if len(own):
-            texts = np.concatenate([block.symbols[ends[k] - block.sizes[k]:ends[k]] for k in own])
-            yield runs_of(texts, block.sizes[own].tolist())
+    """The runs of a block's texts that are not held out, part by part; see ``runs_of``."""
+    for _, held_out, sizes, symbols in block.parts():
+        learned = np.array([h is not None and not h for h in held_out], dtype=bool)
+        if learned.any():
+            yield runs_of(symbols[np.repeat(learned, sizes)], sizes[learned].tolist())
 
 
 def train(blocks: DataFrame, slots: DataFrame, vocabulary: Vocabulary, states: int = 8, rounds: int = 6, own: int = 2,
@@ -537,7 +554,6 @@ def train(blocks: DataFrame, slots: DataFrame, vocabulary: Vocabulary, states: i
     model, symbols, emitted = initial(unigram, states, seed), len(unigram), vocabulary.emitted
     spark = blocks.sparkSession
     small_batches(spark, 10_000)
-    names = [f"h{k}" for k in range(states)]
     rows, cut = symbols + states + 2, -(-(symbols + states + 2) // HEAD_PARTS)
     counts, of_state = None, np.zeros((CLASSES, states))
     for turn in range(rounds):
@@ -545,22 +561,23 @@ def train(blocks: DataFrame, slots: DataFrame, vocabulary: Vocabulary, states: i
         shared = spark.sparkContext.broadcast((model.start, model.later, model.move, model.emit, of_state, vocabulary.class_count,
                                                vocabulary.class_size, vocabulary.head[:emitted]))
 
-        def step(rows_in: pd.DataFrame, found: pd.DataFrame | None, shared=shared, tied=tied) -> pd.DataFrame:
+        def step(rows_in, found, shared=shared, tied=tied):
+            import pyarrow as pa
+
             *values, head = shared.value
             model, block = Hmm(*values[:4]), read_block(rows_in, head, tied)
             if not tied:
-                words, ids = known_words(block, found, states)
-                model = with_words(model, block.classes, within_class(words, names, *values[4:]))
+                n, ids, by_state = known_words(block, found)
+                model = with_words(model, block, n, by_state, *values[4:], kind=np.float32)
             total, emits = np.zeros((rows, states)), np.zeros((states, len(model.emit))).T
             for texts, first in learned_runs(block):
-                start, later, move, emit = expected_counts(model, texts, first)
-                emits += emit
+                start, later, move, _ = expected_counts(model, texts, first, emits)
                 total[symbols:] += np.concatenate((move, [start, later]))
             word = emits[symbols:]
             total[:symbols] = emits[:symbols]
             if not tied:
                 total[emitted:emitted + CLASSES] += sums_by(block.classes, word, CLASSES)
-            number = int(rows_in["block"].iloc[0])
+            number = rows_in["block"][0].as_py()
             out = [[number, -1 - k, b"", b"", b"", total[k * cut:(k + 1) * cut].tobytes()] for k in range(HEAD_PARTS) if k * cut < rows]
             at = 0
             for (place, k), own_ids in zip(block.ranks, [] if tied else ids):
@@ -568,7 +585,8 @@ def train(blocks: DataFrame, slots: DataFrame, vocabulary: Vocabulary, states: i
                 at += len(k)
                 share = word[part] / np.maximum(across(word[part])[:, None], 1e-30)
                 out.append([number, place, planes(own_ids), planes(block.counts[part]), block.classes[part].astype(np.uint8).tobytes(), halves(share)])
-            return pd.DataFrame(out, columns=["block", "place", "ids", "counts", "classes", "shares"])
+            kinds = {"block": pa.int64(), "place": pa.int32(), "ids": pa.binary(), "counts": pa.binary(), "classes": pa.binary(), "shares": pa.binary()}
+            return pa.table([pa.array(x, k) for x, k in zip(zip(*out), kinds.values())], names=list(kinds))
 
         def add(got: pd.DataFrame) -> pd.DataFrame:
             place, got = int(got["place"].iloc[0]), got.sort_values("block")
@@ -591,9 +609,9 @@ def train(blocks: DataFrame, slots: DataFrame, vocabulary: Vocabulary, states: i
 
         by_block = blocks.groupBy("block")
         if tied:
-            parts = by_block.applyInPandas(lambda rows_in: step(rows_in, None), PARTS)
+            parts = by_block.applyInArrow(lambda rows_in: step(rows_in, None), PARTS)
         else:
-            parts = by_block.cogroup(with_counts(slots, counts).groupBy("block")).applyInPandas(lambda rows_in, found: step(rows_in, found), PARTS)
+            parts = by_block.cogroup(with_counts(slots, counts).groupBy("block")).applyInArrow(lambda rows_in, found: step(rows_in, found), PARTS)
         sums = keep(parts.groupBy("place").applyInPandas(add, "block long, place int, shares binary"), "word-states")
         found = {r.place: np.frombuffer(bytes(r.shares)) for r in sums.where("block = -1").collect()}  # model and classes: few numbers
         if not found:
@@ -623,25 +641,29 @@ def score(documents: DataFrame, emitted: int = 1 << 13, states: int = 8, rounds:
     v = vocabulary_of(every, documents.where("not held_out").count(), emitted)
     slots = every.where("block >= 0").select("block", "place", "ids", "n")
     model, counts, of_state = train(blocks, slots, v, states, rounds)
-    names = [f"h{k}" for k in range(states)]
     first = np.concatenate((v.head_count[:v.emitted], np.zeros(CLASSES, dtype=np.int64), [v.ends]))
     shared = spark.sparkContext.broadcast((model.start, model.later, model.move, model.emit, of_state, v.class_count, v.class_size,
                                            v.head[:v.emitted], first))
     each = float(np.log10(v.tokens + v.distinct + 1))
 
-    def run(rows: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
+    def run(rows, found):
+        import pyarrow as pa
+
         *values, head, first = shared.value
         block = read_block(rows, head)
-        words, _ = known_words(block, found, states)
-        model = with_words(Hmm(*values[:4]), block.classes, within_class(words, names, *values[4:]))
-        starts = np.cumsum(block.sizes) - block.sizes
-        n = np.concatenate((first, words["n"].to_numpy(dtype=np.int64)))
-        return pd.DataFrame({"doc_id": block.doc_ids, "held_out": block.held_out, "n_tokens": block.sizes,
-                             "n_known": np.add.reduceat((n > 0).astype(np.int64)[block.symbols], starts),
-                             "base_score": np.add.reduceat(np.log10(n + 1.0)[block.symbols], starts) - block.sizes * each,
-                             "score": log_likelihood(model, np.split(block.symbols, starts[1:]))})
-
-    scored = blocks.groupBy("block").cogroup(with_counts(slots, counts).groupBy("block")).applyInPandas(
+        n, _, by_state = known_words(block, found)
+        model = with_words(Hmm(*values[:4]), block, n, by_state, *values[4:])
+        n = np.concatenate((first, n))
+        known, base, out = (n > 0).astype(np.int64), np.log10(n + 1.0), []
+        for doc_ids, held_out, sizes, symbols in block.parts():
+            starts = np.cumsum(sizes) - sizes
+            out.append(pa.table({
+                "doc_id": pa.array(doc_ids, pa.string()), "held_out": pa.array(held_out, pa.bool_()), "n_tokens": sizes,
+                "n_known": np.add.reduceat(known[symbols], starts), "base_score": np.add.reduceat(base[symbols], starts) - sizes * each,
+                "score": log_likelihood(model, np.split(symbols, starts[1:]))}))
+        return pa.concat_tables(out)
+
+    scored = blocks.groupBy("block").cogroup(with_counts(slots, counts).groupBy("block")).applyInArrow(
         run, "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return scored.select(F.col("doc_id").cast("long").alias("doc_id"), "held_out", "n_tokens", "n_known",
                          F.lit(v.tokens).cast("long").alias("train_tokens"), "base_score",
